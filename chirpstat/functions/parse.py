@@ -6,9 +6,11 @@ codegen and runs wherever the scan runs; no Python touches a row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from chirpstat.functions.schema import (
     CREATED_AT_FORMAT,
@@ -53,14 +55,51 @@ def day_of(ts: str | Column = "created_at") -> Column:
     return _col(ts).cast("date").cast("timestamp_ntz")
 
 
+def prune_schema(schema: StructType, fields: Sequence[str]) -> StructType:
+    """The schema restricted to `fields`, in schema order.
+
+    A dotted name (`public_metrics.retweet_count`) keeps only that member of
+    a struct field; a bare name keeps the whole field.
+    """
+    top: dict[str, set[str] | None] = {}
+    for name in fields:
+        head, _, rest = name.partition(".")
+        if rest:
+            if top.get(head, set()) is not None:
+                top.setdefault(head, set()).add(rest)
+        else:
+            top[head] = None
+    unknown = set(top) - set(schema.fieldNames())
+    if unknown:
+        raise ValueError(f"fields not in schema: {sorted(unknown)}")
+    kept = []
+    for f in schema.fields:
+        if f.name not in top:
+            continue
+        members = top[f.name]
+        if members is not None and isinstance(f.dataType, StructType):
+            f = StructField(f.name, prune_schema(f.dataType, sorted(members)), f.nullable)
+        kept.append(f)
+    return StructType(kept)
+
+
 def parse_tweets(
-    raw_df: DataFrame, schema: StructType = TWEET_SCHEMA, value_col: str = "value"
+    raw_df: DataFrame,
+    schema: StructType = TWEET_SCHEMA,
+    value_col: str = "value",
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """Raw messages -> one typed row per message, `created_at` as a timestamp.
 
     A message that cannot be parsed still yields a row (all columns null), so
     the row count always equals the message count.
+
+    `fields` limits the parse to the columns a result needs. The parser then
+    builds values only for those fields; since every field is parsed on its
+    own (a bad field nulls only itself), the kept columns are unchanged.
     """
+    if fields is not None:
+        schema = prune_schema(schema, fields)
     parsed = raw_df.select(parse_json(value_col, schema).alias("data")).select("data.*")
     if "created_at" in schema.fieldNames():
         parsed = parsed.withColumn("created_at", created_at_timestamp("created_at"))

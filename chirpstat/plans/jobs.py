@@ -2,7 +2,7 @@
 
 Shape of the user-analysis plan, chosen for very large topics:
 
-1. parse the messages once and land the valid tweets as Parquet in the shared
+1. parse the messages once and land the typed tweets as Parquet in the shared
    checkpoint folder (one snapshot for all five results, lineage cut there);
 2. one aggregate per author over that snapshot carries every per-author
    measure; it is tiny next to the tweets and is landed too;
@@ -30,6 +30,8 @@ from chirpstat.sources.io import Sink, write_result
 
 LOG = logging.getLogger(__name__)
 
+DAILY_FIELDS = ("created_at", "public_metrics.retweet_count")
+
 
 @dataclass
 class UserAnalysis:
@@ -105,11 +107,12 @@ def plan_daily_trend(
 ) -> DataFrame:
     """Daily totals. By default rows without an id are counted too.
 
-    The one aggregate needs only `created_at` and the retweet count, and the
-    JSON parse is pruned to those fields by the optimizer, so no snapshot is
-    needed unless the parsed tweets are reused elsewhere.
+    The one aggregate needs only `created_at` and the retweet count, so the
+    JSON parse is limited to those fields (and `id` when invalid rows are
+    dropped); no snapshot is needed unless the parsed tweets are reused.
     """
-    tweets = parse_tweets(raw)
+    fields = DAILY_FIELDS + (("id",) if drop_invalid else ())
+    tweets = parse_tweets(raw, fields=None if snapshot else fields)
     if snapshot:
         tweets = land(tweets, spark, "tweets")
     if drop_invalid:

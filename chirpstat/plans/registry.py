@@ -39,12 +39,20 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_event_messages(spark, sf_dir)
 
 
-def _tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_tweets(_raw(spark, sf_dir))
+# Fields each result reads; the JSON parse builds values for these only.
+AUTHOR_FIELDS = ("id", "author_id", "author_username")
+FOLLOWER_FIELDS = AUTHOR_FIELDS + ("follower_count",)
+FAME_FIELDS = ("id", "follower_count")
+TIMELINE_FIELDS = ("id", "created_at", "text", "author_username")
+SEARCH_FIELDS = ("id", "created_at", "text", "lang")
 
 
-def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return valid_tweets(_tweets(spark, sf_dir))
+def _tweets(spark: SparkSession, sf_dir: str, fields=None) -> DataFrame:
+    return parse_tweets(_raw(spark, sf_dir), fields=fields)
+
+
+def _valid(spark: SparkSession, sf_dir: str, fields=None) -> DataFrame:
+    return valid_tweets(_tweets(spark, sf_dir, fields))
 
 
 def q_parse_tweets(spark, sf_dir):
@@ -52,23 +60,23 @@ def q_parse_tweets(spark, sf_dir):
 
 
 def q_count_invalid(spark, sf_dir):
-    return count_invalid(_tweets(spark, sf_dir))
+    return count_invalid(_tweets(spark, sf_dir, ("id",)))
 
 
 def q_top_tweeters(spark, sf_dir):
-    return A.top_tweeters(_valid(spark, sf_dir))
+    return A.top_tweeters(_valid(spark, sf_dir, AUTHOR_FIELDS))
 
 
 def q_top_tweeters_top10(spark, sf_dir):
-    return A.top_n(A.top_tweeters(_valid(spark, sf_dir)), TOP_N)
+    return A.top_n(A.top_tweeters(_valid(spark, sf_dir, AUTHOR_FIELDS)), TOP_N)
 
 
 def q_famous_top_tweeters(spark, sf_dir):
-    return A.famous_top_tweeters(_valid(spark, sf_dir))
+    return A.famous_top_tweeters(_valid(spark, sf_dir, FOLLOWER_FIELDS))
 
 
 def q_famous_top10(spark, sf_dir):
-    return A.top_n(A.famous_top_tweeters(_valid(spark, sf_dir)), TOP_N)
+    return A.top_n(A.famous_top_tweeters(_valid(spark, sf_dir, FOLLOWER_FIELDS)), TOP_N)
 
 
 def q_is_famous(spark, sf_dir):
@@ -76,15 +84,15 @@ def q_is_famous(spark, sf_dir):
 
 
 def q_fame_distribution(spark, sf_dir):
-    return A.fame_distribution(A.add_is_famous(_valid(spark, sf_dir)))
+    return A.fame_distribution(A.add_is_famous(_valid(spark, sf_dir, FAME_FIELDS)))
 
 
 def q_low_follower_activity(spark, sf_dir):
-    return A.low_follower_activity(_valid(spark, sf_dir))
+    return A.low_follower_activity(_valid(spark, sf_dir, FOLLOWER_FIELDS))
 
 
 def q_low_follower_top10(spark, sf_dir):
-    return A.top_n(A.low_follower_activity(_valid(spark, sf_dir)), TOP_N)
+    return A.top_n(A.low_follower_activity(_valid(spark, sf_dir, FOLLOWER_FIELDS)), TOP_N)
 
 
 def q_daily_trend(spark, sf_dir):
@@ -100,11 +108,11 @@ def q_daily_trend_valid(spark, sf_dir):
 
 
 def q_user_timeline(spark, sf_dir):
-    return user_timeline(_valid(spark, sf_dir), TIMELINE_USER, TOP_N)
+    return user_timeline(_valid(spark, sf_dir, TIMELINE_FIELDS), TIMELINE_USER, TOP_N)
 
 
 def q_text_search(spark, sf_dir):
-    return text_search(_valid(spark, sf_dir), SEARCH_PHRASE, SEARCH_LANG, True, TOP_N)
+    return text_search(_valid(spark, sf_dir, SEARCH_FIELDS), SEARCH_PHRASE, SEARCH_LANG, True, TOP_N)
 
 
 def q_encode_round_trip(spark, sf_dir):

@@ -36,6 +36,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "chirpstat", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path names."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def land(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back.
 

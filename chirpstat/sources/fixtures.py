@@ -9,12 +9,14 @@ linearly with the table.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.functions.schema import CREATED_AT_FORMAT, DEFAULT_TOPIC
+from chirpstat.functions.schema import CREATED_AT_FORMAT, DEFAULT_TOPIC, RAW_MESSAGE_SCHEMA
+from chirpstat.session import checkpoint_root, path_exists
 
 # --- Fixed values: the events -> tweet mapping --------------------------------
 # k is the integer in events.props ({"k": 0..99}).
@@ -82,24 +84,55 @@ def events_as_messages(events: DataFrame, topic: str = DEFAULT_TOPIC) -> DataFra
     )
 
 
+_TOPICS: dict[tuple[str, str], str] = {}
+
+
+def _source_key(path: str) -> str:
+    st = os.stat(path)
+    return hashlib.sha1(f"{os.path.abspath(path)}|{st.st_size}|{st.st_mtime_ns}".encode()).hexdigest()[:16]
+
+
+def event_topic(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC) -> str:
+    """Publish the whole events table once as a topic stand-in; return its folder.
+
+    The messages are written as Parquet files (Kafka-source columns) in the
+    shared checkpoint folder, the way the ingestion side writes a topic once
+    for many readers. When the source has fewer input splits than the session
+    has cores, the rows are spread round-robin over that many files so later
+    scans (and the JSON parse in them) run in parallel; a large source keeps
+    its own splits and is not shuffled.
+    """
+    src = events_path(sf_dir)
+    root = checkpoint_root(spark)
+    key = (root, f"{_source_key(src)}-{topic}")
+    path = _TOPICS.get(key)
+    if path is not None and path_exists(spark, os.path.join(path, "_SUCCESS")):
+        return path
+    path = os.path.join(root, "chirpstat-topics", key[1])
+    if not path_exists(spark, os.path.join(path, "_SUCCESS")):
+        events = spark.read.parquet(src).select(*EVENT_COLUMNS)
+        messages = events_as_messages(events, topic)
+        cores = spark.sparkContext.defaultParallelism
+        if events.rdd.getNumPartitions() < cores:
+            messages = messages.repartition(cores)
+        messages.write.mode("overwrite").parquet(path)
+    _TOPICS[key] = path
+    return path
+
+
 def read_event_messages(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC) -> DataFrame:
-    """Batch read of the whole events table as topic-shaped messages."""
-    events = spark.read.parquet(events_path(sf_dir)).select(*EVENT_COLUMNS)
-    return events_as_messages(events, topic)
+    """Batch read of the events topic stand-in (every message of the table)."""
+    return spark.read.schema(RAW_MESSAGE_SCHEMA).parquet(event_topic(spark, sf_dir, topic))
 
 
 def read_event_messages_stream(
     spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Streaming read of the events table (a file source) as topic-shaped messages."""
-    schema = spark.read.parquet(events_path(sf_dir)).select(*EVENT_COLUMNS).schema
-    # The table is one file inside a folder of other tables: watch the folder,
-    # admit only that file name.
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", os.path.basename(events_path(sf_dir)))
+    """Streaming read of the events topic stand-in (a folder of message files)."""
+    reader = spark.readStream.schema(RAW_MESSAGE_SCHEMA)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    events = reader.parquet(sf_dir).select(*EVENT_COLUMNS)
-    return events_as_messages(events, topic)
+    return reader.parquet(event_topic(spark, sf_dir, topic))
 
 
 # DuckDB view with the same mapping, used as `T` by the oracle queries.

@@ -16,18 +16,22 @@ from pyspark.sql.streaming import StreamingQuery
 from chirpstat.functions.parse import parse_tweets
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import valid_tweets
-from chirpstat.session import scratch_path
+from chirpstat.session import path_exists, scratch_path
 from chirpstat.sources.io import kafka_write_options, to_messages
 
 
+DAILY_FIELDS = ("created_at", "public_metrics.retweet_count")
+AUTHOR_FIELDS = ("id", "author_id", "author_username")
+
+
 def daily_trend_stream(raw_stream: DataFrame) -> DataFrame:
     """Streaming daily totals (run in complete mode; the sort is allowed there)."""
-    return A.daily_trends(parse_tweets(raw_stream))
+    return A.daily_trends(parse_tweets(raw_stream, fields=DAILY_FIELDS))
 
 
 def top_tweeters_stream(raw_stream: DataFrame) -> DataFrame:
     """Streaming tweets per author over the valid rows (complete mode)."""
-    return A.top_tweeters(valid_tweets(parse_tweets(raw_stream)))
+    return A.top_tweeters(valid_tweets(parse_tweets(raw_stream, fields=AUTHOR_FIELDS)))
 
 
 def run_complete(
@@ -59,19 +63,12 @@ def run_complete(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    if not _has_files(spark, target):
+    if not path_exists(spark, target):
         # No batch ran (empty source): an empty result of the right shape.
         return spark.createDataFrame([], result_stream.schema)
     return spark.read.parquet(target)
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 # --- Dual path: archive + republish ------------------------------------------------
 
 
