@@ -1,0 +1,144 @@
+"""Parsing contract: malformed input, wrong types, time text (ANSI on, two zones)."""
+
+import datetime as dt
+import json
+
+import pytest
+from conftest import messages
+
+from chirpstat.functions.parse import encode_json, flatten_metrics, parse_tweets, prune_schema
+from chirpstat.functions.schema import TWEET_SCHEMA
+
+FULL = {
+    "id": "1",
+    "text": "hello",
+    "created_at": "2024-01-01T23:30:00Z",
+    "author_id": "a1",
+    "author_username": "alice",
+    "follower_count": 150000,
+    "friends_count": 12,
+    "public_metrics": {
+        "retweet_count": 1,
+        "reply_count": 2,
+        "like_count": 3,
+        "quote_count": 4,
+        "impression_count": 5,
+    },
+    "lang": "tr",
+    "source": "web",
+}
+
+
+def parse_one(spark, text):
+    rows = parse_tweets(messages(spark, [text])).collect()
+    assert len(rows) == 1
+    return rows[0]
+
+
+def test_full_tweet_every_field(spark, zone):
+    r = parse_one(spark, json.dumps(FULL))
+    assert r.id == "1" and r.author_username == "alice" and r.follower_count == 150000
+    assert r.created_at == dt.datetime(2024, 1, 1, 23, 30, 0)
+    assert r.public_metrics.retweet_count == 1 and r.public_metrics.impression_count == 5
+    assert r.lang == "tr" and r.source == "web"
+
+
+@pytest.mark.parametrize("text", ["not json", None, "", "{}", "[]", '[{"id":"6"},{"id":"7"}]'])
+def test_unparsable_gives_one_all_null_row(spark, text):
+    r = parse_one(spark, text)
+    assert all(v is None for v in r), r
+
+
+def test_wrong_type_nulls_only_that_field(spark):
+    r = parse_one(spark, '{"id":"2","follower_count":"x","public_metrics":{"retweet_count":3}}')
+    assert r.id == "2" and r.follower_count is None and r.public_metrics.retweet_count == 3
+
+
+def test_numeric_id_overflow_and_extra_field(spark):
+    r = parse_one(spark, '{"id":3,"follower_count":5000000000,"extra":1}')
+    assert r.id == "3" and r.follower_count is None
+    assert "extra" not in r.asDict()
+
+
+def test_nested_wrong_type(spark):
+    r = parse_one(spark, '{"id":"4","public_metrics":{"retweet_count":"bad","like_count":9}}')
+    assert r.public_metrics.retweet_count is None and r.public_metrics.like_count == 9
+
+
+@pytest.mark.parametrize("text", ['{"id":"8","follower_count":7.0}', '{"id":"9","follower_count":"12"}'])
+def test_non_int_followers_null(spark, text):
+    assert parse_one(spark, text).follower_count is None
+
+
+def test_field_names_are_case_sensitive(spark):
+    assert parse_one(spark, '{"ID":"10"}').id is None
+
+
+def test_duplicate_key_last_wins(spark):
+    assert parse_one(spark, '{"id":"11","id":"12"}').id == "12"
+
+
+@pytest.mark.parametrize(
+    "created_at",
+    [
+        "2024-01-01T23:30:00.000Z",
+        "2024-01-01 10:00:00",
+        "2024-02-30T00:00:00Z",
+        "2024-13-01T00:00:00Z",
+        "2024-01-01T24:00:00Z",
+        "2024-1-1T00:00:00Z",
+        "2024-01-01T00:00:00+03:00",
+        "",
+        None,
+    ],
+)
+def test_bad_created_at_is_null_not_error(spark, zone, created_at):
+    body = {"id": "1", "created_at": created_at}
+    assert parse_one(spark, json.dumps(body)).created_at is None
+
+
+def test_created_at_keeps_wall_clock_across_dst(spark):
+    from chirpstat.operators.analyses import daily_trends
+
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = parse_tweets(messages(spark, ['{"id":"1","created_at":"2018-11-04T00:30:00Z"}']))
+        assert df.first().created_at == dt.datetime(2018, 11, 4, 0, 30)
+        day = daily_trends(df).first().day
+        assert day == dt.datetime(2018, 11, 4, 0, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_created_at_type_is_timestamp_ntz(spark):
+    df = parse_tweets(messages(spark, [json.dumps(FULL)]))
+    assert df.schema["created_at"].dataType.typeName() == "timestamp_ntz"
+
+
+def test_row_count_equals_message_count(spark):
+    texts = [json.dumps(FULL), "junk", None, "{}", json.dumps({**FULL, "id": "2"})]
+    assert parse_tweets(messages(spark, texts)).count() == len(texts)
+
+
+def test_pruned_parse_keeps_values(spark):
+    texts = [json.dumps(FULL), '{"id":"2","follower_count":"x","author_id":"b"}', "junk"]
+    full = parse_tweets(messages(spark, texts)).select("id", "author_id", "follower_count").collect()
+    pruned = parse_tweets(messages(spark, texts), fields=("id", "author_id", "follower_count")).collect()
+    assert [tuple(r) for r in full] == [tuple(r) for r in pruned]
+
+
+def test_prune_schema_nested_and_unknown():
+    s = prune_schema(TWEET_SCHEMA, ["created_at", "public_metrics.retweet_count"])
+    assert s.fieldNames() == ["created_at", "public_metrics"]
+    assert s["public_metrics"].dataType.fieldNames() == ["retweet_count"]
+    with pytest.raises(ValueError):
+        prune_schema(TWEET_SCHEMA, ["nope"])
+
+
+def test_encode_then_parse_round_trip(spark):
+    texts = [json.dumps(FULL), '{"id":"2"}', "junk"]
+    first = parse_tweets(messages(spark, texts))
+    again = parse_tweets(encode_json(first))
+    assert sorted(map(tuple, flatten_metrics(first).collect()), key=str) == sorted(
+        map(tuple, flatten_metrics(again).collect()), key=str
+    )
