@@ -97,10 +97,17 @@ def parse_tweets(
     `fields` limits the parse to the columns a result needs. The parser then
     builds values only for those fields; since every field is parsed on its
     own (a bad field nulls only itself), the kept columns are unchanged.
+
+    The parsed struct is expanded with `inline(array(...))`, a generator,
+    rather than `select("data.*")`. Catalyst pushes a filter on a projected
+    field (`id IS NOT NULL`) below a projection by copying the from_json into
+    it, which parses every message twice; it does not push a filter on
+    generated columns below the generator, so each message is parsed once.
+    A null struct expands to one all-null row, so no message is lost.
     """
     if fields is not None:
         schema = prune_schema(schema, fields)
-    parsed = raw_df.select(parse_json(value_col, schema).alias("data")).select("data.*")
+    parsed = raw_df.select(F.inline(F.array(parse_json(value_col, schema))))
     if "created_at" in schema.fieldNames():
         parsed = parsed.withColumn("created_at", created_at_timestamp("created_at"))
     return parsed
