@@ -25,7 +25,7 @@ from chirpstat.functions.parse import parse_tweets
 from chirpstat.functions.schema import FAME_POINT, LOW_FOLLOWER_POINT, USER_ANALYSIS_TARGETS
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
-from chirpstat.session import land
+from chirpstat.session import cached, land
 from chirpstat.sources.io import Sink, write_result
 
 LOG = logging.getLogger(__name__)
@@ -124,8 +124,13 @@ def run_daily_trend(
     spark: SparkSession, raw: DataFrame, sink: Sink | None = None, drop_invalid: bool = False,
     name: str = "daily_trend",
 ) -> DataFrame:
-    """Compute the daily trend; write it when a sink is given."""
+    """Compute the daily trend; write it when a sink is given.
+
+    The result has one row per day, so it is cached around the sink's
+    emptiness test and write: the topic is parsed once, not once per action.
+    """
     result = plan_daily_trend(spark, raw, drop_invalid)
     if sink is not None:
-        write_result(result, name, sink)
+        with cached(result):
+            write_result(result, name, sink)
     return result

@@ -10,7 +10,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -53,3 +56,18 @@ def land(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Persist `df` for the actions inside the block, then release it.
+
+    Meant for small results read by more than one action (an emptiness test
+    and a write, a preview and a write). A lost executor only costs a
+    recompute from lineage; large intermediate tables use `land` instead.
+    """
+    df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()

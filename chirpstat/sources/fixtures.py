@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +86,7 @@ def events_as_messages(events: DataFrame, topic: str = DEFAULT_TOPIC) -> DataFra
 
 
 _TOPICS: dict[tuple[str, str], str] = {}
+_TOPICS_LOCK = threading.Lock()
 
 
 def _source_key(path: str) -> str:
@@ -105,19 +107,20 @@ def event_topic(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC) ->
     src = events_path(sf_dir)
     root = checkpoint_root(spark)
     key = (root, f"{_source_key(src)}-{topic}")
-    path = _TOPICS.get(key)
-    if path is not None and path_exists(spark, os.path.join(path, "_SUCCESS")):
+    with _TOPICS_LOCK:
+        path = _TOPICS.get(key)
+        if path is not None and path_exists(spark, os.path.join(path, "_SUCCESS")):
+            return path
+        path = os.path.join(root, "chirpstat-topics", key[1])
+        if not path_exists(spark, os.path.join(path, "_SUCCESS")):
+            events = spark.read.parquet(src).select(*EVENT_COLUMNS)
+            messages = events_as_messages(events, topic)
+            cores = spark.sparkContext.defaultParallelism
+            if events.rdd.getNumPartitions() < cores:
+                messages = messages.repartition(cores)
+            messages.write.mode("overwrite").parquet(path)
+        _TOPICS[key] = path
         return path
-    path = os.path.join(root, "chirpstat-topics", key[1])
-    if not path_exists(spark, os.path.join(path, "_SUCCESS")):
-        events = spark.read.parquet(src).select(*EVENT_COLUMNS)
-        messages = events_as_messages(events, topic)
-        cores = spark.sparkContext.defaultParallelism
-        if events.rdd.getNumPartitions() < cores:
-            messages = messages.repartition(cores)
-        messages.write.mode("overwrite").parquet(path)
-    _TOPICS[key] = path
-    return path
 
 
 def read_event_messages(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC) -> DataFrame:

@@ -146,12 +146,18 @@ def dedupe_by_id(raw: DataFrame, schema=TWEET_SCHEMA) -> DataFrame:
 
 
 def archive_raw(
-    raw: DataFrame, target: str, fmt: str = "parquet", dedupe: bool = False, **options: str
+    raw: DataFrame, target: str | None, fmt: str = "parquet", dedupe: bool = False, **options: str
 ) -> None:
-    """Append raw messages (the whole `value`) to an archive table."""
+    """Append every raw message to an archive.
+
+    File formats keep the message bytes (`value`) exactly as received. A
+    document store (fmt="mongodb", `target` = collection) gets one document
+    per message with the tweet's fields; `created_at` stays the sent text.
+    """
     rows = dedupe_by_id(raw) if dedupe else raw
-    writer = rows.select("value").write.format(fmt).mode("append").options(**options)
     if fmt == "mongodb":
-        writer.save()
-    else:
-        writer.save(target)
+        docs = rows.select(parse_json("value", TWEET_SCHEMA).alias("d")).select("d.*")
+        opts = {"collection": target, **options} if target else dict(options)
+        docs.write.format(fmt).mode("append").options(**opts).save()
+        return
+    rows.select("value").write.format(fmt).mode("append").options(**options).save(target)

@@ -76,3 +76,9 @@ def test_archive_append_and_dedupe(spark, scratch):
     # 5 appended as they are, then 4 (one copy of id 1; both id-less kept).
     assert back.count() == 9
     assert parse_tweets(back).filter("id = '1'").count() == 3
+
+
+def test_archive_to_document_store_fails_loudly_without_connector(spark):
+    raw = messages(spark, ['{"id":"1"}'])
+    with pytest.raises(Exception):
+        io.archive_raw(raw, "raw_tweets", fmt="mongodb", database="social_media_db")

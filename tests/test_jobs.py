@@ -64,3 +64,11 @@ def test_daily_trend_job_sink(spark, scratch):
     back = spark.read.parquet(os.path.join(scratch, "daily_trend"))
     assert back.count() == 30
     assert back.columns == ["day", "toplam_tweet_sayisi", "toplam_retweet_sayisi"]
+
+
+def test_daily_trend_job_empty_input_keeps_previous(spark, scratch):
+    raw = read_event_messages(spark, SF)
+    run_daily_trend(spark, raw, Sink(base=scratch))
+    run_daily_trend(spark, raw.limit(0), Sink(base=scratch))
+    assert spark.read.parquet(os.path.join(scratch, "daily_trend")).count() == 30
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
