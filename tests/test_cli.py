@@ -1,0 +1,30 @@
+"""The job command line, run in-process with Parquet input and output."""
+
+import os
+
+import pytest
+
+from chirpstat.functions.schema import USER_ANALYSIS_TARGETS
+from chirpstat.plans import cli
+from chirpstat.sources.fixtures import event_topic
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_user_analysis_cli_writes_all_results(spark, scratch, capsys):
+    topic = event_topic(spark, SF)
+    assert cli.main(["user-analysis", "t", "--input-path", topic, "--sink-base", scratch, "--preview", "3"], spark) == 0
+    for name in USER_ANALYSIS_TARGETS:
+        assert spark.read.parquet(os.path.join(scratch, name)).count() > 0
+    assert "tweet_sayisi" in capsys.readouterr().out
+
+
+def test_daily_trend_cli(spark, scratch):
+    topic = event_topic(spark, SF)
+    assert cli.main(["daily-trend", "t", "--input-path", topic, "--sink-base", scratch, "--preview", "0"], spark) == 0
+    assert spark.read.parquet(os.path.join(scratch, "daily_trend")).count() == 30
+
+
+def test_cli_requires_a_source():
+    with pytest.raises(SystemExit):
+        cli.main(["daily-trend", "t"])
