@@ -50,3 +50,10 @@ def test_parse_is_pruned_to_needed_fields(spark, capsys):
     text = plan_text(E.queries()["top_tweeters"](spark, SF), capsys)
     gen = next(line for line in text.splitlines() if "inline(array(from_json" in line)
     assert "author_username" in gen and "follower_count" not in gen and "text" not in gen.split("cast(")[0]
+
+
+@pytest.mark.parametrize("name", ["job_top_tweeters", "job_famous_top_tweeters", "job_low_follower_activity", "job_fame_distribution"])
+def test_job_results_read_the_landed_author_table_only(spark, capsys, name):
+    text = plan_text(E.queries()[name](spark, SF), capsys)
+    assert "from_json(" not in text
+    assert "author_stats" in text and "hashpartitioning" not in text
