@@ -27,7 +27,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
     if not configured:
-        # Unset: only local sessions (tests, bench) get here.
+        if not sc.master.startswith("local"):
+            # A driver-local folder is invisible to executors: refuse, do not guess.
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set; point it at a folder every executor can reach"
+            )
+        # Local sessions (tests, bench) only: one JVM, so a temp folder is shared.
         configured = tempfile.mkdtemp(prefix="chirpstat-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
