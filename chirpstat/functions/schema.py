@@ -45,8 +45,9 @@ TWEET_SCHEMA = StructType(
     ]
 )
 
-# Only `created_at` values of exactly this shape are accepted as timestamps.
-CREATED_AT_REGEX = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
+# Only `created_at` values of exactly this shape are accepted as timestamps
+# (`\z` is the very end of the text: a trailing newline does not match).
+CREATED_AT_REGEX = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"
 # The same shape as a datetime pattern, used when writing timestamps back out.
 CREATED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 

@@ -5,8 +5,17 @@ import json
 
 import pytest
 from conftest import messages
-
-from chirpstat.functions.parse import encode_json, flatten_metrics, parse_tweets, prune_schema
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from chirpstat.functions.parse import (
+    created_at_timestamp,
+    encode_json,
+    flatten_metrics,
+    parse_tweets,
+    prune_schema,
+)
 from chirpstat.functions.schema import TWEET_SCHEMA
 
 FULL = {
@@ -88,6 +97,9 @@ def test_duplicate_key_last_wins(spark):
         "2024-01-01T24:00:00Z",
         "2024-1-1T00:00:00Z",
         "2024-01-01T00:00:00+03:00",
+        "2024-01-01T00:00:00Z\n",
+        " 2024-01-01T00:00:00Z",
+        "2024-01-01T23:59:60Z",
         "",
         None,
     ],
@@ -142,3 +154,29 @@ def test_encode_then_parse_round_trip(spark):
     assert sorted(map(tuple, flatten_metrics(first).collect()), key=str) == sorted(
         map(tuple, flatten_metrics(again).collect()), key=str
     )
+
+
+_piece = st.sampled_from(["2024", "1999", "0000", "99", "-", "T", " ", ":", "Z", "z", "00", "01", "12", "13", "23",
+                          "24", "29", "30", "31", "59", "60", "61", ".5", "+03:00", "\n", "1"])
+_candidates = st.one_of(
+    st.lists(_piece, min_size=1, max_size=12).map("".join),
+    st.builds(
+        lambda y, mo, d, h, mi, s: f"{y:04d}-{mo:02d}-{d:02d}T{h:02d}:{mi:02d}:{s:02d}Z",
+        st.integers(1, 9999), st.integers(0, 13), st.integers(0, 32),
+        st.integers(0, 25), st.integers(0, 61), st.integers(0, 61),
+    ),
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_candidates, min_size=50, max_size=200))
+def test_created_at_rule_agrees_with_datetime_pattern(spark, texts):
+    """Null exactly where the `yyyy-MM-dd'T'HH:mm:ss'Z'` pattern is null; same wall clock otherwise."""
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    got = df.select(
+        F.col("c"),
+        created_at_timestamp("c").cast("string").alias("mine"),
+        F.try_to_timestamp(F.col("c"), F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).cast("timestamp_ntz").cast("string").alias("ref"),
+    ).collect()
+    bad = [(r.c, r.mine, r.ref) for r in got if r.mine != r.ref]
+    assert not bad, bad[:5]
