@@ -33,16 +33,30 @@ def _author_order() -> list[Column]:
     return [F.col(k).asc_nulls_last() for k in AUTHOR_KEYS]
 
 
-def top_tweeters(df: DataFrame) -> DataFrame:
+def top_tweeters_order() -> list[Column]:
+    return [F.col(TWEET_COUNT).desc(), *_author_order()]
+
+
+def famous_order() -> list[Column]:
+    return [F.col(MAX_FOLLOWERS).desc_nulls_last(), *_author_order()]
+
+
+def low_follower_order() -> list[Column]:
+    return [F.col(MAX_FOLLOWERS).asc_nulls_last(), *_author_order()]
+
+
+def daily_order() -> list[Column]:
+    return [F.col(DAY).desc_nulls_last()]
+
+
+def top_tweeters(df: DataFrame, sort: bool = True) -> DataFrame:
     """Tweets per author, most active first.
 
     Columns: author_id, author_username, tweet_sayisi (= count of non-null ids).
+    `sort=False` leaves the order to the reader (a table sink, a stream).
     """
-    return (
-        df.groupBy(*AUTHOR_KEYS)
-        .agg(F.count("id").alias(TWEET_COUNT))
-        .orderBy(F.col(TWEET_COUNT).desc(), *_author_order())
-    )
+    counts = df.groupBy(*AUTHOR_KEYS).agg(F.count("id").alias(TWEET_COUNT))
+    return counts.orderBy(*top_tweeters_order()) if sort else counts
 
 
 def famous_top_tweeters(df: DataFrame) -> DataFrame:
@@ -56,7 +70,7 @@ def famous_top_tweeters(df: DataFrame) -> DataFrame:
             F.max("follower_count").alias(MAX_FOLLOWERS),
             F.count("id").alias(TWEET_COUNT),
         )
-        .orderBy(F.col(MAX_FOLLOWERS).desc_nulls_last(), *_author_order())
+        .orderBy(*famous_order())
     )
 
 
@@ -89,23 +103,21 @@ def low_follower_activity(df: DataFrame, point: int = LOW_FOLLOWER_POINT) -> Dat
             F.max("follower_count").alias(MAX_FOLLOWERS),
             F.count("id").alias(TWEET_COUNT),
         )
-        .orderBy(F.col(MAX_FOLLOWERS).asc_nulls_last(), *_author_order())
+        .orderBy(*low_follower_order())
     )
 
 
-def daily_trends(df: DataFrame) -> DataFrame:
+def daily_trends(df: DataFrame, sort: bool = True) -> DataFrame:
     """Per day: all tweets (`count(*)`) and the sum of their retweets, newest day first.
 
     Rows with no parsable `created_at` form one null day, listed last.
+    `sort=False` leaves the order to the reader (a table sink, a stream).
     """
-    return (
-        df.groupBy(day_of("created_at").alias(DAY))
-        .agg(
-            F.count(F.lit(1)).alias(DAY_TWEETS),
-            F.sum(F.col("public_metrics.retweet_count")).alias(DAY_RETWEETS),
-        )
-        .orderBy(F.col(DAY).desc_nulls_last())
+    totals = df.groupBy(day_of("created_at").alias(DAY)).agg(
+        F.count(F.lit(1)).alias(DAY_TWEETS),
+        F.sum(F.col("public_metrics.retweet_count")).alias(DAY_RETWEETS),
     )
+    return totals.orderBy(*daily_order()) if sort else totals
 
 
 def top_n(sorted_df: DataFrame, n: int = 10) -> DataFrame:
@@ -144,15 +156,11 @@ def author_stats(
 
 
 def top_tweeters_from_stats(stats: DataFrame) -> DataFrame:
-    return stats.select(*AUTHOR_KEYS, TWEET_COUNT).orderBy(
-        F.col(TWEET_COUNT).desc(), *_author_order()
-    )
+    return stats.select(*AUTHOR_KEYS, TWEET_COUNT).orderBy(*top_tweeters_order())
 
 
 def famous_top_tweeters_from_stats(stats: DataFrame) -> DataFrame:
-    return stats.select(*AUTHOR_KEYS, MAX_FOLLOWERS, TWEET_COUNT).orderBy(
-        F.col(MAX_FOLLOWERS).desc_nulls_last(), *_author_order()
-    )
+    return stats.select(*AUTHOR_KEYS, MAX_FOLLOWERS, TWEET_COUNT).orderBy(*famous_order())
 
 
 def low_follower_activity_from_stats(stats: DataFrame) -> DataFrame:
@@ -163,7 +171,7 @@ def low_follower_activity_from_stats(stats: DataFrame) -> DataFrame:
             F.col("low_max_followers").alias(MAX_FOLLOWERS),
             F.col("low_tweets").alias(TWEET_COUNT),
         )
-        .orderBy(F.col(MAX_FOLLOWERS).asc_nulls_last(), *_author_order())
+        .orderBy(*low_follower_order())
     )
 
 

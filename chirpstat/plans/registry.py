@@ -137,11 +137,13 @@ def _job(result: str) -> Query:
 
 
 def q_top_tweeters_stream(spark, sf_dir):
-    return S.run_complete(spark, S.top_tweeters_stream(read_event_messages_stream(spark, sf_dir)), "top_tweeters_stream")
+    stream = S.top_tweeters_stream(read_event_messages_stream(spark, sf_dir))
+    return S.run_complete(spark, stream, "top_tweeters_stream", order=A.top_tweeters_order())
 
 
 def q_daily_trend_stream(spark, sf_dir):
-    return S.run_complete(spark, S.daily_trend_stream(read_event_messages_stream(spark, sf_dir)), "daily_trend_stream")
+    stream = S.daily_trend_stream(read_event_messages_stream(spark, sf_dir))
+    return S.run_complete(spark, stream, "daily_trend_stream", order=A.daily_order())
 
 
 QUERIES: dict[str, Query] = {
