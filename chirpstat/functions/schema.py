@@ -60,6 +60,14 @@ DAY_TWEETS = "toplam_tweet_sayisi"
 DAY_RETWEETS = "toplam_retweet_sayisi"
 AUTHOR_KEYS = ("author_id", "author_username")
 
+# Tweet fields each result reads; `parse_tweets(fields=...)` parses only these.
+AUTHOR_FIELDS = ("id", "author_id", "author_username")
+FOLLOWER_FIELDS = AUTHOR_FIELDS + ("follower_count",)
+FAME_FIELDS = ("id", "follower_count")
+DAILY_FIELDS = ("created_at", "public_metrics.retweet_count")
+TIMELINE_FIELDS = ("id", "created_at", "text", "author_username")
+SEARCH_FIELDS = ("id", "created_at", "text", "lang")
+
 # --- Fixed values: defaults of the analyses ----------------------------------
 FAME_POINT = 100000
 LOW_FOLLOWER_POINT = 100

@@ -22,7 +22,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from chirpstat.functions.parse import parse_tweets
-from chirpstat.functions.schema import FAME_POINT, LOW_FOLLOWER_POINT, USER_ANALYSIS_TARGETS
+from chirpstat.functions.schema import (
+    DAILY_FIELDS,
+    FAME_POINT,
+    LOW_FOLLOWER_POINT,
+    USER_ANALYSIS_TARGETS,
+)
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
 from chirpstat.session import cached, land
@@ -30,8 +35,6 @@ from chirpstat.sources.io import Sink, write_result
 
 LOG = logging.getLogger(__name__)
 
-DAILY_FIELDS = ("created_at", "public_metrics.retweet_count")
-
 
 @dataclass
 class UserAnalysis:

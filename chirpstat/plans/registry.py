@@ -14,6 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirpstat.functions.parse import encode_json, flatten_metrics, parse_tweets
+from chirpstat.functions.schema import (
+    AUTHOR_FIELDS,
+    FAME_FIELDS,
+    FOLLOWER_FIELDS,
+    SEARCH_FIELDS,
+    TIMELINE_FIELDS,
+)
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
 from chirpstat.operators.select import text_search, user_timeline
@@ -39,14 +46,6 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_event_messages(spark, sf_dir)
 
 
-# Fields each result reads; the JSON parse builds values for these only.
-AUTHOR_FIELDS = ("id", "author_id", "author_username")
-FOLLOWER_FIELDS = AUTHOR_FIELDS + ("follower_count",)
-FAME_FIELDS = ("id", "follower_count")
-TIMELINE_FIELDS = ("id", "created_at", "text", "author_username")
-SEARCH_FIELDS = ("id", "created_at", "text", "lang")
-
-
 def _tweets(spark: SparkSession, sf_dir: str, fields=None) -> DataFrame:
     return parse_tweets(_raw(spark, sf_dir), fields=fields)
 

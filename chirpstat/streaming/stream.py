@@ -17,13 +17,10 @@ from chirpstat.functions.parse import parse_tweets
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import valid_tweets
 from chirpstat.session import path_exists, scratch_path
+from chirpstat.functions.schema import AUTHOR_FIELDS, DAILY_FIELDS
 from chirpstat.sources.io import kafka_write_options, to_messages
 
 
-DAILY_FIELDS = ("created_at", "public_metrics.retweet_count")
-AUTHOR_FIELDS = ("id", "author_id", "author_username")
-
-
 def daily_trend_stream(raw_stream: DataFrame) -> DataFrame:
     """Streaming daily totals (complete mode), unordered: see `run_complete`."""
     return A.daily_trends(parse_tweets(raw_stream, fields=DAILY_FIELDS), sort=False)
