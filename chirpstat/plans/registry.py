@@ -135,14 +135,23 @@ def _job(result: str) -> Query:
     return run
 
 
+def _cores(spark: SparkSession) -> int:
+    """One state partition per core of the cluster (the state is one row per key)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def q_top_tweeters_stream(spark, sf_dir):
     stream = S.top_tweeters_stream(read_event_messages_stream(spark, sf_dir))
-    return S.run_complete(spark, stream, "top_tweeters_stream", order=A.top_tweeters_order())
+    return S.run_complete(
+        spark, stream, "top_tweeters_stream", order=A.top_tweeters_order(), state_partitions=_cores(spark)
+    )
 
 
 def q_daily_trend_stream(spark, sf_dir):
     stream = S.daily_trend_stream(read_event_messages_stream(spark, sf_dir))
-    return S.run_complete(spark, stream, "daily_trend_stream", order=A.daily_order())
+    return S.run_complete(
+        spark, stream, "daily_trend_stream", order=A.daily_order(), state_partitions=_cores(spark)
+    )
 
 
 QUERIES: dict[str, Query] = {

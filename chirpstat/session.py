@@ -76,3 +76,17 @@ def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) ->
         yield df
     finally:
         df.unpersist()
+
+
+@contextmanager
+def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Set one runtime SQL setting for the block, then put the old value back."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

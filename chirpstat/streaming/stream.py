@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chirpstat.functions.parse import parse_tweets
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import valid_tweets
-from chirpstat.session import path_exists, scratch_path
+from chirpstat.session import path_exists, scratch_path, session_conf
 from chirpstat.functions.schema import AUTHOR_FIELDS, DAILY_FIELDS
 from chirpstat.sources.io import kafka_write_options, to_messages
 
@@ -38,6 +38,7 @@ def run_complete(
     checkpoint: str | None = None,
     target: str | None = None,
     order: list | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Run a complete-mode aggregate over everything available now, then stop.
 
@@ -50,6 +51,12 @@ def run_complete(
     samples the stateful plan for its range bounds and roughly doubles the
     batch time, while a table sink keeps no order anyway. The order is
     applied to the (small, per-day or per-author) table when it is read.
+
+    `state_partitions` sets how many state-store partitions a new query gets.
+    A stateful stream takes that number from `spark.sql.shuffle.partitions`
+    when it first starts and keeps it in its checkpoint for good (AQE does not
+    resize state), so it is set only while the query starts; a restarted
+    query keeps its original count.
     """
     checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
     target = target or scratch_path(spark, f"{name}-result")
@@ -57,13 +64,17 @@ def run_complete(
     def write_batch(batch: DataFrame, _batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(target)
 
-    query = (
+    writer = (
         result_stream.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write_batch)
         .trigger(availableNow=True)
-        .start()
     )
+    if state_partitions:
+        with session_conf(spark, "spark.sql.shuffle.partitions", str(state_partitions)):
+            query = writer.start()
+    else:
+        query = writer.start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

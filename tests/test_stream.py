@@ -43,3 +43,12 @@ def test_dual_path_archives_and_republishes_every_message(spark, scratch):
     want = sorted_rows(raw)
     assert sorted_rows(spark.read.parquet(archive)) == want
     assert sorted_rows(spark.read.parquet(publish)) == want
+
+
+def test_state_partitions_apply_to_a_new_query_only(spark, scratch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    ck, out = os.path.join(scratch, "ck"), os.path.join(scratch, "out")
+    got = S.run_complete(spark, S.daily_trend_stream(_stream(spark)), "d", ck, out, state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert sorted(os.listdir(os.path.join(ck, "state", "0"))) == ["0", "1", "2", "_metadata"]
+    assert sorted_rows(got) == sorted_rows(A.daily_trends(parse_tweets(read_event_messages(spark, SF))))
