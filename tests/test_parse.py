@@ -180,3 +180,28 @@ def test_created_at_rule_agrees_with_datetime_pattern(spark, texts):
     ).collect()
     bad = [(r.c, r.mine, r.ref) for r in got if r.mine != r.ref]
     assert not bad, bad[:5]
+
+
+@pytest.fixture(params=["true", "false"])
+def ansi(request, spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_contract_holds_with_ansi_on_and_off(spark, ansi):
+    texts = [
+        json.dumps(FULL),
+        "not json",
+        '{"id":"2","follower_count":"x","public_metrics":{"retweet_count":3}}',
+        '{"id":3,"follower_count":5000000000}',
+        '{"id":"5","created_at":"2024-02-30T00:00:00Z"}',
+        '{"id":"6","created_at":"2024-01-01T00:00:00+03:00"}',
+    ]
+    rows = parse_tweets(messages(spark, texts)).collect()
+    assert rows[0].created_at == dt.datetime(2024, 1, 1, 23, 30) and rows[0].follower_count == 150000
+    assert all(v is None for v in rows[1])
+    assert rows[2].follower_count is None and rows[2].public_metrics.retweet_count == 3
+    assert rows[3].id == "3" and rows[3].follower_count is None
+    assert rows[4].created_at is None and rows[5].created_at is None
