@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chirpstat.functions.schema import FAME_POINT, LOW_FOLLOWER_POINT
 from chirpstat.operators.analyses import top_n
 from chirpstat.plans.jobs import plan_daily_trend, plan_user_analysis
-from chirpstat.session import cached
+from chirpstat.session import cached, remove_path
 from chirpstat.sources.io import Sink, mongo_sink, read_messages, read_topic, write_result
 
 LOG = logging.getLogger("chirpstat")
@@ -44,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
         if name == "user-analysis":
             s.add_argument("--fame-point", type=int, default=FAME_POINT)
             s.add_argument("--low-point", type=int, default=LOW_FOLLOWER_POINT)
+            s.add_argument("--keep-snapshot", action="store_true", help="keep the landed tweets and author table")
         else:
             s.add_argument("--drop-invalid", action="store_true")
     return p
@@ -80,6 +81,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 top_n(df, args.preview).show(truncate=False)
             if sink is not None:
                 write_result(df, name, sink)
+        if not args.keep_snapshot:
+            for path in plan.snapshot_paths:
+                remove_path(spark, path)
         return 0
 
     result = plan_daily_trend(spark, raw, drop_invalid=args.drop_invalid)

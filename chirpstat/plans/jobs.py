@@ -30,7 +30,7 @@ from chirpstat.functions.schema import (
 )
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
-from chirpstat.session import cached, land
+from chirpstat.session import cached, land, remove_path, scratch_path
 from chirpstat.sources.io import Sink, write_result
 
 LOG = logging.getLogger(__name__)
@@ -44,6 +44,7 @@ class UserAnalysis:
     fame_distribution: DataFrame
     low_follower_activity: DataFrame
     counts: DataFrame
+    snapshot_paths: tuple[str, ...] = ()
 
     def by_target(self) -> dict[str, DataFrame]:
         return dict(
@@ -73,13 +74,16 @@ def plan_user_analysis(
     written to the shared folder first (two jobs); every result is then a
     cheap plan over those files.
     """
+    paths: tuple[str, ...] = ()
     tweets = parse_tweets(raw)
     if snapshot:
-        tweets = land(tweets, spark, "tweets")
+        paths += (scratch_path(spark, "tweets"),)
+        tweets = land(tweets, spark, "tweets", paths[-1])
     valid = valid_tweets(tweets)
     stats = A.author_stats(valid, fame_point, low_point)
     if snapshot:
-        stats = land(stats, spark, "author_stats")
+        paths += (scratch_path(spark, "author_stats"),)
+        stats = land(stats, spark, "author_stats", paths[-1])
     return UserAnalysis(
         top_tweeters=A.top_tweeters_from_stats(stats),
         famous_top_tweeters=A.famous_top_tweeters_from_stats(stats),
@@ -87,6 +91,7 @@ def plan_user_analysis(
         fame_distribution=A.fame_distribution_from_stats(stats),
         low_follower_activity=A.low_follower_activity_from_stats(stats),
         counts=count_invalid(tweets),
+        snapshot_paths=paths,
     )
 
 
@@ -96,13 +101,23 @@ def run_user_analysis(
     sink: Sink,
     fame_point: int = FAME_POINT,
     low_point: int = LOW_FOLLOWER_POINT,
+    keep_snapshot: bool = False,
 ) -> dict[str, bool]:
-    """Plan, then write each of the five results; a failing write fails the job."""
+    """Plan, then write each of the five results; a failing write fails the job.
+
+    The landed snapshot and per-author table are removed from the shared
+    folder once every result is written (kept on failure for inspection, or
+    always with `keep_snapshot=True`).
+    """
     plan = plan_user_analysis(spark, raw, fame_point, low_point)
     counts = plan.counts.first()
     if counts is not None and counts["invalid"]:
         LOG.info("%d of %d records have no id and were left out", counts["invalid"], counts["total"])
-    return {name: write_result(df, name, sink) for name, df in plan.by_target().items()}
+    written = {name: write_result(df, name, sink) for name, df in plan.by_target().items()}
+    if not keep_snapshot:
+        for path in plan.snapshot_paths:
+            remove_path(spark, path)
+    return written
 
 
 def plan_daily_trend(

@@ -51,14 +51,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
-def land(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder written by this library (recursively), on any file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def land(df: DataFrame, spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back.
 
     This cuts the lineage (a lost executor re-reads the files instead of
     re-running the source) and turns row-shaped input into a columnar table,
     so later queries get column pruning and filter pushdown.
     """
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -16,9 +16,15 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_user_analysis_writes_five_results(spark, scratch):
+    from chirpstat.session import checkpoint_root
+
     raw = read_event_messages(spark, SF)
+    job_dir = os.path.join(checkpoint_root(spark).removeprefix("file:"), "chirpstat")
+    before = set(os.listdir(job_dir)) if os.path.isdir(job_dir) else set()
     written = run_user_analysis(spark, raw, Sink(base=scratch))
     assert list(written) == list(USER_ANALYSIS_TARGETS) and all(written.values())
+    # The snapshot and the per-author table are removed once the results are written.
+    assert set(os.listdir(job_dir)) == before
     valid = valid_tweets(parse_tweets(raw))
     expect = {
         "top_tweeters": A.top_tweeters(valid),
