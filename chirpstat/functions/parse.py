@@ -32,8 +32,9 @@ def message_text(value: str | Column = "value") -> Column:
 def parse_json(value: str | Column = "value", schema: StructType = TWEET_SCHEMA) -> Column:
     """Permissive JSON parse against a declared schema.
 
-    Text that is not a JSON object gives a struct of nulls; a field of the wrong
-    type gives a null field and keeps the others.
+    Text that is not a JSON object gives a struct of nulls (a null message
+    gives a null struct); a field of the wrong type gives a null field and
+    keeps the others. Errors never stop the job.
     """
     return F.from_json(message_text(value), schema)
 
