@@ -37,13 +37,17 @@ def text_search(
     exclude_retweets: bool = True,
     n: int = 10,
     columns: tuple[str, ...] = SELECT_COLUMNS,
+    ignore_case: bool = False,
 ) -> DataFrame:
-    """Newest n tweets whose text contains `phrase` (case-sensitive).
+    """Newest n tweets whose text contains `phrase` (case-sensitive by default).
 
     `lang` keeps one language; `exclude_retweets` drops texts that start with
-    the retweet prefix.
+    the retweet prefix; `ignore_case` matches the phrase in any letter case.
     """
-    cond = F.col("text").contains(F.lit(phrase))
+    if ignore_case:
+        cond = F.lower(F.col("text")).contains(F.lit(phrase.lower()))
+    else:
+        cond = F.col("text").contains(F.lit(phrase))
     if lang is not None:
         cond = cond & (F.col("lang") == F.lit(lang))
     if exclude_retweets:

@@ -33,6 +33,7 @@ def test_search_phrase_lang_and_retweets(spark):
     assert [r.id for r in text_search(df, "big data", "tr").collect()] == ["1"]
     assert sorted(r.id for r in text_search(df, "big data", "tr", exclude_retweets=False).collect()) == ["1", "2"]
     assert sorted(r.id for r in text_search(df, "big data", None).collect()) == ["1", "4"]
+    assert sorted(r.id for r in text_search(df, "BIG data", "tr", ignore_case=True).collect()) == ["1", "3"]
 
 
 def test_selection_columns(spark):
