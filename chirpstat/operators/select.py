@@ -45,7 +45,7 @@ def text_search(
     the retweet prefix; `ignore_case` matches the phrase in any letter case.
     """
     if ignore_case:
-        cond = F.lower(F.col("text")).contains(F.lit(phrase.lower()))
+        cond = F.lower(F.col("text")).contains(F.lower(F.lit(phrase)))
     else:
         cond = F.col("text").contains(F.lit(phrase))
     if lang is not None:
