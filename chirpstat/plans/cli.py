@@ -4,6 +4,10 @@
         user-analysis raw-tweets-stream --bootstrap-servers broker:9092 --mongo-db social_media_db
     spark-submit --py-files chirpstat.zip chirpstat/plans/cli.py \
         daily-trend raw-tweets-stream --bootstrap-servers broker:9092
+    spark-submit ... cli.py stream-daily-trend raw-tweets-stream --bootstrap-servers broker:9092 \
+        --checkpoint /shared/ck/daily --sink-base /shared/results --trigger-seconds 60
+    spark-submit ... cli.py dual-path raw-tweets-stream --bootstrap-servers broker:9092 \
+        --checkpoint /shared/ck/dual --archive-path /shared/archive --publish-topic tweets-copy
 
 `--input-path` reads landed message files instead of a broker; `--sink-base`
 writes Parquet results instead of collections. The session (master, packages,
@@ -18,11 +22,12 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chirpstat.functions.schema import FAME_POINT, LOW_FOLLOWER_POINT
+from chirpstat.functions.schema import FAME_POINT, LOW_FOLLOWER_POINT, RAW_MESSAGE_SCHEMA
 from chirpstat.operators.analyses import top_n
 from chirpstat.plans.jobs import plan_daily_trend, plan_user_analysis
 from chirpstat.session import cached, remove_path
-from chirpstat.sources.io import Sink, mongo_sink, read_messages, read_topic, write_result
+from chirpstat.sources.io import Sink, mongo_sink, read_messages, read_topic, read_topic_stream, write_result
+from chirpstat.streaming import stream as S
 
 LOG = logging.getLogger("chirpstat")
 
@@ -47,9 +52,56 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--keep-snapshot", action="store_true", help="keep the landed tweets and author table")
         else:
             s.add_argument("--drop-invalid", action="store_true")
+    for name in ("stream-daily-trend", "stream-top-tweeters", "dual-path"):
+        s = sub.add_parser(name)
+        s.add_argument("topic")
+        src = s.add_mutually_exclusive_group(required=True)
+        src.add_argument("--bootstrap-servers")
+        src.add_argument("--input-path", help="folder of message files (Parquet with a `value` column)")
+        s.add_argument("--checkpoint", required=True, help="shared folder for this query's checkpoint")
+        when = s.add_mutually_exclusive_group()
+        when.add_argument("--trigger-seconds", type=int, default=60)
+        when.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+        if name == "dual-path":
+            s.add_argument("--archive-path", required=True)
+            out = s.add_mutually_exclusive_group(required=True)
+            out.add_argument("--publish-topic")
+            out.add_argument("--publish-path", help="folder standing in for the output topic")
+        else:
+            s.add_argument("--sink-base", required=True)
+            s.add_argument("--state-partitions", type=int)
     return p
 
 
+def _raw_stream(spark: SparkSession, args) -> DataFrame:
+    if args.input_path:
+        return spark.readStream.schema(RAW_MESSAGE_SCHEMA).parquet(args.input_path)
+    return read_topic_stream(spark, args.bootstrap_servers, args.topic)
+
+
+def _run_stream(spark: SparkSession, args) -> int:
+    trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
+    raw = _raw_stream(spark, args)
+    if args.job == "dual-path":
+        queries = S.start_dual_path(
+            raw, args.archive_path, args.checkpoint, bootstrap_servers=args.bootstrap_servers,
+            topic=args.publish_topic, publish_path=args.publish_path, **trigger,
+        )
+    else:
+        if args.job == "stream-daily-trend":
+            result, name = S.daily_trend_stream(raw), "daily_trend"
+        else:
+            result, name = S.top_tweeters_stream(raw), "top_tweeters"
+        target = f"{args.sink_base.rstrip('/')}/{name}"
+        queries = (S.start_complete(spark, result, target, args.checkpoint, args.state_partitions, **trigger),)
+    for q in queries:
+        q.awaitTermination()
+    failed = [q.exception() for q in queries if q.exception() is not None]
+    if failed:
+        raise failed[0]
+    return 0
+
+
 def _raw(spark: SparkSession, args) -> DataFrame:
     if args.input_path:
         return read_messages(spark, args.input_path)
@@ -69,6 +121,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = _parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     spark = spark or SparkSession.builder.appName(f"chirpstat-{args.job}").getOrCreate()
+    if args.job in ("stream-daily-trend", "stream-top-tweeters", "dual-path"):
+        return _run_stream(spark, args)
     raw = _raw(spark, args)
     sink = _sink(args)
 

@@ -31,26 +31,23 @@ def top_tweeters_stream(raw_stream: DataFrame) -> DataFrame:
     return A.top_tweeters(valid_tweets(parse_tweets(raw_stream, fields=AUTHOR_FIELDS)), sort=False)
 
 
-def run_complete(
+def start_complete(
     spark: SparkSession,
     result_stream: DataFrame,
-    name: str,
-    checkpoint: str | None = None,
-    target: str | None = None,
-    order: list | None = None,
+    target: str,
+    checkpoint: str,
     state_partitions: int | None = None,
-) -> DataFrame:
-    """Run a complete-mode aggregate over everything available now, then stop.
+    fmt: str = "parquet",
+    **trigger,
+) -> StreamingQuery:
+    """Start a complete-mode aggregate whose every micro-batch replaces `target`.
 
-    Each micro-batch's full result replaces the table at `target` (Parquet in
-    the shared folder), so a retried batch rewrites the same result and no row
-    is carried through the driver. Returns the table as a batch DataFrame,
-    sorted by `order` when given.
-
-    The stream itself is not sorted: a global sort inside a micro-batch
-    samples the stateful plan for its range bounds and roughly doubles the
-    batch time, while a table sink keeps no order anyway. The order is
-    applied to the (small, per-day or per-author) table when it is read.
+    Each batch's full result overwrites the table, so a retried batch rewrites
+    the same result and no row is carried through the driver. With a plain
+    file format a reader may briefly see the folder being replaced; a table
+    format with atomic overwrite (`fmt="delta"`, if installed) avoids that.
+    `trigger` is passed to `DataStreamWriter.trigger` (e.g. processingTime=
+    "1 minute", or availableNow=True).
 
     `state_partitions` sets how many state-store partitions a new query gets.
     A stateful stream takes that number from `spark.sql.shuffle.partitions`
@@ -58,23 +55,45 @@ def run_complete(
     resize state), so it is set only while the query starts; a restarted
     query keeps its original count.
     """
-    checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
-    target = target or scratch_path(spark, f"{name}-result")
 
     def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+        batch.write.format(fmt).mode("overwrite").save(target)
 
     writer = (
         result_stream.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write_batch)
-        .trigger(availableNow=True)
     )
+    if trigger:
+        writer = writer.trigger(**trigger)
     if state_partitions:
         with session_conf(spark, "spark.sql.shuffle.partitions", str(state_partitions)):
-            query = writer.start()
-    else:
-        query = writer.start()
+            return writer.start()
+    return writer.start()
+
+
+def run_complete(
+    spark: SparkSession,
+    result_stream: DataFrame,
+    name: str,
+    checkpoint: str | None = None,
+    target: str | None = None,
+    order: list | None = None,
+    state_partitions: int | None = None,
+) -> DataFrame:
+    """Run a complete-mode aggregate over everything available now, then stop.
+
+    Returns the result table (Parquet in the shared folder) as a batch
+    DataFrame, sorted by `order` when given; see `start_complete`.
+
+    The stream itself is not sorted: a global sort inside a micro-batch
+    samples the stateful plan for its range bounds and roughly doubles the
+    batch time, while a table sink keeps no order anyway. The order is
+    applied to the (small, per-day or per-author) table when it is read.
+    """
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
+    target = target or scratch_path(spark, f"{name}-result")
+    query = start_complete(spark, result_stream, target, checkpoint, state_partitions, availableNow=True)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

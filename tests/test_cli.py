@@ -28,3 +28,27 @@ def test_daily_trend_cli(spark, scratch):
 def test_cli_requires_a_source():
     with pytest.raises(SystemExit):
         cli.main(["daily-trend", "t"])
+
+
+def test_stream_daily_trend_cli_equals_batch(spark, scratch):
+    from tests_util import sorted_rows
+
+    from chirpstat.functions.parse import parse_tweets
+    from chirpstat.operators.analyses import daily_trends
+    from chirpstat.sources.fixtures import read_event_messages
+
+    topic = event_topic(spark, SF)
+    args = ["stream-daily-trend", "t", "--input-path", topic, "--checkpoint", os.path.join(scratch, "ck"),
+            "--sink-base", scratch, "--available-now", "--state-partitions", "4"]
+    assert cli.main(args, spark) == 0
+    got = spark.read.parquet(os.path.join(scratch, "daily_trend"))
+    assert sorted_rows(got) == sorted_rows(daily_trends(parse_tweets(read_event_messages(spark, SF))))
+
+
+def test_dual_path_cli(spark, scratch):
+    topic = event_topic(spark, SF)
+    args = ["dual-path", "t", "--input-path", topic, "--checkpoint", os.path.join(scratch, "ck"),
+            "--archive-path", os.path.join(scratch, "a"), "--publish-path", os.path.join(scratch, "p"), "--available-now"]
+    assert cli.main(args, spark) == 0
+    assert spark.read.parquet(os.path.join(scratch, "a")).count() == 1000
+    assert spark.read.parquet(os.path.join(scratch, "p")).count() == 1000
