@@ -67,6 +67,7 @@ def _parser() -> argparse.ArgumentParser:
             out = s.add_mutually_exclusive_group(required=True)
             out.add_argument("--publish-topic")
             out.add_argument("--publish-path", help="folder standing in for the output topic")
+            s.add_argument("--publish-servers", help="brokers of the output topic (default: --bootstrap-servers)")
         else:
             s.add_argument("--sink-base", required=True)
             s.add_argument("--state-partitions", type=int)
@@ -83,8 +84,11 @@ def _run_stream(spark: SparkSession, args) -> int:
     trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
     raw = _raw_stream(spark, args)
     if args.job == "dual-path":
+        servers = args.publish_servers or args.bootstrap_servers
+        if args.publish_topic and not servers:
+            raise SystemExit("--publish-topic needs --publish-servers or --bootstrap-servers")
         queries = S.start_dual_path(
-            raw, args.archive_path, args.checkpoint, bootstrap_servers=args.bootstrap_servers,
+            raw, args.archive_path, args.checkpoint, bootstrap_servers=servers,
             topic=args.publish_topic, publish_path=args.publish_path, **trigger,
         )
     else:
@@ -94,8 +98,17 @@ def _run_stream(spark: SparkSession, args) -> int:
             result, name = S.top_tweeters_stream(raw), "top_tweeters"
         target = f"{args.sink_base.rstrip('/')}/{name}"
         queries = (S.start_complete(spark, result, target, args.checkpoint, args.state_partitions, **trigger),)
-    for q in queries:
-        q.awaitTermination()
+    if args.available_now:
+        for q in queries:
+            q.awaitTermination()
+    else:
+        # Runs until a query stops or fails; then the others are stopped too.
+        try:
+            spark.streams.awaitAnyTermination()
+        finally:
+            for q in queries:
+                if q.isActive:
+                    q.stop()
     failed = [q.exception() for q in queries if q.exception() is not None]
     if failed:
         raise failed[0]

@@ -52,3 +52,11 @@ def test_dual_path_cli(spark, scratch):
     assert cli.main(args, spark) == 0
     assert spark.read.parquet(os.path.join(scratch, "a")).count() == 1000
     assert spark.read.parquet(os.path.join(scratch, "p")).count() == 1000
+
+
+def test_dual_path_topic_needs_brokers(spark, scratch):
+    topic = event_topic(spark, SF)
+    args = ["dual-path", "t", "--input-path", topic, "--checkpoint", os.path.join(scratch, "ck"),
+            "--archive-path", os.path.join(scratch, "a"), "--publish-topic", "copy", "--available-now"]
+    with pytest.raises(SystemExit):
+        cli.main(args, spark)
