@@ -42,14 +42,23 @@ def kafka_read_options(
     return opts
 
 
+def _spread(spark: SparkSession, opts: dict[str, str]) -> dict[str, str]:
+    """At least one input task per core: the Kafka source splits large
+    partition offset ranges so the JSON parse uses the whole cluster even
+    when the topic has few partitions (`minPartitions` given by the caller wins)."""
+    opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+    return opts
+
+
 def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str, **kwargs) -> DataFrame:
-    """Batch read of a topic (one input task per topic partition and offset range)."""
-    return spark.read.format("kafka").options(**kafka_read_options(bootstrap_servers, topic, **kwargs)).load()
+    """Batch read of a topic, from `starting_offsets` to the offsets current at planning."""
+    opts = _spread(spark, kafka_read_options(bootstrap_servers, topic, **kwargs))
+    return spark.read.format("kafka").options(**opts).load()
 
 
 def read_topic_stream(spark: SparkSession, bootstrap_servers: str, topic: str, **kwargs) -> DataFrame:
     """Streaming read of a topic; `endingOffsets` does not apply to streams."""
-    opts = kafka_read_options(bootstrap_servers, topic, **kwargs)
+    opts = _spread(spark, kafka_read_options(bootstrap_servers, topic, **kwargs))
     opts.pop("endingOffsets", None)
     return spark.readStream.format("kafka").options(**opts).load()
 
