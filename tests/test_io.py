@@ -82,3 +82,10 @@ def test_archive_to_document_store_fails_loudly_without_connector(spark):
     raw = messages(spark, ['{"id":"1"}'])
     with pytest.raises(Exception):
         io.archive_raw(raw, "raw_tweets", fmt="mongodb", database="social_media_db")
+
+
+def test_topic_scan_spreads_over_cores_unless_told(spark):
+    opts = io._spread(spark, io.kafka_read_options("h:1", "t"))
+    assert opts["minPartitions"] == str(spark.sparkContext.defaultParallelism)
+    opts = io._spread(spark, io.kafka_read_options("h:1", "t", extra={"minPartitions": "7"}))
+    assert opts["minPartitions"] == "7"
