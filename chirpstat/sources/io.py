@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.functions.parse import encode_json, parse_json
+from chirpstat.functions.parse import encode_json, parse_json, prune_schema
 from chirpstat.functions.schema import TWEET_SCHEMA
 
 LOG = logging.getLogger(__name__)
@@ -147,8 +147,12 @@ def dedupe_by_id(raw: DataFrame, schema=TWEET_SCHEMA) -> DataFrame:
 
     dropDuplicates is an aggregate with a map-side partial step, so an id
     repeated a million times collapses inside each task before the shuffle.
+    The id comes out of a generator (as in `parse_tweets`) so the filters on
+    it are not pushed below the parse: one id parse per message and branch.
+    Id-less messages skip the shuffle entirely.
     """
-    keyed = raw.withColumn("_id", parse_json("value", schema).getField("id"))
+    id_only = prune_schema(schema, ["id"])
+    keyed = raw.select("*", F.inline(F.array(parse_json("value", id_only))).alias("_id"))
     with_id = keyed.filter(F.col("_id").isNotNull()).dropDuplicates(["_id"])
     without_id = keyed.filter(F.col("_id").isNull())
     return with_id.unionByName(without_id).drop("_id")
