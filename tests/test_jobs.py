@@ -78,3 +78,11 @@ def test_daily_trend_job_empty_input_keeps_previous(spark, scratch):
     run_daily_trend(spark, raw.limit(0), Sink(base=scratch))
     assert spark.read.parquet(os.path.join(scratch, "daily_trend")).count() == 30
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_failing_sink_fails_the_job(spark, scratch):
+    import pytest
+
+    raw = read_event_messages(spark, SF)
+    with pytest.raises(Exception):
+        run_user_analysis(spark, raw, Sink(fmt="no_such_format_xyz", base=scratch))
