@@ -120,6 +120,33 @@ def daily_trends(df: DataFrame, sort: bool = True) -> DataFrame:
     return totals.orderBy(*daily_order()) if sort else totals
 
 
+def daily_stats(df: DataFrame) -> DataFrame:
+    """Per day, totals over all rows and over rows with an id, in one aggregate.
+
+    Lets the daily job report how many records lack an id and produce either
+    form of the daily trend from one scan (one row per day, so tiny).
+    """
+    rt = F.col("public_metrics.retweet_count")
+    has_id = F.col("id").isNotNull()
+    return df.groupBy(day_of("created_at").alias(DAY)).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(rt).alias("retweets"),
+        F.count_if(has_id).alias("valid_rows"),
+        F.sum(F.when(has_id, rt)).alias("valid_retweets"),
+    )
+
+
+def daily_trends_from_stats(stats: DataFrame, drop_invalid: bool = False, sort: bool = True) -> DataFrame:
+    """The daily trend over all rows, or (drop_invalid) over rows with an id only."""
+    if drop_invalid:
+        out = stats.filter(F.col("valid_rows") > 0).select(
+            DAY, F.col("valid_rows").alias(DAY_TWEETS), F.col("valid_retweets").alias(DAY_RETWEETS)
+        )
+    else:
+        out = stats.select(DAY, F.col("rows").alias(DAY_TWEETS), F.col("retweets").alias(DAY_RETWEETS))
+    return out.orderBy(*daily_order()) if sort else out
+
+
 def top_n(sorted_df: DataFrame, n: int = 10) -> DataFrame:
     """First n rows of a sorted result.
 

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chirpstat.functions.schema import FAME_POINT, LOW_FOLLOWER_POINT, RAW_MESSAGE_SCHEMA
 from chirpstat.operators.analyses import top_n
-from chirpstat.plans.jobs import plan_daily_trend, plan_user_analysis
-from chirpstat.session import cached, remove_path
+from chirpstat.plans.jobs import plan_user_analysis, run_daily_trend
+from chirpstat.session import remove_path
 from chirpstat.sources.io import Sink, mongo_sink, read_messages, read_topic, read_topic_stream, write_result
 from chirpstat.streaming import stream as S
 
@@ -153,12 +153,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 remove_path(spark, path)
         return 0
 
-    result = plan_daily_trend(spark, raw, drop_invalid=args.drop_invalid)
-    with cached(result):
-        if args.preview:
-            result.show(args.preview, truncate=False)
-        if sink is not None:
-            write_result(result, "daily_trend", sink)
+    run_daily_trend(spark, raw, sink, drop_invalid=args.drop_invalid, preview=args.preview)
     return 0
 
 

@@ -20,6 +20,7 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chirpstat.functions.parse import parse_tweets
 from chirpstat.functions.schema import (
@@ -140,15 +141,30 @@ def plan_daily_trend(
 
 def run_daily_trend(
     spark: SparkSession, raw: DataFrame, sink: Sink | None = None, drop_invalid: bool = False,
-    name: str = "daily_trend",
+    name: str = "daily_trend", preview: int = 0,
 ) -> DataFrame:
-    """Compute the daily trend; write it when a sink is given.
+    """Compute the daily trend, log how many records lack an id, write it when a
+    sink is given. Returns the result.
 
-    The result has one row per day, so it is cached around the sink's
-    emptiness test and write: the topic is parsed once, not once per action.
+    One scan: a per-day table holding totals over all rows and over rows with
+    an id (`daily_stats`) is cached (one row per day) and feeds the log line,
+    the preview (`preview` rows shown), the emptiness test and the write, so
+    the topic is parsed once.
     """
-    result = plan_daily_trend(spark, raw, drop_invalid)
-    if sink is not None:
-        with cached(result):
+    tweets = parse_tweets(raw, fields=DAILY_FIELDS + ("id",))
+    stats = A.daily_stats(tweets)
+    with cached(stats):
+        totals = stats.agg(F.sum("rows").alias("rows"), F.sum("valid_rows").alias("valid")).first()
+        if totals is not None and totals["rows"]:
+            invalid = totals["rows"] - totals["valid"]
+            if invalid:
+                LOG.info(
+                    "%d of %d records have no id; they are %s", invalid, totals["rows"],
+                    "left out" if drop_invalid else "counted in the daily totals",
+                )
+        result = A.daily_trends_from_stats(stats, drop_invalid)
+        if preview:
+            result.show(preview, truncate=False)
+        if sink is not None:
             write_result(result, name, sink)
     return result

@@ -86,3 +86,18 @@ def test_failing_sink_fails_the_job(spark, scratch):
     raw = read_event_messages(spark, SF)
     with pytest.raises(Exception):
         run_user_analysis(spark, raw, Sink(fmt="no_such_format_xyz", base=scratch))
+
+
+def test_daily_job_reports_invalid_and_matches_plan(spark, caplog):
+    import logging
+
+    from chirpstat.plans.jobs import plan_daily_trend
+
+    raw = read_event_messages(spark, SF)
+    with caplog.at_level(logging.INFO, logger="chirpstat.plans.jobs"):
+        got = run_daily_trend(spark, raw)
+    assert "14 of 1000 records have no id" in caplog.text
+    assert sorted_rows(got) == sorted_rows(plan_daily_trend(spark, raw))
+    valid = run_daily_trend(spark, raw, drop_invalid=True)
+    assert sorted_rows(valid) == sorted_rows(plan_daily_trend(spark, raw, drop_invalid=True))
+    assert [r.day for r in got.collect()] == sorted((r.day for r in got.collect()), reverse=True)
