@@ -24,7 +24,7 @@ from chirpstat.functions.schema import (
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
 from chirpstat.operators.select import text_search, user_timeline
-from chirpstat.plans.jobs import plan_daily_trend, plan_user_analysis
+from chirpstat.plans.jobs import plan_daily_trend, plan_user_analysis, run_daily_trend
 from chirpstat.sources.fixtures import (
     TWEETS_VIEW_SQL,
     read_event_messages,
@@ -135,6 +135,14 @@ def _job(result: str) -> Query:
     return run
 
 
+def q_job_daily_trend(spark, sf_dir):
+    return run_daily_trend(spark, _raw(spark, sf_dir))
+
+
+def q_job_daily_trend_valid(spark, sf_dir):
+    return run_daily_trend(spark, _raw(spark, sf_dir), drop_invalid=True)
+
+
 def _cores(spark: SparkSession) -> int:
     """One state partition per core of the cluster (the state is one row per key)."""
     return spark.sparkContext.defaultParallelism
@@ -177,6 +185,8 @@ QUERIES: dict[str, Query] = {
     "job_is_famous_tweeters": _job("is_famous_tweeters"),
     "job_fame_distribution": _job("fame_distribution"),
     "job_low_follower_activity": _job("low_follower_activity"),
+    "job_daily_trend": q_job_daily_trend,
+    "job_daily_trend_valid": q_job_daily_trend_valid,
     "top_tweeters_stream": q_top_tweeters_stream,
     "daily_trend_stream": q_daily_trend_stream,
 }
@@ -241,6 +251,8 @@ _BODIES = {
     "job_is_famous_tweeters": _IS_FAMOUS,
     "job_fame_distribution": _FAME_DIST,
     "job_low_follower_activity": _LOW,
+    "job_daily_trend": _DAILY.format(where=""),
+    "job_daily_trend_valid": _DAILY.format(where="WHERE id IS NOT NULL"),
     "top_tweeters_stream": _TOP,
     "daily_trend_stream": _DAILY.format(where=""),
 }
