@@ -52,3 +52,26 @@ def test_state_partitions_apply_to_a_new_query_only(spark, scratch):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert sorted(os.listdir(os.path.join(ck, "state", "0"))) == ["0", "1", "2", "_metadata"]
     assert sorted_rows(got) == sorted_rows(A.daily_trends(parse_tweets(read_event_messages(spark, SF))))
+
+
+def test_streams_handle_null_keys_like_batch(spark, scratch):
+    import json
+
+    from conftest import messages
+
+    rows = [
+        {"id": "1", "author_id": None, "author_username": None, "created_at": "bad", "public_metrics": {"retweet_count": 2}},
+        {"id": "2", "author_id": None, "author_username": None, "created_at": None},
+        {"id": None, "author_id": "a", "author_username": "u", "created_at": "2024-01-01T00:00:00Z"},
+        {"id": "3", "author_id": "a", "author_username": "u", "created_at": "2024-01-01T10:00:00Z", "public_metrics": {"retweet_count": 5}},
+    ]
+    raw = messages(spark, [json.dumps(r) for r in rows] + ["junk"])
+    src = os.path.join(scratch, "src")
+    raw.write.parquet(src)
+    stream = lambda: spark.readStream.schema("value binary").parquet(src)
+    daily = S.run_complete(spark, S.daily_trend_stream(stream()), "d", os.path.join(scratch, "ck1"), os.path.join(scratch, "o1"))
+    top = S.run_complete(spark, S.top_tweeters_stream(stream()), "t", os.path.join(scratch, "ck2"), os.path.join(scratch, "o2"))
+    batch = parse_tweets(spark.read.parquet(src))
+    assert sorted_rows(daily) == sorted_rows(A.daily_trends(batch))
+    assert sorted_rows(top) == sorted_rows(A.top_tweeters(valid_tweets(batch)))
+    assert {(r.author_id, r.tweet_sayisi) for r in top.collect()} == {(None, 2), ("a", 1)}
