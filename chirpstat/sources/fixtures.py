@@ -114,11 +114,10 @@ def event_topic(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC) ->
         path = os.path.join(root, "chirpstat-topics", key[1])
         if not path_exists(spark, os.path.join(path, "_SUCCESS")):
             events = spark.read.parquet(src).select(*EVENT_COLUMNS)
-            messages = events_as_messages(events, topic)
             cores = spark.sparkContext.defaultParallelism
             if events.rdd.getNumPartitions() < cores:
-                messages = messages.repartition(cores)
-            messages.write.mode("overwrite").parquet(path)
+                events = events.repartition(cores)
+            events_as_messages(events, topic).write.mode("overwrite").parquet(path)
         _TOPICS[key] = path
         return path
 
