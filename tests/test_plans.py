@@ -57,3 +57,11 @@ def test_job_results_read_the_landed_author_table_only(spark, capsys, name):
     text = plan_text(E.queries()[name](spark, SF), capsys)
     assert "from_json(" not in text
     assert "author_stats" in text and "hashpartitioning" not in text
+
+
+def test_explain_summary_tool(spark):
+    from chirpstat.plans.explain import plan_text, summarize
+
+    line = summarize(plan_text(E.queries()["top_tweeters_top10"](spark, SF)))
+    assert "json_parses=1 hash_shuffles=1 range_shuffles=0 top_n=1 broadcasts=0" in line
+    assert "scans=struct<value:binary>" in line
