@@ -54,72 +54,72 @@ def _valid(spark: SparkSession, sf_dir: str, fields=None) -> DataFrame:
     return valid_tweets(_tweets(spark, sf_dir, fields))
 
 
-def q_parse_tweets(spark, sf_dir):
+def q_parse_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_metrics(_tweets(spark, sf_dir))
 
 
-def q_count_invalid(spark, sf_dir):
+def q_count_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_invalid(_tweets(spark, sf_dir, ("id",)))
 
 
-def q_top_tweeters(spark, sf_dir):
+def q_top_tweeters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.top_tweeters(_valid(spark, sf_dir, AUTHOR_FIELDS))
 
 
-def q_top_tweeters_top10(spark, sf_dir):
+def q_top_tweeters_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.top_n(A.top_tweeters(_valid(spark, sf_dir, AUTHOR_FIELDS)), TOP_N)
 
 
-def q_famous_top_tweeters(spark, sf_dir):
+def q_famous_top_tweeters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.famous_top_tweeters(_valid(spark, sf_dir, FOLLOWER_FIELDS))
 
 
-def q_famous_top10(spark, sf_dir):
+def q_famous_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.top_n(A.famous_top_tweeters(_valid(spark, sf_dir, FOLLOWER_FIELDS)), TOP_N)
 
 
-def q_is_famous(spark, sf_dir):
+def q_is_famous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_metrics(A.add_is_famous(_valid(spark, sf_dir)))
 
 
-def q_fame_distribution(spark, sf_dir):
+def q_fame_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.fame_distribution(A.add_is_famous(_valid(spark, sf_dir, FAME_FIELDS)))
 
 
-def q_low_follower_activity(spark, sf_dir):
+def q_low_follower_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.low_follower_activity(_valid(spark, sf_dir, FOLLOWER_FIELDS))
 
 
-def q_low_follower_top10(spark, sf_dir):
+def q_low_follower_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.top_n(A.low_follower_activity(_valid(spark, sf_dir, FOLLOWER_FIELDS)), TOP_N)
 
 
-def q_daily_trend(spark, sf_dir):
+def q_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_daily_trend(spark, _raw(spark, sf_dir))
 
 
-def q_daily_trend_top10(spark, sf_dir):
+def q_daily_trend_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.top_n(plan_daily_trend(spark, _raw(spark, sf_dir)), TOP_N)
 
 
-def q_daily_trend_valid(spark, sf_dir):
+def q_daily_trend_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_daily_trend(spark, _raw(spark, sf_dir), drop_invalid=True)
 
 
-def q_user_timeline(spark, sf_dir):
+def q_user_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_timeline(_valid(spark, sf_dir, TIMELINE_FIELDS), TIMELINE_USER, TOP_N)
 
 
-def q_text_search(spark, sf_dir):
+def q_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_search(_valid(spark, sf_dir, SEARCH_FIELDS), SEARCH_PHRASE, SEARCH_LANG, True, TOP_N)
 
 
-def q_encode_round_trip(spark, sf_dir):
+def q_encode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed tweets -> JSON messages -> parsed again: the same rows come back."""
     return flatten_metrics(parse_tweets(encode_json(_tweets(spark, sf_dir))))
 
 
-def q_archive_dedup(spark, sf_dir):
+def q_archive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message sent twice, archived with id de-duplication."""
     raw = _raw(spark, sf_dir).select("value")
     kept = parse_tweets(dedupe_by_id(raw.unionByName(raw)))
@@ -127,7 +127,7 @@ def q_archive_dedup(spark, sf_dir):
 
 
 def _job(result: str) -> Query:
-    def run(spark, sf_dir):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         plan = plan_user_analysis(spark, _raw(spark, sf_dir))
         return flatten_metrics(getattr(plan, result))
 
@@ -135,11 +135,11 @@ def _job(result: str) -> Query:
     return run
 
 
-def q_job_daily_trend(spark, sf_dir):
+def q_job_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_daily_trend(spark, _raw(spark, sf_dir))
 
 
-def q_job_daily_trend_valid(spark, sf_dir):
+def q_job_daily_trend_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_daily_trend(spark, _raw(spark, sf_dir), drop_invalid=True)
 
 
@@ -148,14 +148,14 @@ def _cores(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def q_top_tweeters_stream(spark, sf_dir):
+def q_top_tweeters_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = S.top_tweeters_stream(read_event_messages_stream(spark, sf_dir))
     return S.run_complete(
         spark, stream, "top_tweeters_stream", order=A.top_tweeters_order(), state_partitions=_cores(spark)
     )
 
 
-def q_daily_trend_stream(spark, sf_dir):
+def q_daily_trend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = S.daily_trend_stream(read_event_messages_stream(spark, sf_dir))
     return S.run_complete(
         spark, stream, "daily_trend_stream", order=A.daily_order(), state_partitions=_cores(spark)
