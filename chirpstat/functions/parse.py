@@ -15,7 +15,6 @@ from pyspark.sql.types import StructField, StructType
 from chirpstat.functions.schema import (
     CREATED_AT_FORMAT,
     CREATED_AT_REGEX,
-    METRIC_FIELDS,
     TWEET_SCHEMA,
 )
 
@@ -118,10 +117,11 @@ def flatten_metrics(df: DataFrame, struct_col: str = "public_metrics") -> DataFr
     """Replace the metrics struct by one top-level column per metric, in place."""
     if struct_col not in df.columns:
         return df
+    members = df.schema[struct_col].dataType.fieldNames()  # all metrics, or a pruned subset
     cols = []
     for name in df.columns:
         if name == struct_col:
-            cols.extend(F.col(f"{struct_col}.{m}").alias(m) for m in METRIC_FIELDS)
+            cols.extend(F.col(f"{struct_col}.{m}").alias(m) for m in members)
         else:
             cols.append(F.col(name))
     return df.select(*cols)

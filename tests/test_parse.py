@@ -205,3 +205,9 @@ def test_contract_holds_with_ansi_on_and_off(spark, ansi):
     assert rows[2].follower_count is None and rows[2].public_metrics.retweet_count == 3
     assert rows[3].id == "3" and rows[3].follower_count is None
     assert rows[4].created_at is None and rows[5].created_at is None
+
+
+def test_flatten_metrics_after_a_pruned_parse(spark):
+    df = parse_tweets(messages(spark, [json.dumps(FULL)]), fields=("id", "public_metrics.retweet_count"))
+    flat = flatten_metrics(df)
+    assert flat.columns == ["id", "retweet_count"] and flat.first().retweet_count == 1
