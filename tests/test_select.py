@@ -3,6 +3,7 @@
 import json
 
 from conftest import messages
+from pyspark.sql import functions as F
 
 from chirpstat.functions.parse import parse_tweets
 from chirpstat.operators.quality import valid_tweets
@@ -40,3 +41,23 @@ def test_selection_columns(spark):
     df = tweets(spark, [t("1")])
     assert user_timeline(df, "u").columns == ["id", "created_at", "text"]
     assert text_search(df, "hello").columns == ["id", "created_at", "text"]
+
+
+def test_timeline_over_author_layout_prunes_and_matches(spark, scratch, capsys):
+    import os
+
+    from chirpstat.operators.select import write_by_author
+    from chirpstat.sources.fixtures import read_event_messages
+
+    tweets = valid_tweets(parse_tweets(read_event_messages(spark, "/root/testdata/sf0.01")))
+    path = os.path.join(scratch, "by_author")
+    write_by_author(tweets, path, partitions=8)
+    table = spark.read.parquet(path)
+    got = user_timeline(table, "user_7", n=10)
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in user_timeline(tweets, "user_7", n=10).collect()]
+    capsys.readouterr()
+    got.explain("formatted")
+    assert "EqualTo(author_username,user_7)" in capsys.readouterr().out
+    # Each file holds a narrow, disjoint range of authors.
+    ranges = table.groupBy(F.input_file_name().alias("f")).agg(F.min("author_username").alias("lo"), F.max("author_username").alias("hi")).orderBy("lo").collect()
+    assert len(ranges) > 1 and all(a.hi <= b.lo for a, b in zip(ranges, ranges[1:]))
