@@ -170,3 +170,18 @@ def test_brute_force(spark, rows):
     got = {(None if r.day is None else r.day.strftime("%Y-%m-%d")): (r.toplam_tweet_sayisi, r.toplam_retweet_sayisi)
            for r in A.daily_trends(df).collect()}
     assert got == exp_d
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(tweet_st, min_size=0, max_size=30), st.integers(0, 150_000), st.integers(0, 150_000))
+def test_one_shuffle_forms_equal_direct_forms(spark, rows, fame_point, low_point):
+    valid = valid_tweets(parse_tweets(messages(spark, [json.dumps(r) for r in rows])))
+    stats = A.author_stats(valid, fame_point, low_point)
+
+    def s(df):
+        return sorted(map(tuple, df.collect()), key=str)
+
+    assert s(A.top_tweeters(valid)) == s(A.top_tweeters_from_stats(stats))
+    assert s(A.famous_top_tweeters(valid)) == s(A.famous_top_tweeters_from_stats(stats))
+    assert s(A.low_follower_activity(valid, low_point)) == s(A.low_follower_activity_from_stats(stats))
+    assert s(A.fame_distribution(A.add_is_famous(valid, fame_point))) == s(A.fame_distribution_from_stats(stats))

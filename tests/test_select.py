@@ -61,3 +61,33 @@ def test_timeline_over_author_layout_prunes_and_matches(spark, scratch, capsys):
     # Each file holds a narrow, disjoint range of authors.
     ranges = table.groupBy(F.input_file_name().alias("f")).agg(F.min("author_username").alias("lo"), F.max("author_username").alias("hi")).orderBy("lo").collect()
     assert len(ranges) > 1 and all(a.hi <= b.lo for a, b in zip(ranges, ranges[1:]))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_sel = st.fixed_dictionaries(
+    {
+        "id": st.text("0123456789", min_size=1, max_size=3),
+        "author_username": st.sampled_from(["u", "v"]),
+        "text": st.one_of(st.none(), st.sampled_from(["big data", "RT @x: big data", "Big Data now", "other", "xbig datax"])),
+        "created_at": st.one_of(st.none(), st.sampled_from(["2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", "2024-01-02T05:00:00Z"])),
+        "lang": st.sampled_from(["tr", "en"]),
+    }
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_sel, min_size=0, max_size=25), st.integers(1, 6))
+def test_selections_against_brute_force(spark, rows, n):
+    df = tweets(spark, rows)
+
+    def order(rs):
+        with_t = sorted([r for r in rs if r["created_at"]], key=lambda r: (r["created_at"], r["id"]), reverse=True)
+        return with_t + sorted([r for r in rs if not r["created_at"]], key=lambda r: r["id"], reverse=True)
+
+    want = [r["id"] for r in order([r for r in rows if r["author_username"] == "u"])][:n]
+    assert [r.id for r in user_timeline(df, "u", n=n).collect()] == want
+
+    hits = [r for r in rows if r["text"] and "big data" in r["text"] and r["lang"] == "tr" and not r["text"].startswith("RT @")]
+    assert [r.id for r in text_search(df, "big data", "tr", n=n).collect()] == [r["id"] for r in order(hits)][:n]
