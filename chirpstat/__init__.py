@@ -17,7 +17,8 @@ from chirpstat.operators.analyses import (
     top_tweeters,
 )
 from chirpstat.operators.quality import count_invalid, valid_tweets, validate_tweets
-from chirpstat.operators.select import text_search, user_timeline
+from chirpstat.operators.select import text_search, user_timeline, write_by_author
+from chirpstat.plans.jobs import plan_daily_trend, plan_user_analysis, run_daily_trend, run_user_analysis
 
 __all__ = [
     "TWEET_SCHEMA",
@@ -28,10 +29,15 @@ __all__ = [
     "famous_top_tweeters",
     "low_follower_activity",
     "parse_tweets",
+    "plan_daily_trend",
+    "plan_user_analysis",
+    "run_daily_trend",
+    "run_user_analysis",
     "text_search",
     "top_n",
     "top_tweeters",
     "user_timeline",
     "valid_tweets",
     "validate_tweets",
+    "write_by_author",
 ]
