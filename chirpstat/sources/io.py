@@ -42,11 +42,19 @@ def kafka_read_options(
     return opts
 
 
+# Records per input task of a topic scan: about 300 MB of tweet JSON, so a
+# task's work stays bounded however large the topic or one of its partitions.
+RECORDS_PER_TASK = 1_000_000
+
+
 def _spread(spark: SparkSession, opts: dict[str, str]) -> dict[str, str]:
-    """At least one input task per core: the Kafka source splits large
-    partition offset ranges so the JSON parse uses the whole cluster even
-    when the topic has few partitions (`minPartitions` given by the caller wins)."""
+    """Bounded, parallel topic scans. The Kafka source splits partition offset
+    ranges into at least one task per core (`minPartitions`) and into tasks of
+    at most `RECORDS_PER_TASK` messages (`maxRecordsPerPartition`), so a topic
+    with few or very skewed partitions still spreads the JSON parse over the
+    whole cluster. Options given by the caller win."""
     opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+    opts.setdefault("maxRecordsPerPartition", str(RECORDS_PER_TASK))
     return opts
 
 

@@ -87,5 +87,6 @@ def test_archive_to_document_store_fails_loudly_without_connector(spark):
 def test_topic_scan_spreads_over_cores_unless_told(spark):
     opts = io._spread(spark, io.kafka_read_options("h:1", "t"))
     assert opts["minPartitions"] == str(spark.sparkContext.defaultParallelism)
+    assert opts["maxRecordsPerPartition"] == str(io.RECORDS_PER_TASK)
     opts = io._spread(spark, io.kafka_read_options("h:1", "t", extra={"minPartitions": "7"}))
     assert opts["minPartitions"] == "7"
