@@ -8,6 +8,11 @@
         --checkpoint /shared/ck/daily --sink-base /shared/results --trigger-seconds 60
     spark-submit ... cli.py dual-path raw-tweets-stream --bootstrap-servers broker:9092 \
         --checkpoint /shared/ck/dual --archive-path /shared/archive --publish-topic tweets-copy
+    spark-submit ... cli.py timeline raw-tweets-stream --bootstrap-servers broker:9092 --user someone
+    spark-submit ... cli.py search raw-tweets-stream --bootstrap-servers broker:9092 \
+        --phrase "big data" --lang tr
+    spark-submit ... cli.py index-timelines raw-tweets-stream --bootstrap-servers broker:9092 \
+        --out /shared/tweets_by_author      # then: timeline ... --table /shared/tweets_by_author
 
 `--input-path` reads landed message files instead of a broker; `--sink-base`
 writes Parquet results instead of collections. The session (master, packages,
@@ -22,8 +27,17 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chirpstat.functions.schema import FAME_POINT, LOW_FOLLOWER_POINT, RAW_MESSAGE_SCHEMA
+from chirpstat.functions.parse import parse_tweets
+from chirpstat.functions.schema import (
+    FAME_POINT,
+    LOW_FOLLOWER_POINT,
+    RAW_MESSAGE_SCHEMA,
+    SEARCH_FIELDS,
+    TIMELINE_FIELDS,
+)
 from chirpstat.operators.analyses import top_n
+from chirpstat.operators.quality import valid_tweets
+from chirpstat.operators.select import text_search, user_timeline, write_by_author
 from chirpstat.plans.jobs import plan_user_analysis, run_daily_trend
 from chirpstat.session import remove_path
 from chirpstat.sources.io import Sink, mongo_sink, read_messages, read_topic, read_topic_stream, write_result
@@ -52,6 +66,25 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--keep-snapshot", action="store_true", help="keep the landed tweets and author table")
         else:
             s.add_argument("--drop-invalid", action="store_true")
+    for name in ("timeline", "search", "index-timelines"):
+        s = sub.add_parser(name)
+        s.add_argument("topic")
+        src = s.add_mutually_exclusive_group(required=True)
+        src.add_argument("--bootstrap-servers")
+        src.add_argument("--input-path", help="folder of landed messages (Parquet with a `value` column)")
+        src.add_argument("--table", help="tweet table written by index-timelines (timeline/search only)")
+        if name == "timeline":
+            s.add_argument("--user", required=True)
+        if name == "search":
+            s.add_argument("--phrase", required=True)
+            s.add_argument("--lang")
+            s.add_argument("--include-retweets", action="store_true")
+            s.add_argument("--ignore-case", action="store_true")
+        if name == "index-timelines":
+            s.add_argument("--out", required=True, help="folder for the author-ordered tweet table")
+        else:
+            s.add_argument("--max-tweets", type=int, default=10)
+            s.add_argument("--sink-base", help="also write the selection as Parquet under this folder")
     for name in ("stream-daily-trend", "stream-top-tweeters", "dual-path"):
         s = sub.add_parser(name)
         s.add_argument("topic")
@@ -115,6 +148,27 @@ def _run_stream(spark: SparkSession, args) -> int:
     return 0
 
 
+def _run_select(spark: SparkSession, args) -> int:
+    if args.job == "index-timelines":
+        write_by_author(valid_tweets(parse_tweets(_raw(spark, args))), args.out)
+        return 0
+    fields = TIMELINE_FIELDS if args.job == "timeline" else SEARCH_FIELDS
+    if args.table:
+        tweets = spark.read.parquet(args.table)
+    else:
+        tweets = valid_tweets(parse_tweets(_raw(spark, args), fields=fields))
+    if args.job == "timeline":
+        result = user_timeline(tweets, args.user, args.max_tweets)
+    else:
+        result = text_search(
+            tweets, args.phrase, args.lang, not args.include_retweets, args.max_tweets, ignore_case=args.ignore_case
+        )
+    result.show(args.max_tweets, truncate=False)
+    if args.sink_base:
+        write_result(result, args.job, Sink(base=args.sink_base, on_empty="overwrite"))
+    return 0
+
+
 def _raw(spark: SparkSession, args) -> DataFrame:
     if args.input_path:
         return read_messages(spark, args.input_path)
@@ -136,6 +190,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"chirpstat-{args.job}").getOrCreate()
     if args.job in ("stream-daily-trend", "stream-top-tweeters", "dual-path"):
         return _run_stream(spark, args)
+    if args.job in ("timeline", "search", "index-timelines"):
+        return _run_select(spark, args)
     raw = _raw(spark, args)
     sink = _sink(args)
 

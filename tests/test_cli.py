@@ -60,3 +60,18 @@ def test_dual_path_topic_needs_brokers(spark, scratch):
             "--archive-path", os.path.join(scratch, "a"), "--publish-topic", "copy", "--available-now"]
     with pytest.raises(SystemExit):
         cli.main(args, spark)
+
+
+def test_timeline_and_search_cli(spark, scratch, capsys):
+    topic = event_topic(spark, SF)
+    table = os.path.join(scratch, "by_author")
+    assert cli.main(["index-timelines", "t", "--input-path", topic, "--out", table], spark) == 0
+    for src in (["--input-path", topic], ["--table", table]):
+        out = os.path.join(scratch, "sel-" + src[0].strip("-"))
+        assert cli.main(["timeline", "t", *src, "--user", "user_7", "--max-tweets", "5", "--sink-base", out], spark) == 0
+        assert spark.read.parquet(os.path.join(out, "timeline")).count() == 5
+        assert cli.main(["search", "t", *src, "--phrase", "click", "--lang", "tr", "--sink-base", out], spark) == 0
+        assert spark.read.parquet(os.path.join(out, "search")).count() == 10
+    a = spark.read.parquet(os.path.join(scratch, "sel-input-path", "timeline")).collect()
+    b = spark.read.parquet(os.path.join(scratch, "sel-table", "timeline")).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
