@@ -22,7 +22,14 @@ def _newest_first(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("created_at").desc_nulls_last(), F.col("id").desc_nulls_last())
 
 
-def write_by_author(tweets: DataFrame, path: str, partitions: int | None = None) -> None:
+# Rows per file of the author-ordered table: files (and their row-group
+# statistics) stay a few hundred MB however few range partitions are used.
+ROWS_PER_FILE = 5_000_000
+
+
+def write_by_author(
+    tweets: DataFrame, path: str, partitions: int | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Write typed tweets as Parquet laid out for timeline lookups.
 
     Rows are range-partitioned and sorted by (author_username, created_at,
@@ -32,13 +39,18 @@ def write_by_author(tweets: DataFrame, path: str, partitions: int | None = None)
     min/max statistics instead of reading every tweet. The time and id keys
     let the range partitioner split an author holding a third of all rows
     over many files instead of one task.
+
+    `partitions` (default: `spark.sql.shuffle.partitions`) should be sized to
+    the data, about one per few hundred MB; `rows_per_file` caps each file
+    either way (a partition's consecutive files keep their order).
     """
     keys = ["author_username", "created_at", "id"]
-    n = partitions or tweets.sparkSession.sparkContext.defaultParallelism
+    n = partitions or int(tweets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         tweets.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
         .parquet(path)
     )
 

@@ -91,3 +91,18 @@ def test_selections_against_brute_force(spark, rows, n):
 
     hits = [r for r in rows if r["text"] and "big data" in r["text"] and r["lang"] == "tr" and not r["text"].startswith("RT @")]
     assert [r.id for r in text_search(df, "big data", "tr", n=n).collect()] == [r["id"] for r in order(hits)][:n]
+
+
+def test_author_layout_caps_rows_per_file(spark, scratch):
+    import os
+
+    from chirpstat.operators.select import write_by_author
+    from chirpstat.sources.fixtures import read_event_messages
+
+    tweets = valid_tweets(parse_tweets(read_event_messages(spark, "/root/testdata/sf0.001")))
+    path = os.path.join(scratch, "capped")
+    write_by_author(tweets, path, partitions=2, rows_per_file=100)
+    table = spark.read.parquet(path)
+    per_file = [r["n"] for r in table.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(per_file) <= 100 and sum(per_file) == tweets.count()
+    assert [tuple(r) for r in user_timeline(table, "user_7").collect()] == [tuple(r) for r in user_timeline(tweets, "user_7").collect()]
