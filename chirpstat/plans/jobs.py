@@ -10,8 +10,14 @@ Shape of the user-analysis plan, chosen for very large topics:
    per-author table, the fame distribution is a sum over it, and only the
    per-tweet flag result re-reads the tweet snapshot.
 
-So the tweets are parsed once, scanned twice (one flag write, one aggregate)
-and shuffled once, instead of being re-read and re-parsed for every action.
+So the tweets are parsed once, scanned twice in full (flag write, aggregate)
+plus once for the id column (invalid count), and shuffled once, instead of
+being re-read and re-parsed for every action. The snapshot is removed from
+the shared folder once every result is written.
+
+The daily job parses only `created_at`, the retweet count and `id`, and one
+per-day aggregate (totals over all rows and over rows with an id) yields the
+invalid-record log line and either form of the result.
 """
 
 from __future__ import annotations
