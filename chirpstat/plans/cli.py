@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chirpstat.functions.parse import parse_tweets
 from chirpstat.functions.schema import (
+    AUTHOR_KEYS,
+    DAY,
     FAME_POINT,
     LOW_FOLLOWER_POINT,
     RAW_MESSAGE_SCHEMA,
@@ -102,7 +104,10 @@ def _parser() -> argparse.ArgumentParser:
             out.add_argument("--publish-path", help="folder standing in for the output topic")
             s.add_argument("--publish-servers", help="brokers of the output topic (default: --bootstrap-servers)")
         else:
-            s.add_argument("--sink-base", required=True)
+            out = s.add_mutually_exclusive_group(required=True)
+            out.add_argument("--sink-base", help="complete mode: the whole result table replaced each trigger")
+            out.add_argument("--mongo-db", help="update mode: changed rows upserted by key into this database")
+            s.add_argument("--mongo-uri")
             s.add_argument("--state-partitions", type=int)
     return p
 
@@ -126,11 +131,18 @@ def _run_stream(spark: SparkSession, args) -> int:
         )
     else:
         if args.job == "stream-daily-trend":
-            result, name = S.daily_trend_stream(raw), "daily_trend"
+            result, name, keys = S.daily_trend_stream(raw), "daily_trend", [DAY]
+        else:
+            result, name, keys = S.top_tweeters_stream(raw), "top_tweeters", list(AUTHOR_KEYS)
+        if args.mongo_db:
+            opts = {"database": args.mongo_db}
+            if args.mongo_uri:
+                opts["connection.uri"] = args.mongo_uri
+            upsert = S.mongo_upsert(name, keys, **opts)
+            queries = (S.start_update(spark, result, upsert, args.checkpoint, args.state_partitions, **trigger),)
         else:
-            result, name = S.top_tweeters_stream(raw), "top_tweeters"
-        target = f"{args.sink_base.rstrip('/')}/{name}"
-        queries = (S.start_complete(spark, result, target, args.checkpoint, args.state_partitions, **trigger),)
+            target = f"{args.sink_base.rstrip('/')}/{name}"
+            queries = (S.start_complete(spark, result, target, args.checkpoint, args.state_partitions, **trigger),)
     if args.available_now:
         for q in queries:
             q.awaitTermination()

@@ -75,3 +75,27 @@ def test_streams_handle_null_keys_like_batch(spark, scratch):
     assert sorted_rows(daily) == sorted_rows(A.daily_trends(batch))
     assert sorted_rows(top) == sorted_rows(A.top_tweeters(valid_tweets(batch)))
     assert {(r.author_id, r.tweet_sayisi) for r in top.collect()} == {(None, 2), ("a", 1)}
+
+
+def test_update_mode_changelog_equals_batch(spark, scratch):
+    from chirpstat.functions.schema import AUTHOR_KEYS
+
+    log = os.path.join(scratch, "changes")
+    q = S.start_update(
+        spark, S.top_tweeters_stream(_stream(spark)), S.changelog_writer(log), os.path.join(scratch, "ck"),
+        state_partitions=4, availableNow=True,
+    )
+    q.awaitTermination()
+    changes = spark.read.parquet(log)
+    assert changes.select("_batch").distinct().count() > 1  # several triggers, each with changed keys only
+    got = S.latest_per_key(changes, AUTHOR_KEYS)
+    want = A.top_tweeters(valid_tweets(parse_tweets(read_event_messages(spark, SF))), sort=False)
+    assert sorted_rows(got) == sorted_rows(want)
+
+
+def test_mongo_upsert_builds_replace_by_key(spark, scratch):
+    import pytest
+
+    write = S.mongo_upsert("top_tweeters", ["author_id", "author_username"], database="social_media_db")
+    with pytest.raises(Exception):  # connector absent here: the write must fail loudly
+        write(spark.createDataFrame([("a", "u", 1)], "author_id string, author_username string, tweet_sayisi long"), 0)
