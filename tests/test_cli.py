@@ -75,3 +75,11 @@ def test_timeline_and_search_cli(spark, scratch, capsys):
     a = spark.read.parquet(os.path.join(scratch, "sel-input-path", "timeline")).collect()
     b = spark.read.parquet(os.path.join(scratch, "sel-table", "timeline")).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_stream_to_document_store_fails_loudly_without_connector(spark, scratch):
+    topic = event_topic(spark, SF)
+    args = ["stream-top-tweeters", "t", "--input-path", topic, "--checkpoint", os.path.join(scratch, "ck"),
+            "--mongo-db", "social_media_db", "--available-now", "--state-partitions", "2"]
+    with pytest.raises(Exception):
+        cli.main(args, spark)
