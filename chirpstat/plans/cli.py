@@ -1,4 +1,4 @@
-"""Command-line entry for the two batch jobs (for `spark-submit`).
+"""Command-line entry for the jobs, selections and streams (for `spark-submit`).
 
     spark-submit --py-files chirpstat.zip chirpstat/plans/cli.py \
         user-analysis raw-tweets-stream --bootstrap-servers broker:9092 --mongo-db social_media_db
@@ -6,6 +6,8 @@
         daily-trend raw-tweets-stream --bootstrap-servers broker:9092
     spark-submit ... cli.py stream-daily-trend raw-tweets-stream --bootstrap-servers broker:9092 \
         --checkpoint /shared/ck/daily --sink-base /shared/results --trigger-seconds 60
+    spark-submit ... cli.py stream-top-tweeters raw-tweets-stream --bootstrap-servers broker:9092 \
+        --checkpoint /shared/ck/top --mongo-db social_media_db     # update mode, keyed upserts
     spark-submit ... cli.py dual-path raw-tweets-stream --bootstrap-servers broker:9092 \
         --checkpoint /shared/ck/dual --archive-path /shared/archive --publish-topic tweets-copy
     spark-submit ... cli.py timeline raw-tweets-stream --bootstrap-servers broker:9092 --user someone
@@ -15,7 +17,8 @@
         --out /shared/tweets_by_author      # then: timeline ... --table /shared/tweets_by_author
 
 `--input-path` reads landed message files instead of a broker; `--sink-base`
-writes Parquet results instead of collections. The session (master, packages,
+writes Parquet results instead of collections (for streams: a complete-mode
+table; `--mongo-db` streams upsert only the changed rows). The session (master, packages,
 connector settings) comes from spark-submit; nothing here sets it.
 """
 
