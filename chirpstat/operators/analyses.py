@@ -49,29 +49,31 @@ def daily_order() -> list[Column]:
     return [F.col(DAY).desc_nulls_last()]
 
 
-def top_tweeters(df: DataFrame, sort: bool = True) -> DataFrame:
-    """Tweets per author, most active first.
+def _first(df: DataFrame, n: int | None) -> DataFrame:
+    return df if n is None else df.limit(n)
+
+
+def top_tweeters(df: DataFrame, sort: bool = True, n: int | None = None) -> DataFrame:
+    """Tweets per author, most active first (all authors, or the first `n`).
 
     Columns: author_id, author_username, tweet_sayisi (= count of non-null ids).
     `sort=False` leaves the order to the reader (a table sink, a stream).
     """
     counts = df.groupBy(*AUTHOR_KEYS).agg(F.count("id").alias(TWEET_COUNT))
-    return counts.orderBy(*top_tweeters_order()) if sort else counts
+    return _first(counts.orderBy(*top_tweeters_order()), n) if sort else counts
 
 
-def famous_top_tweeters(df: DataFrame) -> DataFrame:
+def famous_top_tweeters(df: DataFrame, n: int | None = None) -> DataFrame:
     """Largest follower count seen per author and the author's tweet count.
 
-    No fame threshold is applied: every author is listed, largest first.
+    No fame threshold is applied: every author is listed (or the first `n`),
+    largest first.
     """
-    return (
-        df.groupBy(*AUTHOR_KEYS)
-        .agg(
-            F.max("follower_count").alias(MAX_FOLLOWERS),
-            F.count("id").alias(TWEET_COUNT),
-        )
-        .orderBy(*famous_order())
+    stats = df.groupBy(*AUTHOR_KEYS).agg(
+        F.max("follower_count").alias(MAX_FOLLOWERS),
+        F.count("id").alias(TWEET_COUNT),
     )
+    return _first(stats.orderBy(*famous_order()), n)
 
 
 def is_famous(follower_count: str | Column = "follower_count", point: int = FAME_POINT) -> Column:
@@ -90,25 +92,29 @@ def fame_distribution(is_famous_df: DataFrame) -> DataFrame:
     return is_famous_df.groupBy(IS_FAMOUS).count()
 
 
-def low_follower_activity(df: DataFrame, point: int = LOW_FOLLOWER_POINT) -> DataFrame:
-    """Activity of authors below `point` followers, smallest following first.
+def low_follower_activity(
+    df: DataFrame, point: int = LOW_FOLLOWER_POINT, n: int | None = None
+) -> DataFrame:
+    """Activity of authors below `point` followers, smallest following first
+    (all such authors, or the first `n`).
 
     Rows are filtered before grouping, so the max and the count cover only the
     author's rows under the limit, and rows with an unknown count are left out.
     """
-    return (
+    stats = (
         df.filter(F.col("follower_count") < point)
         .groupBy(*AUTHOR_KEYS)
         .agg(
             F.max("follower_count").alias(MAX_FOLLOWERS),
             F.count("id").alias(TWEET_COUNT),
         )
-        .orderBy(*low_follower_order())
     )
+    return _first(stats.orderBy(*low_follower_order()), n)
 
 
-def daily_trends(df: DataFrame, sort: bool = True) -> DataFrame:
-    """Per day: all tweets (`count(*)`) and the sum of their retweets, newest day first.
+def daily_trends(df: DataFrame, sort: bool = True, n: int | None = None) -> DataFrame:
+    """Per day: all tweets (`count(*)`) and the sum of their retweets, newest day
+    first (all days, or the newest `n`).
 
     Rows with no parsable `created_at` form one null day, listed last.
     `sort=False` leaves the order to the reader (a table sink, a stream).
@@ -117,7 +123,7 @@ def daily_trends(df: DataFrame, sort: bool = True) -> DataFrame:
         F.count(F.lit(1)).alias(DAY_TWEETS),
         F.sum(F.col("public_metrics.retweet_count")).alias(DAY_RETWEETS),
     )
-    return totals.orderBy(*daily_order()) if sort else totals
+    return _first(totals.orderBy(*daily_order()), n) if sort else totals
 
 
 def daily_stats(df: DataFrame) -> DataFrame:

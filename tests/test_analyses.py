@@ -185,3 +185,17 @@ def test_one_shuffle_forms_equal_direct_forms(spark, rows, fame_point, low_point
     assert s(A.famous_top_tweeters(valid)) == s(A.famous_top_tweeters_from_stats(stats))
     assert s(A.low_follower_activity(valid, low_point)) == s(A.low_follower_activity_from_stats(stats))
     assert s(A.fame_distribution(A.add_is_famous(valid, fame_point))) == s(A.fame_distribution_from_stats(stats))
+
+
+def test_optional_n_equals_top_n(spark):
+    rows = [tw(str(i), author=str(i % 7), user=f"u{i % 7}", fc=i * 13, day=f"2024-01-{1 + i % 9:02d}") for i in range(60)]
+    df = tweets(spark, rows)
+
+    def ids(d):
+        return [tuple(r) for r in d.collect()]
+
+    assert ids(A.top_tweeters(df, n=3)) == ids(A.top_n(A.top_tweeters(df), 3))
+    assert ids(A.famous_top_tweeters(df, n=3)) == ids(A.top_n(A.famous_top_tweeters(df), 3))
+    assert ids(A.low_follower_activity(df, 500, n=2)) == ids(A.top_n(A.low_follower_activity(df, 500), 2))
+    assert ids(A.daily_trends(df, n=4)) == ids(A.top_n(A.daily_trends(df), 4))
+    assert len(ids(A.top_tweeters(df, n=3))) == 3
