@@ -72,7 +72,8 @@ def read_topic_stream(spark: SparkSession, bootstrap_servers: str, topic: str, *
 
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Topic-shaped messages landed as files (a stand-in for a topic)."""
+    """Messages landed as files: Parquet with a `value` column (a topic
+    stand-in), or fmt="text" for JSON-lines files (one message per line)."""
     return spark.read.format(fmt).load(path)
 
 

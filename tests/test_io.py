@@ -90,3 +90,12 @@ def test_topic_scan_spreads_over_cores_unless_told(spark):
     assert opts["maxRecordsPerPartition"] == str(io.RECORDS_PER_TASK)
     opts = io._spread(spark, io.kafka_read_options("h:1", "t", extra={"minPartitions": "7"}))
     assert opts["minPartitions"] == "7"
+
+
+def test_json_lines_text_files_are_a_message_source(spark, scratch):
+    msgs = [json.dumps({"id": "1", "author_id": "a", "created_at": "2024-01-01T00:00:00Z"}), "junk", json.dumps({"id": "2"})]
+    path = os.path.join(scratch, "jsonl")
+    spark.createDataFrame([(m,) for m in msgs], "value string").coalesce(1).write.text(path)
+    text_rows = parse_tweets(io.read_messages(spark, path, fmt="text"))
+    bin_rows = parse_tweets(messages(spark, msgs))
+    assert sorted(map(tuple, text_rows.collect()), key=str) == sorted(map(tuple, bin_rows.collect()), key=str)
