@@ -60,6 +60,8 @@ def _parser() -> argparse.ArgumentParser:
         src = s.add_mutually_exclusive_group(required=True)
         src.add_argument("--bootstrap-servers")
         src.add_argument("--input-path", help="folder of landed messages (Parquet with a `value` column)")
+        s.add_argument("--input-format", choices=("parquet", "text"), default="parquet",
+                       help="text: JSON-lines files, one message per line")
         s.add_argument("--sink-base", help="write Parquet results under this folder")
         s.add_argument("--mongo-db", help="write results as collections of this database")
         s.add_argument("--mongo-uri")
@@ -78,6 +80,7 @@ def _parser() -> argparse.ArgumentParser:
         src.add_argument("--bootstrap-servers")
         src.add_argument("--input-path", help="folder of landed messages (Parquet with a `value` column)")
         src.add_argument("--table", help="tweet table written by index-timelines (timeline/search only)")
+        s.add_argument("--input-format", choices=("parquet", "text"), default="parquet")
         if name == "timeline":
             s.add_argument("--user", required=True)
         if name == "search":
@@ -186,7 +189,7 @@ def _run_select(spark: SparkSession, args) -> int:
 
 def _raw(spark: SparkSession, args) -> DataFrame:
     if args.input_path:
-        return read_messages(spark, args.input_path)
+        return read_messages(spark, args.input_path, fmt=args.input_format)
     return read_topic(spark, args.bootstrap_servers, args.topic)
 
 

@@ -83,3 +83,13 @@ def test_stream_to_document_store_fails_loudly_without_connector(spark, scratch)
             "--mongo-db", "social_media_db", "--available-now", "--state-partitions", "2"]
     with pytest.raises(Exception):
         cli.main(args, spark)
+
+
+def test_daily_trend_cli_from_json_lines(spark, scratch):
+    from chirpstat.sources.fixtures import read_event_messages
+
+    lines = os.path.join(scratch, "jsonl")
+    read_event_messages(spark, SF).selectExpr("CAST(value AS STRING) AS value").write.text(lines)
+    args = ["daily-trend", "t", "--input-path", lines, "--input-format", "text", "--sink-base", scratch, "--preview", "0"]
+    assert cli.main(args, spark) == 0
+    assert spark.read.parquet(os.path.join(scratch, "daily_trend")).count() == 30
