@@ -117,7 +117,10 @@ def write_result(df: DataFrame, name: str, sink: Sink) -> bool:
     """Write one named result. Returns False when it was skipped as empty.
 
     Emptiness is tested with `isEmpty()` (stops at the first row), not a full
-    count. Write errors are raised, never swallowed.
+    count. Write errors are raised, never swallowed. With `on_empty="skip"`
+    the plan runs twice (test, then write): pass a landed or cached result
+    when it is expensive, as the jobs do (per-author table landed, per-day
+    table cached), or use `on_empty="overwrite"` for a single pass.
     """
     if sink.on_empty == "skip" and df.isEmpty():
         LOG.warning("no rows for %r; previous result left in place", name)
