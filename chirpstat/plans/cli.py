@@ -104,7 +104,11 @@ def _parser() -> argparse.ArgumentParser:
         when.add_argument("--trigger-seconds", type=int, default=60)
         when.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         if name == "dual-path":
-            s.add_argument("--archive-path", required=True)
+            arch = s.add_mutually_exclusive_group(required=True)
+            arch.add_argument("--archive-path", help="folder of the raw-message archive (Parquet)")
+            arch.add_argument("--archive-mongo-db", help="archive raw tweets as documents in this database")
+            s.add_argument("--archive-collection", default="raw_tweets")
+            s.add_argument("--mongo-uri")
             out = s.add_mutually_exclusive_group(required=True)
             out.add_argument("--publish-topic")
             out.add_argument("--publish-path", help="folder standing in for the output topic")
@@ -131,9 +135,17 @@ def _run_stream(spark: SparkSession, args) -> int:
         servers = args.publish_servers or args.bootstrap_servers
         if args.publish_topic and not servers:
             raise SystemExit("--publish-topic needs --publish-servers or --bootstrap-servers")
+        if args.archive_mongo_db:
+            archive, fmt = args.archive_collection, "mongodb"
+            opts = {"database": args.archive_mongo_db}
+            if args.mongo_uri:
+                opts["connection.uri"] = args.mongo_uri
+        else:
+            archive, fmt, opts = args.archive_path, "parquet", None
         queries = S.start_dual_path(
-            raw, args.archive_path, args.checkpoint, bootstrap_servers=servers,
-            topic=args.publish_topic, publish_path=args.publish_path, **trigger,
+            raw, archive, args.checkpoint, bootstrap_servers=servers,
+            topic=args.publish_topic, publish_path=args.publish_path,
+            archive_fmt=fmt, archive_options=opts, **trigger,
         )
     else:
         if args.job == "stream-daily-trend":

@@ -21,7 +21,7 @@ from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import valid_tweets
 from chirpstat.session import path_exists, scratch_path, session_conf
 from chirpstat.functions.schema import AUTHOR_FIELDS, DAILY_FIELDS
-from chirpstat.sources.io import kafka_write_options, to_messages
+from chirpstat.sources.io import archive_raw, kafka_write_options, to_messages
 
 
 def daily_trend_stream(raw_stream: DataFrame) -> DataFrame:
@@ -185,12 +185,30 @@ def latest_per_key(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 # --- Dual path: archive + republish ------------------------------------------------
 
 
-def start_archive(raw_stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", **trigger) -> StreamingQuery:
-    """Append every raw message to a file table (exactly once via the file sink log)."""
-    writer = (
-        raw_stream.select("value").writeStream.format(fmt).outputMode("append")
-        .option("checkpointLocation", checkpoint).option("path", path)
-    )
+def start_archive(
+    raw_stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", archive_options: dict | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Append every raw message to the archive.
+
+    File formats use the file sink (exactly once via its commit log). A
+    document store (fmt="mongodb", `path` = collection, connection settings in
+    `archive_options`) gets one document per message through `archive_raw`
+    per micro-batch; a retried batch appends again, as duplicate inserts are
+    tolerated on the archive.
+    """
+    if fmt == "mongodb":
+        opts = dict(archive_options or {})
+
+        def write_batch(batch: DataFrame, _batch_id: int) -> None:
+            archive_raw(batch, path, fmt="mongodb", **opts)
+
+        writer = raw_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch)
+    else:
+        writer = (
+            raw_stream.select("value").writeStream.format(fmt).outputMode("append")
+            .option("checkpointLocation", checkpoint).option("path", path)
+        )
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
@@ -215,6 +233,7 @@ def start_publish(
 def start_dual_path(
     raw_stream: DataFrame, archive_path: str, checkpoint_root: str,
     bootstrap_servers: str | None = None, topic: str | None = None, publish_path: str | None = None,
+    archive_fmt: str = "parquet", archive_options: dict | None = None,
     **trigger,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Two independent queries over one source definition, one checkpoint each.
@@ -223,7 +242,9 @@ def start_dual_path(
     no transaction across them, so after a failure one may be ahead of the other
     until both have caught up.
     """
-    archive = start_archive(raw_stream, archive_path, f"{checkpoint_root}/archive", **trigger)
+    archive = start_archive(
+        raw_stream, archive_path, f"{checkpoint_root}/archive", archive_fmt, archive_options, **trigger
+    )
     publish = start_publish(
         raw_stream, f"{checkpoint_root}/publish", bootstrap_servers, topic, publish_path, **trigger
     )

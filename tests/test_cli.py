@@ -93,3 +93,11 @@ def test_daily_trend_cli_from_json_lines(spark, scratch):
     args = ["daily-trend", "t", "--input-path", lines, "--input-format", "text", "--sink-base", scratch, "--preview", "0"]
     assert cli.main(args, spark) == 0
     assert spark.read.parquet(os.path.join(scratch, "daily_trend")).count() == 30
+
+
+def test_dual_path_document_archive_fails_loudly_without_connector(spark, scratch):
+    topic = event_topic(spark, SF)
+    args = ["dual-path", "t", "--input-path", topic, "--checkpoint", os.path.join(scratch, "ck"),
+            "--archive-mongo-db", "social_media_db", "--publish-path", os.path.join(scratch, "p"), "--available-now"]
+    with pytest.raises(Exception):
+        cli.main(args, spark)
