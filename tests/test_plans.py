@@ -65,3 +65,13 @@ def test_explain_summary_tool(spark):
     line = summarize(plan_text(E.queries()["top_tweeters_top10"](spark, SF)))
     assert "json_parses=1 hash_shuffles=1 range_shuffles=0 top_n=1 broadcasts=0" in line
     assert "scans=struct<value:binary>" in line
+
+
+def test_every_query_reads_only_data_derived_from_the_events_table(spark, capsys):
+    for name, query in E.queries().items():
+        text = plan_text(query(spark, SF), capsys)
+        locations = re.findall(r"Location: \w+ \[([^\]]*)\]", text)
+        assert locations, name
+        for loc in locations:
+            # the published events topic, or tables Spark derived from it in the shared folder
+            assert "chirpstat-topics" in loc or "/chirpstat/" in loc, (name, loc)
