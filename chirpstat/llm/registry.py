@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chirpstat.llm.langid import op2_langid
+from chirpstat.llm.quality_rules import OP4_SQL, op4_line_cleaning
+from chirpstat.llm.quality_zstd import op8_quality_zstd
 from chirpstat.llm.token_dac import op1_token_dac
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_dac": op1_token_dac,
+    "op2_langid": op2_langid,
+    "op4_line_cleaning": op4_line_cleaning,
+    "op8_quality_zstd": op8_quality_zstd,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_cleaning": OP4_SQL,
+}
