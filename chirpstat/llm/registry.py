@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chirpstat.llm.html_main import op6_html_main
 from chirpstat.llm.langid import op2_langid
+from chirpstat.llm.mixing import op7_mixing
 from chirpstat.llm.quality_rules import OP4_SQL, op4_line_cleaning
 from chirpstat.llm.quality_zstd import op8_quality_zstd
 from chirpstat.llm.token_dac import op1_token_dac
@@ -15,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_dac": op1_token_dac,
     "op2_langid": op2_langid,
     "op4_line_cleaning": op4_line_cleaning,
+    "op6_html_main": op6_html_main,
+    "op7_mixing": op7_mixing,
     "op8_quality_zstd": op8_quality_zstd,
 }
 
