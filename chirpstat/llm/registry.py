@@ -11,6 +11,7 @@ from chirpstat.llm.langid import op2_langid
 from chirpstat.llm.mixing import op7_mixing
 from chirpstat.llm.quality_rules import OP4_SQL, op4_line_cleaning
 from chirpstat.llm.quality_zstd import op8_quality_zstd
+from chirpstat.llm.suffix_dedup import op10_suffix_dedup
 from chirpstat.llm.token_dac import op1_token_dac
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_main": op6_html_main,
     "op7_mixing": op7_mixing,
     "op8_quality_zstd": op8_quality_zstd,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
