@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,73 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """doc_id, text and doc: a number in the order of the documents.
+
+    It is the id itself where ids are unique and not null. Otherwise rows with
+    equal id and text have one number, other rows of one id are ordered by a
+    hash of the text, and null ids come first.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    odd = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("doc_id").isNull())
+    if odd.isEmpty():
+        return rows.withColumn("doc", F.col("doc_id"))
+    named = rows.withColumn("t", F.xxhash64("text"))
+    order = named.select("doc_id", "t").distinct().repartitionByRange("doc_id", "t").sortWithinPartitions("doc_id", "t")
+    order = land(order.withColumn("doc", F.monotonically_increasing_id()), "document-order")
+    joined = named.alias("r").join(order.alias("o"), F.expr("r.doc_id <=> o.doc_id AND r.t = o.t"))
+    return joined.select("r.doc_id", "r.text", "o.doc")
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], key: str, least: int = 20_000) -> Iterator[pd.DataFrame]:
+    """Frames of at least about `least` rows, cut between groups, from a partition sorted by `key`.
+
+    A frame holds every row of its keys, so memory is bounded by `least` and by
+    the largest group; callers keep groups bounded.
+    """
+    held: list[pd.DataFrame] = []
+    n = 0
+    for batch in batches:
+        for lo in range(0, len(batch), least):
+            held.append(batch.iloc[lo : lo + least])
+            n += len(held[-1])
+            if n < least:
+                continue
+            rows = pd.concat(held, ignore_index=True)
+            keys = rows[key].to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))
+            held = [rows.iloc[cut:]]
+            n = len(held[0])
+            if cut:
+                yield rows.iloc[:cut].reset_index(drop=True)
+            else:  # one group so far: gather twice as much before looking again
+                least *= 2
+    if n:
+        yield pd.concat(held, ignore_index=True)
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """(node, label): the smallest node of each connected component of edges (a, b), by alternating stars.
+
+    Every round lands its edges in the shared folder. Nodes with many edges
+    only take part in minima and in joins that Spark may split.
+    """
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges, state = land(edges, name), None
+    while True:
+        now = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
+        if tuple(now) == state:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+        state = tuple(now)
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        down = land(large, name)
+        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        small = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = land(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), name)
+
+
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32(doc_id as text) mod modulus; null ids have no remainder (null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

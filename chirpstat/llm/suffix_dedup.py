@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.llm.common import land, mix64, table
+from chirpstat.llm.common import land, mix64, numbered, table, whole_groups
 
 LENGTH = 100
 GRAM = 32
@@ -171,18 +171,8 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         take = repeated | (first & many)
         return pd.DataFrame({"doc": rows["doc"][take], "off": rows["off"][take], "h": rows["h"][take], "open": ~repeated[take]})
 
-    rest = None
-    for batch in batches:
-        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        if not len(rows):
-            continue
-        key = rows["key"].to_numpy()
-        cut = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
-        rest = rows.iloc[cut:].reset_index(drop=True)
-        if cut:
-            yield judge(rows.iloc[:cut].reset_index(drop=True))
-    if rest is not None and len(rest):
-        yield judge(rest)
+    for rows in whole_groups(batches, "key"):
+        yield judge(rows)
 
 
 def _unpack(data: bytes) -> bytes:
@@ -251,22 +241,8 @@ def _refine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hit[at[later], x[later]] = True
         return _spans(doc, off, hit)
 
-    held: list[pd.DataFrame] = []
-    n = 0
-    for batch in batches:
-        for lo in range(0, len(batch), 20_000):
-            held.append(batch.iloc[lo : lo + 20_000])
-            n += len(held[-1])
-            if n >= 40_000:
-                rows = pd.concat(held, ignore_index=True)
-                h = rows["h"].to_numpy()
-                cut = int(np.searchsorted(h, h[-1]))
-                held = [rows.iloc[cut:]]
-                n = len(held[0])
-                if cut:
-                    yield judge(rows.iloc[:cut].reset_index(drop=True))
-    if n:
-        yield judge(pd.concat(held, ignore_index=True))
+    for rows in whole_groups(batches, "h"):
+        yield judge(rows)
 
 
 def _string_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -317,21 +293,9 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "doc": batch["doc"], "body": bodies})
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """doc_id, text and doc: a number in the order of the documents (the id itself where ids are unique and not null)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    same = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("doc_id").isNull())
-    if same.isEmpty():
-        return rows.withColumn("doc", F.col("doc_id"))
-    named = rows.withColumn("t", F.xxhash64("text"))
-    order = named.select("doc_id", "t").distinct().repartitionByRange("doc_id", "t").sortWithinPartitions("doc_id", "t")
-    order = land(order.withColumn("doc", F.monotonically_increasing_id()), "dedup-order")
-    return named.alias("r").join(order.alias("o"), F.expr("r.doc_id <=> o.doc_id AND r.t = o.t")).select("r.doc_id", "r.text", "o.doc")
-
-
 def remove_repeats(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left) of every row of `docs`."""
-    rows = _numbered(docs)
+    rows = numbered(docs)
     sent = rows.select("doc", "text").mapInPandas(_candidates, CANDIDATES)
     settled = sent.repartition("key").sortWithinPartitions("key", "f", "doc", "off").mapInPandas(_settle, "doc long, off int, h long, open boolean")
     settled = land(settled, "dedup-settled")
