@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chirpstat.llm.html_main import op6_html_main
+from chirpstat.llm.jaccard_join import op9_jaccard_join
 from chirpstat.llm.langid import op2_langid
 from chirpstat.llm.mixing import op7_mixing
 from chirpstat.llm.quality_rules import OP4_SQL, op4_line_cleaning
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_main": op6_html_main,
     "op7_mixing": op7_mixing,
     "op8_quality_zstd": op8_quality_zstd,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
