@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chirpstat.llm.decontaminate import op3_decontaminate
 from chirpstat.llm.html_main import op6_html_main
 from chirpstat.llm.jaccard_join import op9_jaccard_join
 from chirpstat.llm.langid import op2_langid
@@ -18,6 +19,7 @@ from chirpstat.llm.token_dac import op1_token_dac
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_dac": op1_token_dac,
     "op2_langid": op2_langid,
+    "op3_decontaminate": op3_decontaminate,
     "op4_line_cleaning": op4_line_cleaning,
     "op6_html_main": op6_html_main,
     "op7_mixing": op7_mixing,
