@@ -30,12 +30,12 @@ is reported once at its best place, separate passages of one item apart.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirpstat.llm.common import Lookup, mix64, table
@@ -282,53 +282,58 @@ def matches(pattern: np.ndarray, text: np.ndarray, most: int) -> list[tuple[int,
     return out
 
 
-FOUND = "doc_id long, item_id long, begin int, n_words int, edits int"
+FOUND = "array<struct<item_id: long, begin: int, n_words: int, edits: int>>"
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """doc_id, item_id, begin (word), n_words and edits of every passage of `docs` that leaks an item."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def leaks(spark: SparkSession, benchmark: DataFrame, search: Search = Search(), block_items: int = BLOCK_ITEMS) -> list[Callable[[Column], Column]]:
+    """Column functions, one for each block of items: text -> the passages that leak an item of the block."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
     blocks = max(1, -(-items.count() // block_items))
     slot = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    found = None
+    out = []
     for block in range(blocks):
         own = sorted((r["item_id"] is None, r["item_id"] or 0, r["text"]) for r in items.where(slot == block).collect())
         index = Index([(None if null else i, words_of(t)) for null, i, t in own], search)
-        part = rows.mapInPandas(_searcher(spark.sparkContext.broadcast(index)), FOUND)
-        found = part if found is None else found.unionByName(part)
-    return found
+        out.append(_searcher(spark.sparkContext.broadcast(index)))
+    return out
 
 
-def _searcher(sent):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _searcher(sent) -> Callable[[Column], Column]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index: Index = sent.value
         numbers = Lookup(lambda w: index.vocabulary.get(w, -1))
-        ids: list = []
-        texts: list[np.ndarray] = []
-        held = 0
-
-        def search() -> pd.DataFrame:
-            found = [(ids[t], index.items[k][0], b, n, e) for t, k, b, n, e in index.find(texts)]
-            frame = pd.DataFrame(found, columns=["doc_id", "item_id", "begin", "n_words", "edits"])
-            for c in ("doc_id", "item_id"):
-                frame[c] = pd.array([None if x is None or x != x else int(x) for x in frame[c]], dtype="Int64")
-            return frame
-
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"], strict=True):
+            found: list[list[dict]] = [[] for _ in range(len(batch))]
+            texts: list[np.ndarray] = []
+            first = held = 0
+            for at, text in enumerate(batch):
                 words = words_of(text)
-                ids.append(doc_id)
                 texts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
                 held += len(words)
-                if held >= PIECE_WORDS:
-                    yield search()
-                    ids, texts, held = [], [], 0
-        if ids:
-            yield search()
+                if held >= PIECE_WORDS or at == len(batch) - 1:
+                    for t, k, begin, n, edits in index.find(texts):
+                        found[first + t].append({"item_id": index.items[k][0], "begin": begin, "n_words": n, "edits": edits})
+                    texts, first, held = [], at + 1, 0
+            yield pd.Series(found, dtype=object)
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, FOUND).asNondeterministic()
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """doc_id, item_id, begin (word), n_words and edits of every passage of `docs` that leaks an item."""
+    found = None
+    for leaked in leaks(docs.sparkSession, benchmark, search, block_items):
+        part = docs.select("doc_id", leaked(F.col("text")).alias("found")).select("doc_id", F.inline("found"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
 
-    return run
+def without_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """The rows of `docs` (all columns) that leak no item."""
+    for leaked in leaks(docs.sparkSession, benchmark, search, block_items):
+        docs = docs.where(F.size(leaked(F.col("text"))) == 0)
+    return docs
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

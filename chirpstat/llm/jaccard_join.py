@@ -109,7 +109,7 @@ def sketch(elements: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(doc_id, doc, text) -> the ids, n, two set fingerprints, the split places' hashes and the short sketch."""
+    """(doc_id, doc, text, t) -> the ids, t, n, two set fingerprints, the split places' hashes and the short sketch."""
     for batch in batches:
         out = []
         for doc, text in zip(batch["doc"].tolist(), batch["text"], strict=True):
@@ -118,8 +118,8 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             prints = (int(s.sum(dtype=np.uint64).view(np.int64)), int(mix64(s).sum(dtype=np.uint64).view(np.int64)))
             out.append((doc, len(s), *prints, low[:SPLIT_PLACES].view(np.int32).tolist(), (low & np.uint32(0xFFFF)).astype("<u2").tobytes()))
         frame = pd.DataFrame(out, columns=["doc", "n", "f1", "f2", "places", "sketch"])
-        frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-        frame["doc_id"] = frame["doc_id"].astype("Int64")
+        frame["doc_id"] = batch["doc_id"].astype("Int64").array
+        frame["t"] = batch["t"].to_numpy()
         yield frame
 
 
@@ -276,10 +276,10 @@ def _exact(threshold: float):
 
 
 def classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """doc_id, doc, class_id (the smallest doc of the class), rep and n_links of every row of `docs`."""
+    """doc_id, t (hash of the text), doc, class_id (the smallest doc of the class), rep and n_links of every row of `docs`."""
     rows = numbered(docs)
-    schema = "doc_id long, doc long, n int, f1 long, f2 long, places array<int>, sketch binary"
-    sketches = land(rows.select("doc_id", "doc", "text").mapInPandas(_sketches, schema), "sketches")
+    schema = "doc_id long, t long, doc long, n int, f1 long, f2 long, places array<int>, sketch binary"
+    sketches = land(rows.select("doc_id", "doc", "text", F.xxhash64("text").alias("t")).mapInPandas(_sketches, schema), "sketches")
     full = sketches.where("n > 0")
     reps = full.groupBy("n", "f1", "f2").agg(F.count("*").alias("copies"), F.min("doc").alias("rep"))
     reps = land(reps, "copies")
@@ -308,8 +308,19 @@ def classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
     result = result.select(
         "n", "f1", "f2", "rep", F.coalesce("label", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
     )
-    found = sketches.select("doc_id", "doc", "n", "f1", "f2").join(result, ["n", "f1", "f2"], "left")
-    return found.select("doc_id", "doc", F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("rep", "doc").alias("rep"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    found = sketches.select("doc_id", "t", "doc", "n", "f1", "f2").join(result, ["n", "f1", "f2"], "left")
+    return found.select("doc_id", "t", "doc", F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("rep", "doc").alias("rep"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """The rows of `docs` (all columns) that come first in their class, one row for each class."""
+    found = land(classes(docs, join).where(F.col("doc") == F.col("class_id")).select("doc_id", "t", "doc"), "first-of-class")
+    first = found.dropDuplicates(["doc"])
+    same = F.expr("d.doc_id <=> f.doc_id AND xxhash64(d.text) = f.t")
+    kept = docs.alias("d").join(first.alias("f"), same, "left_semi")
+    if found.count() > first.count():  # rows with equal id and text: one of them
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -205,7 +205,8 @@ def learn(rows: DataFrame, calibration: Column, per_language: int = ROWS_PER_LAN
     table_ = counted.pivot_table(index="gram", columns="lang", values="n", fill_value=0, aggfunc="sum")[languages]
     grams = utf8_rows(list(table_.index), ORDER)[0]
     model = build_model(languages, grams, table_.to_numpy(), len(np.unique(grams)))
-    judged = identify(sample.where(F.col("calibration")), model, extra=["lang"]).toPandas()
+    judge = verdicts(rows.sparkSession, model)
+    judged = sample.where(F.col("calibration")).select("lang", judge(F.col("text")).alias("v")).select("lang", "v.*").toPandas()
     judged = judged[judged["lang_pred"] != UNKNOWN]
     if len(judged):
         x = judged["margin"].to_numpy()
@@ -219,24 +220,26 @@ def learn(rows: DataFrame, calibration: Column, per_language: int = ROWS_PER_LAN
     return model
 
 
-def identify(docs: DataFrame, model: Model | None, extra: list[str] | None = None) -> DataFrame:
-    """doc_id, lang_pred, score, entropy (nats per character), margin, rejected (and `extra` columns) of each row.
+VERDICT = "lang_pred string, score double, entropy double, margin double, rejected boolean"
+
+
+def verdicts(spark: SparkSession, model: Model | None) -> Callable[[Column], Column]:
+    """A column function: text -> lang_pred, score, entropy (nats per character), margin, rejected.
 
     The margin is the lead over the second best language times the root of the
     length. Rejected: no letter, a score under 0.5, or an entropy nearer to that
     of guessing every character than to the largest seen in calibration.
     """
-    extra = extra or []
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the learning sample
+    sent = spark.sparkContext.broadcast(model)  # bounded by the learning sample
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = sent.value
         memo: dict[str, int] = {}
         scores = np.zeros((0, len(m.languages) if m else 0))
         for batch in batches:
-            for lo in range(0, len(batch), 200):
-                part = batch.iloc[lo : lo + 200]
-                words = [letter_words(t) for t in part["text"]]
+            parts = []
+            for lo in range(0, max(1, len(batch)), 200):
+                words = [letter_words(t) for t in batch.iloc[lo : lo + 200]]
                 if m:
                     seen = set().union(*words)
                     if len(memo) + len(seen) > MEMO_ENTRIES:
@@ -249,36 +252,26 @@ def identify(docs: DataFrame, model: Model | None, extra: list[str] | None = Non
                             grown[: len(memo) - len(new)] = scores[: len(memo) - len(new)]
                             scores = grown
                         scores[len(memo) - len(new) : len(memo)] = m.word_scores(new)
-                yield _verdicts(part, words, m, memo, scores, extra)
+                parts += [_verdict(own, m, memo, scores) for own in words]
+            frame = pd.DataFrame(parts, columns=["lang_pred", "score", "entropy", "margin", "rejected"])
+            yield frame.astype({"entropy": float, "margin": float, "score": float, "rejected": bool})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
-    kinds = "".join(f", {c} {t}" for c, t in docs.select(*extra).dtypes) if extra else ""
-    return rows.mapInPandas(run, "doc_id long, lang_pred string, score double, entropy double, margin double, rejected boolean" + kinds)
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(run, VERDICT).asNondeterministic()  # evaluated once, however often its fields are used
 
 
-def _verdicts(part: pd.DataFrame, words: list[list[str]], m: Model | None, memo: dict[str, int], scores: np.ndarray, extra: list[str]) -> pd.DataFrame:
-    out = []
-    uniform = -float(np.log(m.floor[0])) if m else 0.0
-    for own in words:
-        if not own or m is None:
-            out.append((UNKNOWN, 0.0, None, None, True))
-            continue
-        n = len(own) + sum(map(len, own))
-        entropy = -scores[np.fromiter(map(memo.__getitem__, own), np.int64, len(own))].sum(0) / n
-        best = int(entropy.argmin())
-        second = np.delete(entropy, best).min() if len(entropy) > 1 else entropy[best] + 1
-        margin = float((second - entropy[best]) * np.sqrt(n))
-        score = float(1 / (1 + np.exp(-np.clip(m.slope * margin + m.offset, -30, 30))))
-        far = m.worst is not None and entropy[best] > (m.worst[best] + uniform) / 2
-        out.append((m.languages[best], score, float(entropy[best]), margin, bool(score < 0.5 or far)))
-    frame = pd.DataFrame(out, columns=["lang_pred", "score", "entropy", "margin", "rejected"])
-    frame["entropy"] = frame["entropy"].astype(float)
-    frame["margin"] = frame["margin"].astype(float)
-    frame.insert(0, "doc_id", part["doc_id"].astype("Int64").to_numpy())
-    frame["doc_id"] = frame["doc_id"].astype("Int64")
-    for c in extra:
-        frame[c] = part[c].to_numpy()
-    return frame
+def _verdict(words: list[str], m: Model | None, memo: dict[str, int], scores: np.ndarray) -> tuple:
+    if not words or m is None:
+        return UNKNOWN, 0.0, None, None, True
+    n = len(words) + sum(map(len, words))
+    entropy = -scores[np.fromiter(map(memo.__getitem__, words), np.int64, len(words))].sum(0) / n
+    best = int(entropy.argmin())
+    second = np.delete(entropy, best).min() if len(entropy) > 1 else entropy[best] + 1
+    margin = float((second - entropy[best]) * np.sqrt(n))
+    score = float(1 / (1 + np.exp(-np.clip(m.slope * margin + m.offset, -30, 30))))
+    uniform = -float(np.log(m.floor[0]))
+    far = m.worst is not None and entropy[best] > (m.worst[best] + uniform) / 2
+    return m.languages[best], score, float(entropy[best]), margin, bool(score < 0.5 or far)
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,4 +279,5 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rest = id_remainder(F.col("doc_id"), 4)
     model = learn(docs.select("doc_id", "text", "lang").where(rest != 2), rest == 3)
-    return identify(docs, model).select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+    judged = docs.select("doc_id", (rest == 2).alias("held_out"), verdicts(spark, model)(F.col("text")).alias("v"))
+    return judged.select("doc_id", "held_out", "v.lang_pred", "v.score", "v.entropy", "v.rejected")
