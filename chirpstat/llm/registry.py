@@ -10,6 +10,7 @@ from chirpstat.llm.decontaminate import op3_decontaminate
 from chirpstat.llm.html_main import op6_html_main
 from chirpstat.llm.jaccard_join import op9_jaccard_join
 from chirpstat.llm.langid import op2_langid
+from chirpstat.llm.lm_scoring import op5_lm_scoring
 from chirpstat.llm.mixing import op7_mixing
 from chirpstat.llm.quality_rules import OP4_SQL, op4_line_cleaning
 from chirpstat.llm.quality_zstd import op8_quality_zstd
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_langid": op2_langid,
     "op3_decontaminate": op3_decontaminate,
     "op4_line_cleaning": op4_line_cleaning,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_html_main": op6_html_main,
     "op7_mixing": op7_mixing,
     "op8_quality_zstd": op8_quality_zstd,
