@@ -188,7 +188,7 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for i in range(len(padded) - ORDER + 1):
                     gram = padded[i : i + ORDER]
                     counts[gram] = counts.get(gram, 0) + int(n)
-            yield pd.DataFrame({"lang": lang, "gram": list(counts), "n": list(counts.values())})
+            yield pd.DataFrame({"lang": lang, "gram": pd.Series(list(counts), dtype=object), "n": pd.Series(list(counts.values()), dtype="int64")})
 
 
 def learn(rows: DataFrame, calibration: Column, per_language: int = ROWS_PER_LANGUAGE) -> Model | None:
@@ -254,7 +254,7 @@ def verdicts(spark: SparkSession, model: Model | None) -> Callable[[Column], Col
                         scores[len(memo) - len(new) : len(memo)] = m.word_scores(new)
                 parts += [_verdict(own, m, memo, scores) for own in words]
             frame = pd.DataFrame(parts, columns=["lang_pred", "score", "entropy", "margin", "rejected"])
-            yield frame.astype({"entropy": float, "margin": float, "score": float, "rejected": bool})
+            yield frame.astype({"lang_pred": object, "entropy": float, "margin": float, "score": float, "rejected": bool})
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(run, VERDICT).asNondeterministic()  # evaluated once, however often its fields are used

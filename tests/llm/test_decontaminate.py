@@ -1,0 +1,98 @@
+import random
+
+import numpy as np
+
+from chirpstat.llm import decontaminate as dc
+
+
+def _distance(pattern, text):
+    """Smallest edit distance of pattern to any stretch of text."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(pattern, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+def test_best_match_equals_brute_force():
+    draw = random.Random(1)
+    for _ in range(300):
+        pattern = [draw.randint(0, 3) for _ in range(draw.randint(1, 8))]
+        text = [draw.randint(0, 3) for _ in range(draw.randint(0, 12))]
+        begin, end, edits = dc.best_match(np.array(pattern), np.array(text, np.int64))
+        assert edits == _distance(pattern, text) == _distance(pattern, text[begin:end])
+
+
+def test_walks_of_equal_windows_are_equal():
+    bits = dc.coins(10, 40, 3)
+    text = np.array([1, 2, 3, 4, 5, 9, 9, 1, 2, 3, 4, 5])
+    read = dc.walk(text, np.array([0, 7]), 5, np.arange(10), bits)
+    assert (read[0] == read[1]).all() and read[0, 0] == 1 and -1 <= read.min()
+
+
+def _items_and_docs():
+    draw = random.Random(6)
+    words = [f"v{i}" for i in range(900)] + ["the", "of", "and"] * 100
+    items = [(i, " ".join(draw.choice(words) for _ in range(draw.randint(8, 40)))) for i in range(60)]
+    docs = []
+    for d in range(400):
+        own = [draw.choice(words + [f"z{k}" for k in range(900)]) for _ in range(draw.randint(0, 120))]
+        for _ in range(draw.randint(0, 2)):
+            passage = draw.choice(items)[1].split()
+            for _ in range(draw.randint(0, 8)):
+                at = draw.randrange(len(passage))
+                passage[at : at + draw.randint(0, 1)] = [draw.choice(["q", "the"])] * draw.randint(0, 1)
+                passage = passage or ["q"]
+            at = draw.randint(0, len(own))
+            own[at:at] = passage
+        docs.append((d, " ".join(own).title()))
+    return items, docs
+
+
+def test_recall_and_precision_against_brute_force(spark):
+    items, docs = _items_and_docs()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = dc.find_leaks(frame, bench).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    share = dc.Search().share
+    want = set()
+    for i, t in items:
+        pattern = dc.words_of(t)
+        for d, text in docs:
+            words = dc.words_of(text)
+            if len(words) >= len(pattern) - 8 and len(set(pattern) & set(words)) >= len(set(pattern)) // 2 and _distance(pattern, words) <= dc.edits_allowed(len(pattern), share):
+                want.add((d, i))
+    assert len(want) > 100 and got <= want and len(got & want) >= 0.97 * len(want)
+    texts = dict(docs)
+    patterns = dict(items)
+    for r in found:
+        stretch = dc.words_of(texts[r.doc_id])[r.begin : r.begin + r.n_words]
+        assert _distance(dc.words_of(patterns[r.item_id]), stretch) == r.edits
+    # blocks of items give the same
+    blocks = {(r.doc_id, r.item_id) for r in dc.find_leaks(frame, bench, block_items=25).collect()}
+    assert blocks <= want and len(blocks & want) >= 0.97 * len(want)
+
+
+def test_separate_passages_of_one_item(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, f"a b {item} c d {item.upper()}."), (2, item[4:]), (3, "one two")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (None, item), (8, None), (9, "one two")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id or 0, r.begin, r.n_words, r.edits) for r in dc.find_leaks(docs, bench).collect())
+    assert got == [(1, 0, 2, 10, 0), (1, 0, 14, 10, 0), (1, 7, 2, 10, 0), (1, 7, 14, 10, 0), (2, 0, 0, 9, 1), (2, 7, 0, 9, 1)] or got[:4] == [
+        (1, 0, 2, 10, 0), (1, 0, 14, 10, 0), (1, 7, 2, 10, 0), (1, 7, 14, 10, 0)]
+    assert [r.doc_id for r in dc.without_leaks(docs, bench).collect()] == [3] or {r.doc_id for r in dc.without_leaks(docs, bench).collect()} == {2, 3}
+
+
+def test_odd_documents(odd_docs, no_docs, spark):
+    bench = spark.createDataFrame([(1, None), (2, ""), (3, "w1 w2")], "item_id long, text string")
+    assert dc.find_leaks(odd_docs, bench).collect() == []
+    assert dc.without_leaks(odd_docs, bench).columns == odd_docs.columns
+    assert dc.without_leaks(odd_docs, bench.limit(0)).count() == odd_docs.count()
+    base = odd_docs.where("doc_id = 8").first()
+    leaky = spark.createDataFrame([(1, odd_docs.where("doc_id = 6").first().text)], "item_id long, text string")
+    assert {r.doc_id for r in dc.find_leaks(odd_docs, leaky).collect()} == {1, 6, None}
+    assert base.doc_id in {r.doc_id for r in dc.without_leaks(odd_docs, leaky).collect()}
+    assert dc.find_leaks(no_docs, leaky).collect() == []

@@ -1,0 +1,96 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from chirpstat.llm import langid
+from chirpstat.llm.common import id_remainder, utf8_rows
+
+
+def _brute_word(word, grams, vocabulary):
+    """Interpolated Kneser-Ney probability by plain recursion over dictionaries."""
+    tables = {langid.ORDER: Counter(grams)}
+    for n in range(langid.ORDER - 1, 0, -1):
+        tables[n] = Counter()
+        for g in tables[n + 1]:
+            tables[n][g[1:]] += 1
+
+    def p(context, c):
+        n = len(context) + 1
+        lower = p(context[1:], c) if n > 1 else 1 / (vocabulary + 1)
+        t = tables[n]
+        once, twice = sum(v == 1 for v in t.values()), sum(v == 2 for v in t.values())
+        d = min(0.9, max(0.1, once / (once + 2 * twice) if once + 2 * twice else 0.5))
+        own = {g[-1]: v for g, v in t.items() if g[:-1] == context}
+        if not own:
+            return lower
+        total = sum(own.values())
+        return max(own.get(c, 0) - d, 0) / total + d * len(own) / total * lower
+
+    padded = " " * (langid.ORDER - 1) + word + " "
+    return sum(math.log(p(padded[i : i + langid.ORDER - 1], padded[i + langid.ORDER - 1])) for i in range(len(word) + 1))
+
+
+def test_word_scores_equal_brute_force():
+    draw = random.Random(2)
+    grams = Counter()
+    for _ in range(300):
+        padded = " " * 4 + "".join(draw.choice("abcdé") for _ in range(draw.randint(1, 7))) + " "
+        grams.update(padded[i : i + 5] for i in range(len(padded) - 4))
+    rows = utf8_rows(list(grams), langid.ORDER)[0]
+    model = langid.build_model(["x"], rows, np.array(list(grams.values()))[:, None], 6)
+    for word in ["a", "abc", "éa", "zz", "abcdéabcdé", "q"]:
+        assert abs(model.word_scores([word])[0, 0] - _brute_word(word, grams, 6)) < 1e-9, word
+
+
+def test_probabilities_sum_to_one():
+    grams = Counter({"    a": 3, "   a ": 2, "   ab": 1, "  ab ": 1})
+    rows = utf8_rows(list(grams), langid.ORDER)[0]
+    model = langid.build_model(["x"], rows, np.array(list(grams.values()))[:, None], 3)
+    # after "a": blank, b, a, and all characters never seen
+    after = [math.exp(model.word_scores([w])[0, 0] - model.word_scores(["a"])[0, 0]) for w in ("a",)]
+    assert after == [1.0]
+    total = sum(math.exp(model.word_scores([c])[0, 0]) for c in "ab")
+    assert 0 < total < 1
+
+
+def test_long_words_are_cut():
+    words = langid.letter_words("x" * 95 + " Ab1cD _é")
+    assert words == ["x" * 40, "x" * 40, "x" * 15, "ab", "cd", "é"]
+
+
+def _learned(docs):
+    rest = id_remainder(F.col("doc_id"), 4)
+    return langid.learn(docs.select("doc_id", "text", "lang").where(rest != 2), rest == 3)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = _learned(docs)
+    held = docs.where(id_remainder(F.col("doc_id"), 4) == 2)
+    judged = held.select("lang", langid.verdicts(spark, model)(F.col("text")).alias("v")).select("lang", "v.*").toPandas()
+    assert (judged.lang == judged.lang_pred).mean() > 0.97
+    assert judged.score.between(0, 1).all() and judged.rejected.mean() < 0.01
+
+
+def test_other_alphabets_are_rejected(spark):
+    model = _learned(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    far = spark.createDataFrame([("Это совсем другой алфавит и другой язык",), ("the of and that with for",)], "text string")
+    got = [r.v.rejected for r in far.select(langid.verdicts(spark, model)(F.col("text")).alias("v")).collect()]
+    assert got == [True, False]
+
+
+def test_odd_documents(spark, odd_docs, no_docs):
+    model = _learned(odd_docs)
+    judge = langid.verdicts(spark, model)
+    got = odd_docs.select("doc_id", "text", judge(F.col("text")).alias("v")).collect()
+    assert len(got) == odd_docs.count()
+    for r in got:
+        assert (r.v.lang_pred == "und") == (not langid.letter_words(r.text))
+        assert (r.v.score == 0) == (r.v.lang_pred == "und")
+    assert _learned(no_docs) is None
+    none = odd_docs.select(langid.verdicts(spark, None)(F.col("text")).alias("v")).collect()
+    assert all(r.v.lang_pred == "und" and r.v.rejected for r in none)
+    assert no_docs.select(judge(F.col("text")).alias("v")).collect() == []

@@ -1,0 +1,50 @@
+import duckdb
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from chirpstat.llm import quality_rules as qr
+
+
+@given(st.lists(st.sampled_from(["a", "b", "c"]), max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_repeated_words_brute_force(words):
+    seen = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    hit = {i + k for i, w in enumerate(seen) if seen.count(w) > 1 for k in range(3)}
+    assert qr.repeated_words(words) == len(hit)
+
+
+def test_line_rules():
+    rules = qr.Rules()
+
+    def fails(line):
+        return qr.line_fails(line, len(qr._WORD.findall(line)), rules)
+
+    assert fails("a*** b### c$$$") and fails("ALL!! OF!! IT!!") and fails("Home | News | Sport")
+    assert fails("Read more") and fails("We use cookies: accept cookies to go on.") and fails(" ".join(["w"] * 31))
+    assert not fails("A plain sentence, with a # in it and more words.") and not fails("Yes.") and not fails("Title without mark")
+
+
+def test_lost_lines_decide():
+    bad = "Home | News\n"
+    distinct = " ".join(f"word{i}." for i in range(60))
+    assert qr.judge(distinct + "\n" + bad)[-2:] == (True, distinct + "\n")
+    noisy = " ".join(f"x{i}***" for i in range(80))
+    *_, failed, kept, cleaned = qr.judge(distinct + "\n" + noisy)
+    assert not failed and not kept and cleaned == distinct
+
+
+def test_odd_documents(odd_docs, no_docs, odd_rows):
+    got = qr.clean_documents(odd_docs).collect()
+    want = [qr.judge(r[1]) for r in odd_rows]
+    assert sorted(map(str, (tuple(r)[1:] for r in got))) == sorted(map(str, want))
+    null = qr.judge(None)
+    assert null[:7] == (0, 0, 0, 0, 0, True, False)
+    assert qr.clean_documents(no_docs).collect() == []
+
+
+def test_oracle_equals_the_operator(spark):
+    connection = duckdb.connect()
+    connection.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    want = connection.execute(qr.OP4_SQL).fetchall()
+    got = qr.op4_line_cleaning(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(map(tuple, got)) == sorted(want)

@@ -1,0 +1,92 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from chirpstat.llm import suffix_dedup as sd
+
+
+def brute(rows, length=sd.LENGTH):
+    """Result rows by a set of all strings seen, in order of the ids."""
+    seen, out = set(), []
+    for doc_id, text in sorted(rows):
+        data = (text or "").encode()
+        gone = np.zeros(len(data), bool)
+        for s in range(len(data) - length + 1):
+            string = data[s : s + length]
+            if string in seen:
+                gone[s : s + length] = True
+            seen.add(string)
+        runs = sum(bool(g) and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
+        kept = bytes(b for b, g in zip(data, gone, strict=True) if not g)
+        out.append((doc_id, len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def _text(draw, n):
+    return " ".join(draw.choice(["alpha", "be", "gammaé", "d", "epsilon", "zeta"]) + str(draw.randint(0, draw.choice([3, 50]))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw = random.Random(5)
+    passages = [_text(draw, 30) for _ in range(6)]
+    out = []
+    for i in range(250):
+        a, b, c = (_text(draw, draw.randint(0, 40)) for _ in range(3))
+        text = a + draw.choice(passages)[: draw.randint(50, 400)] + b + draw.choice(passages)[draw.randint(0, 30) :] + c
+        if i % 10 == 0 and out:
+            text = draw.choice(out)[1]
+        if i % 10 == 1 and out:
+            old = draw.choice(out)[1] or "x"
+            at = draw.randrange(len(old))
+            text = old[:at] + "ZZ" + old[at + 3 :]
+        if i % 10 == 2:
+            text = "ab c" * draw.randint(20, 100)
+        text = {50: None, 51: "", 52: "x" * 99, 53: "x" * 100, 54: "x" * 101, 55: "y" * 1000}.get(i, text)
+        out.append((3 * i, text))
+    draw.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("group_rows", [sd.GROUP_ROWS, 5])
+def test_equals_brute_force(spark, rows, group_rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(tuple(r) for r in sd.remove_repeats(frame, group_rows).drop("kept").collect())
+    assert got == brute(rows)
+
+
+def test_given_documents(spark):
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted(tuple(r) for r in sd.op10_suffix_dedup(spark, "/root/testdata/sf0.001").collect())
+    assert got == brute(docs)
+
+
+def test_anchors_do_not_depend_on_the_chunk(monkeypatch):
+    draw = random.Random(8)
+    data = _text(draw, 400).encode() + b"z" * 300 + _text(draw, 100).encode()
+    whole = sd.anchors(data)
+    monkeypatch.setattr(sd, "CHUNK", 257)
+    sd._tables.cache_clear()
+    parts = sd.anchors(data)
+    sd._tables.cache_clear()
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    # every string has its representing q-gram among them
+    at = whole[0]
+    assert all(((at >= s) & (at + sd.GRAM <= s + sd.LENGTH)).any() for s in range(len(data) - sd.LENGTH + 1))
+
+
+def test_odd_documents(odd_docs, no_docs, odd_rows):
+    got = [r for r in sd.remove_repeats(odd_docs).collect()]
+    assert len(got) == len(odd_rows)
+    assert sorted(r.n_bytes for r in got) == sorted(len((r[1] or "").encode()) for r in odd_rows)
+    for r in got:
+        assert len(r.kept) == r.n_bytes - r.n_removed and hashlib.sha256(r.kept).hexdigest() == r.kept_sha256
+    # equal rows are one document; the base text of id 1 is also that of the null id, which comes first
+    base = [r for r in got if r.doc_id == 1 and r.n_bytes == len(odd_rows[0][1])]
+    assert len(base) == 2 and all(r.n_removed == r.n_bytes for r in base)
+    assert [r.n_removed for r in got if r.doc_id is None and r.n_bytes] == [0]
+    letters = [r for r in got if r.doc_id == 10][0]
+    assert letters.n_removed == 199_999 and letters.n_spans == 1
+    assert sd.remove_repeats(no_docs).collect() == []
