@@ -18,16 +18,14 @@ from pyspark.sql.types import (
 
 # --- Fixed values: the tweet message contract -------------------------------
 # Field names, order and types of one tweet message, every field nullable.
-METRIC_FIELDS = (
-    "retweet_count",
-    "reply_count",
-    "like_count",
-    "quote_count",
-    "impression_count",
-)
-
 PUBLIC_METRICS_SCHEMA = StructType(
-    [StructField(name, IntegerType(), True) for name in METRIC_FIELDS]
+    [
+        StructField("retweet_count", IntegerType(), True),
+        StructField("reply_count", IntegerType(), True),
+        StructField("like_count", IntegerType(), True),
+        StructField("quote_count", IntegerType(), True),
+        StructField("impression_count", IntegerType(), True),
+    ]
 )
 
 TWEET_SCHEMA = StructType(

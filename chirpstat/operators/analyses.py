@@ -189,22 +189,21 @@ def author_stats(
 
 
 def top_tweeters_from_stats(stats: DataFrame) -> DataFrame:
-    return stats.select(*AUTHOR_KEYS, TWEET_COUNT).orderBy(*top_tweeters_order())
+    """Unordered, for a table sink (order: `top_tweeters_order`)."""
+    return stats.select(*AUTHOR_KEYS, TWEET_COUNT)
 
 
 def famous_top_tweeters_from_stats(stats: DataFrame) -> DataFrame:
-    return stats.select(*AUTHOR_KEYS, MAX_FOLLOWERS, TWEET_COUNT).orderBy(*famous_order())
+    """Unordered, for a table sink (order: `famous_order`)."""
+    return stats.select(*AUTHOR_KEYS, MAX_FOLLOWERS, TWEET_COUNT)
 
 
 def low_follower_activity_from_stats(stats: DataFrame) -> DataFrame:
-    return (
-        stats.filter(F.col("low_rows") > 0)
-        .select(
-            *AUTHOR_KEYS,
-            F.col("low_max_followers").alias(MAX_FOLLOWERS),
-            F.col("low_tweets").alias(TWEET_COUNT),
-        )
-        .orderBy(*low_follower_order())
+    """Unordered, for a table sink (order: `low_follower_order`)."""
+    return stats.filter(F.col("low_rows") > 0).select(
+        *AUTHOR_KEYS,
+        F.col("low_max_followers").alias(MAX_FOLLOWERS),
+        F.col("low_tweets").alias(TWEET_COUNT),
     )
 
 

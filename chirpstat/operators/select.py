@@ -1,16 +1,23 @@
 """Row selections: one user's timeline and a text search, newest first, at most n.
 
-Both are a filter followed by a bounded top-n (TakeOrderedAndProject): every
-task keeps at most n rows, so the work is one pass over the input and nothing
-proportional to the data reaches the driver. Over a columnar snapshot the
-equality and language predicates are pushed into the Parquet scan.
+Up to MERGED_ROWS rows, a filter and a top-n (TakeOrderedAndProject): every task
+keeps at most n rows, and one task merges them. For a larger n that merge would
+not scale; there the matching rows are landed in range-sorted parts, and only as
+many parts are read as hold the newest n (see `newest`). Both give the same
+rows. Over a columnar snapshot the equality and language predicates are pushed
+into the Parquet scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chirpstat.operators.quality import valid_tweets
+from chirpstat.session import land, remove_path, scratch_path
+
 # --- Fixed values: stand-in for the API-side retweet test ---------------------
 # The tweet schema has no retweet flag; a retweet's text starts with this.
 RETWEET_PREFIX = "RT @"
@@ -18,8 +25,38 @@ RETWEET_PREFIX = "RT @"
 SELECT_COLUMNS = ("id", "created_at", "text")
 
 
-def _newest_first(df: DataFrame) -> DataFrame:
-    return df.orderBy(F.col("created_at").desc_nulls_last(), F.col("id").desc_nulls_last())
+#: Largest n that one task merges.
+MERGED_ROWS = 10_000
+
+
+def _newest_order() -> list[Column]:
+    return [F.col("created_at").desc_nulls_last(), F.col("id").desc_nulls_last()]
+
+
+def newest(df: DataFrame, n: int, columns: Sequence[str], merged_rows: int = MERGED_ROWS) -> DataFrame:
+    """The newest n rows (ties broken by id), `columns` only.
+
+    Up to `merged_rows` they come in order. Beyond, the rows of `df` are landed
+    once, dealt by ranges of (time, id) and sorted in each part; the parts are
+    counted, and the result is all rows of the leading parts and the first rows
+    of the part in which the n-th lies. No task holds more than a part, the
+    driver gets one count per part, and the rows come in no order.
+    """
+    if n <= merged_rows:
+        return df.orderBy(*_newest_order()).select(*columns).limit(n)
+    keys = list(dict.fromkeys([*columns, "created_at", "id"]))
+    parts = df.select(*keys).repartitionByRange(*_newest_order()).sortWithinPartitions(*_newest_order())
+    spark = df.sparkSession
+    # the upper bits of this number are the part, the lower ones the place in it
+    landed = land(parts.withColumn("_place", F.monotonically_increasing_id()), spark, "newest")
+    part = F.shiftright("_place", 33)
+    left = n
+    for r in landed.groupBy(part.alias("part")).count().orderBy("part").collect():
+        if r["count"] >= left:
+            last = (r["part"] << 33) + left
+            return landed.where(F.col("_place") < F.lit(last)).select(*columns)
+        left -= r["count"]
+    return landed.select(*columns)
 
 
 # Rows per file of the author-ordered table: files (and their row-group
@@ -32,27 +69,37 @@ def write_by_author(
 ) -> None:
     """Write typed tweets as Parquet laid out for timeline lookups.
 
-    Rows are range-partitioned and sorted by (author_username, created_at,
-    id), so every file and row group covers a narrow, ordered slice of
-    authors. A later `user_timeline` over this table pushes
+    Valid rows (with an id; the others, unparsable messages among them, would
+    share one key) are range-partitioned and sorted by (author_username,
+    created_at, id), so every file and row group covers a narrow, ordered slice
+    of authors. A later `user_timeline` over this table pushes
     `author_username = u` into the Parquet scan and skips row groups by their
     min/max statistics instead of reading every tweet. The time and id keys
     let the range partitioner split an author holding a third of all rows
     over many files instead of one task.
 
+    The range bounds are sampled from the input, so the tweets are landed
+    first: the messages behind them are read and parsed once.
+
     `partitions` (default: `spark.sql.shuffle.partitions`) should be sized to
     the data, about one per few hundred MB; `rows_per_file` caps each file
     either way (a partition's consecutive files keep their order).
     """
     keys = ["author_username", "created_at", "id"]
-    n = partitions or int(tweets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
-        tweets.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", rows_per_file)
-        .parquet(path)
-    )
+    spark = tweets.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged = scratch_path(spark, "by-author")
+    try:
+        (
+            land(valid_tweets(tweets), spark, "by-author", staged)
+            .repartitionByRange(n, *keys)
+            .sortWithinPartitions(*keys)
+            .write.mode("overwrite")
+            .option("maxRecordsPerFile", rows_per_file)
+            .parquet(path)
+        )
+    finally:
+        remove_path(spark, staged)
 
 
 def user_timeline(
@@ -60,7 +107,7 @@ def user_timeline(
 ) -> DataFrame:
     """The user's newest n tweets (ties broken by id, newest first)."""
     rows = df.filter(F.col("author_username") == F.lit(username))
-    return _newest_first(rows).select(*columns).limit(n)
+    return newest(rows, n, columns)
 
 
 def text_search(
@@ -85,4 +132,4 @@ def text_search(
         cond = cond & (F.col("lang") == F.lit(lang))
     if exclude_retweets:
         cond = cond & ~F.col("text").startswith(F.lit(RETWEET_PREFIX))
-    return _newest_first(df.filter(cond)).select(*columns).limit(n)
+    return newest(df.filter(cond), n, columns)

@@ -1,13 +1,13 @@
 """Command-line entry for the jobs, selections and streams (for `spark-submit`).
 
     spark-submit --py-files chirpstat.zip chirpstat/plans/cli.py \
-        user-analysis raw-tweets-stream --bootstrap-servers broker:9092 --mongo-db social_media_db
+        user-analysis raw-tweets-stream --bootstrap-servers broker:9092 --mongo-db tweet_results
     spark-submit --py-files chirpstat.zip chirpstat/plans/cli.py \
         daily-trend raw-tweets-stream --bootstrap-servers broker:9092
     spark-submit ... cli.py stream-daily-trend raw-tweets-stream --bootstrap-servers broker:9092 \
         --checkpoint /shared/ck/daily --sink-base /shared/results --trigger-seconds 60
     spark-submit ... cli.py stream-top-tweeters raw-tweets-stream --bootstrap-servers broker:9092 \
-        --checkpoint /shared/ck/top --mongo-db social_media_db     # update mode, keyed upserts
+        --checkpoint /shared/ck/top --mongo-db tweet_results     # update mode, keyed upserts
     spark-submit ... cli.py dual-path raw-tweets-stream --bootstrap-servers broker:9092 \
         --checkpoint /shared/ck/dual --archive-path /shared/archive --publish-topic tweets-copy
     spark-submit ... cli.py timeline raw-tweets-stream --bootstrap-servers broker:9092 --user someone
@@ -39,17 +39,20 @@ from chirpstat.functions.schema import (
     RAW_MESSAGE_SCHEMA,
     SEARCH_FIELDS,
     TIMELINE_FIELDS,
+    TWEET_SCHEMA,
 )
-from chirpstat.operators.analyses import top_n
 from chirpstat.operators.quality import valid_tweets
-from chirpstat.operators.select import text_search, user_timeline, write_by_author
-from chirpstat.plans.jobs import plan_user_analysis, run_daily_trend
-from chirpstat.session import remove_path
+from chirpstat.operators.select import SELECT_COLUMNS, newest, text_search, user_timeline, write_by_author
+from chirpstat.plans.jobs import deliver, run_daily_trend, run_user_analysis
+from chirpstat.session import land
 from chirpstat.sources.io import Sink, mongo_sink, read_messages, read_topic, read_topic_stream, write_result
 from chirpstat.streaming import stream as S
 
 LOG = logging.getLogger("chirpstat")
 
+#: Most rows that a preview brings to the driver.
+PREVIEW_ROWS = 1000
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="chirpstat")
@@ -62,8 +65,9 @@ def _parser() -> argparse.ArgumentParser:
         src.add_argument("--input-path", help="folder of landed messages (Parquet with a `value` column)")
         s.add_argument("--input-format", choices=("parquet", "text"), default="parquet",
                        help="text: JSON-lines files, one message per line")
-        s.add_argument("--sink-base", help="write Parquet results under this folder")
-        s.add_argument("--mongo-db", help="write results as collections of this database")
+        out = s.add_mutually_exclusive_group()
+        out.add_argument("--sink-base", help="write Parquet results under this folder")
+        out.add_argument("--mongo-db", help="write results as collections of this database")
         s.add_argument("--mongo-uri")
         s.add_argument("--on-empty", choices=("skip", "overwrite"), default="skip")
         s.add_argument("--preview", type=int, default=10, help="rows of each result to show (0: none)")
@@ -92,7 +96,13 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--out", required=True, help="folder for the author-ordered tweet table")
         else:
             s.add_argument("--max-tweets", type=int, default=10)
+            s.add_argument("--preview", type=int, default=10, help="rows to show (0: none)")
             s.add_argument("--sink-base", help="also write the selection as Parquet under this folder")
+            s.add_argument("--archive-path", help="append the selected tweets to this raw-message archive")
+            out = s.add_mutually_exclusive_group()
+            out.add_argument("--publish-topic", help="publish the selected tweets (needs --publish-servers or --bootstrap-servers)")
+            out.add_argument("--publish-path", help="folder standing in for the output topic")
+            s.add_argument("--publish-servers")
     for name in ("stream-daily-trend", "stream-top-tweeters", "dual-path"):
         s = sub.add_parser(name)
         s.add_argument("topic")
@@ -180,22 +190,36 @@ def _run_stream(spark: SparkSession, args) -> int:
 
 def _run_select(spark: SparkSession, args) -> int:
     if args.job == "index-timelines":
-        write_by_author(valid_tweets(parse_tweets(_raw(spark, args))), args.out)
+        write_by_author(parse_tweets(_raw(spark, args)), args.out)
         return 0
+    servers = args.publish_servers or args.bootstrap_servers
+    if args.publish_topic and not servers:
+        raise SystemExit("--publish-topic needs --publish-servers or --bootstrap-servers")
+    delivers = bool(args.archive_path or args.publish_topic or args.publish_path)
     fields = TIMELINE_FIELDS if args.job == "timeline" else SEARCH_FIELDS
+    columns = tuple(TWEET_SCHEMA.fieldNames()) if delivers else SELECT_COLUMNS
     if args.table:
         tweets = spark.read.parquet(args.table)
     else:
-        tweets = valid_tweets(parse_tweets(_raw(spark, args), fields=fields))
+        tweets = valid_tweets(parse_tweets(_raw(spark, args), fields=None if delivers else fields))
     if args.job == "timeline":
-        result = user_timeline(tweets, args.user, args.max_tweets)
+        result = user_timeline(tweets, args.user, args.max_tweets, columns)
     else:
         result = text_search(
-            tweets, args.phrase, args.lang, not args.include_retweets, args.max_tweets, ignore_case=args.ignore_case
+            tweets, args.phrase, args.lang, not args.include_retweets, args.max_tweets, columns, ignore_case=args.ignore_case
+        )
+    # The selection runs once: what is shown and written comes from where it was landed.
+    if delivers:
+        messages = deliver(
+            spark, result, args.archive_path, publish_path=args.publish_path, bootstrap_servers=servers, topic=args.publish_topic
         )
-    result.show(args.max_tweets, truncate=False)
+        result = parse_tweets(messages)
+    else:
+        result = land(result, spark, args.job)
     if args.sink_base:
         write_result(result, args.job, Sink(base=args.sink_base, on_empty="overwrite"))
+    if args.preview:
+        newest(result, min(args.preview, PREVIEW_ROWS), SELECT_COLUMNS).show(min(args.preview, PREVIEW_ROWS), truncate=False)
     return 0
 
 
@@ -226,20 +250,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     sink = _sink(args)
 
     if args.job == "user-analysis":
-        plan = plan_user_analysis(spark, raw, args.fame_point, args.low_point)
-        counts = plan.counts.first()
-        LOG.info("%d records, %d without an id (left out)", counts["total"], counts["invalid"])
-        for name, df in plan.by_target().items():
-            if args.preview:
-                top_n(df, args.preview).show(truncate=False)
-            if sink is not None:
-                write_result(df, name, sink)
-        if not args.keep_snapshot:
-            for path in plan.snapshot_paths:
-                remove_path(spark, path)
+        run_user_analysis(
+            spark, raw, sink, args.fame_point, args.low_point, args.keep_snapshot, min(args.preview, PREVIEW_ROWS)
+        )
         return 0
 
-    run_daily_trend(spark, raw, sink, drop_invalid=args.drop_invalid, preview=args.preview)
+    run_daily_trend(spark, raw, sink, drop_invalid=args.drop_invalid, preview=min(args.preview, PREVIEW_ROWS))
     return 0
 
 

@@ -12,12 +12,13 @@ Shape of the user-analysis plan, chosen for very large topics:
 
 So the tweets are parsed once, scanned twice in full (flag write, aggregate)
 plus once for the id column (invalid count), and shuffled once, instead of
-being re-read and re-parsed for every action. The snapshot is removed from
-the shared folder once every result is written.
+being re-read and re-parsed for every action. The results go to their sink
+unordered, as a table keeps no order. The snapshot is removed from the shared
+folder when the job ends, whether it succeeds or fails.
 
-The daily job parses only `created_at`, the retweet count and `id`, and one
-per-day aggregate (totals over all rows and over rows with an id) yields the
-invalid-record log line and either form of the result.
+The daily job parses only `created_at`, the retweet count and `id`; one per-day
+aggregate (totals over all rows and over rows with an id) is landed, and yields
+the invalid-record log line and either form of the result.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.functions.parse import parse_tweets
+from chirpstat.functions.parse import encode_json, parse_tweets
 from chirpstat.functions.schema import (
     DAILY_FIELDS,
     FAME_POINT,
@@ -37,8 +38,8 @@ from chirpstat.functions.schema import (
 )
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
-from chirpstat.session import cached, land, remove_path, scratch_path
-from chirpstat.sources.io import Sink, write_result
+from chirpstat.session import land, remove_path, scratch_path
+from chirpstat.sources.io import Sink, archive_raw, publish, write_result
 
 LOG = logging.getLogger(__name__)
 
@@ -68,6 +69,14 @@ class UserAnalysis:
         )
 
 
+#: How the per-author results are ordered where they are shown.
+_ORDERS = {
+    "top_tweeters": A.top_tweeters_order,
+    "famous_top_tweeters": A.famous_order,
+    "low_follower_activity_tweeters": A.low_follower_order,
+}
+
+
 def plan_user_analysis(
     spark: SparkSession,
     raw: DataFrame,
@@ -77,20 +86,26 @@ def plan_user_analysis(
 ) -> UserAnalysis:
     """Build the five user-analysis results over one snapshot of `raw`.
 
-    With `snapshot=True` the parsed tweets and the per-author table are
-    written to the shared folder first (two jobs); every result is then a
-    cheap plan over those files.
+    With `snapshot=True` this is not a plan alone: it runs two writes, of the
+    parsed tweets and of the per-author table, to the shared folder; every
+    result is then a cheap plan over those files, and the caller removes
+    `snapshot_paths`. If a write fails, what was written is removed.
     """
     paths: tuple[str, ...] = ()
     tweets = parse_tweets(raw)
-    if snapshot:
-        paths += (scratch_path(spark, "tweets"),)
-        tweets = land(tweets, spark, "tweets", paths[-1])
-    valid = valid_tweets(tweets)
-    stats = A.author_stats(valid, fame_point, low_point)
-    if snapshot:
-        paths += (scratch_path(spark, "author_stats"),)
-        stats = land(stats, spark, "author_stats", paths[-1])
+    try:
+        if snapshot:
+            paths += (scratch_path(spark, "tweets"),)
+            tweets = land(tweets, spark, "tweets", paths[-1])
+        valid = valid_tweets(tweets)
+        stats = A.author_stats(valid, fame_point, low_point)
+        if snapshot:
+            paths += (scratch_path(spark, "author_stats"),)
+            stats = land(stats, spark, "author_stats", paths[-1])
+    except Exception:
+        for path in paths:
+            remove_path(spark, path)
+        raise
     return UserAnalysis(
         top_tweeters=A.top_tweeters_from_stats(stats),
         famous_top_tweeters=A.famous_top_tweeters_from_stats(stats),
@@ -105,41 +120,43 @@ def plan_user_analysis(
 def run_user_analysis(
     spark: SparkSession,
     raw: DataFrame,
-    sink: Sink,
+    sink: Sink | None,
     fame_point: int = FAME_POINT,
     low_point: int = LOW_FOLLOWER_POINT,
     keep_snapshot: bool = False,
+    preview: int = 0,
 ) -> dict[str, bool]:
-    """Plan, then write each of the five results; a failing write fails the job.
+    """Land the tweets and the per-author table, then write each of the five
+    results (and show `preview` rows of each); a failing write fails the job.
 
-    The landed snapshot and per-author table are removed from the shared
-    folder once every result is written (kept on failure for inspection, or
-    always with `keep_snapshot=True`).
+    The landed tables are removed from the shared folder at the end, also
+    after a failure, unless `keep_snapshot` is set.
     """
     plan = plan_user_analysis(spark, raw, fame_point, low_point)
-    counts = plan.counts.first()
-    if counts is not None and counts["invalid"]:
-        LOG.info("%d of %d records have no id and were left out", counts["invalid"], counts["total"])
-    written = {name: write_result(df, name, sink) for name, df in plan.by_target().items()}
-    if not keep_snapshot:
-        for path in plan.snapshot_paths:
-            remove_path(spark, path)
-    return written
-
-
-def plan_daily_trend(
-    spark: SparkSession, raw: DataFrame, drop_invalid: bool = False, snapshot: bool = False
-) -> DataFrame:
+    try:
+        counts = plan.counts.first()
+        LOG.info("%d records, %d without an id (left out)", counts["total"], counts["invalid"])
+        written = {}
+        for name, df in plan.by_target().items():
+            if preview:
+                order = _ORDERS.get(name)
+                A.top_n(df.orderBy(*order()) if order else df, preview).show(truncate=False)
+            written[name] = sink is not None and write_result(df, name, sink)
+        return written
+    finally:
+        if not keep_snapshot:
+            for path in plan.snapshot_paths:
+                remove_path(spark, path)
+
+
+def plan_daily_trend(spark: SparkSession, raw: DataFrame, drop_invalid: bool = False) -> DataFrame:
     """Daily totals. By default rows without an id are counted too.
 
     The one aggregate needs only `created_at` and the retweet count, so the
     JSON parse is limited to those fields (and `id` when invalid rows are
-    dropped); no snapshot is needed unless the parsed tweets are reused.
+    dropped).
     """
-    fields = DAILY_FIELDS + (("id",) if drop_invalid else ())
-    tweets = parse_tweets(raw, fields=None if snapshot else fields)
-    if snapshot:
-        tweets = land(tweets, spark, "tweets")
+    tweets = parse_tweets(raw, fields=DAILY_FIELDS + (("id",) if drop_invalid else ()))
     if drop_invalid:
         tweets = valid_tweets(tweets)
     return A.daily_trends(tweets)
@@ -153,24 +170,41 @@ def run_daily_trend(
     sink is given. Returns the result.
 
     One scan: a per-day table holding totals over all rows and over rows with
-    an id (`daily_stats`) is cached (one row per day) and feeds the log line,
-    the preview (`preview` rows shown), the emptiness test and the write, so
-    the topic is parsed once.
+    an id (`daily_stats`, one row per day) is landed in the shared folder and
+    feeds the log line, the preview (`preview` rows shown), the emptiness test,
+    the write and the returned result, so the topic is parsed once and all of
+    them tell the same. The table stays, as the result is read from it.
     """
-    tweets = parse_tweets(raw, fields=DAILY_FIELDS + ("id",))
-    stats = A.daily_stats(tweets)
-    with cached(stats):
-        totals = stats.agg(F.sum("rows").alias("rows"), F.sum("valid_rows").alias("valid")).first()
-        if totals is not None and totals["rows"]:
-            invalid = totals["rows"] - totals["valid"]
-            if invalid:
-                LOG.info(
-                    "%d of %d records have no id; they are %s", invalid, totals["rows"],
-                    "left out" if drop_invalid else "counted in the daily totals",
-                )
-        result = A.daily_trends_from_stats(stats, drop_invalid)
-        if preview:
-            result.show(preview, truncate=False)
-        if sink is not None:
-            write_result(result, name, sink)
+    stats = land(A.daily_stats(parse_tweets(raw, fields=DAILY_FIELDS + ("id",))), spark, "daily_stats")
+    totals = stats.agg(F.sum("rows").alias("rows"), F.sum("valid_rows").alias("valid")).first()
+    if totals is not None and totals["rows"]:
+        invalid = totals["rows"] - totals["valid"]
+        if invalid:
+            LOG.info(
+                "%d of %d records have no id; they are %s", invalid, totals["rows"],
+                "left out" if drop_invalid else "counted in the daily totals",
+            )
+    result = A.daily_trends_from_stats(stats, drop_invalid)
+    if preview:
+        result.show(preview, truncate=False)
+    if sink is not None:
+        write_result(A.daily_trends_from_stats(stats, drop_invalid, sort=False), name, sink)
     return result
+
+
+def deliver(
+    spark: SparkSession, selected: DataFrame, archive_path: str | None = None, archive_fmt: str = "parquet",
+    publish_path: str | None = None, bootstrap_servers: str | None = None, topic: str | None = None,
+    archive_options: dict[str, str] | None = None,
+) -> DataFrame:
+    """Encode selected tweets (all their columns), archive them and publish them.
+
+    The selection runs once: its messages are landed in the shared folder and
+    both writes read them there. Returns the landed messages.
+    """
+    messages = land(encode_json(selected), spark, "selected")
+    if archive_path is not None:
+        archive_raw(messages, archive_path, fmt=archive_fmt, **(archive_options or {}))
+    if publish_path is not None or topic is not None:
+        publish(messages, bootstrap_servers, topic, path=publish_path)
+    return messages

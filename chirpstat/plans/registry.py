@@ -18,19 +18,24 @@ from chirpstat.functions.schema import (
     AUTHOR_FIELDS,
     FAME_FIELDS,
     FOLLOWER_FIELDS,
+    RAW_MESSAGE_SCHEMA,
     SEARCH_FIELDS,
     TIMELINE_FIELDS,
+    TWEET_SCHEMA,
+    USER_ANALYSIS_TARGETS,
 )
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
-from chirpstat.operators.select import text_search, user_timeline
-from chirpstat.plans.jobs import plan_daily_trend, plan_user_analysis, run_daily_trend
+from chirpstat.operators.select import text_search, user_timeline, write_by_author
+from chirpstat.plans.jobs import deliver, plan_daily_trend, run_daily_trend, run_user_analysis
+from chirpstat.session import path_exists, scratch_path
 from chirpstat.sources.fixtures import (
     TWEETS_VIEW_SQL,
+    event_topic,
     read_event_messages,
     read_event_messages_stream,
 )
-from chirpstat.sources.io import dedupe_by_id
+from chirpstat.sources.io import Sink, archive_raw, publish, read_messages
 from chirpstat.streaming import stream as S
 
 # --- Fixed values: parameters of the registered selections --------------------
@@ -38,6 +43,7 @@ TIMELINE_USER = "user_7"
 SEARCH_PHRASE = "click"
 SEARCH_LANG = "tr"
 TOP_N = 10
+LARGE_N = 100_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,28 +125,118 @@ def q_encode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_metrics(parse_tweets(encode_json(_tweets(spark, sf_dir))))
 
 
+def _later_copies(raw: DataFrame) -> DataFrame:
+    """The same messages sent again with another text, at later offsets."""
+    changed = F.regexp_replace(F.col("value").cast("string"), '("text":"[^"]*)"', '$1 again"').cast("binary")
+    return raw.withColumn("value", changed).withColumn("offset", F.col("offset") + 1_000_000_000_000)
+
+
 def q_archive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message sent twice, archived with id de-duplication."""
-    raw = _raw(spark, sf_dir).select("value")
-    kept = parse_tweets(dedupe_by_id(raw.unionByName(raw)))
-    return kept.agg(F.count(F.lit(1)).alias("archived"), F.count("id").alias("with_id"))
+    """Every message sent twice with different texts, archived with id
+    de-duplication, read back: the first message of every id, all without one."""
+    raw = _raw(spark, sf_dir)
+    target = scratch_path(spark, "archive-dedup")
+    archive_raw(_later_copies(raw).unionByName(raw), target, dedupe=True)
+    return flatten_metrics(parse_tweets(read_messages(spark, target)))
+
+
+def q_archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw messages appended to the archive and read back."""
+    target = scratch_path(spark, "archive")
+    archive_raw(_raw(spark, sf_dir), target)
+    return flatten_metrics(parse_tweets(read_messages(spark, target)))
+
+
+def q_publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed tweets published as messages to a topic stand-in and read back."""
+    target = scratch_path(spark, "published")
+    publish(_tweets(spark, sf_dir), path=target)
+    return flatten_metrics(parse_tweets(read_messages(spark, target)))
+
+
+def _dual_path(side: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(spark, "dual-path")
+        paths = {"archive": f"{root}/archived", "publish": f"{root}/published"}
+        stream = read_event_messages_stream(spark, sf_dir)
+        queries = S.start_dual_path(stream, paths["archive"], f"{root}/checkpoints", publish_path=paths["publish"], availableNow=True)
+        for query in queries:
+            query.awaitTermination()
+        return flatten_metrics(parse_tweets(read_messages(spark, paths[side])))
+
+    run.__name__ = f"dual_path_{side}"
+    return run
+
+
+# topic folder -> folder of the five results that one run of the job has written
+_RESULTS: dict[str, str] = {}
+
+
+def _user_analysis_results(spark: SparkSession, sf_dir: str) -> str:
+    """Where run_user_analysis has written its results for this topic (one run for each state of it)."""
+    topic = event_topic(spark, sf_dir)
+    base = _RESULTS.get(topic)
+    if base is None or not path_exists(spark, f"{base}/{USER_ANALYSIS_TARGETS[-1]}/_SUCCESS"):
+        base = scratch_path(spark, "user-analysis")
+        run_user_analysis(spark, _raw(spark, sf_dir), Sink(base=base, on_empty="overwrite"))
+        _RESULTS[topic] = base
+    return base
 
 
-def _job(result: str) -> Query:
+def _job(target: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        plan = plan_user_analysis(spark, _raw(spark, sf_dir))
-        return flatten_metrics(getattr(plan, result))
+        return flatten_metrics(spark.read.parquet(f"{_user_analysis_results(spark, sf_dir)}/{target}"))
 
-    run.__name__ = f"job_{result}"
+    run.__name__ = f"job_{target}"
     return run
 
 
-def q_job_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_daily_trend(spark, _raw(spark, sf_dir))
+def _daily_job(drop_invalid: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = scratch_path(spark, "daily-trend")
+        run_daily_trend(spark, _raw(spark, sf_dir), Sink(base=base, on_empty="overwrite"), drop_invalid)
+        return spark.read.parquet(f"{base}/daily_trend")
+
+    return run
+
 
+def q_timeline_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timeline with an n above the table's matches: no one-task merge."""
+    return user_timeline(_valid(spark, sf_dir, TIMELINE_FIELDS), TIMELINE_USER, LARGE_N)
 
-def q_job_daily_trend_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_daily_trend(spark, _raw(spark, sf_dir), drop_invalid=True)
+
+def q_search_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_search(_valid(spark, sf_dir, SEARCH_FIELDS), SEARCH_PHRASE, SEARCH_LANG, True, LARGE_N)
+
+
+def q_selection_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search's tweets with all their columns, archived and published, read back from the topic."""
+    root = scratch_path(spark, "selection")
+    found = text_search(
+        _valid(spark, sf_dir), SEARCH_PHRASE, SEARCH_LANG, True, LARGE_N, columns=tuple(TWEET_SCHEMA.fieldNames())
+    )
+    deliver(spark, found, archive_path=f"{root}/archived", publish_path=f"{root}/published")
+    return flatten_metrics(parse_tweets(read_messages(spark, f"{root}/published")))
+
+
+def q_timeline_by_author(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timeline from the author-ordered table."""
+    path = scratch_path(spark, "by-author-table")
+    write_by_author(_tweets(spark, sf_dir, TIMELINE_FIELDS), path)
+    return user_timeline(spark.read.parquet(path), TIMELINE_USER, TOP_N)
+
+
+def q_daily_trend_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that is run twice on one checkpoint, with more messages arriving in between."""
+    source, checkpoint = scratch_path(spark, "restart-topic"), scratch_path(spark, "restart-checkpoint")
+    raw = _raw(spark, sf_dir)
+    for half in (0, 1):
+        raw.where(F.pmod("offset", F.lit(2)) == half).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(RAW_MESSAGE_SCHEMA).option("maxFilesPerTrigger", 4).parquet(source)
+        result = S.run_complete(
+            spark, S.daily_trend_stream(stream), "daily_trend_stream_restart", checkpoint, state_partitions=_cores(spark)
+        )
+    return result.orderBy(*A.daily_order())
 
 
 def _cores(spark: SparkSession) -> int:
@@ -180,15 +276,24 @@ QUERIES: dict[str, Query] = {
     "text_search": q_text_search,
     "encode_round_trip": q_encode_round_trip,
     "archive_dedup": q_archive_dedup,
+    "archive_round_trip": q_archive_round_trip,
+    "publish_round_trip": q_publish_round_trip,
+    "dual_path_archive": _dual_path("archive"),
+    "dual_path_publish": _dual_path("publish"),
+    "timeline_large": q_timeline_large,
+    "search_large": q_search_large,
+    "selection_delivered": q_selection_delivered,
+    "timeline_by_author": q_timeline_by_author,
     "job_top_tweeters": _job("top_tweeters"),
     "job_famous_top_tweeters": _job("famous_top_tweeters"),
-    "job_is_famous_tweeters": _job("is_famous_tweeters"),
-    "job_fame_distribution": _job("fame_distribution"),
-    "job_low_follower_activity": _job("low_follower_activity"),
-    "job_daily_trend": q_job_daily_trend,
-    "job_daily_trend_valid": q_job_daily_trend_valid,
+    "job_is_famous_tweeters": _job("isFamous_tweeters"),
+    "job_fame_distribution": _job("fame_distribution_tweeters"),
+    "job_low_follower_activity": _job("low_follower_activity_tweeters"),
+    "job_daily_trend": _daily_job(False),
+    "job_daily_trend_valid": _daily_job(True),
     "top_tweeters_stream": q_top_tweeters_stream,
     "daily_trend_stream": q_daily_trend_stream,
+    "daily_trend_stream_restart": q_daily_trend_stream_restart,
 }
 
 
@@ -216,6 +321,12 @@ _DAILY = (
     "SELECT date_trunc('day', created_at) AS day, count(*) AS toplam_tweet_sayisi, "
     "CAST(sum(retweet_count) AS BIGINT) AS toplam_retweet_sayisi FROM T {where} GROUP BY 1"
 )
+_TIMELINE = "SELECT id, created_at, text FROM T WHERE id IS NOT NULL AND author_username = 'user_7'"
+_SEARCH = (
+    "SELECT id, created_at, text FROM T WHERE id IS NOT NULL AND contains(text, 'click') "
+    "AND lang = 'tr' AND NOT starts_with(text, 'RT @')"
+)
+_NEWEST = "ORDER BY created_at DESC NULLS LAST, id DESC NULLS LAST"
 _AUTHOR_ORDER = "author_id ASC NULLS LAST, author_username ASC NULLS LAST"
 
 _BODIES = {
@@ -232,20 +343,21 @@ _BODIES = {
     "daily_trend": _DAILY.format(where=""),
     "daily_trend_top10": _DAILY.format(where="") + " ORDER BY day DESC NULLS LAST LIMIT 10",
     "daily_trend_valid": _DAILY.format(where="WHERE id IS NOT NULL"),
-    "user_timeline": (
-        "SELECT id, created_at, text FROM T WHERE id IS NOT NULL AND author_username = 'user_7' "
-        "ORDER BY created_at DESC NULLS LAST, id DESC NULLS LAST LIMIT 10"
-    ),
-    "text_search": (
-        "SELECT id, created_at, text FROM T WHERE id IS NOT NULL AND contains(text, 'click') "
-        "AND lang = 'tr' AND NOT starts_with(text, 'RT @') "
-        "ORDER BY created_at DESC NULLS LAST, id DESC NULLS LAST LIMIT 10"
-    ),
+    "user_timeline": f"{_TIMELINE} {_NEWEST} LIMIT 10",
+    "text_search": f"{_SEARCH} {_NEWEST} LIMIT 10",
+    "timeline_large": f"{_TIMELINE} {_NEWEST} LIMIT 100000",
+    "search_large": f"{_SEARCH} {_NEWEST} LIMIT 100000",
+    "selection_delivered": f"{_SEARCH.replace('id, created_at, text', _ALL_COLUMNS, 1)} {_NEWEST} LIMIT 100000",
+    "timeline_by_author": f"{_TIMELINE} {_NEWEST} LIMIT 10",
+    "archive_round_trip": f"SELECT {_ALL_COLUMNS} FROM T",
+    "publish_round_trip": f"SELECT {_ALL_COLUMNS} FROM T",
+    "dual_path_archive": f"SELECT {_ALL_COLUMNS} FROM T",
+    "dual_path_publish": f"SELECT {_ALL_COLUMNS} FROM T",
     "encode_round_trip": f"SELECT {_ALL_COLUMNS} FROM T",
     "archive_dedup": (
-        "SELECT CAST(count(DISTINCT id) + 2 * count(*) FILTER (WHERE id IS NULL) AS BIGINT) AS archived, "
-        "count(DISTINCT id) AS with_id FROM T"
-    ),
+        f"SELECT {_ALL_COLUMNS} FROM T UNION ALL SELECT {_ALL_COLUMNS.replace('text,', 'text || {again} AS text,', 1)} "
+        "FROM T WHERE id IS NULL"
+    ).replace("{again}", "' again'"),
     "job_top_tweeters": _TOP,
     "job_famous_top_tweeters": _FAMOUS,
     "job_is_famous_tweeters": _IS_FAMOUS,
@@ -255,6 +367,7 @@ _BODIES = {
     "job_daily_trend_valid": _DAILY.format(where="WHERE id IS NOT NULL"),
     "top_tweeters_stream": _TOP,
     "daily_trend_stream": _DAILY.format(where=""),
+    "daily_trend_stream_restart": _DAILY.format(where=""),
 }
 
 ORACLE_SQL: dict[str, str] = {name: f"WITH {TWEETS_VIEW_SQL.strip()}\n{body}" for name, body in _BODIES.items()}

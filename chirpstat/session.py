@@ -51,6 +51,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, on whatever file system the path names (none if it is missing)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder written by this library (recursively), on any file system."""
     jvm = spark.sparkContext._jvm

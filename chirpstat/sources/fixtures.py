@@ -9,7 +9,6 @@ linearly with the table.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import threading
 
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirpstat.functions.schema import CREATED_AT_FORMAT, DEFAULT_TOPIC, RAW_MESSAGE_SCHEMA
-from chirpstat.session import checkpoint_root, path_exists
+from chirpstat.session import checkpoint_root, path_exists, remove_path, scratch_path
 
 # --- Fixed values: the events -> tweet mapping --------------------------------
 # k is the integer in events.props ({"k": 0..99}).
@@ -85,40 +84,55 @@ def events_as_messages(events: DataFrame, topic: str = DEFAULT_TOPIC) -> DataFra
     )
 
 
-_TOPICS: dict[tuple[str, str], str] = {}
+#: Partitions of the topic stand-in, as a broker's topic has a fixed number of them.
+TOPIC_PARTITIONS = 16
+
+# (shared folder, source, topic, partitions) -> (state of the source, folder of the messages)
+_TOPICS: dict[tuple, tuple[tuple, str]] = {}
 _TOPICS_LOCK = threading.Lock()
 
 
-def _source_key(path: str) -> str:
-    st = os.stat(path)
-    return hashlib.sha1(f"{os.path.abspath(path)}|{st.st_size}|{st.st_mtime_ns}".encode()).hexdigest()[:16]
+def source_state(spark: SparkSession, path: str) -> tuple:
+    """What a table's files are now: their number and a digest of every file's
+    path, length and time of change, from Spark's own listing (any store)."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+    listed = files.agg(
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)")).alias("digest"),
+        F.sum("length").alias("bytes"),
+    ).first()
+    return tuple(listed)
 
 
-def event_topic(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC) -> str:
-    """Publish the whole events table once as a topic stand-in; return its folder.
+def event_topic(
+    spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC, partitions: int | None = TOPIC_PARTITIONS
+) -> str:
+    """Publish the whole events table as a topic stand-in; return its folder.
 
     The messages are written as Parquet files (Kafka-source columns) in the
     shared checkpoint folder, the way the ingestion side writes a topic once
-    for many readers. When the source has fewer input splits than the session
-    has cores, the rows are spread round-robin over that many files so later
-    scans (and the JSON parse in them) run in parallel; a large source keeps
-    its own splits and is not shuffled.
+    for many readers: dealt round-robin over `partitions` files, whatever the
+    table's size (None: the table's own splits, with no shuffle). A topic is
+    reused while the table's files are the same; a table whose files have
+    changed is published anew and the old copy is removed.
     """
     src = events_path(sf_dir)
     root = checkpoint_root(spark)
-    key = (root, f"{_source_key(src)}-{topic}")
+    key = (root, src, topic, partitions)
     with _TOPICS_LOCK:
-        path = _TOPICS.get(key)
-        if path is not None and path_exists(spark, os.path.join(path, "_SUCCESS")):
-            return path
-        path = os.path.join(root, "chirpstat-topics", key[1])
-        if not path_exists(spark, os.path.join(path, "_SUCCESS")):
-            events = spark.read.parquet(src).select(*EVENT_COLUMNS)
-            cores = spark.sparkContext.defaultParallelism
-            if events.rdd.getNumPartitions() < cores:
-                events = events.repartition(cores)
-            events_as_messages(events, topic).write.mode("overwrite").parquet(path)
-        _TOPICS[key] = path
+        state = source_state(spark, src)
+        known = _TOPICS.get(key)
+        if known is not None and known[0] == state and path_exists(spark, os.path.join(known[1], "_SUCCESS")):
+            return known[1]
+        path = scratch_path(spark, "topic")
+        spark.catalog.refreshByPath(src)
+        events = spark.read.parquet(src).select(*EVENT_COLUMNS)
+        if partitions is not None:
+            events = events.repartition(partitions)
+        events_as_messages(events, topic).write.parquet(path)
+        _TOPICS[key] = (state, path)
+        if known is not None:
+            remove_path(spark, known[1])
         return path
 
 
@@ -128,12 +142,10 @@ def read_event_messages(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_T
 
 
 def read_event_messages_stream(
-    spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC, files_per_trigger: int | None = None
+    spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC, files_per_trigger: int = TOPIC_PARTITIONS // 2
 ) -> DataFrame:
-    """Streaming read of the events topic stand-in (a folder of message files)."""
-    reader = spark.readStream.schema(RAW_MESSAGE_SCHEMA)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    """Streaming read of the events topic stand-in, at most so many message files in a micro-batch."""
+    reader = spark.readStream.schema(RAW_MESSAGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(event_topic(spark, sf_dir, topic))
 
 

@@ -13,8 +13,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
-from chirpstat.functions.parse import encode_json, parse_json, prune_schema
+from chirpstat.functions.parse import encode_json, message_text, parse_json, prune_schema
 from chirpstat.functions.schema import TWEET_SCHEMA
 
 LOG = logging.getLogger(__name__)
@@ -58,16 +59,31 @@ def _spread(spark: SparkSession, opts: dict[str, str]) -> dict[str, str]:
     return opts
 
 
+# Messages a micro-batch takes from a topic: a first batch over a long topic, or
+# one that is done again after a failure, stays bounded.
+RECORDS_PER_TRIGGER = 50_000_000
+
+
 def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str, **kwargs) -> DataFrame:
     """Batch read of a topic, from `starting_offsets` to the offsets current at planning."""
     opts = _spread(spark, kafka_read_options(bootstrap_servers, topic, **kwargs))
     return spark.read.format("kafka").options(**opts).load()
 
 
+def stream_read_options(opts: dict[str, str]) -> dict[str, str]:
+    """Batch read options -> those of a stream: no end, a limit on each micro-batch."""
+    limited = {"maxOffsetsPerTrigger": str(RECORDS_PER_TRIGGER), **opts}
+    limited.pop("endingOffsets", None)
+    return limited
+
+
 def read_topic_stream(spark: SparkSession, bootstrap_servers: str, topic: str, **kwargs) -> DataFrame:
-    """Streaming read of a topic; `endingOffsets` does not apply to streams."""
-    opts = _spread(spark, kafka_read_options(bootstrap_servers, topic, **kwargs))
-    opts.pop("endingOffsets", None)
+    """Streaming read of a topic; `endingOffsets` does not apply to streams.
+
+    A micro-batch takes at most `RECORDS_PER_TRIGGER` messages
+    (`maxOffsetsPerTrigger`, also under availableNow); the caller's own limit wins.
+    """
+    opts = stream_read_options(_spread(spark, kafka_read_options(bootstrap_servers, topic, **kwargs)))
     return spark.readStream.format("kafka").options(**opts).load()
 
 
@@ -113,6 +129,20 @@ def mongo_sink(database: str, connection_uri: str | None = None, **options: str)
     return Sink(fmt="mongodb", options=opts)
 
 
+def document_types(df: DataFrame) -> DataFrame:
+    """Wall-clock (NTZ) columns as instants in UTC, which a document store can hold.
+
+    The text form names the zone, so the session's zone does not matter.
+    """
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, TimestampNTZType):
+            c = F.concat(c.cast("string"), F.lit("+00:00")).cast("timestamp").alias(f.name)
+        cols.append(c)
+    return df.select(*cols)
+
+
 def write_result(df: DataFrame, name: str, sink: Sink) -> bool:
     """Write one named result. Returns False when it was skipped as empty.
 
@@ -125,6 +155,8 @@ def write_result(df: DataFrame, name: str, sink: Sink) -> bool:
     if sink.on_empty == "skip" and df.isEmpty():
         LOG.warning("no rows for %r; previous result left in place", name)
         return False
+    if sink.fmt == "mongodb":
+        df = document_types(df)
     writer = df.write.format(sink.fmt).mode(sink.mode).options(**sink.writer_options(name))
     target = sink.target(name)
     if target is None:
@@ -149,25 +181,48 @@ def kafka_write_options(bootstrap_servers: str, topic: str, extra: dict[str, str
     return {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic, **(extra or {})}
 
 
-def publish(df: DataFrame, bootstrap_servers: str, topic: str, **extra: str) -> None:
-    """Batch-publish every row as one message (no key), in parallel per partition."""
-    to_messages(df).write.format("kafka").options(**kafka_write_options(bootstrap_servers, topic, extra)).save()
+def publish(
+    df: DataFrame, bootstrap_servers: str | None = None, topic: str | None = None, path: str | None = None, **extra: str
+) -> None:
+    """Batch-publish every row as one message (no key), in parallel per partition;
+    with `path` a file table stands in for the topic."""
+    messages = to_messages(df)
+    if path is not None:
+        messages.write.mode("append").parquet(path)
+        return
+    messages.write.format("kafka").options(**kafka_write_options(bootstrap_servers, topic, extra)).save()
 
 
 def dedupe_by_id(raw: DataFrame, schema=TWEET_SCHEMA) -> DataFrame:
     """Keep one message per parsed id; messages without an id are all kept.
 
-    dropDuplicates is an aggregate with a map-side partial step, so an id
-    repeated a million times collapses inside each task before the shuffle.
-    The id comes out of a generator (as in `parse_tweets`) so the filters on
-    it are not pushed below the parse: one id parse per message and branch.
-    Id-less messages skip the shuffle entirely.
+    One read of the input and one aggregate with a map-side partial step, so an
+    id repeated a million times collapses inside each task before the shuffle.
+    The survivor does not depend on the input's order: it is the message at the
+    lowest partition and offset where the input has these, else the smallest
+    one by its bytes. A message without an id gets a key of its own, so that
+    such messages form no group. The id comes out of a generator (as in
+    `parse_tweets`), so nothing that uses it is pushed below the parse.
     """
     id_only = prune_schema(schema, ["id"])
-    keyed = raw.select("*", F.inline(F.array(parse_json("value", id_only))).alias("_id"))
-    with_id = keyed.filter(F.col("_id").isNotNull()).dropDuplicates(["_id"])
-    without_id = keyed.filter(F.col("_id").isNull())
-    return with_id.unionByName(without_id).drop("_id")
+    order = [c for c in ("partition", "offset") if c in raw.columns] or ["value"]
+    whole = F.struct(*[F.col(f"`{c}`") for c in raw.columns])
+    keyed = raw.select(
+        F.struct(*order).alias("_order"), whole.alias("_row"), F.inline(F.array(parse_json("value", id_only))).alias("_id")
+    )
+    keyed = keyed.withColumn("_own", F.when(F.col("_id").isNull(), F.monotonically_increasing_id()))
+    first = F.min(F.struct("_order", F.struct("_row.value").alias("_value"), "_row")).alias("_first")
+    return keyed.groupBy("_id", "_own").agg(first).select("_first._row.*")
+
+
+def documents(rows: DataFrame) -> DataFrame:
+    """One document per message: its whole text in `raw`, and the tweet's fields.
+
+    Nothing is lost: fields outside the schema and messages that are no JSON
+    are in `raw`; `created_at` stays the sent text.
+    """
+    parsed = rows.select(message_text("value").alias("raw"), parse_json("value", TWEET_SCHEMA).alias("d"))
+    return parsed.select("raw", "d.*")
 
 
 def archive_raw(
@@ -177,12 +232,11 @@ def archive_raw(
 
     File formats keep the message bytes (`value`) exactly as received. A
     document store (fmt="mongodb", `target` = collection) gets one document
-    per message with the tweet's fields; `created_at` stays the sent text.
+    per message (`documents`), with the whole message text in it.
     """
     rows = dedupe_by_id(raw) if dedupe else raw
     if fmt == "mongodb":
-        docs = rows.select(parse_json("value", TWEET_SCHEMA).alias("d")).select("d.*")
         opts = {"collection": target, **options} if target else dict(options)
-        docs.write.format(fmt).mode("append").options(**opts).save()
+        documents(rows).write.format(fmt).mode("append").options(**opts).save()
         return
     rows.select("value").write.format(fmt).mode("append").options(**options).save(target)

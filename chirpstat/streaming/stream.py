@@ -13,15 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chirpstat.functions.parse import parse_tweets
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import valid_tweets
-from chirpstat.session import path_exists, scratch_path, session_conf
+from chirpstat.session import list_names, path_exists, remove_path, scratch_path, session_conf
 from chirpstat.functions.schema import AUTHOR_FIELDS, DAILY_FIELDS
-from chirpstat.sources.io import archive_raw, kafka_write_options, to_messages
+from chirpstat.sources.io import archive_raw, document_types, kafka_write_options, to_messages
 
 
 def daily_trend_stream(raw_stream: DataFrame) -> DataFrame:
@@ -43,24 +42,29 @@ def start_complete(
     fmt: str = "parquet",
     **trigger,
 ) -> StreamingQuery:
-    """Start a complete-mode aggregate whose every micro-batch replaces `target`.
+    """Start a complete-mode aggregate whose every micro-batch replaces the result in `target`.
 
-    Each batch's full result overwrites the table, so a retried batch rewrites
-    the same result and no row is carried through the driver. With a plain
-    file format a reader may briefly see the folder being replaced; a table
-    format with atomic overwrite (`fmt="delta"`, if installed) avoids that.
-    `trigger` is passed to `DataStreamWriter.trigger` (e.g. processingTime=
-    "1 minute", or availableNow=True).
+    Each batch's full result is written to a folder of its own,
+    `<target>/batch-<id>`; older ones are removed once it is complete, all but
+    the one before it, so a reader (`read_complete`) always finds a whole
+    result, also after a crash in the middle of a write. A retried batch
+    rewrites its own folder. No row is carried through the driver. `trigger`
+    is passed to `DataStreamWriter.trigger` (e.g. processingTime="1 minute",
+    or availableNow=True).
 
     `state_partitions` sets how many state-store partitions a new query gets.
     A stateful stream takes that number from `spark.sql.shuffle.partitions`
     when it first starts and keeps it in its checkpoint for good (AQE does not
     resize state), so it is set only while the query starts; a restarted
-    query keeps its original count.
+    query keeps its original count. State of one row per author belongs in
+    the RocksDB state store.
     """
 
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").save(target)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format(fmt).mode("overwrite").save(_batch_path(target, batch_id))
+        for old in _batches(spark, target):
+            if old < batch_id - 1:
+                remove_path(spark, _batch_path(target, old))
 
     writer = (
         result_stream.writeStream.outputMode("complete")
@@ -75,6 +79,22 @@ def start_complete(
     return writer.start()
 
 
+def _batch_path(target: str, batch_id: int) -> str:
+    return f"{target.rstrip('/')}/batch-{batch_id}"
+
+
+def _batches(spark: SparkSession, target: str) -> list[int]:
+    """Ids of the complete results in `target`, ascending."""
+    ids = sorted(int(n[6:]) for n in list_names(spark, target) if n.startswith("batch-") and n[6:].isdigit())
+    return [i for i in ids if path_exists(spark, f"{_batch_path(target, i)}/_SUCCESS")]
+
+
+def read_complete(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame | None:
+    """The last complete result that a `start_complete` stream has left in `target` (None: none yet)."""
+    ids = _batches(spark, target)
+    return spark.read.format(fmt).load(_batch_path(target, ids[-1])) if ids else None
+
+
 def run_complete(
     spark: SparkSession,
     result_stream: DataFrame,
@@ -87,7 +107,10 @@ def run_complete(
     """Run a complete-mode aggregate over everything available now, then stop.
 
     Returns the result table (Parquet in the shared folder) as a batch
-    DataFrame, sorted by `order` when given; see `start_complete`.
+    DataFrame, sorted by `order` when given; see `start_complete`. The default
+    target lies beside the checkpoint, so that a query restarted from its
+    checkpoint finds its result again even if nothing new has come. If the
+    checkpoint has committed a batch and the result is gone, this is an error.
 
     The stream itself is not sorted: a global sort inside a micro-batch
     samples the stateful plan for its range bounds and roughly doubles the
@@ -95,16 +118,17 @@ def run_complete(
     applied to the (small, per-day or per-author) table when it is read.
     """
     checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
-    target = target or scratch_path(spark, f"{name}-result")
+    target = target or f"{checkpoint.rstrip('/')}-result"
     query = start_complete(spark, result_stream, target, checkpoint, state_partitions, availableNow=True)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    if not path_exists(spark, target):
+    result = read_complete(spark, target)
+    if result is None:
+        if list_names(spark, f"{checkpoint.rstrip('/')}/commits"):
+            raise RuntimeError(f"checkpoint {checkpoint} has finished batches, but their result is not in {target}")
         # No batch ran (empty source): an empty result of the right shape.
         result = spark.createDataFrame([], result_stream.schema)
-    else:
-        result = spark.read.parquet(target)
     return result.orderBy(*order) if order else result
 
 
@@ -142,46 +166,28 @@ def start_update(
     return writer.start()
 
 
-def mongo_upsert(collection: str, key_fields: Sequence[str], **options: str) -> BatchWriter:
-    """Batch writer replacing each changed row's document by its key fields
-    (document-store connector options `operationType=replace`, `idFieldList`,
-    `upsertDocument`). A retried batch replaces the same documents again."""
+def mongo_upsert_options(collection: str, key_fields: Sequence[str], **options: str) -> dict[str, str]:
+    """Connector options that replace each row's document by its key fields."""
+    return {
+        "collection": collection,
+        "operationType": "replace",
+        "idFieldList": ",".join(key_fields),
+        "upsertDocument": "true",
+        **options,
+    }
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        (
-            batch.write.format("mongodb").mode("append")
-            .option("collection", collection)
-            .option("operationType", "replace")
-            .option("idFieldList", ",".join(key_fields))
-            .option("upsertDocument", "true")
-            .options(**options)
-            .save()
-        )
 
-    return write
-
-
-def changelog_writer(path: str) -> BatchWriter:
-    """File stand-in for an upserting store: appends each batch's changed rows
-    with their batch id; `latest_per_key` reads the current totals back."""
+def mongo_upsert(collection: str, key_fields: Sequence[str], **options: str) -> BatchWriter:
+    """Batch writer replacing each changed row's document by its key fields.
+    A retried batch replaces the same documents again."""
+    opts = mongo_upsert_options(collection, key_fields, **options)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(path)
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        document_types(batch).write.format("mongodb").mode("append").options(**opts).save()
 
     return write
 
 
-def latest_per_key(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Current totals from a changelog: per key, the row of the latest batch.
-
-    A retried batch appends identical rows under the same batch id, so the
-    result is the same. One aggregate with a partial step per task.
-    """
-    values = [c for c in changes.columns if c not in (*keys, "_batch")]
-    latest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("_batch")).alias("_v"))
-    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
-
-
 # --- Dual path: archive + republish ------------------------------------------------
 
 

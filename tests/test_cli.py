@@ -7,6 +7,7 @@ import pytest
 from chirpstat.functions.schema import USER_ANALYSIS_TARGETS
 from chirpstat.plans import cli
 from chirpstat.sources.fixtures import event_topic
+from chirpstat.streaming.stream import read_complete
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,7 +42,7 @@ def test_stream_daily_trend_cli_equals_batch(spark, scratch):
     args = ["stream-daily-trend", "t", "--input-path", topic, "--checkpoint", os.path.join(scratch, "ck"),
             "--sink-base", scratch, "--available-now", "--state-partitions", "4"]
     assert cli.main(args, spark) == 0
-    got = spark.read.parquet(os.path.join(scratch, "daily_trend"))
+    got = read_complete(spark, os.path.join(scratch, "daily_trend"))
     assert sorted_rows(got) == sorted_rows(daily_trends(parse_tweets(read_event_messages(spark, SF))))
 
 
@@ -80,7 +81,7 @@ def test_timeline_and_search_cli(spark, scratch, capsys):
 def test_stream_to_document_store_fails_loudly_without_connector(spark, scratch):
     topic = event_topic(spark, SF)
     args = ["stream-top-tweeters", "t", "--input-path", topic, "--checkpoint", os.path.join(scratch, "ck"),
-            "--mongo-db", "social_media_db", "--available-now", "--state-partitions", "2"]
+            "--mongo-db", "tweet_results", "--available-now", "--state-partitions", "2"]
     with pytest.raises(Exception):
         cli.main(args, spark)
 
@@ -98,6 +99,6 @@ def test_daily_trend_cli_from_json_lines(spark, scratch):
 def test_dual_path_document_archive_fails_loudly_without_connector(spark, scratch):
     topic = event_topic(spark, SF)
     args = ["dual-path", "t", "--input-path", topic, "--checkpoint", os.path.join(scratch, "ck"),
-            "--archive-mongo-db", "social_media_db", "--publish-path", os.path.join(scratch, "p"), "--available-now"]
+            "--archive-mongo-db", "tweet_results", "--publish-path", os.path.join(scratch, "p"), "--available-now"]
     with pytest.raises(Exception):
         cli.main(args, spark)

@@ -101,3 +101,55 @@ def test_daily_job_reports_invalid_and_matches_plan(spark, caplog):
     valid = run_daily_trend(spark, raw, drop_invalid=True)
     assert sorted_rows(valid) == sorted_rows(plan_daily_trend(spark, raw, drop_invalid=True))
     assert [r.day for r in got.collect()] == sorted((r.day for r in got.collect()), reverse=True)
+
+
+def _leftovers(spark):
+    import os
+
+    from chirpstat.session import checkpoint_root, list_names
+
+    names = list_names(spark, os.path.join(checkpoint_root(spark), "chirpstat"))
+    return {n for n in names if n.startswith(("tweets-", "author_stats-"))}
+
+
+def test_snapshots_are_removed_also_after_a_failure(spark, scratch):
+    import pytest
+
+    before = _leftovers(spark)
+    raw = read_event_messages(spark, SF)
+    run_user_analysis(spark, raw, Sink(base=scratch))
+    with pytest.raises(Exception):
+        run_user_analysis(spark, raw, Sink(fmt="no_such_format_xyz", base=scratch))
+    assert _leftovers(spark) == before
+
+
+def test_daily_job_parses_every_message_once(spark, scratch):
+    import json
+
+    from pyspark.sql import functions as F
+
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("binary")
+    def counted(i):
+        reads.add(1)
+        return json.dumps({"id": str(i), "created_at": "2024-01-01T00:00:00Z"}).encode()
+
+    raw = spark.range(1000).select(counted.asNondeterministic()("id").alias("value"))
+    result = run_daily_trend(spark, raw, Sink(base=scratch))
+    assert [r.toplam_tweet_sayisi for r in result.collect()] == [1000]
+    assert reads.value == 1000
+
+
+def test_selection_is_delivered_whole(spark, scratch):
+    from chirpstat.functions.schema import TWEET_SCHEMA
+    from chirpstat.operators.select import text_search
+    from chirpstat.plans.jobs import deliver
+
+    tweets = valid_tweets(parse_tweets(read_event_messages(spark, SF)))
+    found = text_search(tweets, "click", n=100_000, columns=tuple(TWEET_SCHEMA.fieldNames()))
+    deliver(spark, found, archive_path=f"{scratch}/a", publish_path=f"{scratch}/p")
+    want = sorted_rows(found)
+    assert len(want) > 10
+    for side in "ap":
+        assert sorted_rows(parse_tweets(spark.read.parquet(f"{scratch}/{side}"))) == want

@@ -5,12 +5,14 @@ from conftest import SF_MID, SF_SMALL
 from oracle import compare, duck
 
 import __spark_entry__ as E
+from chirpstat.plans.registry import ORACLE_SQL, QUERIES
 
-NAMES = list(E.queries())
+NAMES = list(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -27,5 +29,5 @@ def con(request):
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     sf, c = con
-    ok, msg = compare(E.queries()[name](spark, sf), c, E.oracle_sql()[name])
+    ok, msg = compare(QUERIES[name](spark, sf), c, ORACLE_SQL[name])
     assert ok, f"{name} @ {sf}: {msg}"

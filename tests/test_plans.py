@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from chirpstat.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,10 +54,10 @@ def test_parse_is_pruned_to_needed_fields(spark, capsys):
 
 
 @pytest.mark.parametrize("name", ["job_top_tweeters", "job_famous_top_tweeters", "job_low_follower_activity", "job_fame_distribution"])
-def test_job_results_read_the_landed_author_table_only(spark, capsys, name):
+def test_job_results_are_what_the_job_has_written(spark, capsys, name):
     text = plan_text(E.queries()[name](spark, SF), capsys)
-    assert "from_json(" not in text
-    assert "author_stats" in text and "hashpartitioning" not in text
+    assert "from_json(" not in text and "partitioning" not in text
+    assert "/user-analysis-" in text
 
 
 def test_explain_summary_tool(spark):
@@ -68,10 +69,10 @@ def test_explain_summary_tool(spark):
 
 
 def test_every_query_reads_only_data_derived_from_the_events_table(spark, capsys):
-    for name, query in E.queries().items():
+    for name, query in QUERIES.items():
         text = plan_text(query(spark, SF), capsys)
         locations = re.findall(r"Location: \w+ \[([^\]]*)\]", text)
         assert locations, name
         for loc in locations:
             # the published events topic, or tables Spark derived from it in the shared folder
-            assert "chirpstat-topics" in loc or "/chirpstat/" in loc, (name, loc)
+            assert "/chirpstat/" in loc, (name, loc)

@@ -106,3 +106,42 @@ def test_author_layout_caps_rows_per_file(spark, scratch):
     per_file = [r["n"] for r in table.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert max(per_file) <= 100 and sum(per_file) == tweets.count()
     assert [tuple(r) for r in user_timeline(table, "user_7").collect()] == [tuple(r) for r in user_timeline(tweets, "user_7").collect()]
+
+
+def test_large_n_gives_the_rows_of_small_n(spark):
+    from chirpstat.operators.select import newest
+
+    rows = spark.range(5000).selectExpr(
+        "CAST(id AS STRING) AS id", "IF(id % 50 = 0, NULL, TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 700)) AS created_at",
+        "concat('t', id) AS text",
+    ).repartition(5)
+    for n in (1, 699, 2500, 4999, 5000, 9000):
+        want = newest(rows, n, ("id", "created_at")).collect()
+        got = newest(rows, n, ("id", "created_at"), merged_rows=0).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == min(n, 5000), n
+    assert newest(rows, 10, ("id",), merged_rows=0).columns == ["id"]
+
+
+def test_author_layout_reads_every_message_once_and_leaves_invalid_rows_out(spark, scratch):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from chirpstat.operators.select import write_by_author
+
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(i):
+        reads.add(1)
+        return str(i) if i % 4 else None
+
+    tweets = spark.range(1000).select(
+        counted.asNondeterministic()("id").alias("id"), F.concat(F.lit("u"), F.col("id") % 7).alias("author_username"),
+        F.lit(None).cast("timestamp_ntz").alias("created_at"), F.lit("x").alias("text"),
+    )
+    path = os.path.join(scratch, "by_author")
+    write_by_author(tweets, path, partitions=4)
+    assert reads.value == 1000
+    back = spark.read.parquet(path)
+    assert back.count() == 750 and back.where("id IS NULL").count() == 0

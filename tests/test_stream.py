@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
 from tests_util import sorted_rows
 
 from chirpstat.functions.parse import parse_tweets
@@ -77,25 +79,73 @@ def test_streams_handle_null_keys_like_batch(spark, scratch):
     assert {(r.author_id, r.tweet_sayisi) for r in top.collect()} == {(None, 2), ("a", 1)}
 
 
+def changelog_writer(path):
+    """File stand-in for an upserting store: appends each batch's changed rows with their batch id."""
+
+    def write(batch, batch_id):
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(path)
+
+    return write
+
+
 def test_update_mode_changelog_equals_batch(spark, scratch):
     from chirpstat.functions.schema import AUTHOR_KEYS
 
     log = os.path.join(scratch, "changes")
     q = S.start_update(
-        spark, S.top_tweeters_stream(_stream(spark)), S.changelog_writer(log), os.path.join(scratch, "ck"),
+        spark, S.top_tweeters_stream(_stream(spark)), changelog_writer(log), os.path.join(scratch, "ck"),
         state_partitions=4, availableNow=True,
     )
     q.awaitTermination()
     changes = spark.read.parquet(log)
     assert changes.select("_batch").distinct().count() > 1  # several triggers, each with changed keys only
-    got = S.latest_per_key(changes, AUTHOR_KEYS)
+    values = [c for c in changes.columns if c not in (*AUTHOR_KEYS, "_batch")]
+    latest = changes.groupBy(*AUTHOR_KEYS).agg(F.max_by(F.struct(*values), F.col("_batch")).alias("_v"))
+    got = latest.select(*AUTHOR_KEYS, "_v.*")
     want = A.top_tweeters(valid_tweets(parse_tweets(read_event_messages(spark, SF))), sort=False)
     assert sorted_rows(got) == sorted_rows(want)
 
 
-def test_mongo_upsert_builds_replace_by_key(spark, scratch):
-    import pytest
+def test_mongo_upsert_options():
+    assert S.mongo_upsert_options("top_tweeters", ["author_id", "author_username"], database="tweet_results") == {
+        "collection": "top_tweeters", "operationType": "replace", "idFieldList": "author_id,author_username",
+        "upsertDocument": "true", "database": "tweet_results",
+    }
+
+
+def test_mongo_upsert_fails_loudly_without_connector(spark):
+    write = S.mongo_upsert("top_tweeters", ["author_id"], database="tweet_results")
+    with pytest.raises(Exception, match="mongodb"):
+        write(spark.createDataFrame([("a", 1)], "author_id string, tweet_sayisi long"), 0)
 
-    write = S.mongo_upsert("top_tweeters", ["author_id", "author_username"], database="social_media_db")
-    with pytest.raises(Exception):  # connector absent here: the write must fail loudly
-        write(spark.createDataFrame([("a", "u", 1)], "author_id string, author_username string, tweet_sayisi long"), 0)
+
+def test_restart_with_default_target_gives_the_same_rows(spark, scratch):
+    ck = os.path.join(scratch, "ck")
+    first = sorted_rows(S.run_complete(spark, S.daily_trend_stream(_stream(spark)), "d", ck))
+    again = sorted_rows(S.run_complete(spark, S.daily_trend_stream(_stream(spark)), "d", ck))
+    assert len(first) == 30 and first == again
+    left = S._batches(spark, f"{ck}-result")
+    assert 1 <= len(left) <= 2  # the last result and the one before it
+
+
+def test_lost_result_of_a_finished_stream_is_an_error(spark, scratch):
+    ck = os.path.join(scratch, "ck")
+    S.run_complete(spark, S.daily_trend_stream(_stream(spark)), "d", ck)
+    with pytest.raises(RuntimeError, match="finished batches"):
+        S.run_complete(spark, S.daily_trend_stream(_stream(spark)), "d", ck, target=os.path.join(scratch, "elsewhere"))
+
+
+def test_empty_stream_gives_an_empty_result(spark, scratch):
+    src = os.path.join(scratch, "src")
+    spark.createDataFrame([], "value binary").write.parquet(src)
+    stream = spark.readStream.schema("value binary").parquet(src)
+    got = S.run_complete(spark, S.daily_trend_stream(stream), "d", os.path.join(scratch, "ck"))
+    assert got.count() == 0 and got.columns == ["day", "toplam_tweet_sayisi", "toplam_retweet_sayisi"]
+
+
+def test_half_written_result_is_not_read(spark, scratch):
+    out = os.path.join(scratch, "out")
+    spark.range(3).write.parquet(os.path.join(out, "batch-4"))
+    os.makedirs(os.path.join(out, "batch-5"))
+    assert S.read_complete(spark, out).count() == 3
+    assert S.read_complete(spark, os.path.join(scratch, "none")) is None
