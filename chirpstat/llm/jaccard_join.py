@@ -293,7 +293,8 @@ def classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
     sizes = members.groupBy("grp").agg(F.count("*").alias("m"), F.sum("n").alias("elements"))
     blocks = F.greatest(F.ceil(F.col("m") / join.block_rows), F.ceil(F.col("elements") / join.block_elements)).cast("int")
     sizes = sizes.select("grp", F.when(F.col("m") == 2, 1).otherwise(blocks).alias("blocks"))
-    texts = rows.select(F.col("doc").alias("rep"), "text").join(members.select("rep", "grp", "copies"), "rep")
+    # the members grow with the corpus: always a sort-merge join, never a broadcast
+    texts = rows.select(F.col("doc").alias("rep"), "text").join(members.select("rep", "grp", "copies").hint("merge"), "rep")
     sets = texts.mapInPandas(_member_sets, "rep long, grp long, copies long, elements binary").join(sizes, "grp")
     sets = sets.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -317,7 +318,7 @@ def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
     found = land(classes(docs, join).where(F.col("doc") == F.col("class_id")).select("doc_id", "t", "doc"), "first-of-class")
     first = found.dropDuplicates(["doc"])
     same = F.expr("d.doc_id <=> f.doc_id AND xxhash64(d.text) = f.t")
-    kept = docs.alias("d").join(first.alias("f"), same, "left_semi")
+    kept = docs.alias("d").join(first.alias("f").hint("merge"), same, "left_semi")
     if found.count() > first.count():  # rows with equal id and text: one of them
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept
