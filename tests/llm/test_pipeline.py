@@ -37,7 +37,7 @@ def test_each_stage_against_its_operator(steps, spark):
     kept = {r.doc_id for r in before.select("doc_id", langid.verdicts(spark, model)(F.col("text")).alias("v")).collect() if not r.v.rejected}
     assert {r.doc_id for r in after.collect()} == kept and len(kept) >= before.count() * 0.98
 
-    from test_jaccard_join import brute
+    from .test_jaccard_join import brute
 
     _, before, after = steps[1]
     classes = brute([(r.doc_id, r.text) for r in before.collect()])
