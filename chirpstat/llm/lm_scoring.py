@@ -5,7 +5,7 @@ words on either side: one embedding table per place, their sum through tanh,
 and a softmax over classes in two levels (group, then member). The sum of the
 log-probabilities of all words, each given both sides, scores the document.
 
-Words (lower case, runs of characters other than ASCII white space) are counted
+Words (lower case, runs of characters other than white space) are counted
 over the whole corpus. The VOCABULARY most frequent ones are classes of their
 own, the others share BUCKETS classes by hash. Training passes once over all
 documents, split by hash of the id into `rounds` parts: in a round every task
@@ -23,7 +23,6 @@ order in which parameters are summed is not fixed.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -42,9 +41,8 @@ BUCKETS = 256
 VOCABULARY = CLASSES - BUCKETS
 PAD = CLASSES
 SIDE = 2
-HIDDEN = 24
+HIDDEN = 16
 CHUNKS = 16
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 @dataclass(frozen=True)
@@ -56,7 +54,7 @@ class Training:
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    return (text or "").lower().split()
 
 
 def _bucket(word: str) -> int:
@@ -123,12 +121,12 @@ class Network:
             s[at] += gradient * gradient
             p[at] -= rate * gradient / (np.sqrt(s[at]) + 1e-3)
 
-        gradient = np.exp(_log_softmax(h @ self.group + self.group_bias))
+        gradient = _softmax(h @ self.group + self.group_bias)
         gradient[np.arange(n), group] -= 1
         back = gradient @ self.group.T
         member_steps = []
         for g, rows in self._by_group(group):
-            own = np.exp(_log_softmax(h[rows] @ self.member[g] + self.member_bias[g]))
+            own = _softmax(h[rows] @ self.member[g] + self.member_bias[g])
             own[np.arange(len(rows)), member[rows]] -= 1
             back[rows] += own @ self.member[g].T
             member_steps.append((g, h[rows].T @ own / n, own.sum(0) / n))
@@ -146,6 +144,12 @@ class Network:
             step("embed", np.add.reduceat(back[order], starts, axis=0), (k, words[starts]))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(1, keepdims=True))
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(1, keepdims=True)
     x -= np.log(np.exp(x).sum(1, keepdims=True))
@@ -157,12 +161,12 @@ def _class_lookup(vocabulary: dict[str, int]) -> Lookup:
 
 
 def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts (2 * SIDE words), targets and lengths of all words of some texts of classes."""
-    gap = np.full(SIDE, PAD, np.int64)
-    flat = np.concatenate([gap, *[x for t in texts for x in (t, gap)]])
+    """Contexts (2 * SIDE words), targets and lengths of all words of some texts of classes (16 bits: they sort fast)."""
+    gap = np.full(SIDE, PAD, np.int16)
+    flat = np.concatenate([gap, *[x for t in texts for x in (t, gap)]], dtype=np.int16, casting="same_kind")
     at = np.flatnonzero(flat != PAD)
     shifts = [*range(-SIDE, 0), *range(1, SIDE + 1)]
-    context = np.column_stack([flat[at + s] for s in shifts]) if len(at) else np.zeros((0, 2 * SIDE), np.int64)
+    context = np.column_stack([flat[at + s] for s in shifts]) if len(at) else np.zeros((0, 2 * SIDE), np.int16)
     return context, flat[at], np.fromiter(map(len, texts), np.int64, len(texts))
 
 
@@ -195,16 +199,14 @@ def _trainer(sent, training: Training, round_: int):
         vocabulary, flat = sent.value
         classes = _class_lookup(vocabulary)
         net, squares = Network(flat.copy()), Network(np.zeros(Network.SIZE, np.float32))
-        draw = np.random.default_rng([training.seed, round_])
         seen = 0
         for batch in batches:
             for lo in range(0, len(batch), 500):
                 words = [words_of(t) for t in batch["text"].iloc[lo : lo + 500]]
-                context, target, _ = windows([np.fromiter(map(classes.__getitem__, w), np.int64, len(w)) for w in words])
-                order = draw.permutation(len(target))
-                for at in range(0, len(target), training.batch):
-                    rows = order[at : at + training.batch]
-                    net.train(context[rows], target[rows], squares, training.rate / (1 + round_))
+                context, target, _ = windows([np.fromiter(map(classes.__getitem__, w), np.int16, len(w)) for w in words])
+                steps = -(-len(target) // training.batch)
+                for at in range(steps):  # every step takes words from all of these texts
+                    net.train(context[at::steps], target[at::steps], squares, training.rate / (1 + round_))
                 seen += len(target)
         if seen:
             parts = np.array_split(net.flat, CHUNKS)
@@ -253,7 +255,7 @@ def score_documents(docs: DataFrame, vocabulary: dict[str, int], flat: np.ndarra
             for lo in range(0, len(batch), 500):
                 part = batch.iloc[lo : lo + 500]
                 words = [words_of(t) for t in part["text"]]
-                context, target, lens = windows([np.fromiter(map(classes.__getitem__, w), np.int64, len(w)) for w in words])
+                context, target, lens = windows([np.fromiter(map(classes.__getitem__, w), np.int16, len(w)) for w in words])
                 probs = np.concatenate([net.log_prob(context[a : a + 16_384], target[a : a + 16_384]) for a in range(0, len(target), 16_384)] or [np.zeros(0)])
                 ends = np.cumsum(lens)
                 sums = np.concatenate([[0.0], np.cumsum(probs, dtype=np.float64)])
