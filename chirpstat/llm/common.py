@@ -13,7 +13,7 @@ from chirpstat.session import checkpoint_root, scratch_path
 
 #: Bound of the per-task memo tables (entries), so that a task's memory does
 #: not grow with the number of distinct words it meets.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 300_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -74,19 +74,18 @@ class Join:
         return max(1, math.floor(SKETCH * t - 5 * math.sqrt(SKETCH * t * (1 - t)) + 0.5))
 
 
-@functools.lru_cache(maxsize=1)
-def _word_hashes() -> Lookup:
+def word_hashes() -> Lookup:
+    """word -> 64-bit hash, remembered; every task has one of its own, which is freed with it."""
     import xxhash
 
     return Lookup(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")))
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted hashes of the text's runs of WORDS words."""
+def shingles(text: str | None, memo: Lookup) -> np.ndarray:
+    """Sorted hashes of the text's runs of WORDS words. `memo`: from word_hashes."""
     words = _WORD.findall(text or "")
     if not words:
         return np.zeros(0, np.uint64)
-    memo = _word_hashes()
     a = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
     n = max(1, len(a) - WORDS + 1)
     h = a[:n].copy()
@@ -110,10 +109,11 @@ def sketch(elements: np.ndarray) -> np.ndarray:
 
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(doc_id, doc, text, t) -> the ids, t, n, two set fingerprints, the split places' hashes and the short sketch."""
+    memo = word_hashes()
     for batch in batches:
         out = []
         for doc, text in zip(batch["doc"].tolist(), batch["text"], strict=True):
-            s = shingles(text)
+            s = shingles(text, memo)
             low = sketch(s)
             prints = (int(s.sum(dtype=np.uint64).view(np.int64)), int(mix64(s).sum(dtype=np.uint64).view(np.int64)))
             out.append((doc, len(s), *prints, low[:SPLIT_PLACES].view(np.int32).tolist(), (low & np.uint32(0xFFFF)).astype("<u2").tobytes()))
@@ -208,8 +208,9 @@ def candidate_edges(reps: DataFrame, join: Join) -> DataFrame:
 
 
 def _member_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    memo = word_hashes()
     for batch in batches:
-        sets = [shingles(t).tobytes() for t in batch["text"]]
+        sets = [shingles(t, memo).tobytes() for t in batch["text"]]
         yield pd.DataFrame({"rep": batch["rep"], "grp": batch["grp"], "copies": batch["copies"], "elements": sets})
 
 

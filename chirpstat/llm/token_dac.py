@@ -15,7 +15,6 @@ shared store (Spark's writers are the only ones that reach every store).
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from array import array
@@ -116,7 +115,7 @@ class TextEncoder:
 
     _letters = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!#$%&*+,./:;=?@^~-]*)")
 
-    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
+    def __init__(self, path: str, entries: int = 2 * MEMO_ENTRIES):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -157,12 +156,6 @@ class TextEncoder:
         return self._line_feed.join(lines)
 
 
-@functools.lru_cache(maxsize=1)
-def _encoder(path: str) -> TextEncoder:
-    """One encoder per Python worker: its remembered units serve later tasks too."""
-    return TextEncoder(path)
-
-
 def _segments(path: str, segment_tokens: int):
     """Partition of (doc_id, text) rows in order -> segment rows."""
 
@@ -170,7 +163,7 @@ def _segments(path: str, segment_tokens: int):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder = _encoder(path)
+        encoder = TextEncoder(path)  # for this task alone: what it remembers is freed with it
         end = np.array([END_ID], "<u4").tobytes()
         state = {"ids": [], "data": [], "n": 0, "seq": 0, "before": 0}
 
