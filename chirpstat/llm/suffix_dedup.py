@@ -296,14 +296,17 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def remove_repeats(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left) of every row of `docs`."""
     rows = numbered(docs)
-    sent = rows.select("doc", "text").mapInPandas(_candidates, CANDIDATES)
+    repeated = rows.groupBy("doc").count().where("count > 1")
+    once = rows if repeated.isEmpty() else rows.dropDuplicates(["doc"])  # a repeated row does not start earlier than itself
+    sent = once.select("doc", "text").mapInPandas(_candidates, CANDIDATES)
     settled = sent.repartition("key").sortWithinPartitions("key", "f", "doc", "off").mapInPandas(_settle, "doc long, off int, h long, open boolean")
     settled = land(settled, "dedup-settled")
-    packed = rows.mapInPandas(_pack, "doc_id long, doc long, body binary")
+    bodies = "doc_id long, doc long, body binary"
+    packed = rows.mapInPandas(_pack, bodies)
 
     left = settled.where("open")
     spots = left.groupBy("doc").agg(F.collect_list(F.struct("off", "h")).alias("spots"))  # bounded by a document's length
-    around = packed.join(spots, "doc").select("doc", "body", "spots").mapInPandas(_surroundings, "h long, doc long, off int, pad int, around binary")
+    around = once.mapInPandas(_pack, bodies).join(spots, "doc").select("doc", "body", "spots").mapInPandas(_surroundings, "h long, doc long, off int, pad int, around binary")
     large = left.groupBy("h").count().where(F.col("count") > group_rows).select("h")
     spans_schema = "doc long, begin int, end int"
     if large.isEmpty():

@@ -90,3 +90,15 @@ def test_odd_documents(odd_docs, no_docs, odd_rows):
     letters = [r for r in got if r.doc_id == 10][0]
     assert letters.n_removed == 199_999 and letters.n_spans == 1
     assert sd.remove_repeats(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("group_rows", [sd.GROUP_ROWS, 2])
+def test_repeated_rows_are_one_document(spark, rows, group_rows):
+    draw = random.Random(12)
+    alone = " ".join(str(draw.random()) for _ in range(60))  # a text that occurs nowhere else
+    shared = alone[:300] + " ".join(str(draw.random()) for _ in range(60))  # shares a string with it
+    want = brute([(-2, alone), (-1, shared), *rows])
+    assert want[0][2] == 0 and 0 < want[1][2] < want[1][1]
+    sent = [(-2, alone), (-2, alone), (-1, shared), (-2, alone), (-1, shared), *rows]
+    got = sorted(tuple(r) for r in sd.remove_repeats(spark.createDataFrame(sent, "doc_id long, text string").repartition(3), group_rows).drop("kept").collect())
+    assert got == sorted([want[0]] * 2 + [want[1]] + want)
