@@ -6,12 +6,14 @@ the representative, goes on. A representative has SKETCH minimum hashes, which
 agree at a place with the probability of the sets' Jaccard similarity.
 
 Chosen paths: every run starts with all representatives and splits them by the
-shared element (minimum hash) at one sampled place, or two; buckets that are
-still large are split again at places sampled from the path, and so on. Small
+element (minimum hash) at a place of its own; buckets that are still large are
+split again, each at several places sampled from its path, and so on. Small
 buckets, and those left at the greatest depth (cut into blocks, every pair of
 blocks compared), are searched by brute force on sketches. A pair above the
-threshold agrees at a sampled place with at least that probability, so that
-repeated runs reach the target recall: with `runs_for` as many as it takes.
+threshold agrees at a place with at least that probability, and one that
+disagrees at one of a bucket's places has the others: `Join.splits` takes as
+many runs, and places a bucket, as keep the target recall for pairs that stay in
+large buckets down to the greatest depth.
 
 Pairs whose sketches may reach the threshold join their texts into one
 candidate group. The sets of each group are then fetched once and compared
@@ -44,7 +46,8 @@ from chirpstat.llm.common import Lookup, components, land, mix64, numbered, tabl
 
 WORDS = 5
 SKETCH = 64
-SPLIT_PLACES = 16
+#: places at which a bucket is split again, at most
+WIDEST = 4
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BASE = np.array([0x9E3779B97F4A7C15], np.uint64)
 
@@ -56,8 +59,6 @@ class Join:
     #: buckets up to this size are searched by brute force
     bucket_rows: int = 400
     depth: int = 5
-    #: share of a second sampled place in a split
-    second: float = 0.25
     #: bounds of a block of sets that is compared with another
     block_rows: int = 400
     block_elements: int = 400_000
@@ -67,6 +68,32 @@ class Join:
         """Runs until a pair at the threshold meets with the target recall, at a first split alone."""
         return max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - self.threshold)))
 
+    def missed(self, runs: int, widths: list[int]) -> float:
+        """Probability that a pair at the threshold is lost, if it stays in large buckets that are split at widths[d] places each.
+
+        Later splits share the places that are no run's own: of these, a binomial number agrees.
+        """
+        t, places, out = self.threshold, SKETCH - runs, 0.0
+        for k in range(places + 1):
+            lost = 0.0
+            for width in reversed(widths):
+                lost = (1 - k / places * (1 - lost)) ** width
+            out += math.comb(places, k) * t**k * (1 - t) ** (places - k) * (1 - t + t * lost) ** runs
+        return out
+
+    @property
+    def splits(self) -> tuple[int, list[int]]:
+        """Runs, and places at which a large bucket is split at each later depth, that keep the recall at full depth."""
+        for runs in range(self.runs, SKETCH // 2 + 1):
+            widths = [2] * (self.depth - 1)
+            for at in [d for d in range(len(widths)) for _ in range(WIDEST - 2)]:
+                if self.missed(runs, widths) <= 1 - self.recall:
+                    break
+                widths[at] += 1
+            if self.missed(runs, widths) <= 1 - self.recall:
+                return runs, widths
+        raise ValueError(f"{SKETCH} minimum hashes are too few for recall {self.recall} at threshold {self.threshold}")
+
     @property
     def sketch_agreement(self) -> int:
         """Agreeing places from which a pair may reach the threshold: five deviations below its mean."""
@@ -107,20 +134,24 @@ def sketch(elements: np.ndarray) -> np.ndarray:
     return low.astype(np.uint32)
 
 
-def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(doc_id, doc, text, t) -> the ids, t, n, two set fingerprints, the split places' hashes and the short sketch."""
-    memo = word_hashes()
-    for batch in batches:
-        out = []
-        for doc, text in zip(batch["doc"].tolist(), batch["text"], strict=True):
-            s = shingles(text, memo)
-            low = sketch(s)
-            prints = (int(s.sum(dtype=np.uint64).view(np.int64)), int(mix64(s).sum(dtype=np.uint64).view(np.int64)))
-            out.append((doc, len(s), *prints, low[:SPLIT_PLACES].view(np.int32).tolist(), (low & np.uint32(0xFFFF)).astype("<u2").tobytes()))
-        frame = pd.DataFrame(out, columns=["doc", "n", "f1", "f2", "places", "sketch"])
-        frame["doc_id"] = batch["doc_id"].astype("Int64").array
-        frame["t"] = batch["t"].to_numpy()
-        yield frame
+def _sketches(runs: int):
+    """(doc_id, doc, text, t) -> the ids, t, n, two set fingerprints, the hashes at the runs' places and the short sketch."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = word_hashes()
+        for batch in batches:
+            out = []
+            for doc, text in zip(batch["doc"].tolist(), batch["text"], strict=True):
+                s = shingles(text, memo)
+                low = sketch(s)
+                prints = (int(s.sum(dtype=np.uint64).view(np.int64)), int(mix64(s).sum(dtype=np.uint64).view(np.int64)))
+                out.append((doc, len(s), *prints, low[:runs].view(np.int32).tolist(), (low & np.uint32(0xFFFF)).astype("<u2").tobytes()))
+            frame = pd.DataFrame(out, columns=["doc", "n", "f1", "f2", "places", "sketch"])
+            frame["doc_id"] = batch["doc_id"].astype("Int64").array
+            frame["t"] = batch["t"].to_numpy()
+            yield frame
+
+    return run
 
 
 def _agree(rows: np.ndarray, others: np.ndarray, least: int) -> np.ndarray:
@@ -166,22 +197,19 @@ def _bucket_edges(least: int):
 
 def candidate_edges(reps: DataFrame, join: Join) -> DataFrame:
     """Stars over representatives (rep, places, sketch) whose sketches agree, by chosen paths."""
-    columns = ("path", "rep", "places", "sketch")
-
-    def chosen(path, depth: int):
-        """The places at which a node is split: one, or two, sampled from its path."""
-        one = F.pmod(F.xxhash64(path, F.lit(depth)), F.lit(SPLIT_PLACES)).cast("int")
-        other = F.pmod(F.xxhash64(path, F.lit(depth), F.lit("second")), F.lit(SPLIT_PLACES)).cast("int")
-        two = F.pmod(F.xxhash64(path, F.lit("two")), F.lit(1000)) < int(1000 * join.second)
-        return F.when(two & (one != other), F.array(one, other)).otherwise(F.array(one))
-
-    def split(nodes: DataFrame, depth: int) -> DataFrame:
-        child = nodes.withColumn("place", F.explode(chosen(F.col("path"), depth)))
-        element = F.element_at("places", F.col("place") + 1)
-        return child.withColumn("path", F.xxhash64("path", "place", element)).select(*columns)
-
-    roots = reps.select(F.explode(F.array(*[F.lit(r).cast("long") for r in range(join.runs)])).alias("path"), *columns[1:])
-    nodes, leaves = split(roots, 0), []
+    runs, widths = join.splits
+    columns = ("path", "rep", "sketch")
+
+    def split(nodes: DataFrame, width: int, depth: int) -> DataFrame:
+        """Children at `width` places, sampled from a node's path among those that are no run's own."""
+        others = F.lit(SKETCH - runs)
+        sampled = F.pmod(F.xxhash64("path", F.lit(depth)), others).cast("int")
+        child = nodes.withColumn("sampled", sampled).withColumn("k", F.explode(F.array(*[F.lit(k) for k in range(width)])))
+        child = child.withColumn("place", F.lit(runs) + (F.col("sampled") + F.col("k")) % others)
+        return child.withColumn("path", F.xxhash64("path", "place", F.expr("substring(sketch, 2 * place + 1, 2)"))).select(*columns)
+
+    roots = reps.select(F.explode(F.array(*[F.lit(r) for r in range(runs)])).alias("place"), "rep", "places", "sketch")
+    nodes, leaves = roots.withColumn("path", F.xxhash64("place", F.element_at("places", F.col("place") + 1))).select(*columns), []
     for depth in range(1, join.depth + 1):
         sizes = nodes.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         sized = nodes.join(sizes, "path")
@@ -199,7 +227,7 @@ def candidate_edges(reps: DataFrame, join: Join) -> DataFrame:
         large = land(sized.where(F.col("size") > join.bucket_rows).select(*columns), "paths")
         if large.isEmpty():
             break
-        nodes = split(large, depth)
+        nodes = split(large, widths[depth - 1], depth)
     found = None
     for leaf in leaves:
         edges = leaf.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_bucket_edges(join.sketch_agreement), "a long, b long")
@@ -280,7 +308,7 @@ def classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """doc_id, t (hash of the text), doc, class_id (the smallest doc of the class), rep and n_links of every row of `docs`."""
     rows = numbered(docs)
     schema = "doc_id long, t long, doc long, n int, f1 long, f2 long, places array<int>, sketch binary"
-    sketches = land(rows.select("doc_id", "doc", "text", F.xxhash64("text").alias("t")).mapInPandas(_sketches, schema), "sketches")
+    sketches = land(rows.select("doc_id", "doc", "text", F.xxhash64("text").alias("t")).mapInPandas(_sketches(join.splits[0]), schema), "sketches")
     full = sketches.where("n > 0")
     reps = full.groupBy("n", "f1", "f2").agg(F.count("*").alias("copies"), F.min("doc").alias("rep"))
     reps = land(reps, "copies")

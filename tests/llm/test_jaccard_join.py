@@ -110,3 +110,34 @@ def test_odd_documents(odd_docs, no_docs, odd_rows):
     assert one.columns == odd_docs.columns
     assert one.count() == len({(r.class_id) for r in got})
     assert jj.classes(no_docs).collect() == [] and jj.one_of_each(no_docs).collect() == []
+
+
+def test_recall_holds_in_buckets_that_stay_large(spark):
+    """Pairs at the threshold among thousands of rows that agree at a quarter of all places, in buckets split down to the greatest depth."""
+    draw = np.random.default_rng(7)
+    n = 2000
+    one = draw.integers(0, 4, (n, jj.SKETCH))
+    other = np.where(draw.random(one.shape) < 0.2, (one + draw.integers(1, 4, one.shape)) % 4, one)
+    pairs = (one == other).sum(1) >= jj.Join().sketch_agreement
+    assert abs((one == other).mean() - 0.8) < 0.01 and pairs.mean() > 0.999
+    marks = np.concatenate([one, other])
+    rows = [(i, m[:16].tolist(), m.astype("<u2").tobytes()) for i, m in enumerate(marks)]
+    reps = spark.createDataFrame(rows, "rep long, places array<int>, sketch binary").repartition(4)
+    group = np.arange(2 * n)
+    stars = np.array([tuple(r) for r in jj.candidate_edges(reps, jj.Join(bucket_rows=8)).distinct().collect()])
+    while True:  # the smallest member of every group
+        new = group.copy()
+        np.minimum.at(new, stars[:, 0], group[stars[:, 1]])
+        np.minimum.at(new, stars[:, 1], group[stars[:, 0]])
+        if (new == group).all():
+            break
+        group = new
+    lost = int((group[:n] != group[n:])[pairs].sum())
+    assert lost <= 2  # 0.2 are expected
+
+
+@pytest.mark.parametrize("join", [jj.Join(), jj.Join(threshold=0.9), jj.Join(threshold=0.5), jj.Join(depth=3), jj.Join(depth=1)])
+def test_splits_keep_the_recall_at_full_depth(join):
+    runs, widths = join.splits
+    assert runs >= join.runs and len(widths) == join.depth - 1 and max(widths, default=0) <= jj.WIDEST
+    assert join.missed(runs, widths) <= 1 - join.recall
