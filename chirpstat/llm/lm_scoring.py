@@ -7,12 +7,15 @@ log-probabilities of all words, each given both sides, scores the document.
 
 Words (lower case, runs of characters other than white space) are counted
 over the whole corpus. The VOCABULARY most frequent ones are classes of their
-own, the others share BUCKETS classes by hash. Training passes once over all
+own, the others share BUCKETS classes by hash; the table of all words' counts,
+which grows with the corpus, is joined to the words of these classes that are
+scored, and the probability of a class is split among its words by count (one
+count more stands for all unseen words). Training passes once over all
 documents, split by hash of the id into `rounds` parts: in a round every task
 starts from the network of the round before, trains on its documents, and
 returns its parameters; these are averaged by number of words, chunk by chunk,
-in a stream (no task holds more than a few parameter sets). What is gathered
-thus grows with the corpus, while the network keeps its size.
+in a stream (no task holds more than a few parameter sets). The network keeps
+its size, however large the corpus is.
 
 Defined results: a null text or one without a word has no words, log_prob 0 and
 a null mean; beyond a text's ends stands a padding word; rows of one id are
@@ -178,11 +181,19 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"word": list(counts), "n": list(counts.values())}).astype({"word": object, "n": "int64"})
 
 
-def count_classes(docs: DataFrame) -> tuple[dict[str, int], np.ndarray]:
-    """The vocabulary (word -> class) and the corpus count of every class."""
+def _bucket_of(word: str):
+    return F.crc32(F.encode(word, "UTF-8")) % BUCKETS
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """word, n (its count in the corpus) and bucket of every word."""
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = counted.withColumn("bucket", F.crc32(F.encode("word", "UTF-8")) % BUCKETS)
-    counted = land(counted, "word-counts")
+    return land(counted.withColumn("bucket", _bucket_of("word")), "word-counts")
+
+
+def count_classes(docs: DataFrame, counted: DataFrame | None = None) -> tuple[dict[str, int], np.ndarray]:
+    """The vocabulary (word -> class) and the corpus count of every class. `counted`: from count_words."""
+    counted = count_words(docs) if counted is None else counted
     top = [(r["word"], r["n"], r["bucket"]) for r in counted.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()]
     buckets = {r["bucket"]: r["n"] for r in counted.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     counts = np.zeros(CLASSES)
@@ -228,10 +239,10 @@ def _average(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"chunk": list(sums), "body": [(sums[c] / weights[c]).astype(np.float32).tobytes() for c in sums]})
 
 
-def learn(docs: DataFrame, training: Training = Training()) -> tuple[dict[str, int], np.ndarray]:
-    """Vocabulary and parameters of a network trained on all of `docs` (doc_id, text)."""
+def learn(docs: DataFrame, training: Training = Training(), counted: DataFrame | None = None) -> tuple[dict[str, int], np.ndarray]:
+    """Vocabulary and parameters of a network trained on all of `docs` (doc_id, text). `counted`: from count_words."""
     spark = docs.sparkSession
-    vocabulary, counts = count_classes(docs)
+    vocabulary, counts = count_classes(docs, counted)
     flat = Network.start(counts, training.seed).flat
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(training.rounds))
     for round_ in range(training.rounds if vocabulary else 0):
@@ -244,8 +255,13 @@ def learn(docs: DataFrame, training: Training = Training()) -> tuple[dict[str, i
     return vocabulary, flat
 
 
-def score_documents(docs: DataFrame, vocabulary: dict[str, int], flat: np.ndarray) -> DataFrame:
-    """doc_id, n_words, log_prob (of all words, each given both sides) and mean_log_prob."""
+def score_documents(docs: DataFrame, vocabulary: dict[str, int], flat: np.ndarray, counted: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_words, log_prob (of all words, each given both sides) and mean_log_prob.
+
+    With `counted` (from count_words, of the documents learned from) words
+    outside the vocabulary have their share of their class's probability;
+    without, they have all of it.
+    """
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, flat))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -259,17 +275,27 @@ def score_documents(docs: DataFrame, vocabulary: dict[str, int], flat: np.ndarra
                 probs = np.concatenate([net.log_prob(context[a : a + 16_384], target[a : a + 16_384]) for a in range(0, len(target), 16_384)] or [np.zeros(0)])
                 ends = np.cumsum(lens)
                 sums = np.concatenate([[0.0], np.cumsum(probs, dtype=np.float64)])
-                total = sums[ends] - sums[ends - lens]
+                shared = [Counter(x for x in w if x not in known) for w in words]
                 yield pd.DataFrame({
-                    "doc_id": part["doc_id"].astype("Int64").array, "n_words": lens, "log_prob": total,
-                    "mean_log_prob": pd.array([t / n if n else None for t, n in zip(total, lens, strict=True)], dtype="Float64"),
+                    "doc_id": part["doc_id"].astype("Int64").array, "n_words": lens, "log_prob": sums[ends] - sums[ends - lens],
+                    "words": [list(c) for c in shared], "times": [list(c.values()) for c in shared],
                 })
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n_words long, log_prob double, mean_log_prob double")
+    scored = rows.mapInPandas(run, "doc_id long, n_words long, log_prob double, words array<string>, times array<long>")
+    if counted is not None:
+        scored = land(scored.withColumn("row", F.monotonically_increasing_id()), "class-scores")
+        own = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", "x.words", "x.times").withColumnRenamed("words", "word")
+        totals = counted.where(~F.col("word").isin(list(vocabulary))).groupBy("bucket").agg(F.sum("n").alias("total"))  # BUCKETS rows
+        own = own.join(counted.select("word", "n"), "word", "left").withColumn("bucket", _bucket_of("word")).join(F.broadcast(totals), "bucket", "left")
+        share = F.log(F.coalesce("n", F.lit(1)) / (F.coalesce("total", F.lit(0)) + 1))
+        shares = own.groupBy("row").agg(F.sum(F.col("times") * share).alias("share"))
+        scored = scored.join(shares, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("share", F.lit(0.0)))
+    return scored.select("doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob"))
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-log-likelihood of every document under a network trained on the whole table."""
     docs = table(spark, sf_dir, "documents")
-    return score_documents(docs, *learn(docs))
+    counted = count_words(docs)
+    return score_documents(docs, *learn(docs, counted=counted), counted)

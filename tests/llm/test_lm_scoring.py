@@ -61,3 +61,27 @@ def test_odd_documents(odd_docs, no_docs, odd_rows):
         assert r.log_prob <= 0 and (r.n_words == 0) == (r.mean_log_prob is None) == (r.log_prob == 0)
     vocabulary, flat = lm.learn(no_docs)
     assert vocabulary == {} and lm.score_documents(no_docs, vocabulary, flat).collect() == []
+
+
+def test_words_outside_the_vocabulary_have_their_share(spark, odd_docs, no_docs):
+    words = [f"w{i}" for i in range(lm.VOCABULARY + 400)]
+    often = {w: 3 if i < lm.VOCABULARY else 1 + i % 2 for i, w in enumerate(words)}
+    docs = spark.createDataFrame([(i, " ".join([w] * often[w])) for i, w in enumerate(words)], "doc_id long, text string")
+    counted = lm.count_words(docs)
+    vocabulary, counts = lm.count_classes(docs, counted)
+    flat = lm.Network.start(counts, 1).flat
+    rare = [w for w in words if w not in vocabulary]
+    assert len(rare) == 400 and {r.word: r.n for r in counted.collect()} == often
+    texts = [rare[0], f"{rare[1]} {words[0]} {rare[1]}", words[1], f"{rare[2]} never seen", "", None, rare[0]]
+    held = spark.createDataFrame([(7, t) for t in texts], "doc_id long, text string").coalesce(1)
+    whole = [r.log_prob for r in lm.score_documents(held, vocabulary, flat).collect()]
+    got = lm.score_documents(held, vocabulary, flat, counted).collect()
+    total = {b: sum(often[w] for w in rare if lm._bucket(w) == b) for b in range(lm.BUCKETS)}
+    want = [p + sum(np.log(often.get(w, 1) / (total[lm._bucket(w)] + 1)) for w in lm.words_of(t) if w not in vocabulary) for p, t in zip(whole, texts, strict=True)]
+    assert np.allclose(sorted(r.log_prob for r in got), sorted(want)) and min(want) < min(whole)
+    for r in got:
+        assert r.mean_log_prob == (r.log_prob / r.n_words if r.n_words else None)
+    counted = lm.count_words(odd_docs)
+    assert lm.score_documents(odd_docs, *lm.learn(odd_docs, counted=counted), counted).count() == odd_docs.count()
+    counted = lm.count_words(no_docs)
+    assert lm.score_documents(no_docs, *lm.learn(no_docs, counted=counted), counted).collect() == []
