@@ -44,7 +44,7 @@ BUCKETS = 256
 VOCABULARY = CLASSES - BUCKETS
 PAD = CLASSES
 SIDE = 2
-HIDDEN = 16
+HIDDEN = 24
 CHUNKS = 16
 
 

@@ -85,3 +85,8 @@ def test_words_outside_the_vocabulary_have_their_share(spark, odd_docs, no_docs)
     assert lm.score_documents(odd_docs, *lm.learn(odd_docs, counted=counted), counted).count() == odd_docs.count()
     counted = lm.count_words(no_docs)
     assert lm.score_documents(no_docs, *lm.learn(no_docs, counted=counted), counted).collect() == []
+
+
+def test_network_has_24_hidden_units():
+    net = lm.Network(np.zeros(lm.Network.SIZE, np.float32))
+    assert net.embed.shape[-1] == net.bias.shape[0] == 24
