@@ -65,7 +65,9 @@ def passes(tokens: dict, weights: dict, budget: int | None) -> dict:
     live = {s: n for s, n in tokens.items() if n}
     if budget is None:
         budget = max(n / weights[s] for s, n in live.items())
-    return {s: weights[s] * budget / n if n else 1.0 for s, n in tokens.items()}
+    times = {s: weights[s] * budget / n if n else 1.0 for s, n in tokens.items()}
+    # rounding must not turn a whole pass into a part of one
+    return {s: float(round(x)) if abs(x - round(x)) < 1e-9 else x for s, x in times.items()}
 
 
 def solve_exponent(tokens: dict, target: Target, rounds: int = 60) -> float:

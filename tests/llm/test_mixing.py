@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -85,3 +86,24 @@ def test_odd_documents(odd_docs, no_docs):
     assert mx.plan(no_docs).collect() == [] and mx.mix_documents(no_docs).collect() == []
     wordless = odd_docs.where("doc_id IN (2, 3, 4)")
     assert mx.mix_documents(wordless).count() == 3
+
+
+def test_without_a_budget_every_source_passes_once():
+    draw = random.Random(2)
+    for _ in range(2000):
+        tokens = {s: draw.randint(1, 10**6) for s in "abcd"[: draw.randint(1, 4)]}
+        times = mx.passes(tokens, mx.tempered(tokens, draw.random()), None)
+        assert min(times.values()) == 1.0
+
+
+def test_texts_without_words_come_once_where_passes_round(spark):
+    draw = random.Random(2)
+    while True:  # a corpus of which the source that sets the budget would get less than one pass
+        tokens = {s: draw.randint(1, 400) for s in "abc"}
+        weights = mx.tempered(tokens, mx.solve_exponent(tokens, mx.Target()))
+        budget = max(n / weights[s] for s, n in tokens.items())
+        if min(weights[s] * budget / n for s, n in tokens.items()) < 1:
+            break
+    rows = [(i, text, s) for s, n in tokens.items() for i, text in enumerate(["w " * n, *[None, "", " "] * 20])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert mx.plan(docs).where("copies < 1").count() == 0
