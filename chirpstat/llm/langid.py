@@ -36,7 +36,6 @@ ORDER = 5
 MAX_WORD = 40
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 1200
-MAX_LANGUAGES = 500
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BLANK = 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -169,12 +168,10 @@ def _row_hashes(rows: np.ndarray, n: int) -> np.ndarray:
 
 def _sampled(rows: DataFrame, per_language: int) -> DataFrame:
     """About `per_language` rows of each language, drawn by a hash of the id."""
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not counts:
-        return rows.limit(0)
-    shares = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    return rows.where(draw < shares[F.col("lang")])
+    shares = rows.groupBy(F.col("lang").alias("of")).agg((F.lit(per_language) / F.count("*")).alias("share"))
+    draw = F.pmod(F.xxhash64("r.doc_id"), F.lit(1_000_000)) / 1_000_000
+    # a row per language is sent, so that no text is dealt by its language
+    return rows.alias("r").join(F.broadcast(shares).alias("s"), F.expr("r.lang = s.of")).where(draw < F.col("s.share")).select("r.*")
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -94,3 +94,8 @@ def test_odd_documents(spark, odd_docs, no_docs):
     none = odd_docs.select(langid.verdicts(spark, None)(F.col("text")).alias("v")).collect()
     assert all(r.v.lang_pred == "und" and r.v.rejected for r in none)
     assert no_docs.select(judge(F.col("text")).alias("v")).collect() == []
+
+
+def test_every_language_is_sampled(spark):
+    rows = spark.range(1200).selectExpr("id AS doc_id", "'a text' AS text", "concat('l', id % 600) AS lang")
+    assert langid._sampled(rows, 10).select("lang").distinct().count() == 600
