@@ -1,0 +1,102 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from conftest import SF_SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from oracle import compare, duck
+
+from chirpstat.llm import centroids as ce
+from chirpstat.llm.registry import ORACLE_SQL, QUERIES
+
+
+def brute(rows, spec):
+    """vec_id -> result by comparing every vector with every centroid in Python integers."""
+    kept = [(i, v) for i, v in rows if v is not None and len(v) == spec.dims and all(x is not None and math.isfinite(x) for x in v)]
+    kept = [(i, tuple(math.floor(spec.scale * x) for x in v)) for i, v in kept]
+    order = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"{spec.seed}:{r[0]}".encode()).hexdigest(), r[1]))
+    centroids = [v for _, v in order[: spec.centroids]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), n) for n, c in enumerate(centroids))
+
+    for _ in range(spec.rounds):
+        own = [[] for _ in centroids]
+        for _, v in kept:
+            own[nearest(v)[1]].append(v)
+        centroids = [tuple(sum(x) // len(o) for x in zip(*o, strict=True)) if o else c for o, c in zip(own, centroids, strict=True)]
+    found = [(i, *nearest(v)[::-1]) for i, v in kept]
+    total = {}
+    for _, c, d in found:
+        total[c] = total.get(c, 0) + d
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return sorted(((i, c, d, total[c], sum(total.values()), sha[c]) for i, c, d in found), key=str)
+
+
+def got(frame, spec):
+    return sorted((tuple(r) for r in ce.cluster_vectors(frame, spec, "embedding").collect()), key=str)
+
+
+def _rows(draw, n, dims):
+    around = draw.normal(size=(5, dims))
+    return [(int(i), (around[i % 5] + 0.3 * draw.normal(size=dims)).tolist()) for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 200])
+def test_equals_brute_force(spark, n):
+    spec = ce.Clustering(dims=6, centroids=8, rounds=4)
+    rows = _rows(np.random.default_rng(n), n, 6)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert got(frame, spec) == brute(rows, spec)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 2.0]), (1, [1.0, 2.0]), (1, [3.0, 2.0]), (None, [1.0, 2.0]), (2, None), (3, []), (4, [1.0]), (5, [1.0, 2.0, 3.0]),
+        (6, [1.0, None]), (7, [nan, 1.0]), (8, [inf, 1.0]), (9, [-inf, 1.0]), (10, [0.0, -0.0]), (11, [-0.0001, -0.5]), (None, None), (12, [1.0, 2.0]),
+    ]
+    spec = ce.Clustering(dims=2, centroids=3, rounds=3)
+    frame = spark.createDataFrame([(*r, "x", 7, 1.5) for r in rows], "vec_id long, embedding array<double>, v string, cluster int, distance double")
+    assert got(frame, spec) == brute(rows, spec)
+
+
+def test_ties_go_to_the_smaller_number_and_empty_centroids_stay(spark):
+    # all vectors equal: every centroid is at the same place, the first takes all
+    rows = [(i, [0.5, -0.25]) for i in range(20)]
+    spec = ce.Clustering(dims=2, centroids=4, rounds=2)
+    out = got(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), spec)
+    assert {r[1] for r in out} == {0} and out == brute(rows, spec)
+
+
+def test_component_out_of_range_is_an_error(spark):
+    frame = spark.createDataFrame([(1, [1e9, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="out of range"):
+        ce.cluster_vectors(frame, ce.Clustering(dims=2)).collect()
+
+
+@given(st.integers(0, 10**6), st.integers(1, 12), st.sampled_from([1, 3, 10**7]))
+@settings(max_examples=60, deadline=None)
+def test_search_is_exact(seed, k, spread):
+    draw = np.random.default_rng(seed)
+    centroids, x = draw.integers(-spread, spread + 1, size=(k, 4)), draw.integers(-spread, spread + 1, size=(50, 4))
+    found, distance, seen = ce.MeanOrder(centroids).nearest(x)
+    all_ = ((x[:, None] - centroids[None]) ** 2).sum(axis=2)
+    assert (distance == all_.min(axis=1)).all() and (found == all_.argmin(axis=1)).all()
+    assert seen <= 50 * k
+
+
+def test_search_passes_over_most_centroids():
+    draw = np.random.default_rng(2)
+    centroids = draw.integers(-50, 50, size=(64, 8)) + 1000 * np.arange(64)[:, None]
+    x = centroids[draw.integers(0, 64, 500)] + draw.integers(-20, 20, size=(500, 8))
+    _, _, seen = ce.MeanOrder(centroids).nearest(x)
+    assert seen < 500 * 4  # of 64 each
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, "/root/testdata/sf0.01"])
+def test_query_equals_sql(spark, sf):
+    ok, message = compare(QUERIES["op11_centroids"](spark, sf), duck(sf), ORACLE_SQL["op11_centroids"])
+    assert ok, message
