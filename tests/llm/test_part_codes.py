@@ -1,0 +1,112 @@
+import hashlib
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SF_SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from oracle import compare, duck
+
+from chirpstat.llm import part_codes as pc
+from chirpstat.llm.registry import ORACLE_SQL, QUERIES
+
+
+def brute(rows, spec):
+    """Result rows by comparing every part with every entry in Python integers."""
+    kept = [(i, lab, v) for i, lab, v in rows if v is not None and len(v) == spec.dims and all(x is not None and math.isfinite(x) for x in v)]
+    kept = [(i, lab, tuple(math.floor(spec.scale * x) for x in v)) for i, lab, v in kept]
+    w = spec.width
+    first = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[2]))[: spec.entries]
+    books = [[v[p * w : p * w + w] for _, _, v in first] for p in range(spec.parts)]
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e, strict=True)), n) for n, e in enumerate(book))
+
+    for _ in range(spec.rounds):
+        after = []
+        for p, book in enumerate(books):
+            own = [[] for _ in book]
+            for _, _, v in kept:
+                part = v[p * w : p * w + w]
+                own[nearest(part, book)[1]].append(part)
+            after.append([tuple(sum(x) // len(o) for x in zip(*o, strict=True)) if o else e for o, e in zip(own, book, strict=True)])
+        books = after
+    sha = hashlib.sha256(",".join(str(x) for book in books for e in book for x in e).encode()).hexdigest()
+    done, total = [], Counter()
+    for i, lab, v in kept:
+        found = [nearest(v[p * w : p * w + w], books[p]) for p in range(spec.parts)]
+        error = sum(d for d, _ in found)
+        total[lab] += error
+        done.append((i, lab, "".join(f"{n:02x}" for _, n in found), error))
+    return sorted(((i, code, error, total[lab], sha) for i, lab, code, error in done), key=str)
+
+
+SCHEMA = "vec_id long, label int, embedding array<double>"
+
+
+@pytest.mark.parametrize(("n", "trie_rows", "block"), [(0, 10, 3), (1, 10, 3), (4, 10, 3), (150, 40, 3), (150, 1000, 1000)])
+def test_equals_brute_force(spark, n, trie_rows, block):
+    spec = pc.Codes(dims=6, scale=4, parts=2, entries=9, rounds=2, trie_rows=trie_rows, block=block)
+    draw = np.random.default_rng(n)
+    rows = [(i, None if i % 4 == 0 else int(i % 3), draw.normal(size=6).tolist()) for i in range(n)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert sorted((tuple(r) for r in pc.compress(frame, spec).collect()), key=str) == brute(rows, spec)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, 1, [1.0, 2.0]), (1, 1, [1.0, 2.0]), (1, 2, [3.0, 2.0]), (None, None, [1.0, 2.0]), (2, 1, None), (3, 1, []), (4, 1, [1.0]),
+        (5, 2, [1.0, 2.0, 3.0]), (6, 1, [1.0, None]), (7, 1, [nan, 1.0]), (8, 1, [inf, 1.0]), (9, None, [-inf, 1.0]), (10, None, [0.0, -0.0]),
+        (11, 3, [-0.001, -0.5]), (None, None, None), (12, 3, [1.0, 2.0]),
+    ]
+    spec = pc.Codes(dims=2, parts=2, entries=3)
+    frame = spark.createDataFrame([(*r, "x", "y", 7) for r in rows], SCHEMA + ", v string, code string, error int")
+    assert sorted((tuple(r) for r in pc.compress(frame, spec).collect()), key=str) == brute(rows, spec)
+
+
+def test_one_label_for_most_rows_and_a_shuffled_join(spark):
+    """The sums are joined by shuffle too; one label holds nearly all rows."""
+    draw = np.random.default_rng(3)
+    rows = [(i, 1 if i % 50 else i, draw.normal(size=4).tolist()) for i in range(400)]
+    spec = pc.Codes(dims=4, scale=4, parts=2, entries=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = sorted((tuple(r) for r in pc.compress(spark.createDataFrame(rows, SCHEMA), spec).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert out == brute(rows, spec)
+
+
+@given(st.integers(0, 10**6), st.integers(0, 60), st.integers(1, 5), st.integers(1, 6), st.sampled_from([1, 2, 100]))
+@settings(max_examples=80, deadline=None)
+def test_trie(seed, n, depth, entries, block):
+    draw = np.random.default_rng(seed)
+    rows, book = draw.integers(-2, 3, size=(n, depth)), draw.integers(-2, 3, size=(entries, depth))
+    trie = pc.Trie(rows)
+    assert trie.leaves.tolist() == sorted(map(list, set(map(tuple, rows.tolist()))))
+    assert (trie.leaves[trie.leaf] == rows).all() and trie.weight.sum() == n
+    for j, numbers in enumerate(trie.numbers):  # a node for every distinct prefix
+        assert len(numbers) == len({tuple(r[: j + 1]) for r in rows.tolist()})
+    code, error = trie.nearest(book, block)
+    distance = ((trie.leaves[:, None] - book[None]) ** 2).sum(axis=2)
+    assert (error == distance.min(axis=1)).all() and (code == distance.argmin(axis=1)).all()
+    counts, totals = trie.sums(code, entries)
+    for e in range(entries):
+        own = rows[code[trie.leaf] == e]
+        assert counts[e] == len(own) and (totals[e] == own.sum(axis=0)).all()
+
+
+def test_parameters_that_cannot_work():
+    with pytest.raises(ValueError):
+        pc.compress(None, pc.Codes(dims=10, parts=4))
+    with pytest.raises(ValueError):
+        pc.compress(None, pc.Codes(entries=300))
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, "/root/testdata/sf0.01"])
+def test_query_equals_sql(spark, sf):
+    ok, message = compare(QUERIES["op12_part_codes"](spark, sf), duck(sf), ORACLE_SQL["op12_part_codes"])
+    assert ok, message
