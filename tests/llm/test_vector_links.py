@@ -1,0 +1,178 @@
+import math
+
+import numpy as np
+import pytest
+from conftest import SF_SMALL
+from oracle import compare, duck
+
+from chirpstat.llm import vector_links as vl
+from chirpstat.llm.registry import ORACLE_SQL, QUERIES
+
+SCHEMA = "vec_id long, label string, embedding array<double>"
+
+
+def brute(rows, threshold=0.93):
+    def able(v):
+        return v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = [0] * len(rows)
+    for a, (_, la, va) in enumerate(rows):
+        for b, (_, lb, vb) in enumerate(rows[:a]):
+            if la is None or la != lb or not able(va) or not able(vb) or len(va) != len(vb):
+                continue
+            dot = sum(x * y for x, y in zip(va, vb, strict=True))
+            if dot / math.sqrt(sum(x * x for x in va)) / math.sqrt(sum(x * x for x in vb)) >= threshold:
+                links[a] += 1
+                links[b] += 1
+                root[find(a)] = find(b)
+    least = {}
+    for a, (i, _, _) in enumerate(rows):
+        if i is not None:
+            least[find(a)] = min(i, least.get(find(a), i))
+    out = []
+    for a, (i, _, _) in enumerate(rows):
+        component = least.get(find(a))
+        out.append((i, links[a], component, i is not None and i == component))
+    return sorted(out, key=str)
+
+
+def got(frame, spec=vl.Near()):
+    return sorted((tuple(r) for r in vl.near_vectors(frame, spec).collect()), key=str)
+
+
+def _near(draw, v, cosine):
+    """A vector at exactly this cosine to v, of another length."""
+    v = v / np.linalg.norm(v)
+    w = draw.normal(size=len(v))
+    w -= (w @ v) * v
+    return (cosine * v + math.sqrt(1 - cosine**2) * w / np.linalg.norm(w)) * draw.uniform(0.1, 10)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """Random vectors, chains and groups of near and exact copies, one label with a third of all rows."""
+    draw = np.random.default_rng(8)
+    out = []
+    for i in range(90):
+        out.append(draw.normal(size=16))
+    for _ in range(25):
+        v = draw.normal(size=16)
+        for cosine in (0.9305, 0.935, 0.95, 0.98, 0.925, 0.9295):
+            out.append(_near(draw, v, cosine))
+        out.append(v)
+    hot = draw.normal(size=16)
+    out += [hot.copy() for _ in range(40)] + [_near(draw, hot, 0.99) for _ in range(60)] + [_near(draw, hot, 0.965) for _ in range(30)]
+    labels = ["a" if i % 3 == 0 or i >= 265 else f"b{i % 2}" for i in range(len(out))]
+    ids = draw.permutation(len(out)).tolist()
+    return [(int(i), lab, v.tolist()) for i, lab, v in zip(ids, labels, out, strict=True)]
+
+
+@pytest.mark.parametrize("spec", [vl.Near(), vl.Near(bucket=8, bucket_rows=25, block=16)])
+def test_equals_brute_force(spark, rows, spec):
+    """Also with buckets and blocks so small that both are dealt and paired."""
+    assert got(spark.createDataFrame(rows, SCHEMA).repartition(4), spec) == brute(rows)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    v, w = [1.0, 2.0, 3.0], [1.0, 2.0, 3.01]
+    rows = [
+        (5, "a", v), (5, "a", v), (6, "a", w), (4, "b", v), (3, None, v), (2, None, v), (None, "a", v), (None, None, None), (7, "a", None), (8, "a", []),
+        (9, "a", [0.0, 0.0, 0.0]), (10, "a", [nan, 2.0, 3.0]), (11, "a", [inf, 2.0, 3.0]), (12, "a", [None, 2.0, 3.0]), (13, "a", [1.0, 2.0]),
+        (14, "a", [1.0, 2.0]), (15, "a", [1e300, 2e300, 3e300]), (16, "a", [1e-300, 2e-300, 3e-300]), (None, "c", v), (17, "d", [3.0]), (18, "d", [-3.0]), (19, "d", [2.0]),
+    ]
+    expected = brute([r for r in rows if r[0] not in (15, 16)])
+    extra = [(*r, 1, 2, "x", 3) for r in rows if r[0] not in (15, 16)]
+    assert got(spark.createDataFrame(extra, SCHEMA + ", node long, g1 int, v string, row int")) == expected
+    huge = {r[0]: r for r in got(spark.createDataFrame(rows, SCHEMA))}
+    assert huge[15][1:] == huge[16][1:] == (5, 5, False)  # lengths far beyond or below a square's range
+
+
+def test_no_rows_and_none_that_can_link(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert got(none) == []
+    assert got(spark.createDataFrame([(1, None, [1.0]), (2, "a", None)], SCHEMA)) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_integer_vectors_and_labels(spark):
+    frame = spark.createDataFrame([(1, 1, [1, 2]), (2, 1, [2, 4]), (3, 1, [-2, 1])], "vec_id int, label int, embedding array<int>")
+    assert got(frame) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def test_estimates_are_unbiased_and_bounds_hold():
+    draw = np.random.default_rng(5)
+    spec = vl.Near()
+    for cosine in (0.2, 0.93):
+        a = vl.units(draw.normal(size=(4000, 64)))
+        b = vl.units(np.array([_near(draw, v, cosine) for v in a]))
+        code, factor = vl.encode(a, spec)
+        turned = b @ vl.rotations(64, 4, spec.seed).T / 2
+        estimate = ((np.unpackbits(code, axis=1) * 2.0 - 1) * turned).sum(axis=1) / 16 / factor
+        spread = np.sqrt(1 - factor**2) / factor / math.sqrt(255)
+        assert abs((estimate - cosine).mean()) < 0.004
+        assert (np.abs(estimate - cosine) < spec.sigmas * spread).all()
+        assert 0.6 < ((estimate - cosine) / (spread * math.sqrt(1 - cosine**2))).std() < 1.4
+
+
+def test_few_pairs_are_computed_exactly():
+    draw = np.random.default_rng(6)
+    unit = vl.units(draw.normal(size=(600, 64)))
+    unit[300:] = vl.units(np.array([_near(draw, v, 0.95) for v in unit[:300]]))
+    code, factor = vl.encode(unit, vl.Near())
+    block = vl.Block(np.arange(600), np.ones(600, int), np.zeros((600, 2), int), code, factor, unit)
+    near, exact = vl.linked(block, block, vl.Near())
+    assert (near == (unit @ unit.T >= 0.93)).all() and exact < 600 * 600 // 50
+
+
+def test_buckets_keep_the_stated_recall():
+    draw = np.random.default_rng(7)
+    spec = vl.Near()
+    a = vl.units(draw.normal(size=(5000, 64)))
+    b = vl.units(np.array([_near(draw, v, 0.9301) for v in a]))
+    for signs in (4, 9):
+        tables = spec.tables(signs)
+        met = (vl.bucket_names(a, signs, tables, spec) == vl.bucket_names(b, signs, tables, spec)).any(axis=1)
+        assert met.mean() >= 0.995
+    different = np.unpackbits(vl.encode(a, spec)[0] ^ vl.encode(b, spec)[0], axis=1).sum(axis=1)
+    assert (different <= spec.limit(256)).all()
+
+
+@pytest.mark.parametrize("step", [7, 50, 1000])
+def test_bucket_links_connect_all_close_codes(step):
+    draw = np.random.default_rng(step)
+    words = [draw.integers(0, 2**63, size=4, dtype=np.uint64) for _ in range(40)]
+    for i in range(160):  # chains and tight groups
+        w = words[int(draw.integers(0, len(words)))].copy()
+        for bit in draw.integers(0, 256, size=int(draw.choice([0, 3, 30, 60]))):
+            w[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+        words.append(w)
+    codes = np.array(words)[draw.permutation(len(words))]
+    nodes = 1000 + np.arange(len(codes))
+    root = {int(n): int(n) for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = list(vl.bucket_links(codes, nodes, 57, 12, step))
+    assert sum(len(a) for a, _ in links) <= 2 * len(codes)
+    for a, b in links:
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            root[find(x)] = find(y)
+    close = np.bitwise_count(codes[:, None] ^ codes[None]).sum(axis=2) <= 57
+    for x, y in zip(*np.nonzero(close), strict=True):
+        assert find(int(nodes[x])) == find(int(nodes[y]))
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, "/root/testdata/sf0.01"])
+def test_query_equals_sql(spark, sf):
+    ok, message = compare(QUERIES["op13_vector_links"](spark, sf), duck(sf), ORACLE_SQL["op13_vector_links"])
+    assert ok, message
