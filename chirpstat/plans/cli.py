@@ -50,6 +50,9 @@ from chirpstat.streaming import stream as S
 
 LOG = logging.getLogger("chirpstat")
 
+#: Files a stream over a folder takes in a micro-batch, so that a first batch over a long archive stays bounded.
+FILES_PER_TRIGGER = 1000
+
 #: Most rows that a preview brings to the driver.
 PREVIEW_ROWS = 1000
 
@@ -70,6 +73,8 @@ def _parser() -> argparse.ArgumentParser:
         out.add_argument("--mongo-db", help="write results as collections of this database")
         s.add_argument("--mongo-uri")
         s.add_argument("--on-empty", choices=("skip", "overwrite"), default="skip")
+        s.add_argument("--layout", choices=("plain", "versions"), default="plain",
+                       help="files: a plain table folder, or versions behind a pointer (for object stores)")
         s.add_argument("--preview", type=int, default=10, help="rows of each result to show (0: none)")
         if name == "user-analysis":
             s.add_argument("--fame-point", type=int, default=FAME_POINT)
@@ -109,6 +114,10 @@ def _parser() -> argparse.ArgumentParser:
         src = s.add_mutually_exclusive_group(required=True)
         src.add_argument("--bootstrap-servers")
         src.add_argument("--input-path", help="folder of message files (Parquet with a `value` column)")
+        s.add_argument("--input-format", choices=("parquet", "text"), default="parquet",
+                       help="text: JSON-lines files, one message per line")
+        s.add_argument("--files-per-trigger", type=int, default=FILES_PER_TRIGGER,
+                       help="message files a micro-batch takes at most")
         s.add_argument("--checkpoint", required=True, help="shared folder for this query's checkpoint")
         when = s.add_mutually_exclusive_group()
         when.add_argument("--trigger-seconds", type=int, default=60)
@@ -134,7 +143,9 @@ def _parser() -> argparse.ArgumentParser:
 
 def _raw_stream(spark: SparkSession, args) -> DataFrame:
     if args.input_path:
-        return spark.readStream.schema(RAW_MESSAGE_SCHEMA).parquet(args.input_path)
+        schema = RAW_MESSAGE_SCHEMA if args.input_format == "parquet" else "value string"
+        reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", args.files_per_trigger)
+        return reader.format(args.input_format).load(args.input_path)
     return read_topic_stream(spark, args.bootstrap_servers, args.topic)
 
 
@@ -234,7 +245,7 @@ def _sink(args) -> Sink | None:
         s = mongo_sink(args.mongo_db, args.mongo_uri)
         return Sink(fmt=s.fmt, options=s.options, on_empty=args.on_empty)
     if args.sink_base:
-        return Sink(base=args.sink_base, on_empty=args.on_empty)
+        return Sink(base=args.sink_base, on_empty=args.on_empty, layout=args.layout)
     return None
 
 

@@ -10,10 +10,11 @@ Shape of the user-analysis plan, chosen for very large topics:
    per-author table, the fame distribution is a sum over it, and only the
    per-tweet flag result re-reads the tweet snapshot.
 
-So the tweets are parsed once, scanned twice in full (flag write, aggregate)
-plus once for the id column (invalid count), and shuffled once, instead of
-being re-read and re-parsed for every action. The results go to their sink
-unordered, as a table keeps no order. The snapshot is removed from the shared
+So the tweets are parsed once, scanned twice in full (flag write, aggregate) and
+shuffled once, instead of being re-read and re-parsed for every action. All
+records and those without an id are counted while the tweets are landed, and the
+rows of each result while it is written (`observe`), so no count is a pass of its
+own. The results go to their sink unordered, as a table keeps no order. The snapshot is removed from the shared
 folder when the job ends, whether it succeeds or fails.
 
 The daily job parses only `created_at`, the retweet count and `id`; one per-day
@@ -38,7 +39,7 @@ from chirpstat.functions.schema import (
 )
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
-from chirpstat.session import land, remove_path, scratch_path
+from chirpstat.session import land, land_counted, remove_path, scratch_path
 from chirpstat.sources.io import Sink, archive_raw, publish, write_result
 
 LOG = logging.getLogger(__name__)
@@ -96,7 +97,7 @@ def plan_user_analysis(
     try:
         if snapshot:
             paths += (scratch_path(spark, "tweets"),)
-            tweets = land(tweets, spark, "tweets", paths[-1])
+            tweets, found = land_counted(tweets, spark, "tweets", paths[-1], invalid=F.count_if(F.col("id").isNull()))
         valid = valid_tweets(tweets)
         stats = A.author_stats(valid, fame_point, low_point)
         if snapshot:
@@ -112,11 +113,16 @@ def plan_user_analysis(
         is_famous_tweeters=A.add_is_famous(valid, fame_point),
         fame_distribution=A.fame_distribution_from_stats(stats),
         low_follower_activity=A.low_follower_activity_from_stats(stats),
-        counts=count_invalid(tweets),
+        counts=_known_counts(spark, found) if snapshot else count_invalid(tweets),
         snapshot_paths=paths,
     )
 
 
+def _known_counts(spark: SparkSession, found: dict[str, int]) -> DataFrame:
+    """`count_invalid`'s row from counts that are known already."""
+    return spark.range(1).select(F.lit(found["rows"]).cast("long").alias("total"), F.lit(found["invalid"]).cast("long").alias("invalid"))
+
+
 def run_user_analysis(
     spark: SparkSession,
     raw: DataFrame,

@@ -35,7 +35,7 @@ from chirpstat.sources.fixtures import (
     read_event_messages,
     read_event_messages_stream,
 )
-from chirpstat.sources.io import Sink, archive_raw, publish, read_messages
+from chirpstat.sources.io import Sink, archive_raw, publish, read_messages, read_result, write_result
 from chirpstat.streaming import stream as S
 
 # --- Fixed values: parameters of the registered selections --------------------
@@ -258,6 +258,37 @@ def q_daily_trend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_daily_trend_stream_takeover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, each with a checkpoint of its own, one after the other on one target.
+
+    The first reads half of the messages in many micro-batches, the second all of
+    them in few: the target shows the second one's result, whatever the batch numbers.
+    """
+    source, target = scratch_path(spark, "takeover-topic"), scratch_path(spark, "takeover-result")
+    raw = _raw(spark, sf_dir)
+    raw.where(F.pmod("offset", F.lit(2)) == 0).write.parquet(source)
+    many = spark.readStream.schema(RAW_MESSAGE_SCHEMA).option("maxFilesPerTrigger", 2).parquet(source)
+    for stream in (many, read_event_messages_stream(spark, sf_dir)):
+        checkpoint = scratch_path(spark, "takeover-checkpoint")
+        result = S.run_complete(
+            spark, S.daily_trend_stream(stream), "takeover", checkpoint, target, state_partitions=_cores(spark)
+        )
+    return result
+
+
+def _replaced(layout: str, results: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A result of half of the tweets, then of all, then an empty one, which is skipped; read back."""
+        sink = Sink(base=scratch_path(spark, f"{layout}-results"), layout=layout)
+        valid = _valid(spark, sf_dir, FOLLOWER_FIELDS)
+        for rows in (valid.where(F.pmod(F.xxhash64("id"), F.lit(2)) == 0), valid, valid.where("follower_count < -1")):
+            write_result(results(rows), "result", sink)
+        return read_result(spark, "result", sink)
+
+    run.__name__ = f"{layout}_results"
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "parse_tweets": q_parse_tweets,
     "count_invalid": q_count_invalid,
@@ -294,6 +325,9 @@ QUERIES: dict[str, Query] = {
     "top_tweeters_stream": q_top_tweeters_stream,
     "daily_trend_stream": q_daily_trend_stream,
     "daily_trend_stream_restart": q_daily_trend_stream_restart,
+    "daily_trend_stream_takeover": q_daily_trend_stream_takeover,
+    "result_replaced_plain": _replaced("plain", A.famous_top_tweeters),
+    "result_replaced_versions": _replaced("versions", A.famous_top_tweeters),
 }
 
 
@@ -368,6 +402,9 @@ _BODIES = {
     "top_tweeters_stream": _TOP,
     "daily_trend_stream": _DAILY.format(where=""),
     "daily_trend_stream_restart": _DAILY.format(where=""),
+    "daily_trend_stream_takeover": _DAILY.format(where=""),
+    "result_replaced_plain": _FAMOUS,
+    "result_replaced_versions": _FAMOUS,
 }
 
 ORACLE_SQL: dict[str, str] = {name: f"WITH {TWEETS_VIEW_SQL.strip()}\n{body}" for name, body in _BODIES.items()}

@@ -9,6 +9,7 @@ the option set plus Spark's own distributed reader/writer. Any other format
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from pyspark.sql.types import TimestampNTZType
 
 from chirpstat.functions.parse import encode_json, message_text, parse_json, prune_schema
 from chirpstat.functions.schema import TWEET_SCHEMA
+from chirpstat.session import land_counted, move_path, observed_write, path_exists, remove_path, scratch_path
+from chirpstat.sources.versions import Versions
 
 LOG = logging.getLogger(__name__)
 
@@ -102,6 +105,13 @@ class Sink:
 
     fmt="parquet" (or any path-based format) writes `<base>/<name>`;
     fmt="mongodb" writes collection `<name>` of the configured database.
+
+    A result in files is replaced only when the new one is whole. With
+    layout="plain", `<base>/<name>` is an ordinary table folder: the new result
+    is written beside it and swapped in by two renames. With layout="versions",
+    `<base>/<name>` holds version folders behind a pointer (sources/versions.py):
+    no rename, readers keep the version they have begun, and it is the one for
+    object stores; `read_result` reads it.
     """
 
     fmt: str = "parquet"
@@ -109,6 +119,8 @@ class Sink:
     options: dict[str, str] = field(default_factory=dict)
     mode: str = "overwrite"
     on_empty: str = "skip"  # "skip" keeps the previous result; "overwrite" writes it empty
+    layout: str = "plain"  # or "versions"
+    keep: int = 2  # versions kept under layout="versions"
 
     def writer_options(self, name: str) -> dict[str, str]:
         opts = dict(self.options)
@@ -146,24 +158,113 @@ def document_types(df: DataFrame) -> DataFrame:
 def write_result(df: DataFrame, name: str, sink: Sink) -> bool:
     """Write one named result. Returns False when it was skipped as empty.
 
-    Emptiness is tested with `isEmpty()` (stops at the first row), not a full
-    count. Write errors are raised, never swallowed. With `on_empty="skip"`
-    the plan runs twice (test, then write): pass a landed or cached result
-    when it is expensive, as the jobs do (per-author table landed, per-day
-    table cached), or use `on_empty="overwrite"` for a single pass.
+    The plan runs once: rows are counted while they are written (`observe`), and
+    an empty result is dropped instead of published (`on_empty="skip"`). Where
+    the rows must go straight into the target (a document store, mode="append"),
+    a result that may be skipped is landed in the shared folder first. Write
+    errors are raised, never swallowed, and leave the previous result in place.
     """
-    if sink.on_empty == "skip" and df.isEmpty():
-        LOG.warning("no rows for %r; previous result left in place", name)
+    target = sink.target(name)
+    skips = sink.on_empty == "skip"
+    options = sink.writer_options(name)
+    if target is None or sink.mode != "overwrite":
+        path = scratch_path(df.sparkSession, "result") if skips else None
+        try:
+            if skips:
+                df, found = land_counted(df, df.sparkSession, "result", path)
+                if not found["rows"]:
+                    return _skipped(name)
+            rows = document_types(df) if sink.fmt == "mongodb" else df
+            rows.write.format(sink.fmt).mode(sink.mode).options(**options).save(target)
+            return True
+        finally:
+            if path is not None:
+                remove_path(df.sparkSession, path)
+
+    def write(to: str) -> int:
+        return observed_write(df, lambda rows: rows.write.format(sink.fmt).options(**options).save(to))["rows"]
+
+    publish_ = _publish_version if sink.layout == "versions" else _publish_plain
+    return publish_(df.sparkSession, target, write, skips, sink) or _skipped(name)
+
+
+def _skipped(name: str) -> bool:
+    LOG.warning("no rows for %r; previous result left in place", name)
+    return False
+
+
+def _publish_version(spark: SparkSession, target: str, write: Callable[[str], int], skips: bool, sink: Sink) -> bool:
+    """Write a new version, then point at it."""
+    versions = Versions(spark, target, sink.fmt)
+    version = versions.new_version()
+    try:
+        rows = write(versions.folder(version))
+    except Exception:
+        remove_path(spark, versions.folder(version))
+        raise
+    if skips and not rows:
+        remove_path(spark, versions.folder(version))
         return False
-    if sink.fmt == "mongodb":
-        df = document_types(df)
-    writer = df.write.format(sink.fmt).mode(sink.mode).options(**sink.writer_options(name))
+    versions.point_at(version, rows=rows)
+    versions.prune(sink.keep)
+    return True
+
+
+# Beside a plain result `<name>`: the new one while it is written, the whole new
+# one, and the old one while they change places.
+_WRITING, _WHOLE, _OLD = "_writing", "_whole", "_old"
+
+
+def _beside(target: str, state: str) -> str:
+    base, slash, name = target.rpartition("/")
+    return f"{base}{slash}{state}-{name}"
+
+
+def finish_swap(spark: SparkSession, target: str) -> None:
+    """Finish a swap of a plain result that died between its renames.
+
+    A whole new result is put in the place of the old one; without one, an old
+    result that was already moved away goes back.
+    """
+    whole, old = _beside(target, _WHOLE), _beside(target, _OLD)
+    if path_exists(spark, whole):
+        if path_exists(spark, target):
+            remove_path(spark, old)
+            move_path(spark, target, old)
+        move_path(spark, whole, target)
+    elif path_exists(spark, old) and not path_exists(spark, target):
+        move_path(spark, old, target)
+    remove_path(spark, old)
+
+
+def _publish_plain(spark: SparkSession, target: str, write: Callable[[str], int], skips: bool, _sink: Sink) -> bool:
+    """Write beside the target, then swap. Up to the renames the old result is untouched."""
+    finish_swap(spark, target)
+    writing, whole = _beside(target, _WRITING), _beside(target, _WHOLE)
+    remove_path(spark, writing)
+    try:
+        rows = write(writing)
+        if skips and not rows:
+            return False
+        move_path(spark, writing, whole)
+    finally:
+        remove_path(spark, writing)
+    finish_swap(spark, target)
+    return True
+
+
+def read_result(spark: SparkSession, name: str, sink: Sink) -> DataFrame | None:
+    """The last whole result written to a sink in files (None: none yet), in either layout."""
     target = sink.target(name)
     if target is None:
-        writer.save()
-    else:
-        writer.save(target)
-    return True
+        raise ValueError("only results in files are read back here; use the store's own reader")
+    if sink.layout == "versions":
+        return Versions(spark, target, sink.fmt).read()
+    # a swap that is going on, or died, is left to the writers: the content is still in one of these
+    for path in (target, _beside(target, _WHOLE), _beside(target, _OLD)):
+        if path_exists(spark, path):
+            return spark.read.format(sink.fmt).load(path)
+    return None
 
 
 # --- Topic publishing and raw archive ------------------------------------------

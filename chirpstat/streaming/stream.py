@@ -10,6 +10,8 @@ state is bounded by the number of days/authors, not by the number of rows.
 
 from __future__ import annotations
 
+import json
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 from chirpstat.functions.parse import parse_tweets
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import valid_tweets
-from chirpstat.session import list_names, path_exists, remove_path, scratch_path, session_conf
+from chirpstat.session import list_names, path_exists, read_text, remove_path, scratch_path, session_conf
 from chirpstat.functions.schema import AUTHOR_FIELDS, DAILY_FIELDS
 from chirpstat.sources.io import archive_raw, document_types, kafka_write_options, to_messages
+from chirpstat.sources.versions import Overtaken, Record, Versions
 
 
 def daily_trend_stream(raw_stream: DataFrame) -> DataFrame:
@@ -44,13 +47,22 @@ def start_complete(
 ) -> StreamingQuery:
     """Start a complete-mode aggregate whose every micro-batch replaces the result in `target`.
 
-    Each batch's full result is written to a folder of its own,
-    `<target>/batch-<id>`; older ones are removed once it is complete, all but
-    the one before it, so a reader (`read_complete`) always finds a whole
-    result, also after a crash in the middle of a write. A retried batch
-    rewrites its own folder. No row is carried through the driver. `trigger`
-    is passed to `DataStreamWriter.trigger` (e.g. processingTime="1 minute",
-    or availableNow=True).
+    Each batch's full result is a version of its own in `target`, and the
+    target's manifest (sources/versions.py) names, per change, the run (the
+    query's id, which stays with its checkpoint), the checkpoint, the batch and
+    the version. `read_complete` follows the last record, so a reader always
+    finds a whole result, also after a crash in the middle of a write; the last
+    two versions are kept. A retried batch writes a version again. No row is
+    carried through the driver.
+
+    A run claims its target when it starts. A new checkpoint on a target that
+    another run has used begins with no result: the old run's rows are not
+    returned any more, and if that run is still at work, its next batch fails
+    (`Overtaken`) instead of replacing the new one's. A run restarted on its
+    checkpoint gets its own last result back.
+
+    `trigger` is passed to `DataStreamWriter.trigger` (e.g.
+    processingTime="1 minute", or availableNow=True).
 
     `state_partitions` sets how many state-store partitions a new query gets.
     A stateful stream takes that number from `spark.sql.shuffle.partitions`
@@ -60,39 +72,93 @@ def start_complete(
     the RocksDB state store.
     """
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").save(_batch_path(target, batch_id))
-        for old in _batches(spark, target):
-            if old < batch_id - 1:
-                remove_path(spark, _batch_path(target, old))
-
+    result = _Target(spark, target, checkpoint, fmt)
     writer = (
         result_stream.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write_batch)
+        .foreachBatch(result.write)
     )
     if trigger:
         writer = writer.trigger(**trigger)
     if state_partitions:
         with session_conf(spark, "spark.sql.shuffle.partitions", str(state_partitions)):
-            return writer.start()
-    return writer.start()
-
-
-def _batch_path(target: str, batch_id: int) -> str:
-    return f"{target.rstrip('/')}/batch-{batch_id}"
+            query = writer.start()
+    else:
+        query = writer.start()
+    result.claim(query.id)
+    return query
+
+
+class _Target:
+    """A stream's hold on the table it replaces, batch by batch."""
+
+    def __init__(self, spark: SparkSession, target: str, checkpoint: str, fmt: str):
+        self.spark, self.checkpoint, self.fmt = spark, checkpoint.rstrip("/"), fmt
+        self.versions = Versions(spark, target, fmt)
+        self._run: str | None = None
+        self._lock = threading.Lock()  # the caller's thread and the first batch both claim
+
+    def _own_last(self, run: str) -> tuple[str | None, int | None]:
+        """The version and batch this run has left in the target, if any."""
+        own = [r for r in self.versions.records() if r.notes.get("run") == run and r.version is not None]
+        if own and path_exists(self.spark, self.versions.folder(own[-1].version)):
+            return own[-1].version, own[-1].notes.get("batch")
+        if not own:  # a target of before there were records: its batches carry their ids only
+            done = [n for n in list_names(self.spark, f"{self.checkpoint}/commits") if n.isdigit()]
+            old = [i for i in _batches(self.spark, self.versions.path) if str(i) in done and self.versions.last() is None]
+            if old:
+                return f"batch-{old[-1]}", old[-1]
+        return None, None
+
+    def claim(self, run: str) -> None:
+        """Make this run the one whose results the target shows."""
+        with self._lock:
+            if self._run is not None:
+                return
+            while True:
+                last = self.versions.last()
+                if last is not None and last.notes.get("run") == run:
+                    break
+                version, batch = self._own_last(run)
+                try:
+                    self.versions.point_at(version, last, follow=True, run=run, checkpoint=self.checkpoint, batch=batch)
+                    break
+                except Overtaken:  # another run claimed it just now: this one came later
+                    continue
+            self._run = run
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        run = json.loads(read_text(self.spark, f"{self.checkpoint}/metadata"))["id"]
+        self.claim(run)
+        version = self.versions.new_version(f"batch-{batch_id}")
+        batch.write.format(self.fmt).save(self.versions.folder(version))
+        last = self.versions.last()
+        if last is None or last.notes.get("run") != run:
+            remove_path(self.spark, self.versions.folder(version))
+            raise Overtaken(f"{self.versions.path} now belongs to the run {last and last.notes.get('run')}")
+        self.versions.point_at(version, last, follow=True, run=run, checkpoint=self.checkpoint, batch=batch_id)
+        self.versions.prune(keep=2, abandoned_after=0)  # one run at a time writes here
 
 
 def _batches(spark: SparkSession, target: str) -> list[int]:
-    """Ids of the complete results in `target`, ascending."""
+    """Ids of the whole batches in `target`, ascending: those of its last run, by the manifest;
+    in a target without one, of the folders that are complete."""
+    records = Versions(spark, target).records()
+    if records:
+        own = [r for r in records if r.notes.get("run") == records[-1].notes.get("run") and r.version is not None]
+        return sorted({r.notes["batch"] for r in own})
     ids = sorted(int(n[6:]) for n in list_names(spark, target) if n.startswith("batch-") and n[6:].isdigit())
-    return [i for i in ids if path_exists(spark, f"{_batch_path(target, i)}/_SUCCESS")]
+    return [i for i in ids if path_exists(spark, f"{target.rstrip('/')}/batch-{i}/_SUCCESS")]
 
 
 def read_complete(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame | None:
-    """The last complete result that a `start_complete` stream has left in `target` (None: none yet)."""
+    """The last whole result that the run which holds `target` has left there (None: none yet)."""
+    versions = Versions(spark, target, fmt)
+    last = versions.last()
+    if last is not None:
+        return versions.read(last)
     ids = _batches(spark, target)
-    return spark.read.format(fmt).load(_batch_path(target, ids[-1])) if ids else None
+    return versions.read(Record(0, f"batch-{ids[-1]}")) if ids else None
 
 
 def run_complete(

@@ -102,3 +102,24 @@ def test_dual_path_document_archive_fails_loudly_without_connector(spark, scratc
             "--archive-mongo-db", "tweet_results", "--publish-path", os.path.join(scratch, "p"), "--available-now"]
     with pytest.raises(Exception):
         cli.main(args, spark)
+
+
+def test_stream_cli_from_json_lines(spark, scratch):
+    from chirpstat.sources.fixtures import read_event_messages
+
+    lines = os.path.join(scratch, "jsonl")
+    read_event_messages(spark, SF).selectExpr("CAST(value AS STRING) AS value").repartition(3).write.text(lines)
+    args = ["stream-daily-trend", "t", "--input-path", lines, "--input-format", "text", "--files-per-trigger", "1",
+            "--checkpoint", os.path.join(scratch, "ck"), "--sink-base", scratch, "--available-now", "--state-partitions", "2"]
+    assert cli.main(args, spark) == 0
+    assert sum(r.toplam_tweet_sayisi for r in read_complete(spark, os.path.join(scratch, "daily_trend")).collect()) == 1000
+    batches = [n for n in os.listdir(os.path.join(scratch, "ck", "commits")) if n.isdigit()]
+    assert len(batches) == 3
+
+
+def test_cli_writes_versions(spark, scratch):
+    from chirpstat.sources.io import Sink, read_result
+
+    args = ["daily-trend", "t", "--input-path", event_topic(spark, SF), "--sink-base", scratch, "--layout", "versions", "--preview", "0"]
+    assert cli.main(args, spark) == 0
+    assert read_result(spark, "daily_trend", Sink(base=scratch, layout="versions")).count() == 30

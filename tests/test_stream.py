@@ -149,3 +149,67 @@ def test_half_written_result_is_not_read(spark, scratch):
     os.makedirs(os.path.join(out, "batch-5"))
     assert S.read_complete(spark, out).count() == 3
     assert S.read_complete(spark, os.path.join(scratch, "none")) is None
+
+
+def _split_sources(spark, scratch):
+    """The messages of two thirds and of all of the topic, as two folders of files."""
+    raw = read_event_messages(spark, SF)
+    parts = {"most": raw.where("offset % 3 > 0"), "all": raw}
+    for name, rows in parts.items():
+        rows.repartition(4).write.parquet(os.path.join(scratch, name))
+    return lambda name: spark.readStream.schema(RAW_MESSAGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(os.path.join(scratch, name))
+
+
+def test_new_checkpoint_on_an_old_target(spark, scratch):
+    """The highest batch id is the first run's; the second run's result is what counts."""
+    source, out = _split_sources(spark, scratch), os.path.join(scratch, "out")
+    first = S.run_complete(spark, S.daily_trend_stream(source("all")), "d", os.path.join(scratch, "ck1"), out)
+    assert sum(r.toplam_tweet_sayisi for r in first.collect()) == 1000
+    most = spark.read.schema(RAW_MESSAGE_SCHEMA).parquet(os.path.join(scratch, "most"))
+    one_batch = spark.readStream.schema(RAW_MESSAGE_SCHEMA).parquet(os.path.join(scratch, "most"))
+    second = S.run_complete(spark, S.daily_trend_stream(one_batch), "d", os.path.join(scratch, "ck2"), out)
+    assert sorted_rows(second) == sorted_rows(A.daily_trends(parse_tweets(most)))
+    manifest = S.Versions(spark, out).last()
+    assert manifest.notes["batch"] == 0 and manifest.notes["checkpoint"] == os.path.join(scratch, "ck2")
+    # the first run, started again with nothing new, shows its own result if that is still kept, else says so
+    with pytest.raises(RuntimeError, match="finished batches"):
+        S.run_complete(spark, S.daily_trend_stream(source("all")), "d", os.path.join(scratch, "ck1"), out)
+
+
+def test_new_checkpoint_with_nothing_to_read_shows_no_old_rows(spark, scratch):
+    out, none = os.path.join(scratch, "out"), os.path.join(scratch, "none")
+    S.run_complete(spark, S.daily_trend_stream(_stream(spark)), "d", os.path.join(scratch, "ck1"), out)
+    os.makedirs(none)  # no file: no batch runs
+    empty = spark.readStream.schema("value binary").parquet(none)
+    assert S.run_complete(spark, S.daily_trend_stream(empty), "d", os.path.join(scratch, "ck2"), out).count() == 0
+    assert S.read_complete(spark, out) is None
+    # the first run takes its target back: its last result is still kept
+    again = S.run_complete(spark, S.daily_trend_stream(_stream(spark)), "d", os.path.join(scratch, "ck1"), out)
+    assert sorted_rows(again) == sorted_rows(A.daily_trends(parse_tweets(read_event_messages(spark, SF))))
+
+
+def test_overtaken_run_cannot_replace_the_new_ones_result(spark, scratch):
+    out, ck = os.path.join(scratch, "out"), [os.path.join(scratch, f"ck{i}") for i in (1, 2)]
+    for c, run in zip(ck, ("one", "two")):
+        os.makedirs(c)
+        with open(os.path.join(c, "metadata"), "w") as f:
+            f.write('{"id": "%s"}' % run)
+    one, two = (S._Target(spark, out, c, "parquet") for c in ck)
+    one.write(spark.range(1), 0)
+    one.write(spark.range(2), 1)
+    two.claim("two")
+    assert S.read_complete(spark, out) is None
+    with pytest.raises(S.Overtaken, match="two"):
+        one.write(spark.range(3), 2)
+    assert S.read_complete(spark, out) is None
+    two.write(spark.range(9), 0)
+    assert S.read_complete(spark, out).count() == 9 and S._batches(spark, out) == [0]
+
+
+def test_target_from_before_the_manifest_goes_on(spark, scratch):
+    ck, out = os.path.join(scratch, "ck"), os.path.join(scratch, "out")
+    want = sorted_rows(S.run_complete(spark, S.daily_trend_stream(_stream(spark)), "d", ck, out))
+    last = S.Versions(spark, out).last()
+    os.rename(os.path.join(out, last.version), os.path.join(out, f"batch-{last.notes['batch']}"))
+    os.rename(os.path.join(out, "_records"), os.path.join(scratch, "gone"))
+    assert sorted_rows(S.run_complete(spark, S.daily_trend_stream(_stream(spark)), "d", ck, out)) == want
