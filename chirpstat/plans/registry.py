@@ -35,6 +35,7 @@ from chirpstat.sources.fixtures import (
     read_event_messages,
     read_event_messages_stream,
 )
+from chirpstat.sources.archive_index import append_new
 from chirpstat.sources.io import Sink, archive_raw, publish, read_messages, read_result, write_result
 from chirpstat.streaming import stream as S
 
@@ -140,6 +141,16 @@ def q_archive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_metrics(parse_tweets(read_messages(spark, target)))
 
 
+def q_archive_dedup_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages archived, then all again with other texts in a later append: the
+    index beside the archive keeps the first message of every id, and all without one."""
+    raw = _raw(spark, sf_dir)
+    target = scratch_path(spark, "archive-appends")
+    append_new(raw, target)
+    append_new(_later_copies(raw), target)
+    return flatten_metrics(parse_tweets(read_messages(spark, target)))
+
+
 def q_archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw messages appended to the archive and read back."""
     target = scratch_path(spark, "archive")
@@ -307,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "text_search": q_text_search,
     "encode_round_trip": q_encode_round_trip,
     "archive_dedup": q_archive_dedup,
+    "archive_dedup_appends": q_archive_dedup_appends,
     "archive_round_trip": q_archive_round_trip,
     "publish_round_trip": q_publish_round_trip,
     "dual_path_archive": _dual_path("archive"),
@@ -363,6 +375,11 @@ _SEARCH = (
 _NEWEST = "ORDER BY created_at DESC NULLS LAST, id DESC NULLS LAST"
 _AUTHOR_ORDER = "author_id ASC NULLS LAST, author_username ASC NULLS LAST"
 
+_FIRST_OF_EACH_ID = (
+    f"SELECT {_ALL_COLUMNS} FROM T UNION ALL SELECT {_ALL_COLUMNS.replace('text,', 'text || {again} AS text,', 1)} "
+    "FROM T WHERE id IS NULL"
+).replace("{again}", "' again'")
+
 _BODIES = {
     "parse_tweets": f"SELECT {_ALL_COLUMNS} FROM T",
     "count_invalid": "SELECT count(*) AS total, count(*) FILTER (WHERE id IS NULL) AS invalid FROM T",
@@ -388,10 +405,8 @@ _BODIES = {
     "dual_path_archive": f"SELECT {_ALL_COLUMNS} FROM T",
     "dual_path_publish": f"SELECT {_ALL_COLUMNS} FROM T",
     "encode_round_trip": f"SELECT {_ALL_COLUMNS} FROM T",
-    "archive_dedup": (
-        f"SELECT {_ALL_COLUMNS} FROM T UNION ALL SELECT {_ALL_COLUMNS.replace('text,', 'text || {again} AS text,', 1)} "
-        "FROM T WHERE id IS NULL"
-    ).replace("{again}", "' again'"),
+    "archive_dedup": _FIRST_OF_EACH_ID,
+    "archive_dedup_appends": _FIRST_OF_EACH_ID,
     "job_top_tweeters": _TOP,
     "job_famous_top_tweeters": _FAMOUS,
     "job_is_famous_tweeters": _IS_FAMOUS,

@@ -294,8 +294,9 @@ def publish(
     messages.write.format("kafka").options(**kafka_write_options(bootstrap_servers, topic, extra)).save()
 
 
-def dedupe_by_id(raw: DataFrame, schema=TWEET_SCHEMA) -> DataFrame:
+def dedupe_by_id(raw: DataFrame, schema=TWEET_SCHEMA, id_as: str | None = None) -> DataFrame:
     """Keep one message per parsed id; messages without an id are all kept.
+    With `id_as`, the parsed id is added as a column of that name.
 
     One read of the input and one aggregate with a map-side partial step, so an
     id repeated a million times collapses inside each task before the shuffle.
@@ -313,7 +314,8 @@ def dedupe_by_id(raw: DataFrame, schema=TWEET_SCHEMA) -> DataFrame:
     )
     keyed = keyed.withColumn("_own", F.when(F.col("_id").isNull(), F.monotonically_increasing_id()))
     first = F.min(F.struct("_order", F.struct("_row.value").alias("_value"), "_row")).alias("_first")
-    return keyed.groupBy("_id", "_own").agg(first).select("_first._row.*")
+    kept = keyed.groupBy("_id", "_own").agg(first)
+    return kept.select("_first._row.*", *([F.col("_id").alias(id_as)] if id_as else []))
 
 
 def documents(rows: DataFrame) -> DataFrame:

@@ -98,16 +98,20 @@ class Versions:
             return None
         return self.spark.read.format(self.fmt).load(self.folder(record.version))
 
+    def prune_records(self, keep: int = 2) -> list[Record]:
+        """Delete all but the newest `keep` records; returns the deleted ones."""
+        old = self.records()[:-keep]
+        for record in old:
+            remove_path(self.spark, f"{self.path}/{RECORDS}/{record.number:012d}")
+        return old
+
     def prune(self, keep: int = 2, abandoned_after: float = 86_400.0) -> None:
         """Delete all but the newest `keep` records and their versions, and folders without
         a record that have not changed for `abandoned_after` seconds (writes that died)."""
-        records = self.records()
-        kept, old = records[-keep:], records[:-keep]
-        used = {r.version for r in kept}
-        for record in old:
+        used = {r.version for r in self.records()[-keep:]}
+        for record in self.prune_records(keep):
             if record.version is not None and record.version not in used:
                 remove_path(self.spark, self.folder(record.version))
-            remove_path(self.spark, f"{self.path}/{RECORDS}/{record.number:012d}")
         limit = (time.time() - abandoned_after) * 1000
         for name, changed in list_changed(self.spark, self.path).items():
             if name not in used and not name.startswith(("_", ".")) and changed <= limit:

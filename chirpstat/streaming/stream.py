@@ -22,6 +22,7 @@ from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import valid_tweets
 from chirpstat.session import list_names, path_exists, read_text, remove_path, scratch_path, session_conf
 from chirpstat.functions.schema import AUTHOR_FIELDS, DAILY_FIELDS
+from chirpstat.sources.archive_index import append_new
 from chirpstat.sources.io import archive_raw, document_types, kafka_write_options, to_messages
 from chirpstat.sources.versions import Overtaken, Record, Versions
 
@@ -259,7 +260,7 @@ def mongo_upsert(collection: str, key_fields: Sequence[str], **options: str) ->
 
 def start_archive(
     raw_stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", archive_options: dict | None = None,
-    **trigger,
+    new_ids_only: bool = False, **trigger,
 ) -> StreamingQuery:
     """Append every raw message to the archive.
 
@@ -268,8 +269,22 @@ def start_archive(
     `archive_options`) gets one document per message through `archive_raw`
     per micro-batch; a retried batch appends again, as duplicate inserts are
     tolerated on the archive.
+
+    With `new_ids_only`, a message whose id the archive holds already is left
+    out, also one of an earlier batch or run (`archive_index.append_new`; file
+    formats). A batch that is done again then adds nothing but messages without
+    an id.
     """
-    if fmt == "mongodb":
+    if new_ids_only:
+        if fmt == "mongodb":
+            raise ValueError("new_ids_only needs an archive in files")
+        opts = dict(archive_options or {})
+
+        def write_new(batch: DataFrame, _batch_id: int) -> None:
+            append_new(batch, path, fmt=fmt, **opts)
+
+        writer = raw_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_new)
+    elif fmt == "mongodb":
         opts = dict(archive_options or {})
 
         def write_batch(batch: DataFrame, _batch_id: int) -> None:
