@@ -136,6 +136,8 @@ def _parser() -> argparse.ArgumentParser:
             out = s.add_mutually_exclusive_group(required=True)
             out.add_argument("--sink-base", help="complete mode: the whole result table replaced each trigger")
             out.add_argument("--mongo-db", help="update mode: changed rows upserted by key into this database")
+            s.add_argument("--keyed", action="store_true",
+                           help="with --sink-base: write only the changed rows each trigger (read with read_keyed)")
             s.add_argument("--mongo-uri")
             s.add_argument("--state-partitions", type=int)
     return p
@@ -179,6 +181,9 @@ def _run_stream(spark: SparkSession, args) -> int:
                 opts["connection.uri"] = args.mongo_uri
             upsert = S.mongo_upsert(name, keys, **opts)
             queries = (S.start_update(spark, result, upsert, args.checkpoint, args.state_partitions, **trigger),)
+        elif args.keyed:
+            target = f"{args.sink_base.rstrip('/')}/{name}"
+            queries = (S.start_keyed(spark, result, keys, target, args.checkpoint, args.state_partitions, **trigger),)
         else:
             target = f"{args.sink_base.rstrip('/')}/{name}"
             queries = (S.start_complete(spark, result, target, args.checkpoint, args.state_partitions, **trigger),)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from chirpstat.functions.parse import encode_json, flatten_metrics, parse_tweets
 from chirpstat.functions.schema import (
     AUTHOR_FIELDS,
+    AUTHOR_KEYS,
     FAME_FIELDS,
     FOLLOWER_FIELDS,
     RAW_MESSAGE_SCHEMA,
@@ -287,6 +288,12 @@ def q_daily_trend_stream_takeover(spark: SparkSession, sf_dir: str) -> DataFrame
     return result
 
 
+def q_top_tweeters_stream_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Author counts as a file table that each trigger changes by the changed authors only."""
+    stream = S.top_tweeters_stream(read_event_messages_stream(spark, sf_dir, files_per_trigger=4))
+    return S.run_keyed(spark, stream, AUTHOR_KEYS, "top-tweeters-keyed", state_partitions=_cores(spark))
+
+
 def _replaced(layout: str, results: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         """A result of half of the tweets, then of all, then an empty one, which is skipped; read back."""
@@ -338,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "daily_trend_stream": q_daily_trend_stream,
     "daily_trend_stream_restart": q_daily_trend_stream_restart,
     "daily_trend_stream_takeover": q_daily_trend_stream_takeover,
+    "top_tweeters_stream_keyed": q_top_tweeters_stream_keyed,
     "result_replaced_plain": _replaced("plain", A.famous_top_tweeters),
     "result_replaced_versions": _replaced("versions", A.famous_top_tweeters),
 }
@@ -418,6 +426,7 @@ _BODIES = {
     "daily_trend_stream": _DAILY.format(where=""),
     "daily_trend_stream_restart": _DAILY.format(where=""),
     "daily_trend_stream_takeover": _DAILY.format(where=""),
+    "top_tweeters_stream_keyed": _TOP,
     "result_replaced_plain": _FAMOUS,
     "result_replaced_versions": _FAMOUS,
 }

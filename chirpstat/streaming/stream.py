@@ -10,8 +10,6 @@ state is bounded by the number of days/authors, not by the number of rows.
 
 from __future__ import annotations
 
-import json
-import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +18,13 @@ from pyspark.sql.streaming import StreamingQuery
 from chirpstat.functions.parse import parse_tweets
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import valid_tweets
-from chirpstat.session import list_names, path_exists, read_text, remove_path, scratch_path, session_conf
+from chirpstat.session import list_names, path_exists, scratch_path, session_conf
 from chirpstat.functions.schema import AUTHOR_FIELDS, DAILY_FIELDS
 from chirpstat.sources.archive_index import append_new
 from chirpstat.sources.io import archive_raw, document_types, kafka_write_options, to_messages
 from chirpstat.sources.versions import Overtaken, Record, Versions
+from chirpstat.streaming.held import Held
+from chirpstat.streaming.keyed_table import KeyedTable, read_keyed
 
 
 def daily_trend_stream(raw_stream: DataFrame) -> DataFrame:
@@ -90,54 +90,25 @@ def start_complete(
     return query
 
 
-class _Target:
-    """A stream's hold on the table it replaces, batch by batch."""
+class _Target(Held):
+    """A table of which every batch is a whole version."""
 
-    def __init__(self, spark: SparkSession, target: str, checkpoint: str, fmt: str):
-        self.spark, self.checkpoint, self.fmt = spark, checkpoint.rstrip("/"), fmt
-        self.versions = Versions(spark, target, fmt)
-        self._run: str | None = None
-        self._lock = threading.Lock()  # the caller's thread and the first batch both claim
-
-    def _own_last(self, run: str) -> tuple[str | None, int | None]:
-        """The version and batch this run has left in the target, if any."""
+    def _left(self, run: str) -> tuple[str | None, dict]:
         own = [r for r in self.versions.records() if r.notes.get("run") == run and r.version is not None]
         if own and path_exists(self.spark, self.versions.folder(own[-1].version)):
-            return own[-1].version, own[-1].notes.get("batch")
+            return own[-1].version, {"batch": own[-1].notes.get("batch")}
         if not own:  # a target of before there were records: its batches carry their ids only
             done = [n for n in list_names(self.spark, f"{self.checkpoint}/commits") if n.isdigit()]
             old = [i for i in _batches(self.spark, self.versions.path) if str(i) in done and self.versions.last() is None]
             if old:
-                return f"batch-{old[-1]}", old[-1]
-        return None, None
-
-    def claim(self, run: str) -> None:
-        """Make this run the one whose results the target shows."""
-        with self._lock:
-            if self._run is not None:
-                return
-            while True:
-                last = self.versions.last()
-                if last is not None and last.notes.get("run") == run:
-                    break
-                version, batch = self._own_last(run)
-                try:
-                    self.versions.point_at(version, last, follow=True, run=run, checkpoint=self.checkpoint, batch=batch)
-                    break
-                except Overtaken:  # another run claimed it just now: this one came later
-                    continue
-            self._run = run
+                return f"batch-{old[-1]}", {"batch": old[-1]}
+        return None, {"batch": None}
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        run = json.loads(read_text(self.spark, f"{self.checkpoint}/metadata"))["id"]
-        self.claim(run)
+        run = self._begin_batch()
         version = self.versions.new_version(f"batch-{batch_id}")
         batch.write.format(self.fmt).save(self.versions.folder(version))
-        last = self.versions.last()
-        if last is None or last.notes.get("run") != run:
-            remove_path(self.spark, self.versions.folder(version))
-            raise Overtaken(f"{self.versions.path} now belongs to the run {last and last.notes.get('run')}")
-        self.versions.point_at(version, last, follow=True, run=run, checkpoint=self.checkpoint, batch=batch_id)
+        self._point_at(version, self._own(run, version), run, {"batch": batch_id})
         self.versions.prune(keep=2, abandoned_after=0)  # one run at a time writes here
 
 
@@ -203,6 +174,45 @@ def run_complete(
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+# --- Fixed value: the state store for state that does not fit an executor's heap ---
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def start_keyed(
+    spark: SparkSession, result_stream: DataFrame, keys: Sequence[str], target: str, checkpoint: str,
+    state_partitions: int | None = None, **trigger,
+) -> StreamingQuery:
+    """Start an update-mode aggregate into a file table with one row a key (streaming/keyed_table.py).
+
+    Each trigger writes the rows whose totals changed, and no others; the table
+    is merged from them when it is read (`read_keyed`) and now and then in
+    itself. So output grows with the changed keys, where `start_complete`
+    rewrites every key. State with a row per author does not belong on the heap:
+    a new query gets the RocksDB state store, and keeps it with its checkpoint.
+    Runs claim the table as they do in `start_complete`.
+    """
+    table = KeyedTable(spark, target, checkpoint, keys)
+    with session_conf(spark, STATE_STORE, ROCKSDB):
+        query = start_update(spark, result_stream, table.write, checkpoint, state_partitions, **trigger)
+    table.claim(query.id)
+    return query
+
+
+def run_keyed(
+    spark: SparkSession, result_stream: DataFrame, keys: Sequence[str], name: str,
+    checkpoint: str | None = None, target: str | None = None, state_partitions: int | None = None,
+) -> DataFrame:
+    """Run `start_keyed` over everything available now, then stop; returns the table, merged."""
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
+    target = target or f"{checkpoint.rstrip('/')}-table"
+    query = start_keyed(spark, result_stream, keys, target, checkpoint, state_partitions, availableNow=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    table = read_keyed(spark, target)
+    return spark.createDataFrame([], result_stream.schema) if table is None else table
+
 
 def start_update(
     spark: SparkSession,
