@@ -88,8 +88,10 @@ def parse_tweets(
     schema: StructType = TWEET_SCHEMA,
     value_col: str = "value",
     fields: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Raw messages -> one typed row per message, `created_at` as a timestamp.
+    Columns of the messages named in `keep` (partition, offset, ...) come first.
 
     A message that cannot be parsed still yields a row (all columns null), so
     the row count always equals the message count.
@@ -107,7 +109,7 @@ def parse_tweets(
     """
     if fields is not None:
         schema = prune_schema(schema, fields)
-    parsed = raw_df.select(F.inline(F.array(parse_json(value_col, schema))))
+    parsed = raw_df.select(*keep, F.inline(F.array(parse_json(value_col, schema))))
     if "created_at" in schema.fieldNames():
         parsed = parsed.withColumn("created_at", created_at_timestamp("created_at"))
     return parsed

@@ -132,14 +132,19 @@ def daily_stats(df: DataFrame) -> DataFrame:
     Lets the daily job report how many records lack an id and produce either
     form of the daily trend from one scan (one row per day, so tiny).
     """
+    return df.groupBy(day_of("created_at").alias(DAY)).agg(*daily_measures())
+
+
+def daily_measures() -> list[Column]:
+    """The aggregates of `daily_stats`; sums of them over parts of the rows are those of all rows."""
     rt = F.col("public_metrics.retweet_count")
     has_id = F.col("id").isNotNull()
-    return df.groupBy(day_of("created_at").alias(DAY)).agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.sum(rt).alias("retweets"),
         F.count_if(has_id).alias("valid_rows"),
         F.sum(F.when(has_id, rt)).alias("valid_retweets"),
-    )
+    ]
 
 
 def daily_trends_from_stats(stats: DataFrame, drop_invalid: bool = False, sort: bool = True) -> DataFrame:

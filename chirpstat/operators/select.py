@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chirpstat.operators.quality import valid_tweets
-from chirpstat.session import land, remove_path, scratch_path
+from chirpstat.session import land, land_counted, remove_path, scratch_path
 
 # --- Fixed values: stand-in for the API-side retweet test ---------------------
 # The tweet schema has no retweet flag; a retweet's text starts with this.
@@ -66,8 +66,8 @@ ROWS_PER_FILE = 5_000_000
 
 def write_by_author(
     tweets: DataFrame, path: str, partitions: int | None = None, rows_per_file: int = ROWS_PER_FILE
-) -> None:
-    """Write typed tweets as Parquet laid out for timeline lookups.
+) -> int:
+    """Write typed tweets as Parquet laid out for timeline lookups; returns how many.
 
     Valid rows (with an id; the others, unparsable messages among them, would
     share one key) are range-partitioned and sorted by (author_username,
@@ -90,14 +90,15 @@ def write_by_author(
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = scratch_path(spark, "by-author")
     try:
+        landed, found = land_counted(valid_tweets(tweets), spark, "by-author", staged)
         (
-            land(valid_tweets(tweets), spark, "by-author", staged)
-            .repartitionByRange(n, *keys)
+            landed.repartitionByRange(n, *keys)
             .sortWithinPartitions(*keys)
             .write.mode("overwrite")
             .option("maxRecordsPerFile", rows_per_file)
             .parquet(path)
         )
+        return found["rows"]
     finally:
         remove_path(spark, staged)
 

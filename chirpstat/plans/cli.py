@@ -43,9 +43,11 @@ from chirpstat.functions.schema import (
 )
 from chirpstat.operators.quality import valid_tweets
 from chirpstat.operators.select import SELECT_COLUMNS, newest, text_search, user_timeline, write_by_author
-from chirpstat.plans.jobs import deliver, run_daily_trend, run_user_analysis
+from chirpstat.plans.jobs import deliver, run_daily_trend, run_daily_trend_since, run_user_analysis
 from chirpstat.session import land
+from chirpstat.sources.author_table import AuthorTable, read_author_table
 from chirpstat.sources.io import Sink, mongo_sink, read_messages, read_topic, read_topic_stream, write_result
+from chirpstat.sources.ledger import kafka_since, messages_since
 from chirpstat.streaming import stream as S
 
 LOG = logging.getLogger("chirpstat")
@@ -82,6 +84,7 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--keep-snapshot", action="store_true", help="keep the landed tweets and author table")
         else:
             s.add_argument("--drop-invalid", action="store_true")
+            s.add_argument("--ledger", help="folder of the offsets read so far: read only what is new, report over all runs")
     for name in ("timeline", "search", "index-timelines"):
         s = sub.add_parser(name)
         s.add_argument("topic")
@@ -99,6 +102,7 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--ignore-case", action="store_true")
         if name == "index-timelines":
             s.add_argument("--out", required=True, help="folder for the author-ordered tweet table")
+            s.add_argument("--add", action="store_true", help="add the tweets to the table as a run of their own")
         else:
             s.add_argument("--max-tweets", type=int, default=10)
             s.add_argument("--preview", type=int, default=10, help="rows to show (0: none)")
@@ -206,7 +210,11 @@ def _run_stream(spark: SparkSession, args) -> int:
 
 def _run_select(spark: SparkSession, args) -> int:
     if args.job == "index-timelines":
-        write_by_author(parse_tweets(_raw(spark, args)), args.out)
+        tweets = parse_tweets(_raw(spark, args))
+        if args.add:
+            AuthorTable(spark, args.out).add(tweets)
+        else:
+            write_by_author(tweets, args.out)
         return 0
     servers = args.publish_servers or args.bootstrap_servers
     if args.publish_topic and not servers:
@@ -215,7 +223,7 @@ def _run_select(spark: SparkSession, args) -> int:
     fields = TIMELINE_FIELDS if args.job == "timeline" else SEARCH_FIELDS
     columns = tuple(TWEET_SCHEMA.fieldNames()) if delivers else SELECT_COLUMNS
     if args.table:
-        tweets = spark.read.parquet(args.table)
+        tweets = read_author_table(spark, args.table)
     else:
         tweets = valid_tweets(parse_tweets(_raw(spark, args), fields=None if delivers else fields))
     if args.job == "timeline":
@@ -262,8 +270,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return _run_stream(spark, args)
     if args.job in ("timeline", "search", "index-timelines"):
         return _run_select(spark, args)
-    raw = _raw(spark, args)
     sink = _sink(args)
+    raw = None if args.job == "daily-trend" and args.ledger else _raw(spark, args)
 
     if args.job == "user-analysis":
         run_user_analysis(
@@ -271,6 +279,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         )
         return 0
 
+    if args.ledger:
+        if args.input_path:
+            topic = messages_since(lambda: _raw(spark, args))
+        else:
+            topic = kafka_since(spark, args.bootstrap_servers, args.topic)
+        result = run_daily_trend_since(spark, topic, args.ledger, sink, drop_invalid=args.drop_invalid)
+        if args.preview:
+            result.show(min(args.preview, PREVIEW_ROWS), truncate=False)
+        return 0
+
     run_daily_trend(spark, raw, sink, drop_invalid=args.drop_invalid, preview=min(args.preview, PREVIEW_ROWS))
     return 0
 

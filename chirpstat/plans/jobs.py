@@ -24,15 +24,17 @@ the invalid-record log line and either form of the result.
 
 from __future__ import annotations
 
+import functools
 import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.functions.parse import encode_json, parse_tweets
+from chirpstat.functions.parse import day_of, encode_json, parse_tweets
 from chirpstat.functions.schema import (
     DAILY_FIELDS,
+    DAY,
     FAME_POINT,
     LOW_FOLLOWER_POINT,
     USER_ANALYSIS_TARGETS,
@@ -40,6 +42,7 @@ from chirpstat.functions.schema import (
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
 from chirpstat.session import land, land_counted, remove_path, scratch_path
+from chirpstat.sources.ledger import Ledger, Topic
 from chirpstat.sources.io import Sink, archive_raw, publish, write_result
 
 LOG = logging.getLogger(__name__)
@@ -198,6 +201,54 @@ def run_daily_trend(
     return result
 
 
+#: Runs whose per-day totals are kept apart before they are merged.
+MOST_PARTS = 16
+
+
+def run_daily_trend_since(
+    spark: SparkSession, topic: Topic, ledger_path: str, sink: Sink | None = None, drop_invalid: bool = False,
+    name: str = "daily_trend", most_parts: int = MOST_PARTS,
+) -> DataFrame:
+    """The daily trend over all runs, reading only the messages that are new since the last one.
+
+    One scan of the new messages: one aggregate per day and topic partition gives
+    the run's totals and the end of what it has read. Both are recorded in the
+    ledger at `ledger_path` (sources/ledger.py); the result is the sum of all
+    runs' totals, a few rows a run, which are merged once there are more than
+    `most_parts`. A run that dies is not recorded, and the next one reads its
+    messages. Returns the result; writes it when a sink is given.
+    """
+    ledger = Ledger(spark, ledger_path)
+    before = ledger.last()
+    notes = before.record.notes if before else {"parts": [], "merged": []}
+    tweets = parse_tweets(topic(before.end if before else {}, None), fields=DAILY_FIELDS + ("id",), keep=("partition", "offset"))
+    totals = tweets.groupBy(day_of("created_at").alias(DAY), "partition").agg(*A.daily_measures(), F.max("offset").alias("last_offset"))
+    part = ledger.versions.new_version("part")
+    kept = land(totals, spark, part, ledger.versions.folder(part))
+    ends = kept.groupBy("partition").agg(F.max("last_offset").alias("last")).collect()  # a row a topic partition
+    parts, merged = [*notes["parts"], part], []
+    if not ends and notes["parts"]:  # nothing new
+        remove_path(spark, ledger.versions.folder(part))
+        parts = notes["parts"]
+    if len(parts) > most_parts:
+        parts, merged = [ledger.versions.new_version("part")], parts
+        land(_sum_parts(spark, ledger, merged), spark, parts[0], ledger.versions.folder(parts[0]))
+    ledger.add(before, {r["partition"]: r["last"] + 1 for r in ends}, None, parts=parts, merged=merged)
+    for old in notes["merged"]:  # a run after they were merged, nothing reads them any more
+        remove_path(spark, ledger.versions.folder(old))
+    stats = _sum_parts(spark, ledger, parts)
+    if sink is not None:
+        write_result(A.daily_trends_from_stats(stats, drop_invalid, sort=False), name, sink)
+    return A.daily_trends_from_stats(stats, drop_invalid)
+
+
+def _sum_parts(spark: SparkSession, ledger: Ledger, parts: list[str]) -> DataFrame:
+    """Per day, the measures summed over the runs' parts."""
+    measures = ("rows", "retweets", "valid_rows", "valid_retweets")
+    rows = [spark.read.parquet(ledger.versions.folder(p)).select(DAY, *measures) for p in parts]
+    return functools.reduce(DataFrame.unionByName, rows).groupBy(DAY).agg(*[F.sum(c).alias(c) for c in measures])
+
+
 def deliver(
     spark: SparkSession, selected: DataFrame, archive_path: str | None = None, archive_fmt: str = "parquet",
     publish_path: str | None = None, bootstrap_servers: str | None = None, topic: str | None = None,

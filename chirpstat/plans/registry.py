@@ -28,7 +28,7 @@ from chirpstat.functions.schema import (
 from chirpstat.operators import analyses as A
 from chirpstat.operators.quality import count_invalid, valid_tweets
 from chirpstat.operators.select import text_search, user_timeline, write_by_author
-from chirpstat.plans.jobs import deliver, plan_daily_trend, run_daily_trend, run_user_analysis
+from chirpstat.plans.jobs import deliver, plan_daily_trend, run_daily_trend, run_daily_trend_since, run_user_analysis
 from chirpstat.session import path_exists, scratch_path
 from chirpstat.sources.fixtures import (
     TWEETS_VIEW_SQL,
@@ -37,7 +37,9 @@ from chirpstat.sources.fixtures import (
     read_event_messages_stream,
 )
 from chirpstat.sources.archive_index import append_new
+from chirpstat.sources.author_table import AuthorTable
 from chirpstat.sources.io import Sink, archive_raw, publish, read_messages, read_result, write_result
+from chirpstat.sources.ledger import messages_since
 from chirpstat.streaming import stream as S
 
 # --- Fixed values: parameters of the registered selections --------------------
@@ -238,6 +240,27 @@ def q_timeline_by_author(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_timeline(spark.read.parquet(path), TIMELINE_USER, TOP_N)
 
 
+def q_timeline_by_author_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timeline from the author-ordered table, to which the tweets were added in several runs."""
+    table = AuthorTable(spark, scratch_path(spark, "by-author-runs"), fan=2)
+    raw = _raw(spark, sf_dir)
+    for part in range(3):
+        table.add(parse_tweets(raw.where(F.pmod("offset", F.lit(3)) == part), fields=TIMELINE_FIELDS))
+    return user_timeline(table.read(), TIMELINE_USER, TOP_N)
+
+
+def q_job_daily_trend_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily trend over a growing topic: each run reads on from where the last one ended."""
+    source, ledger = scratch_path(spark, "growing-topic"), scratch_path(spark, "ledger")
+    raw = _raw(spark, sf_dir)
+    middle = raw.agg((F.min("offset") + F.max("offset")) / 2).first()[0]
+    for half in (raw.where(F.col("offset") < middle), raw.where(F.col("offset") >= middle)):
+        half.write.mode("append").parquet(source)
+        topic = messages_since(lambda: spark.read.schema(RAW_MESSAGE_SCHEMA).parquet(source))
+        result = run_daily_trend_since(spark, topic, ledger)
+    return result
+
+
 def q_daily_trend_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream that is run twice on one checkpoint, with more messages arriving in between."""
     source, checkpoint = scratch_path(spark, "restart-topic"), scratch_path(spark, "restart-checkpoint")
@@ -334,6 +357,8 @@ QUERIES: dict[str, Query] = {
     "search_large": q_search_large,
     "selection_delivered": q_selection_delivered,
     "timeline_by_author": q_timeline_by_author,
+    "timeline_by_author_runs": q_timeline_by_author_runs,
+    "job_daily_trend_since": q_job_daily_trend_since,
     "job_top_tweeters": _job("top_tweeters"),
     "job_famous_top_tweeters": _job("famous_top_tweeters"),
     "job_is_famous_tweeters": _job("isFamous_tweeters"),
@@ -415,6 +440,8 @@ _BODIES = {
     "encode_round_trip": f"SELECT {_ALL_COLUMNS} FROM T",
     "archive_dedup": _FIRST_OF_EACH_ID,
     "archive_dedup_appends": _FIRST_OF_EACH_ID,
+    "timeline_by_author_runs": f"{_TIMELINE} {_NEWEST} LIMIT 10",
+    "job_daily_trend_since": _DAILY.format(where=""),
     "job_top_tweeters": _TOP,
     "job_famous_top_tweeters": _FAMOUS,
     "job_is_famous_tweeters": _IS_FAMOUS,

@@ -8,6 +8,7 @@ the option set plus Spark's own distributed reader/writer. Any other format
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -33,13 +34,11 @@ def kafka_read_options(
     starting_offsets: str = "earliest",
     ending_offsets: str | None = None,
     extra: dict[str, str] | None = None,
+    partitions: list[int] | None = None,
 ) -> dict[str, str]:
-    """Options of a bounded topic scan from `starting_offsets` to the end."""
-    opts = {
-        "kafka.bootstrap.servers": bootstrap_servers,
-        "subscribe": topic,
-        "startingOffsets": starting_offsets,
-    }
+    """Options of a bounded topic scan from `starting_offsets` to the end (of some `partitions` only)."""
+    which = {"subscribe": topic} if partitions is None else {"assign": json.dumps({topic: partitions})}
+    opts = {"kafka.bootstrap.servers": bootstrap_servers, **which, "startingOffsets": starting_offsets}
     if ending_offsets is not None:
         opts["endingOffsets"] = ending_offsets
     opts.update(extra or {})
