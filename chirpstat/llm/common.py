@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.session import checkpoint_root, scratch_path
+from chirpstat.session import scratch_path, session_conf
 
 #: Bound of the per-task memo tables (entries), so that a task's memory does
 #: not grow with the number of distinct words it meets.
@@ -29,10 +30,11 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (never localCheckpoint)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what runs in the block: for rows that are packed blocks."""
+    with session_conf(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)):
+        yield
 
 
 def numbered(docs: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ agree at a place with the probability of the sets' Jaccard similarity.
 Chosen paths: every run starts with all representatives and splits them by the
 element (minimum hash) at a place of its own; buckets that are still large are
 split again, each at several places sampled from its path, and so on. Small
-buckets, and those left at the greatest depth (cut into blocks, every pair of
-blocks compared), are searched by brute force on sketches. A pair above the
+buckets, and those left at the greatest depth (cut into blocks, each packed into
+one row, every pair of blocks compared), are searched by brute force on sketches. A pair above the
 threshold agrees at a place with at least that probability, and one that
 disagrees at one of a bucket's places has the others: `Join.splits` takes as
 many runs, and places a bucket, as keep the target recall for pairs that stay in
@@ -39,15 +39,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.llm.common import Lookup, components, land, mix64, numbered, table, whole_groups
+from chirpstat.llm.common import Lookup, components, land, mix64, numbered, small_batches, table, whole_groups
 
 WORDS = 5
 SKETCH = 64
 #: places at which a bucket is split again, at most
 WIDEST = 4
+#: packed blocks in an Arrow batch
+PACKED_ROWS = 256
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BASE = np.array([0x9E3779B97F4A7C15], np.uint64)
 
@@ -214,25 +217,82 @@ def candidate_edges(reps: DataFrame, join: Join) -> DataFrame:
         sizes = nodes.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         sized = nodes.join(sizes, "path")
         last = depth == join.depth
-        small = sized.where(F.lit(True) if last else F.col("size") <= join.bucket_rows)
-        # the buckets of a leaf: itself, or the pairs of its blocks
-        blocks = F.ceil(F.col("size") / join.bucket_rows).cast("int")
-        own = F.pmod(F.xxhash64("rep", "path"), F.col("blocks")).cast("int")
-        cut = small.withColumn("blocks", blocks).withColumn("own", own)
-        cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        bucket = F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))
-        leaves.append(cut.select(bucket.alias("bucket"), "rep", "sketch"))
         if last:
+            with small_batches(sized.sparkSession, PACKED_ROWS):
+                leaves.append(land(_deepest_edges(sized, join), "deepest-paths"))
             break
+        leaves.append(_edges_of(sized.where(F.col("size") <= join.bucket_rows).select(F.col("path").alias("bucket"), "rep", "sketch"), join))
         large = land(sized.where(F.col("size") > join.bucket_rows).select(*columns), "paths")
         if large.isEmpty():
             break
         nodes = split(large, widths[depth - 1], depth)
-    found = None
-    for leaf in leaves:
-        edges = leaf.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_bucket_edges(join.sketch_agreement), "a long, b long")
-        found = edges if found is None else found.unionByName(edges)
-    return found
+    return functools.reduce(DataFrame.unionByName, leaves)
+
+
+def _edges_of(leaf: DataFrame, join: Join) -> DataFrame:
+    """Stars of the buckets of a leaf, each in one task."""
+    dealt = leaf.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInPandas(_bucket_edges(join.sketch_agreement), "a long, b long")
+
+
+def _deepest_edges(sized: DataFrame, join: Join) -> DataFrame:
+    """Stars of buckets of any size: blocks of about `bucket_rows` rows, each packed into one row, and every pair of them.
+
+    What is copied for the pairs are packed blocks, so a bucket of m rows makes
+    (m / bucket_rows)^2 rows here, not m times its number of blocks.
+    """
+    blocks = F.ceil(F.col("size") / join.bucket_rows).cast("int")
+    own = F.pmod(F.xxhash64("rep", "path"), F.col("blocks")).cast("int")
+    packed = sized.withColumn("blocks", blocks).withColumn("own", own).groupBy("path", "own", "blocks")
+    packed = packed.agg(F.collect_list(F.struct("rep", "sketch")).alias("block"))
+    pairs = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = pairs.select("path", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "block")
+    dealt = pairs.repartition("path", "p", "q").sortWithinPartitions("path", "p", "q")
+    return dealt.mapInArrow(_block_edges(join.sketch_agreement), "a long, b long")
+
+
+def _unpacked(block: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """The representatives of a packed block and their short sketches, by representative."""
+    rep = np.asarray(block.field("rep"))
+    marks = np.frombuffer(b"".join(block.field("sketch").to_pylist()), "<u2").reshape(-1, SKETCH)
+    order = np.argsort(rep, kind="stable")
+    return rep[order], marks[order]
+
+
+def _block_edges(least: int):
+    """Rows sorted by pair of blocks (one row for a block with itself, else two) -> stars (a, b) over rows whose sketches agree."""
+
+    def stars(a: tuple, b: tuple | None) -> np.ndarray:
+        if b is None:
+            rep, links = a[0], _agree(a[1], a[1], least)
+        else:
+            rep, across = np.concatenate([a[0], b[0]]), _agree(a[1], b[1], least)
+            links = np.zeros((len(rep), len(rep)), bool)
+            links[: len(a[0]), len(a[0]) :] = across
+            links |= links.T
+        label = _labels(links)
+        at = np.flatnonzero(label != np.arange(len(label)))
+        return np.column_stack([rep[at], rep[label[at]]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # a block whose partner is missing is empty, or comes next
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True))
+            ends, values, found = np.asarray(batch.column(3).offsets), batch.column(3).values, []
+            for i, key in enumerate(keys):
+                block = _unpacked(values.slice(ends[i], ends[i + 1] - ends[i]))
+                if key[1] == key[2]:
+                    found.append(stars(block, None))
+                elif held is not None and held[0] == key:
+                    found.append(stars(held[1], block))
+                    held = None
+                else:
+                    held = (key, block)
+            if found:
+                a, b = np.concatenate(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return run
 
 
 def _member_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
