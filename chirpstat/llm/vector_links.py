@@ -46,10 +46,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.llm.common import components, land, mix64, table, whole_groups
+from chirpstat.llm.common import components, land, mix64, small_batches, table, whole_groups
 from chirpstat.llm.vectors import usable
 
 
+#: packed blocks in an Arrow batch
+PACKED_ROWS = 32
+
+
 @dataclass(frozen=True)
 class Near:
     """What is near, and what bounds tasks.
@@ -388,7 +392,8 @@ def compare(members: DataFrame, spec: Near) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays([o[c] for o in out]) for c in range(3)], ["a", "b", "links"])
 
-    return land(pairs.mapInArrow(run, "a long, b long, links long"), "links")
+    with small_batches(members.sparkSession, PACKED_ROWS):
+        return land(pairs.mapInArrow(run, "a long, b long, links long"), "links")
 
 
 def _found(a: Block, b: Block | None, spec: Near) -> tuple[pa.Array, pa.Array, pa.Array]:
