@@ -8,8 +8,10 @@ agree at a place with the probability of the sets' Jaccard similarity.
 Chosen paths: every run starts with all representatives and splits them by the
 element (minimum hash) at a place of its own; buckets that are still large are
 split again, each at several places sampled from its path, and so on. Small
-buckets, and those left at the greatest depth (cut into blocks, each packed into
-one row, every pair of blocks compared), are searched by brute force on sketches. A pair above the
+buckets, and those left at the greatest depth, are searched by brute force on
+sketches; for that a bucket is cut into blocks, each packed into one row, and every
+pair of blocks is compared. Near copies agree at most places, so splitting does not
+part them, it only copies them; buckets are split where they are too large for that. A pair above the
 threshold agrees at a place with at least that probability, and one that
 disagrees at one of a bucket's places has the others: `Join.splits` takes as
 many runs, and places a bucket, as keep the target recall for pairs that stay in
@@ -59,8 +61,9 @@ _BASE = np.array([0x9E3779B97F4A7C15], np.uint64)
 class Join:
     threshold: float = 0.8
     recall: float = 0.9999
-    #: buckets up to this size are searched by brute force
+    #: buckets up to this size are searched by brute force in one piece, and up to so many times that in pairs of packed blocks
     bucket_rows: int = 400
+    brute_blocks: int = 25
     depth: int = 5
     #: bounds of a block of sets that is compared with another
     block_rows: int = 400
@@ -216,16 +219,18 @@ def candidate_edges(reps: DataFrame, join: Join) -> DataFrame:
     for depth in range(1, join.depth + 1):
         sizes = nodes.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         sized = nodes.join(sizes, "path")
-        last = depth == join.depth
-        if last:
-            with small_batches(sized.sparkSession, PACKED_ROWS):
-                leaves.append(land(_deepest_edges(sized, join), "deepest-paths"))
-            break
         leaves.append(_edges_of(sized.where(F.col("size") <= join.bucket_rows).select(F.col("path").alias("bucket"), "rep", "sketch"), join))
-        large = land(sized.where(F.col("size") > join.bucket_rows).select(*columns), "paths")
+        large = land(sized.where(F.col("size") > join.bucket_rows).select(*columns, "size"), "paths")
         if large.isEmpty():
             break
-        nodes = split(large, widths[depth - 1], depth)
+        last = depth == join.depth
+        limit = join.bucket_rows * join.brute_blocks
+        with small_batches(large.sparkSession, PACKED_ROWS):
+            leaves.append(land(_packed_edges(large if last else large.where(F.col("size") <= limit), join), "packed-paths"))
+        larger = large.where(F.col("size") > limit)
+        if last or larger.isEmpty():
+            break
+        nodes = split(larger, widths[depth - 1], depth)
     return functools.reduce(DataFrame.unionByName, leaves)
 
 
@@ -235,7 +240,7 @@ def _edges_of(leaf: DataFrame, join: Join) -> DataFrame:
     return dealt.mapInPandas(_bucket_edges(join.sketch_agreement), "a long, b long")
 
 
-def _deepest_edges(sized: DataFrame, join: Join) -> DataFrame:
+def _packed_edges(sized: DataFrame, join: Join) -> DataFrame:
     """Stars of buckets of any size: blocks of about `bucket_rows` rows, each packed into one row, and every pair of them.
 
     What is copied for the pairs are packed blocks, so a bucket of m rows makes
