@@ -11,9 +11,10 @@ The labelled rows used are a bounded sample (`Sample`): those with the lowest
 md5 of their id. Everything else covers all rows and whole
 texts. Defined results: null and empty texts have the difference 0 and the
 score of the curve there; rows of one id are scored one by one; labels, lang,
-source and doc_id are no inputs of a score. With no labelled rows of one of the
-labels nothing can be learned and ValueError is raised, unless there are no
-documents.
+source and doc_id are no inputs of a score. A null doc_id is not held out, and no
+label is its. Without labelled texts of both labels nothing can be told apart: every
+text then scores the share of label 1 among the labelled rows (0.5 if there are
+none). No documents give no rows.
 """
 
 from __future__ import annotations
@@ -141,6 +142,12 @@ def learn(rows: list[tuple[int, bool, str]], max_chars: int = Sample.max_chars)
     return Model(dictionaries[1], dictionaries[0], *fit_logistic(x, y))
 
 
+def constant(labels: list[int]) -> Model:
+    """Where nothing can be told apart, every text has the share of label 1 as its score (0.5 without labels)."""
+    share = sum(labels) / len(labels) if labels else 0.5
+    return Model(b"", b"", 0.0, math.log((share + 1e-12) / (1 - share + 1e-12)))
+
+
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score of every row of `docs` (doc_id, text)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of at most DICT_BYTES each
@@ -148,7 +155,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = sent.value
         for batch in batches:
-            x = [difference(t, m.good, m.bad) for t in batch["text"]]
+            x = [difference(t, m.good, m.bad) if m.slope else 0.0 for t in batch["text"]]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"),
                 "score": [1 / (1 + math.exp(-max(-30.0, min(30.0, m.slope * v + m.offset)))) for v in x],
@@ -168,10 +175,12 @@ def op8_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     # at most 2 * dictionary_rows + calibration_rows ids, and as many texts on the driver
     found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
     rows = sorted((r["label"], r["calibration"], r["doc_id"], r["text"]) for r in found.collect())
-    scored = score_documents(docs, learn([(label, curve, text) for label, curve, _, text in rows]))
+    rows = [(label, curve, text) for label, curve, _, text in rows]
+    both = {label for label, curve, text in rows if text and not curve} == {0, 1}
+    scored = score_documents(docs, learn(rows) if both else constant([label for label, _, _ in rows]))
     return scored.select(
         "doc_id",
-        (id_remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+        F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )

@@ -53,3 +53,24 @@ def test_odd_documents(odd_docs, no_docs):
     empty = {r.score for r in got if r.doc_id in (2, 3)}
     assert len(empty) == 1
     assert qz.score_documents(no_docs, model).collect() == []
+
+
+def _tables(spark, path, documents, labels):
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, source string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0), (3, 0, 0)], [(1, None, None), (None, 1, 0)]])
+def test_query_where_nothing_can_be_learned(spark, tmp_path, labels):
+    """One label has no text, or no label is there: a constant score; null ids are not held out."""
+    docs = [(1, "one text", "en", "a"), (2, "two texts", None, "a"), (3, None, "en", "a"), (None, "no id", "en", "a"), (None, None, None, None)]
+    got = qz.op8_quality_zstd(spark, _tables(spark, tmp_path, docs, labels)).collect()
+    share = 1.0 if len(labels) == 3 else 0.5  # the null text teaches nothing
+    assert len(got) == 5 and all(abs(r.score - share) < 1e-6 and r.predicted == 1 for r in got)
+    assert all(r.held_out is False for r in got if r.doc_id is None) and all(r.held_out is not None for r in got)
+
+
+def test_query_on_empty_tables(spark, tmp_path):
+    assert qz.op8_quality_zstd(spark, _tables(spark, tmp_path / "a", [], [])).collect() == []
+    assert qz.op8_quality_zstd(spark, _tables(spark, tmp_path / "b", [], [(1, 1, 0)])).collect() == []
