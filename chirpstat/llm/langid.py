@@ -276,5 +276,6 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rest = id_remainder(F.col("doc_id"), 4)
     model = learn(docs.select("doc_id", "text", "lang").where(rest != 2), rest == 3)
-    judged = docs.select("doc_id", (rest == 2).alias("held_out"), verdicts(spark, model)(F.col("text")).alias("v"))
+    held_out = F.coalesce(rest == 2, F.lit(False))  # a null id is not held out
+    judged = docs.select("doc_id", held_out.alias("held_out"), verdicts(spark, model)(F.col("text")).alias("v"))
     return judged.select("doc_id", "held_out", "v.lang_pred", "v.score", "v.entropy", "v.rejected")
