@@ -34,13 +34,14 @@ def _newest_order() -> list[Column]:
 
 
 def newest(df: DataFrame, n: int, columns: Sequence[str], merged_rows: int = MERGED_ROWS) -> DataFrame:
-    """The newest n rows (ties broken by id), `columns` only.
+    """The newest n rows (ties broken by id), newest first, `columns` only.
 
-    Up to `merged_rows` they come in order. Beyond, the rows of `df` are landed
+    Up to `merged_rows`, one task merges them. Beyond, the rows of `df` are landed
     once, dealt by ranges of (time, id) and sorted in each part; the parts are
     counted, and the result is all rows of the leading parts and the first rows
-    of the part in which the n-th lies. No task holds more than a part, the
-    driver gets one count per part, and the rows come in no order.
+    of the part in which the n-th lies, in order: sorted by their place, which a
+    range exchange deals into parts again. No task holds more than a part, and the
+    driver gets one count per part.
     """
     if n <= merged_rows:
         return df.orderBy(*_newest_order()).select(*columns).limit(n)
@@ -54,9 +55,9 @@ def newest(df: DataFrame, n: int, columns: Sequence[str], merged_rows: int = MER
     for r in landed.groupBy(part.alias("part")).count().orderBy("part").collect():
         if r["count"] >= left:
             last = (r["part"] << 33) + left
-            return landed.where(F.col("_place") < F.lit(last)).select(*columns)
+            return landed.where(F.col("_place") < F.lit(last)).orderBy("_place").select(*columns)
         left -= r["count"]
-    return landed.select(*columns)
+    return landed.orderBy("_place").select(*columns)
 
 
 # Rows per file of the author-ordered table: files (and their row-group

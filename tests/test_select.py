@@ -145,3 +145,13 @@ def test_author_layout_reads_every_message_once_and_leaves_invalid_rows_out(spar
     assert reads.value == 1000
     back = spark.read.parquet(path)
     assert back.count() == 750 and back.where("id IS NULL").count() == 0
+
+
+def test_large_selection_comes_newest_first(spark):
+    from chirpstat.operators.select import newest
+    from chirpstat.sources.fixtures import read_event_messages
+
+    rows = valid_tweets(parse_tweets(read_event_messages(spark, "/root/testdata/sf0.001")))
+    for n in (7, 300, 5000):
+        merged = [r.id for r in newest(rows, n, ["id"]).collect()]
+        assert [r.id for r in newest(rows, n, ["id"], merged_rows=5).collect()] == merged
