@@ -2,14 +2,18 @@
 
 A page is cut into blocks at block-level tags. First pass: a block is boiler
 plate if it lies in an element that holds none of the article (menus, adverts,
-forms, ...; by tag, role, or a word of its class or id) or is mostly links; it
+comments, ...; by tag, role, or a word of its class or id) or is mostly links; it
 is text if it is long enough and rich enough in stop words; otherwise it stays
-open. Second pass: open blocks take the label of the nearest decided
+open. Forms and words of a page's layout (a sidebar, a widget, ...) only mark an
+element: the mark is dropped if the element holds nearly all text of the page,
+as site engines also name the frame of a page so. Where the words of a page fit
+none of the known languages, length and link density decide alone. Second pass: open blocks take the label of the nearest decided
 neighbours in the same article or main element (or in the page, where there is
 none; blocks of left-out elements do not count): both agree, or only one side is decided; between two labels a heading
 goes with what follows it, and the rest goes with the element they are in.
-Where a page has an article or main element with text, blocks outside it are
-boiler plate.
+Where a page has an article or main element, blocks outside it are boiler
+plate, unless they hold far more decided text: then an article element without
+any is a teaser, and a main element counts as part of the page.
 
 Defined results: null and empty pages have an empty text; markup that is cut
 off ends at the page's end; repeated rows are extracted one by one.
@@ -28,13 +32,15 @@ from pyspark.sql import functions as F
 
 from chirpstat.llm.common import table
 
-# Frequent function words of four languages.
-STOP_WORDS = frozenset("""
+# Frequent function words of four languages, one a line.
+STOP_LISTS = """
 a an and are as at be but by for from had has have he her his i in is it its not of on or that the their they this to was we were which will with you
 au aux avec ce ces dans de des du elle en est et eux il je la le les leur lui mais me ne nous on ou par pas pour qu que qui sa se ses son sur un une vous
 als am an auf aus bei bin bis das dass dem den der des die ein eine einem einen einer er es für hat ich im in ist mit nach nicht oder sich sie sind so um und von war wie wir zu zum zur
 al como con de del el en es esta este la las lo los más no o para pero por que se si sin su sus un una y ya
-""".split())
+"""
+LANGUAGES = [frozenset(line.split()) for line in STOP_LISTS.strip().splitlines()]
+STOP_WORDS = frozenset().union(*LANGUAGES)
 
 BLOCK_TAGS = frozenset("""
 address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form
@@ -43,14 +49,21 @@ tfoot th thead title tr ul
 """.split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style title textarea noscript template iframe noembed noframes xmp svg math object audio video canvas".split())
-SKIP_TAGS = frozenset("aside button dialog fieldset footer form head input label legend menu nav optgroup option select".split())
+#: These end with the page if their end tag is missing; the others of RAW_TAGS are then empty.
+ENDLESS_TAGS = frozenset("script style title textarea iframe noembed noframes xmp".split())
+SKIP_TAGS = frozenset("aside button dialog footer head input label legend menu nav optgroup option select".split())
 SKIP_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 SKIP_WORDS = frozenset("""
-ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies
-disqus footer gdpr menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted
-promotion related replies reply respond share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription toolbar widget widgets
+ad ads adv advert adverts advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies
+disqus gdpr newsletter notice notices popup promo promoted
+promotion related replies reply respond share sharing signup sponsor sponsored subscribe subscription
 """.split())
+MARK_TAGS = frozenset(["fieldset", "form"])
+MARK_WORDS = frozenset("banner footer menu modal nav navbar navigation overlay pager pagination sidebar sidenav skip social toolbar widget widgets".split())
+#: A class or id with one of these describes the state of its page, not what it holds (no-sidebar, comments-open).
+STATE_WORDS = frozenset("closed disabled enabled has hidden hide is no not off on open show with without".split())
 CONTAINERS = frozenset(["article", "main"])
+CONTAINER_SKIP_WORDS = frozenset(["comment", "comments", "reply", "ad", "related", "promo"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 #: A start tag of one of these ends an open paragraph, or an open element of its own kind.
 CLOSES_P = BLOCK_TAGS - {"button", "option", "select", "optgroup", "legend", "summary"}
@@ -74,6 +87,10 @@ class BlockRules:
     min_stop_density: float = 0.15
     #: a long block under this stop-word share is decided as boiler plate (outside articles)
     low_stop_density: float = 0.05
+    #: a marked element is not left out if it holds this many times the text of the rest
+    mark_weight: float = 4.0
+    #: containers hold the article unless the rest has this many times their decided text
+    container_weight: float = 2.0
 
 
 @dataclass
@@ -83,33 +100,46 @@ class Block:
     skipped: bool
     scope: int
     heading: bool
+    marks: tuple[int, ...] = ()
+    teaser: bool = False  # in an article (not main) element
     label: bool | None = None
 
 
-def _skipped(tag: str, attributes: str, in_container: bool) -> bool:
-    """Whether an element holds nothing of the article."""
+def _named(value: str, words: frozenset[str]) -> bool:
+    """Whether one of the names of a class or id holds one of the words and tells no state."""
+    if words.isdisjoint(_SPLIT.split(value)):
+        return False
+    return any(not words.isdisjoint(own) and STATE_WORDS.isdisjoint(own) for own in map(_SPLIT.split, value.split()))
+
+
+def _skipped(tag: str, attributes: str, in_container: bool) -> bool | None:
+    """Whether an element holds nothing of the article; None if that is likely only (a mark)."""
     if tag in SKIP_TAGS or (tag == "header" and not in_container):
         return True
+    marked: bool | None = None if tag in MARK_TAGS else False
     if not attributes or tag in ("html", "body"):
-        return False
+        return marked
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _HIDDEN.search(value)):
             return True
         if name == "role" and value.strip() in SKIP_ROLES:
             return True
-        if name in ("class", "id") and tag not in CONTAINERS | HEADINGS and not SKIP_WORDS.isdisjoint(_SPLIT.split(value)):
-            return True
-        if name in ("class", "id") and tag in CONTAINERS and not {"comment", "comments", "reply", "ad", "related", "promo"}.isdisjoint(_SPLIT.split(value)):
+        if name not in ("class", "id"):
+            continue
+        if _named(value, CONTAINER_SKIP_WORDS if tag in CONTAINERS else SKIP_WORDS) and tag not in HEADINGS:
             return True
-    return False
+        if tag not in CONTAINERS | HEADINGS and _named(value, MARK_WORDS):
+            marked = None
+    return marked
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks with text of a page, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # tag, skipped, scope, link
-    scopes = 0
+    # tag, skipped, scope, link, marks, teaser
+    stack: list[tuple[str, bool, int, bool, tuple[int, ...], bool]] = [("", False, 0, False, (), False)]
+    scopes = marked = 0
     parts: list[str] = []
     link_chars = 0
     heading = False
@@ -126,7 +156,8 @@ def blocks(page: str) -> list[Block]:
         nonlocal link_chars, heading
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, link_chars, stack[-1][1], stack[-1][2], heading))
+            _, skipped, scope, _, marks, teaser = stack[-1]
+            out.append(Block(text, link_chars, skipped, scope, heading, marks, teaser))
         parts.clear()
         link_chars, heading = 0, False
 
@@ -164,19 +195,27 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[k][0] in BLOCK_TAGS:
                     break
+        closed = m[3].rstrip().endswith("/")
         if tag in RAW_TAGS:
+            if closed and tag not in ENDLESS_TAGS:
+                continue
             lower = lower if lower is not None else page.lower()
             end = lower.find(f"</{tag}", at) if len(lower) == len(page) else page.find(f"</{tag}", at)
-            at = len(page) if end < 0 else end
+            if end >= 0 or tag in ENDLESS_TAGS:
+                at = len(page) if end < 0 else end
             continue
-        if tag in VOID_TAGS or m[3].rstrip().endswith("/") and not block:
+        if tag in VOID_TAGS or closed and not block:
             continue
-        _, skipped, scope, link = stack[-1]
-        skipped = skipped or _skipped(tag, m[3], scope > 0)
+        _, skipped, scope, link, marks, teaser = stack[-1]
+        own = _skipped(tag, m[3], scope > 0)
+        skipped = skipped or bool(own)
+        if own is None:
+            marked += 1
+            marks = (*marks, marked)
         if tag in CONTAINERS and not skipped and scope == 0:
             scopes += 1
-            scope = scopes
-        stack.append((tag, skipped, scope, link or tag == "a"))
+            scope, teaser = scopes, tag == "article"
+        stack.append((tag, skipped, scope, link or tag == "a", marks, teaser))
         heading = heading or tag in HEADINGS
     close()
     return out
@@ -195,21 +234,51 @@ def _nearest(found: list[Block], step: int) -> list[bool | None]:
     return out[::step]
 
 
+def _leave_out(found: list[Block], rules: BlockRules) -> None:
+    """Leave out the blocks of marked elements, but for elements that hold nearly all text of the page.
+
+    Elements are judged by their decided text, the largest (then the outermost) first. One
+    beside text of an article or main element is left out whatever it holds.
+    """
+    weight: dict[int, int] = {}
+    for b in found:
+        for m in b.marks:
+            weight[m] = weight.get(m, 0) + (len(b.text) if b.label and not b.skipped else 0)
+    dropped: set[int] = set()
+    for m in sorted((m for m, w in weight.items() if w >= rules.min_text_chars), key=lambda m: (-weight[m], m)):
+        rest = [b for b in found if m not in b.marks and not b.skipped and b.label is not False and not b.heading and dropped.issuperset(b.marks)]
+        if not any(b.scope for b in rest) and rules.mark_weight * sum(len(b.text) for b in rest) < weight[m]:
+            dropped.add(m)
+    for b in found:
+        if not dropped.issuperset(b.marks):
+            b.skipped, b.label = True, False
+
+
 def main_text(page: str | None, rules: BlockRules = BlockRules()) -> str:
     """The article of a page: its blocks, joined by line feeds."""
     if not page:
         return ""
     found = blocks(page)
-    for b in found:
-        words = _WORD.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    words = [_WORD.findall(b.text.lower()) for b in found]
+    prose = [w for b, own in zip(found, words, strict=True) if not b.skipped and len(b.text) >= rules.min_text_chars for w in own]
+    known = any(sum(w in stops for w in prose) >= rules.min_stop_density * len(prose) for stops in LANGUAGES)
+    for b, own in zip(found, words, strict=True):
+        stops = sum(w in STOP_WORDS for w in own) / len(own) if own else 0.0
         if b.skipped or b.link_chars > rules.max_link_density * len(b.text):
             b.label = False
-        elif len(b.text) >= rules.min_text_chars and stops >= rules.min_stop_density:
+        elif len(b.text) >= rules.min_text_chars and (stops >= rules.min_stop_density or not known):
             b.label = True
         elif not b.scope and len(b.text) >= rules.min_text_chars and stops < rules.low_stop_density:
             b.label = False
-    inside = any(b.scope and b.label is not False for b in found)
+    _leave_out(found, rules)
+    inner, outer = (sum(len(b.text) for b in found if b.label and (b.scope > 0) == own) for own in (True, False))
+    inside = any(b.scope and b.label is not False for b in found) and outer <= rules.container_weight * inner
+    if not inside:
+        full = {b.scope for b in found if b.label}
+        for b in found:
+            if b.teaser and b.scope not in full:
+                b.skipped, b.label = True, False
+            b.scope = 0
     decided = [b.label for b in found]
     for b, label, before, after in zip(found, decided, _nearest(found, 1), _nearest(found, -1), strict=True):
         if label is not None:

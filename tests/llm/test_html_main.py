@@ -23,6 +23,28 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+TURKISH = "Sabah erkenden limana indik ve balıkçıların ağlarını topladığını gördük; rüzgar kuzeyden sert esiyor, dalgalar iskeleye vuruyordu."
+DUTCH = "Gisteren liepen wij langs het kanaal naar huis, terwijl oude schippers vanaf hun boten vrolijk naar ons zwaaiden vanwege mooi weer."
+WHOLE = [
+    ('<div class="content with-sidebar"><p>' + LONG + "</div>", LONG),
+    ('<div id="page-no-sidebar"><p>' + LONG + "</div>", LONG),
+    ('<div class="sidebar"><p>' + LONG + '</div><div class="sidebar-layout"><h1>T</h1>' + ("<p>" + LONG) * 5 + "</div>", "\n".join(["T"] + [LONG] * 5)),
+    ("<form action=x><div><p>" + LONG + "</div></form>", LONG),
+    ("<div><p>" + LONG + "<form><p>" + LONG + "</form></div>", LONG),
+    ("<svg/><p>" + LONG, LONG), ("<video src=x><p>" + LONG, LONG),
+    ("<article>Teaser</article><div><p>" + LONG + "</div>", LONG),
+    ("<main><h1>Title</h1></main><div><p>" + LONG + "</div>", "Title\n" + LONG),
+    ("<div>" + TURKISH + "</div>", TURKISH), ("<div>" + DUTCH + "</div>", DUTCH),
+    ("<ul class=menu><li><a href=1>Ana sayfa</a></ul><div>" + TURKISH + "</div><div class=footer>Telif</div>", TURKISH),
+    ("<article class='post comments-open'><p>" + LONG + "</article><div class='comments'><p>" + LONG + LONG + LONG + "</div>", LONG),
+]
+
+
+@pytest.mark.parametrize("page, text", WHOLE)
+def test_articles_in_odd_frames(page, text):
+    assert main_text(page) == text
+
+
 def _article(page):
     """The blocks between <article> and its end in the given pages, by plain splitting."""
     import html
