@@ -18,6 +18,9 @@ words. Candidates are found among the windows of n words:
 A window within reach of an item has at most `share` * n words that no item of
 n words holds, and misses at most as many of the item's rarer words. Windows
 that fail this for all items of their length need no walk; that loses nothing.
+Item lengths at which the walks miss edited copies, and lengths of over
+`keyed_words` words, are searched without keys: every window left is verified
+against every item of its length.
 
 The benchmark is the stated query set: it is sent to the tasks in blocks of at
 most `BLOCK_ITEMS` items, each of which meets every document. Defined results:
@@ -57,6 +60,8 @@ class Search:
     keys_per_walk: int = 6
     max_walks: int = 24
     trials: int = 400
+    #: items of more words get no walks, whose cost grows with the square of their length
+    keyed_words: int = 400
 
 
 def words_of(text: str | None) -> list[str]:
@@ -102,18 +107,23 @@ class Index:
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for _, own in items for w in own}))}
         self.items = [(i, np.array([self.vocabulary[w] for w in own], np.int64)) for i, own in items]
         self.lengths = sorted({len(w) for _, w in self.items})
+        #: lengths searched without keys
+        self.exact = {n for n in self.lengths if n > search.keyed_words}
+        self.keyed = [n for n in self.lengths if n <= search.keyed_words]
         self.by_length = {n: [k for k, (_, w) in enumerate(self.items) if len(w) == n] for n in self.lengths}
         self.keys: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {n: [] for n in self.lengths}
         self.plans: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {n: [] for n in self.lengths}
         self.flags = {n: self._flags(n) for n in self.lengths}
         self.coins: list[np.ndarray] = []
         self.walks, self.measured_recall = 0, 1.0
-        trials = self._trials() if self.items else []
+        trials = self._trials() if self.keyed else []
         missed = trials
-        while self.items and self.walks < search.max_walks and (self.walks == 0 or self.measured_recall < search.recall):
+        while self.keyed and self.walks < search.max_walks and (self.walks == 0 or self.measured_recall < search.recall):
             self._add_walk()
-            missed = [t for t in missed if not self._meets(*t)]
+            missed = self._missed(missed)
             self.measured_recall = 1 - len(missed) / len(trials)
+        if self.measured_recall < search.recall:
+            self.exact |= {len(self.items[item][1]) for item, _ in missed}
 
     def _flags(self, n: int) -> tuple[np.ndarray, np.ndarray, int]:
         """For items of n words: which words they hold, which of these few items hold, and how many of the latter a window needs.
@@ -132,12 +142,12 @@ class Index:
 
     def _coins(self, seed: int) -> np.ndarray:
         while len(self.coins) <= seed:
-            self.coins.append(coins(len(self.vocabulary), 2 * self.lengths[-1], len(self.coins)))
+            self.coins.append(coins(len(self.vocabulary), 2 * self.keyed[-1], len(self.coins)))
         return self.coins[seed]
 
     def _add_walk(self) -> None:
         s = self.search
-        for n in self.lengths:
+        for n in self.keyed:
             own = self.by_length[n]
             draw = np.random.default_rng([n, self.walks])
             picks = np.stack([np.sort(draw.choice(2 * n, min(s.key_words, 2 * n), replace=False)) for _ in range(s.keys_per_walk)])
@@ -154,27 +164,35 @@ class Index:
     def _trials(self) -> list[tuple[int, np.ndarray]]:
         """Items and edited copies of them, with as many edits as are allowed."""
         draw = np.random.default_rng(7)
+        own = [k for k, (_, w) in enumerate(self.items) if len(w) <= self.search.keyed_words]
         out = []
         for _ in range(self.search.trials):
-            item = int(draw.integers(len(self.items)))
+            item = own[int(draw.integers(len(own)))]
             pattern = self.items[item][1]
             most = edits_allowed(len(pattern), self.search.share)
             out.append((item, np.concatenate([np.full(most, -1), edited(pattern, most, draw), np.full(most, -1)])))
         return out
 
-    def _meets(self, item: int, text: np.ndarray) -> bool:
-        """Whether a window of `text` has a key of the item in the last walk."""
-        n = len(self.items[item][1])
-        starts = np.arange(max(0, len(text) - n + 1))
-        if not len(starts):
-            return False
-        steps, columns = self.plans[n][-1]
-        keys = _keys(walk(text, starts, n, steps, self._coins(self.walks - 1)), columns)
-        for k in range(keys.shape[1]):
-            have, which = self.keys[n][len(self.keys[n]) - keys.shape[1] + k]
-            if np.isin(keys[:, k], have[which == item]).any():
-                return True
-        return False
+    def _missed(self, trials: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray]]:
+        """The trials of which no window has a key of the item in the last walk."""
+        by_length: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for item, text in trials:
+            by_length.setdefault(len(self.items[item][1]), []).append((item, text))
+        out = []
+        for n, own in by_length.items():
+            counts = np.array([max(0, len(text) - n + 1) for _, text in own])
+            begins = np.cumsum([0] + [len(text) for _, text in own])[:-1]
+            trial = np.repeat(np.arange(len(own)), counts)
+            starts = begins[trial] + np.arange(len(trial)) - np.repeat(np.cumsum(counts) - counts, counts)
+            steps, columns = self.plans[n][-1]
+            keys = _keys(walk(np.concatenate([text for _, text in own]), starts, n, steps, self._coins(self.walks - 1)), columns)
+            met = np.zeros(len(own), bool)
+            for k in range(keys.shape[1]):
+                have, which = self.keys[n][len(self.keys[n]) - keys.shape[1] + k]
+                for t, (item, _) in enumerate(own):
+                    met[t] = met[t] or np.isin(keys[trial == t, k], have[which == item]).any()
+            out += [x for x, m in zip(own, met, strict=True) if not m]
+        return out
 
     def candidates(self, text: np.ndarray) -> dict[int, set[int]]:
         """item number -> starts of windows with an equal key."""
@@ -183,17 +201,28 @@ class Index:
             if len(text) < n:
                 continue
             held, rare, least = self.flags[n]
-            some = np.cumsum(np.concatenate([[0], rare[text]]), dtype=np.int64)
-            if some[-1] < least:
+            at = _stretches(np.flatnonzero(rare[text]), least, n, len(text))
+            if not len(at):
                 continue
-            fit = some[n:] - some[:-n] >= least
-            known = np.cumsum(np.concatenate([[0], held[text]]), dtype=np.int64)
-            starts = np.flatnonzero(fit & (known[n:] - known[:-n] >= n - edits_allowed(n, self.search.share)))
+            # the stretches end to end; windows begin at all but the last n - 1 words of each
+            lens = at[:, 1] - at[:, 0]
+            ends = np.cumsum(lens)
+            place = np.arange(ends[-1]) + np.repeat(at[:, 0] - (ends - lens), lens)
+            near = text[place]
+            known = np.cumsum(np.concatenate([[0], held[near]]), dtype=np.int64)
+            fit = known[n:] - known[:-n] >= n - edits_allowed(n, self.search.share)
+            for end in ends[:-1].tolist():
+                fit[max(0, end - n + 1) : end] = False
+            starts = np.flatnonzero(fit)
             for lo in range(0, len(starts), 50_000):
-                self._look_up(text, starts[lo : lo + 50_000], n, found)
+                self._look_up(near, starts[lo : lo + 50_000], place, n, found)
         return found
 
-    def _look_up(self, text: np.ndarray, starts: np.ndarray, n: int, found: dict[int, set[int]]) -> None:
+    def _look_up(self, text: np.ndarray, starts: np.ndarray, place: np.ndarray, n: int, found: dict[int, set[int]]) -> None:
+        if n in self.exact:
+            for item in self.by_length[n]:
+                found.setdefault(item, set()).update(place[starts].tolist())
+            return
         for seed, (steps, columns) in enumerate(self.plans[n]):
             keys = _keys(walk(text, starts, n, steps, self._coins(seed)), columns)
             for k in range(keys.shape[1]):
@@ -201,17 +230,17 @@ class Index:
                 lo, hi = np.searchsorted(have, keys[:, k]), np.searchsorted(have, keys[:, k], "right")
                 for w in np.flatnonzero(hi > lo):
                     for item in which[lo[w] : hi[w]].tolist():
-                        found.setdefault(item, set()).add(int(starts[w]))
+                        found.setdefault(item, set()).add(int(place[starts[w]]))
 
     def find(self, texts: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
         """(text number, item number, begin, words, edits) of every leaked passage.
 
         Texts are vocabulary numbers, -1 for other words. They are searched end
-        to end, with gaps that no window bridges.
+        to end, with gaps of more words than a window may have that no item holds.
         """
         if not self.lengths:
             return []
-        gap = np.full(self.lengths[-1], -1, np.int64)
+        gap = np.full(edits_allowed(self.lengths[-1], self.search.share) + 1, -1, np.int64)
         text = np.concatenate([gap, *[x for t in texts for x in (t, gap)]])
         lens = np.fromiter(map(len, texts), np.int64, len(texts))
         begins = len(gap) + np.concatenate([[0], np.cumsum(lens + len(gap))[:-1]])
@@ -229,6 +258,20 @@ class Index:
         return out
 
 
+def _stretches(at: np.ndarray, least: int, n: int, words: int) -> np.ndarray:
+    """(begin, end) of the stretches of a text that windows of n words with at least `least` of the places `at` cover."""
+    if least <= 0:
+        return np.array([[0, words]])
+    first, last = at[: max(0, len(at) - least + 1)], at[least - 1 :]
+    close = last - first < n
+    begin, end = np.maximum(last[close] - n + 1, 0), np.minimum(first[close] + n, words)
+    if not len(begin):
+        return np.zeros((0, 2), np.int64)
+    new = np.flatnonzero(begin[1:] > end[:-1])  # both ascend
+    out = np.stack([begin[np.append(0, new + 1)], end[np.append(new, len(end) - 1)]], axis=1)
+    return out[out[:, 1] - out[:, 0] >= n]
+
+
 def _keys(read: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """One hash for each row and each sample of read words."""
     out = np.zeros((len(read), len(columns)), np.uint64)

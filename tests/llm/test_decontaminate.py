@@ -65,7 +65,7 @@ def test_recall_and_precision_against_brute_force(spark):
             words = dc.words_of(text)
             if len(words) >= len(pattern) - 8 and len(set(pattern) & set(words)) >= len(set(pattern)) // 2 and _distance(pattern, words) <= dc.edits_allowed(len(pattern), share):
                 want.add((d, i))
-    assert len(want) > 100 and got <= want and len(got & want) >= 0.97 * len(want)
+    assert len(want) > 100 and got <= want and len(got & want) >= 0.99 * len(want)
     texts = dict(docs)
     patterns = dict(items)
     for r in found:
@@ -73,7 +73,7 @@ def test_recall_and_precision_against_brute_force(spark):
         assert _distance(dc.words_of(patterns[r.item_id]), stretch) == r.edits
     # blocks of items give the same
     blocks = {(r.doc_id, r.item_id) for r in dc.find_leaks(frame, bench, block_items=25).collect()}
-    assert blocks <= want and len(blocks & want) >= 0.97 * len(want)
+    assert blocks <= want and len(blocks & want) >= 0.99 * len(want)
 
 
 def test_separate_passages_of_one_item(spark):
@@ -81,9 +81,38 @@ def test_separate_passages_of_one_item(spark):
     docs = spark.createDataFrame([(1, f"a b {item} c d {item.upper()}."), (2, item[4:]), (3, "one two")], "doc_id long, text string")
     bench = spark.createDataFrame([(7, item), (None, item), (8, None), (9, "one two")], "item_id long, text string")
     got = sorted((r.doc_id, r.item_id or 0, r.begin, r.n_words, r.edits) for r in dc.find_leaks(docs, bench).collect())
-    assert got == [(1, 0, 2, 10, 0), (1, 0, 14, 10, 0), (1, 7, 2, 10, 0), (1, 7, 14, 10, 0), (2, 0, 0, 9, 1), (2, 7, 0, 9, 1)] or got[:4] == [
-        (1, 0, 2, 10, 0), (1, 0, 14, 10, 0), (1, 7, 2, 10, 0), (1, 7, 14, 10, 0)]
-    assert [r.doc_id for r in dc.without_leaks(docs, bench).collect()] == [3] or {r.doc_id for r in dc.without_leaks(docs, bench).collect()} == {2, 3}
+    assert got == [(1, 0, 2, 10, 0), (1, 0, 14, 10, 0), (1, 7, 2, 10, 0), (1, 7, 14, 10, 0), (2, 0, 0, 9, 1), (2, 7, 0, 9, 1)]
+    assert [r.doc_id for r in dc.without_leaks(docs, bench).collect()] == [3]
+
+
+def test_stretches_cover_the_windows():
+    draw = random.Random(3)
+    for _ in range(300):
+        words, n, least = draw.randint(1, 60), draw.randint(1, 9), draw.randint(0, 4)
+        marks = [draw.random() < 0.3 for _ in range(words)]
+        covered = set()
+        for start in range(words - n + 1):
+            if sum(marks[start : start + n]) >= least:
+                covered |= set(range(start, start + n))
+        got = dc._stretches(np.flatnonzero(marks), least, n, words)
+        inside = {k for lo, hi in got.tolist() for k in range(lo, hi)}
+        assert covered <= inside
+        assert least == 0 or inside == covered
+
+
+def test_long_items_and_missed_lengths_are_searched_exactly(spark):
+    draw = random.Random(9)
+    long, other = ([f"w{draw.randrange(3000)}" for _ in range(n)] for n in (5000, 30))
+    changed = [w for w in long if draw.random() > 0.05]
+    docs = spark.createDataFrame([(1, " ".join(["x"] * 50 + changed + ["y"] * 50)), (2, " ".join(long[:2500])), (3, " ".join(other[3:]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(other))], "item_id long, text string")
+    got = dc.find_leaks(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (3, 2)]
+    assert next(r.edits for r in got if r.doc_id == 1) == 5000 - len(changed)
+    # walks that cannot reach the recall: every length is verified without keys
+    few = dc.Search(key_words=12, keys_per_walk=1, max_walks=1)
+    assert dc.Index([(2, other)], few).exact == {30}
+    assert [(r.doc_id, r.item_id) for r in dc.find_leaks(docs.where("doc_id = 3"), bench.where("item_id = 2"), few).collect()] == [(3, 2)]
 
 
 def test_odd_documents(odd_docs, no_docs, spark):
