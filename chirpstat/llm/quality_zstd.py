@@ -8,7 +8,10 @@ fitted on labelled rows that the dictionaries have not seen, turns it into a
 score between 0 and 1.
 
 The labelled rows used are a bounded sample (`Sample`): those with the lowest
-md5 of their id. Everything else covers all rows and whole
+md5 of their id. The dictionaries learn from pieces drawn by a hash from all
+places of all sampled texts, so that the driver gets `max_chars` at most, however
+long the texts are; the curve learns from whole texts, measured in the tasks. An id
+with two labels has the smaller one. Everything else covers all rows and whole
 texts. Defined results: null and empty texts have the difference 0 and the
 score of the curve there; rows of one id are scored one by one; labels, lang,
 source and doc_id are no inputs of a score. A null doc_id is not held out, and no
@@ -20,6 +23,7 @@ none). No documents give no rows.
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.llm.common import id_remainder, table
+from chirpstat.llm.common import id_remainder, land, table
 
 PIECE_BYTES = 1024
 LEVEL = 3
@@ -39,7 +43,7 @@ THRESHOLD = 0.3
 
 @dataclass(frozen=True)
 class Sample:
-    """Bound of what is learned from: rows of each label, and characters of all of them."""
+    """Bound of what is learned from: rows of each label, and bytes of all pieces drawn for the dictionaries."""
 
     dictionary_rows: int = 1500
     calibration_rows: int = 2500
@@ -95,16 +99,6 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float,
     return float(w[0] / scale), float(w[1])
 
 
-def _bounded(texts: list[str], max_chars: int) -> list[bytes]:
-    out, total = [], 0
-    for t in texts:
-        total += len(t)
-        if out and total > max_chars:
-            break
-        out.append(t.encode("utf-8", "replace"))
-    return out
-
-
 def sample_ids(labelled: DataFrame, calibration: Column, sample: Sample) -> DataFrame:
     """The rows learned from: (doc_id, label, calibration), bounded by `sample`.
 
@@ -112,7 +106,7 @@ def sample_ids(labelled: DataFrame, calibration: Column, sample: Sample) -> Data
     `calibration` holds) keep the labels' own proportions; rows for the
     dictionaries are as many of either label.
     """
-    rows = labelled.dropDuplicates(["doc_id"]).withColumn("calibration", calibration)
+    rows = labelled.groupBy("doc_id").agg(F.min("label").alias("label")).withColumn("calibration", calibration)
     order = [F.md5(F.col("doc_id").cast("string")), F.col("doc_id")]
     parts = [rows.where("calibration").orderBy(*order).limit(sample.calibration_rows)]
     for label in (0, 1):
@@ -121,30 +115,67 @@ def sample_ids(labelled: DataFrame, calibration: Column, sample: Sample) -> Data
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def learn(rows: list[tuple[int, bool, str]], max_chars: int = Sample.max_chars) -> Model:
-    """Dictionaries and curve from (label, for the curve, text) rows."""
+def sample_pieces(texts: DataFrame, max_chars: int = Sample.max_chars) -> DataFrame:
+    """label and piece for the dictionaries, at most `max_chars` / 2 bytes of either label, drawn from all of `texts` (doc_id, label, text)."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc_id, label, text in zip(batch["doc_id"], batch["label"], batch["text"], strict=True):
+                for at, piece in enumerate(pieces((text or "").encode("utf-8", "replace"))):
+                    rows.append((label, hashlib.md5(f"{doc_id}:{at}".encode()).hexdigest(), piece))
+            yield pd.DataFrame(rows, columns=["label", "draw", "piece"])
+
+    drawn = texts.select("doc_id", "label", "text").mapInPandas(cut, "label int, draw string, piece binary")
+    each = max(1, max_chars // 2 // PIECE_BYTES)
+    good, bad = (drawn.where(F.col("label") == label).orderBy("draw", "piece").limit(each) for label in (1, 0))
+    return good.unionByName(bad).select("label", "piece")
+
+
+def dictionaries(drawn: list[tuple[int, bytes]]) -> tuple[bytes, bytes]:
+    """The dictionaries of good and of bad pieces; `drawn` are (label, piece)."""
     import zstandard
 
-    dictionaries = {}
-    for label in (0, 1):
-        texts = _bounded([t for own, curve, t in rows if own == label and not curve], max_chars // 4)
-        chunks = [p for t in texts for p in pieces(t)]
+    made = []
+    for label in (1, 0):
+        chunks = [bytes(p) for own, p in drawn if own == label]
         if not chunks:
             raise ValueError(f"no labelled text of label {label} to learn from")
         try:
-            dictionaries[label] = zstandard.train_dictionary(DICT_BYTES, chunks).as_bytes()
+            made.append(zstandard.train_dictionary(DICT_BYTES, chunks).as_bytes())
         except zstandard.ZstdError:  # too little text for the trainer: the texts themselves serve
-            dictionaries[label] = b"".join(chunks)[-DICT_BYTES:]
-    curve = [(difference(t, dictionaries[1], dictionaries[0]), label) for label, own, t in rows if own]
+            made.append(b"".join(chunks)[-DICT_BYTES:])
+    return made[0], made[1]
+
+
+def with_curve(good: bytes, bad: bytes, curve: list[tuple[float, int]]) -> Model:
+    """The model of two dictionaries and the curve through (difference, label)."""
     if len({label for _, label in curve}) < 2:  # no curve can be fitted: a fixed one through 0
-        return Model(dictionaries[1], dictionaries[0], 100.0, 0.0)
+        return Model(good, bad, 100.0, 0.0)
     x, y = (np.array(v, float) for v in zip(*curve, strict=True))
-    return Model(dictionaries[1], dictionaries[0], *fit_logistic(x, y))
+    return Model(good, bad, *fit_logistic(x, y))
+
+
+def learn(rows: list[tuple[int, bool, str]]) -> Model:
+    """Dictionaries and curve from (label, for the curve, text) rows."""
+    good, bad = dictionaries([(label, p) for label, curve, t in rows if not curve for p in pieces(t.encode("utf-8", "replace"))])
+    return with_curve(good, bad, [(difference(t, good, bad), label) for label, curve, t in rows if curve])
+
+
+def differences(texts: DataFrame, good: bytes, bad: bytes) -> DataFrame:
+    """x (the difference) and label of every row of `texts` (label, text)."""
+    sent = texts.sparkSession.sparkContext.broadcast((good, bad))  # two dictionaries of at most DICT_BYTES each
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"x": [difference(t, *sent.value) for t in batch["text"]], "label": batch["label"]})
+
+    return texts.select("text", "label").mapInPandas(run, "x double, label int")
 
 
-def constant(labels: list[int]) -> Model:
+def constant(good: int, labels: int) -> Model:
     """Where nothing can be told apart, every text has the share of label 1 as its score (0.5 without labels)."""
-    share = sum(labels) / len(labels) if labels else 0.5
+    share = good / labels if labels else 0.5
     return Model(b"", b"", 0.0, math.log((share + 1e-12) / (1 - share + 1e-12)))
 
 
@@ -169,15 +200,22 @@ def op8_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; learned from labelled rows whose crc32(doc_id) mod 5 is not 0."""
     docs = table(spark, sf_dir, "documents")
     rest = id_remainder(F.col("doc_id"), 5)
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("label"))
     labels = labels.where((rest != 0) & F.col("label").isin(0, 1))
     ids = sample_ids(labels, rest == 1, Sample())
-    # at most 2 * dictionary_rows + calibration_rows ids, and as many texts on the driver
+    # at most 2 * dictionary_rows + calibration_rows ids are broadcast
     found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
-    rows = sorted((r["label"], r["calibration"], r["doc_id"], r["text"]) for r in found.collect())
-    rows = [(label, curve, text) for label, curve, _, text in rows]
-    both = {label for label, curve, text in rows if text and not curve} == {0, 1}
-    scored = score_documents(docs, learn(rows) if both else constant([label for label, _, _ in rows]))
+    found = land(found, "quality-sample")
+    drawn = sample_pieces(found.where("NOT calibration"))
+    drawn = sorted((r["label"], bytes(r["piece"])) for r in drawn.collect())  # at most max_chars bytes
+    if {label for label, _ in drawn} == {0, 1}:
+        good, bad = dictionaries(drawn)
+        # one number a sampled row
+        model = with_curve(good, bad, sorted((r["x"], r["label"]) for r in differences(found.where("calibration"), good, bad).collect()))
+    else:
+        by_label = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}
+        model = constant(by_label.get(1, 0), sum(by_label.values()))
+    scored = score_documents(docs, model)
     return scored.select(
         "doc_id",
         F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),

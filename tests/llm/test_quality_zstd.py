@@ -41,6 +41,53 @@ def test_sample_is_bounded_and_apart(spark):
     assert all(r.calibration == (r.doc_id % 2 == 0) for r in ids)
 
 
+def test_pieces_come_from_all_of_the_texts(spark):
+    """A bound on bytes, not a prefix: with it reached, pieces of every long text and of all its parts are drawn."""
+    texts = [(d, d % 2, "".join(f"{d:03d}:{k:06d} " * 93 for k in range(200))) for d in range(6)]
+    frame = spark.createDataFrame(texts, "doc_id long, label int, text string")
+    drawn = [(r.label, bytes(r.piece)) for r in qz.sample_pieces(frame, 400 * qz.PIECE_BYTES).collect()]
+    assert sorted(label for label, _ in drawn) == [0] * 200 + [1] * 200 and all(len(p) <= qz.PIECE_BYTES for _, p in drawn)
+    assert {p[15:18] for _, p in drawn} <= {p[15:18] for t in texts for p in qz.pieces(t[2].encode())}
+    places = {(d, at * 4 // len(qz.pieces(t.encode()))) for d, _, t in texts for at, p in enumerate(qz.pieces(t.encode())) if (d % 2, p) in set(drawn)}
+    assert len(places) == 24
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    """The score of every document by plain loops: drawn pieces, dictionaries, sizes, curve."""
+    import hashlib
+    import math
+    import zlib
+
+    import zstandard
+
+    docs = [(i, ("fine words of a calm story number %d. " % i if i % 3 else "BUY!! NOW!! $$$ %d " % i) * (1 + i % 90), "en", "s") for i in range(300)]
+    labels = [(i, int(i % 3 > 0), 0) for i in range(0, 300)]
+    got = {r.doc_id: r for r in qz.op8_quality_zstd(spark, _tables(spark, tmp_path, docs, labels)).collect()}
+
+    def rest(i):
+        return zlib.crc32(str(i).encode()) % 5
+
+    cuts = {label: [] for label in (0, 1)}
+    for i, text, _, _ in docs:
+        if rest(i) not in (0, 1):
+            data = text.encode()
+            cuts[int(i % 3 > 0)] += [(hashlib.md5(f"{i}:{k}".encode()).hexdigest(), data[o : o + 1024]) for k, o in enumerate(range(0, len(data), 1024))]
+    made = {label: zstandard.train_dictionary(qz.DICT_BYTES, sorted(p for _, p in cuts[label])).as_bytes() for label in cuts}
+
+    def measure(text):
+        sizes = []
+        for label in (0, 1):
+            c = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(made[label]), write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes.append(sum(len(c.compress(text.encode()[o : o + 1024])) for o in range(0, len(text), 1024)))
+        return (sizes[0] - sizes[1]) / len(text)
+
+    pairs = [(measure(t), int(i % 3 > 0)) for i, t, _, _ in docs if rest(i) == 1]
+    slope, offset = qz.fit_logistic(np.array([x for x, _ in pairs]), np.array([y for _, y in pairs], float))
+    for i, text, _, _ in docs:
+        want = 1 / (1 + math.exp(-max(-30.0, min(30.0, slope * measure(text) + offset))))
+        assert abs(got[i].score - want) < 1e-6 and got[i].held_out == (rest(i) == 0) and got[i].predicted == int(want >= 0.3)
+
+
 def test_nothing_to_learn():
     with pytest.raises(ValueError):
         qz.learn([(1, False, "only good")])
