@@ -40,6 +40,7 @@ from chirpstat.sources.archive_index import append_new
 from chirpstat.sources.author_table import AuthorTable
 from chirpstat.sources.io import Sink, archive_raw, publish, read_messages, read_result, write_result
 from chirpstat.sources.ledger import messages_since
+from chirpstat.sources.text_index import TextIndex
 from chirpstat.streaming import stream as S
 
 # --- Fixed values: parameters of the registered selections --------------------
@@ -223,6 +224,18 @@ def q_search_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_search(_valid(spark, sf_dir, SEARCH_FIELDS), SEARCH_PHRASE, SEARCH_LANG, True, LARGE_N)
 
 
+def _text_search_indexed(n: int) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The search through the trigram index of all tweets, added in two runs."""
+        index = TextIndex(spark, scratch_path(spark, "text-index-table"))
+        raw = _raw(spark, sf_dir)
+        for part in range(2):
+            index.add(parse_tweets(raw.where(F.pmod("offset", F.lit(2)) == part), fields=SEARCH_FIELDS))
+        return index.search(SEARCH_PHRASE, SEARCH_LANG, True, n)
+
+    return query
+
+
 def q_selection_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A search's tweets with all their columns, archived and published, read back from the topic."""
     root = scratch_path(spark, "selection")
@@ -355,6 +368,8 @@ QUERIES: dict[str, Query] = {
     "dual_path_publish": _dual_path("publish"),
     "timeline_large": q_timeline_large,
     "search_large": q_search_large,
+    "text_search_indexed": _text_search_indexed(TOP_N),
+    "search_large_indexed": _text_search_indexed(LARGE_N),
     "selection_delivered": q_selection_delivered,
     "timeline_by_author": q_timeline_by_author,
     "timeline_by_author_runs": q_timeline_by_author_runs,
@@ -431,6 +446,8 @@ _BODIES = {
     "text_search": f"{_SEARCH} {_NEWEST} LIMIT 10",
     "timeline_large": f"{_TIMELINE} {_NEWEST} LIMIT 100000",
     "search_large": f"{_SEARCH} {_NEWEST} LIMIT 100000",
+    "text_search_indexed": f"{_SEARCH} {_NEWEST} LIMIT 10",
+    "search_large_indexed": f"{_SEARCH} {_NEWEST} LIMIT 100000",
     "selection_delivered": f"{_SEARCH.replace('id, created_at, text', _ALL_COLUMNS, 1)} {_NEWEST} LIMIT 100000",
     "timeline_by_author": f"{_TIMELINE} {_NEWEST} LIMIT 10",
     "archive_round_trip": f"SELECT {_ALL_COLUMNS} FROM T",
