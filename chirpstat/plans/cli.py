@@ -15,6 +15,8 @@
         --phrase "big data" --lang tr
     spark-submit ... cli.py index-timelines raw-tweets-stream --bootstrap-servers broker:9092 \
         --out /shared/tweets_by_author      # then: timeline ... --table /shared/tweets_by_author
+    spark-submit ... cli.py index-texts raw-tweets-stream --bootstrap-servers broker:9092 \
+        --out /shared/texts [--compact]     # adds a run; then: search ... --text-index /shared/texts
 
 `--input-path` reads landed message files instead of a broker; `--sink-base`
 writes Parquet results instead of collections (for streams: a complete-mode
@@ -48,6 +50,7 @@ from chirpstat.session import land
 from chirpstat.sources.author_table import AuthorTable, read_author_table
 from chirpstat.sources.io import Sink, mongo_sink, read_messages, read_topic, read_topic_stream, write_result
 from chirpstat.sources.ledger import kafka_since, messages_since
+from chirpstat.sources.text_index import TextIndex
 from chirpstat.streaming import stream as S
 
 LOG = logging.getLogger("chirpstat")
@@ -59,6 +62,13 @@ FILES_PER_TRIGGER = 1000
 PREVIEW_ROWS = 1000
 
 
+def _preview_rows(value: str) -> int:
+    rows = int(value)
+    if not 0 <= rows <= PREVIEW_ROWS:
+        raise argparse.ArgumentTypeError(f"a preview has 0 to {PREVIEW_ROWS} rows; write larger results with --sink-base")
+    return rows
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="chirpstat")
     sub = p.add_subparsers(dest="job", required=True)
@@ -77,7 +87,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--on-empty", choices=("skip", "overwrite"), default="skip")
         s.add_argument("--layout", choices=("plain", "versions"), default="plain",
                        help="files: a plain table folder, or versions behind a pointer (for object stores)")
-        s.add_argument("--preview", type=int, default=10, help="rows of each result to show (0: none)")
+        s.add_argument("--preview", type=_preview_rows, default=10, help="rows of each result to show (0: none)")
         if name == "user-analysis":
             s.add_argument("--fame-point", type=int, default=FAME_POINT)
             s.add_argument("--low-point", type=int, default=LOW_FOLLOWER_POINT)
@@ -85,13 +95,16 @@ def _parser() -> argparse.ArgumentParser:
         else:
             s.add_argument("--drop-invalid", action="store_true")
             s.add_argument("--ledger", help="folder of the offsets read so far: read only what is new, report over all runs")
-    for name in ("timeline", "search", "index-timelines"):
+    for name in ("timeline", "search", "index-timelines", "index-texts"):
         s = sub.add_parser(name)
         s.add_argument("topic")
         src = s.add_mutually_exclusive_group(required=True)
         src.add_argument("--bootstrap-servers")
         src.add_argument("--input-path", help="folder of landed messages (Parquet with a `value` column)")
-        src.add_argument("--table", help="tweet table written by index-timelines (timeline/search only)")
+        if not name.startswith("index-"):
+            src.add_argument("--table", help="tweet table written by index-timelines")
+        if name == "search":
+            src.add_argument("--text-index", help="trigram index written by index-texts")
         s.add_argument("--input-format", choices=("parquet", "text"), default="parquet")
         if name == "timeline":
             s.add_argument("--user", required=True)
@@ -103,9 +116,12 @@ def _parser() -> argparse.ArgumentParser:
         if name == "index-timelines":
             s.add_argument("--out", required=True, help="folder for the author-ordered tweet table")
             s.add_argument("--add", action="store_true", help="add the tweets to the table as a run of their own")
+        elif name == "index-texts":
+            s.add_argument("--out", required=True, help="folder of the index; the tweets are added as a run of their own")
+            s.add_argument("--compact", action="store_true", help="then write all runs into one")
         else:
             s.add_argument("--max-tweets", type=int, default=10)
-            s.add_argument("--preview", type=int, default=10, help="rows to show (0: none)")
+            s.add_argument("--preview", type=_preview_rows, default=10, help="rows to show (0: none)")
             s.add_argument("--sink-base", help="also write the selection as Parquet under this folder")
             s.add_argument("--archive-path", help="append the selected tweets to this raw-message archive")
             out = s.add_mutually_exclusive_group()
@@ -216,13 +232,23 @@ def _run_select(spark: SparkSession, args) -> int:
         else:
             write_by_author(tweets, args.out)
         return 0
+    if args.job == "index-texts":
+        index = TextIndex(spark, args.out)
+        index.add(parse_tweets(_raw(spark, args)))
+        if args.compact:
+            index.compact()
+        return 0
     servers = args.publish_servers or args.bootstrap_servers
     if args.publish_topic and not servers:
         raise SystemExit("--publish-topic needs --publish-servers or --bootstrap-servers")
     delivers = bool(args.archive_path or args.publish_topic or args.publish_path)
     fields = TIMELINE_FIELDS if args.job == "timeline" else SEARCH_FIELDS
     columns = tuple(TWEET_SCHEMA.fieldNames()) if delivers else SELECT_COLUMNS
-    if args.table:
+    if args.job == "search" and args.text_index:
+        tweets = TextIndex(spark, args.text_index).candidates(args.phrase)
+        if tweets is None:
+            raise SystemExit(f"{args.text_index} has no tweets yet")
+    elif args.table:
         tweets = read_author_table(spark, args.table)
     else:
         tweets = valid_tweets(parse_tweets(_raw(spark, args), fields=None if delivers else fields))
@@ -243,7 +269,7 @@ def _run_select(spark: SparkSession, args) -> int:
     if args.sink_base:
         write_result(result, args.job, Sink(base=args.sink_base, on_empty="overwrite"))
     if args.preview:
-        newest(result, min(args.preview, PREVIEW_ROWS), SELECT_COLUMNS).show(min(args.preview, PREVIEW_ROWS), truncate=False)
+        newest(result, args.preview, SELECT_COLUMNS).show(args.preview, truncate=False)
     return 0
 
 
@@ -268,14 +294,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"chirpstat-{args.job}").getOrCreate()
     if args.job in ("stream-daily-trend", "stream-top-tweeters", "dual-path"):
         return _run_stream(spark, args)
-    if args.job in ("timeline", "search", "index-timelines"):
+    if args.job in ("timeline", "search", "index-timelines", "index-texts"):
         return _run_select(spark, args)
     sink = _sink(args)
     raw = None if args.job == "daily-trend" and args.ledger else _raw(spark, args)
 
     if args.job == "user-analysis":
         run_user_analysis(
-            spark, raw, sink, args.fame_point, args.low_point, args.keep_snapshot, min(args.preview, PREVIEW_ROWS)
+            spark, raw, sink, args.fame_point, args.low_point, args.keep_snapshot, args.preview
         )
         return 0
 
@@ -286,10 +312,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             topic = kafka_since(spark, args.bootstrap_servers, args.topic)
         result = run_daily_trend_since(spark, topic, args.ledger, sink, drop_invalid=args.drop_invalid)
         if args.preview:
-            result.show(min(args.preview, PREVIEW_ROWS), truncate=False)
+            result.show(args.preview, truncate=False)
         return 0
 
-    run_daily_trend(spark, raw, sink, drop_invalid=args.drop_invalid, preview=min(args.preview, PREVIEW_ROWS))
+    run_daily_trend(spark, raw, sink, drop_invalid=args.drop_invalid, preview=args.preview)
     return 0
 
 

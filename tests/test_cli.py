@@ -78,6 +78,28 @@ def test_timeline_and_search_cli(spark, scratch, capsys):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_search_cli_through_the_text_index(spark, scratch):
+    topic = event_topic(spark, SF)
+    index = os.path.join(scratch, "texts")
+    with pytest.raises(SystemExit):
+        cli.main(["search", "t", "--text-index", index, "--phrase", "click"], spark)
+    for extra in ([], ["--compact"]):
+        assert cli.main(["index-texts", "t", "--input-path", topic, "--out", index, *extra], spark) == 0
+    found = {}
+    for src in (["--input-path", topic], ["--text-index", index]):
+        out = os.path.join(scratch, "found" + src[0])
+        assert cli.main(["search", "t", *src, "--phrase", "click", "--lang", "tr", "--max-tweets", "100000", "--sink-base", out], spark) == 0
+        found[src[0]] = sorted(map(tuple, spark.read.parquet(os.path.join(out, "search")).collect()))
+    # the tweets were added twice
+    assert found["--input-path"] and found["--text-index"] == sorted(2 * found["--input-path"])
+
+
+def test_a_larger_preview_is_a_usage_error(spark):
+    for args in (["daily-trend", "t", "--input-path", "x"], ["search", "t", "--input-path", "x", "--phrase", "p"]):
+        with pytest.raises(SystemExit):
+            cli.main([*args, "--preview", "1001"], spark)
+
+
 def test_stream_to_document_store_fails_loudly_without_connector(spark, scratch):
     topic = event_topic(spark, SF)
     args = ["stream-top-tweeters", "t", "--input-path", topic, "--checkpoint", os.path.join(scratch, "ck"),
