@@ -26,8 +26,9 @@ above the threshold.
 
 Defined results: a null or empty text, or one without a word, is a class of its
 own with no links; rows with equal id and text are copies of each other; where
-ids are null or not unique, documents are numbered and classes bear numbers; an
-empty table gives an empty result. Words are runs of characters other than
+ids are null or not unique, documents are numbered, but a class with an id still
+bears its smallest one in the query's result (`named`), and other classes negative
+numbers; an empty table gives an empty result. Words are runs of characters other than
 ASCII white space.
 """
 
@@ -418,6 +419,25 @@ def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
     return kept
 
 
+def named(found: DataFrame) -> DataFrame:
+    """The result of `classes` with the smallest doc_id of each class as its class_id.
+
+    Where no id is null or repeated, it is that already. Classes of null ids alone get
+    negative numbers, below the smallest id. Classes that share their smallest id (its
+    rows have different texts) are told apart: all but the first get such numbers too.
+    """
+    found = land(found, "classes")
+    if found.where("doc_id IS NULL OR doc <> doc_id").isEmpty():
+        return found
+    firsts = land(found.groupBy("class_id").agg(F.min("doc_id").alias("id")), "class-names")
+    owners = firsts.where("id IS NOT NULL").groupBy("id").agg(F.min("class_id").alias("class_id"))
+    below = F.lit(min(0, firsts.agg(F.min("id")).first()[0] or 0) - 1)
+    others = firsts.join(owners, "class_id", "left_anti").select("class_id", (below - F.col("class_id")).alias("name"))
+    names = owners.select("class_id", F.col("id").alias("name")).unionByName(others)
+    columns = [F.col("name").alias("class_id") if c == "class_id" else F.col(c) for c in found.columns]
+    return found.join(names, "class_id").select(*columns)
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document."""
-    return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+    return named(classes(table(spark, sf_dir, "documents"))).select("doc_id", "class_id", "n_links")

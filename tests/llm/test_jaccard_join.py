@@ -141,3 +141,18 @@ def test_splits_keep_the_recall_at_full_depth(join):
     runs, widths = join.splits
     assert runs >= join.runs and len(widths) == join.depth - 1 and max(widths, default=0) <= jj.WIDEST
     assert join.missed(runs, widths) <= 1 - join.recall
+
+
+def test_classes_are_named_by_their_smallest_id(spark):
+    near = " ".join(f"w{k}" for k in range(60))
+    rows = [(9, near), (4, near + " tail"), (None, near), (None, "alone of null id"), (None, ""), (7, "one text"), (7, "another text"), (5, "plain"), (5, "plain")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.class_id, r.n_links) for r in jj.named(jj.classes(frame)).collect()]
+    assert {x for x in got if x[1] == 4} == {(9, 4, 2), (4, 4, 2), (None, 4, 2)}
+    assert [x for x in got if x[0] == 5] == [(5, 5, 1)] * 2
+    sevens, nulls = [x[1] for x in got if x[0] == 7], [x[1] for x in got if x[0] is None and x[1] != 4]
+    assert len(set(sevens)) == 2 and max(sevens) == 7 and min(sevens) < 0
+    assert len(set(nulls)) == 2 and all(c < 0 for c in nulls) and len(got) == len(rows)
+    unique = frame.where("doc_id IN (4, 9)")
+    assert {(r.doc_id, r.class_id) for r in jj.named(jj.classes(unique)).collect()} == {(4, 4), (9, 4)}
+    assert jj.named(jj.classes(frame.limit(0))).collect() == []
