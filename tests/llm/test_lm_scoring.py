@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from chirpstat.llm import lm_scoring as lm
@@ -17,6 +19,31 @@ def test_gradients_by_finite_differences():
     assert net.log_prob(context, target).sum() > before
 
 
+def test_gradients_equal_finite_differences():
+    draw = np.random.default_rng(4)
+    net = lm.Network(draw.normal(0, 0.5, lm.Network.SIZE))  # 64-bit numbers
+    context, target = draw.integers(0, lm.CLASSES + 1, (40, 2 * lm.SIDE)), draw.integers(0, lm.CLASSES, 40)
+    gradients, met = net.gradients(context, target)
+    assert [m.tolist() for m in met] == [sorted(set(context[:, k].tolist())) for k in range(2 * lm.SIDE)]
+    most = np.argsort(-np.abs(gradients.flat))[:60]
+    for i in [*most.tolist(), *draw.integers(0, lm.Network.SIZE, 60).tolist()]:
+        sides = []
+        for step in (1e-5, -1e-5):
+            moved = net.flat.copy()
+            moved[i] += step
+            sides.append(-lm.Network(moved).log_prob(context, target).mean())
+        assert abs((sides[0] - sides[1]) / 2e-5 - gradients.flat[i]) < 1e-7
+
+
+def test_large_logits_do_not_overflow():
+    draw = np.random.default_rng(6)
+    flat = draw.normal(0, 300, lm.Network.SIZE).astype(np.float32)
+    context, target = draw.integers(0, lm.CLASSES + 1, (50, 2 * lm.SIDE)), draw.integers(0, lm.CLASSES, 50)
+    got = lm.Network(flat).log_prob(context, target)
+    assert np.allclose(got, lm.Network(flat.astype(float)).log_prob(context, target), rtol=1e-3)
+    assert np.isfinite(got).all() and np.isfinite(lm.Network(flat).gradients(context, target)[0].flat).all()
+
+
 def test_probabilities_sum_to_one():
     net = lm.Network.start(np.ones(lm.CLASSES), 5)
     context = np.tile(np.arange(2 * lm.SIDE), (lm.CLASSES, 1))
@@ -90,3 +117,45 @@ def test_words_outside_the_vocabulary_have_their_share(spark, odd_docs, no_docs)
 def test_network_has_24_hidden_units():
     net = lm.Network(np.zeros(lm.Network.SIZE, np.float32))
     assert net.embed.shape[-1] == net.bias.shape[0] == 24
+
+
+def _by_loops(text, vocabulary, net, counts):
+    """Log-probability of a text, word by word, with plain loops."""
+    words = lm.words_of(text)
+    of = [vocabulary[w] if w in vocabulary else lm.VOCABULARY + lm._bucket(w) for w in words]
+    total = 0.0
+    for i, (word, target) in enumerate(zip(words, of, strict=True)):
+        around = [of[j] if 0 <= j < len(of) else lm.PAD for j in (*range(i - lm.SIDE, i), *range(i + 1, i + lm.SIDE + 1))]
+        h = [np.tanh(net.bias[u] + sum(net.embed[k][c][u] for k, c in enumerate(around))) for u in range(lm.HIDDEN)] + [1.0]
+        for weights, own in ((net.group, target // lm.MEMBERS), (net.member[target // lm.MEMBERS], target % lm.MEMBERS)):
+            logits = [sum(h[u] * weights[u][o] for u in range(lm.HIDDEN + 1)) for o in range(weights.shape[1])]
+            total += logits[own] - np.log(sum(np.exp(x) for x in logits))
+        if word not in vocabulary:
+            shared = sum(n for w, n in counts.items() if w not in vocabulary and lm._bucket(w) == lm._bucket(word))
+            total += np.log(counts.get(word, 1) / (shared + 1))
+    return total
+
+
+@pytest.mark.parametrize("common", [lm.COMMON, 40, 0])
+def test_scores_equal_plain_loops(spark, common):
+    """Whatever share of the words is sent to the tasks, and for texts with unseen words."""
+    draw = random.Random(9)
+    words = [f"wört{i}" for i in range(1200)]
+    texts = [" ".join(draw.choice(words[: draw.choice([5, 50, 1200])]) for _ in range(draw.randint(1, 30))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    counts = Counter(w for t in texts for w in lm.words_of(t))
+    counted = lm.count_words(docs)
+    vocabulary, flat = lm.learn(docs, lm.Training(batch=64), counted)
+    shares = lm.Shares.of(counted, vocabulary, common)
+    others = {w for w in counts if w not in vocabulary}
+    assert len(others) > 100 and len(shares.hashes) <= common
+    assert {r.word: r.n for r in shares.rest.collect()}.items() <= {w: counts[w] for w in others}.items()
+    if common == lm.COMMON:
+        assert len(shares.hashes) == len(others) and shares.rest.isEmpty()
+    held = [*texts[:12], "never seen wört3 before", "", None]
+    net = lm.Network(flat.astype(float))
+    frame = spark.createDataFrame(list(enumerate(held)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.score_documents(frame, vocabulary, flat, counted, common).collect()}
+    for i, text in enumerate(held):
+        assert got[i].n_words == len(lm.words_of(text))
+        assert abs(got[i].log_prob - _by_loops(text, vocabulary, net, counts)) < 1e-3
