@@ -15,17 +15,19 @@ shared store (Spark's writers are the only ones that reach every store).
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
-from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.llm.common import MEMO_ENTRIES, Lookup, table
+from chirpstat.llm.common import MEMO_ENTRIES, table
 from chirpstat.session import scratch_path
 
 END_ID = 2
@@ -33,6 +35,10 @@ LEVEL_BITS = (8, 8, 16)
 BLOCK_BITS = 512
 #: A segment is closed when it holds this many tokens; a longer document has a segment of its own.
 SEGMENT_TOKENS = 1_000_000
+#: Texts are cut and looked up together up to so many bytes, which bounds a task's memory.
+SLICE_BYTES = 24_000_000
+#: New words encoded in one call: longer rows cost more a word.
+ROW_WORDS = 64
 _CHUNK = {8: "u1", 16: "<u2"}
 _MAGIC = b"DAC1"
 
@@ -102,90 +108,208 @@ class DacSegment:
         return value
 
 
+#: White space that may close units; any other (of Unicode) has its text encoded in one go.
+_SPACES = " \t\n\v\f\r"
+_SPACE, _OTHER_SPACE, _ALNUM, _CLOSING = 1, 2, 3, 4
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(_SPACES.encode())] = _OTHER_SPACE
+_KIND[ord(" ")] = _SPACE
+_KIND[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = _ALNUM
+_KIND[list(b"!#$%&*+,./:;=?@^~-")] = _CLOSING  # no apostrophe, as contractions begin with it
+
+
+def cut_units(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """All units of `texts` (no nulls) in order, and for each text the number of units up to its end."""
+    at = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data else np.zeros(0, np.uint8)
+    at = at - at[0]
+    kind = _KIND[raw]
+    space = (kind == _SPACE) | (kind == _OTHER_SPACE)
+    first = space.copy()  # of a run of white space
+    first[1:] &= ~space[:-1]
+    last = space.copy()
+    last[:-1] &= ~space[1:]
+    filled = at[1:][at[1:] > at[:-1]]
+    last[filled - 1] = False  # a run that ends the text is one piece
+    begins = first | last
+    begins[1:] |= (kind[:-1] == _OTHER_SPACE) & ~space[1:]
+    begins[1:] |= (kind[:-1] == _ALNUM) & (kind[1:] == _CLOSING)
+    begins[at[:-1][at[:-1] < len(raw)]] = True
+    places = np.append(np.flatnonzero(begins), len(raw))
+    units = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places.astype("<i8")), pa.py_buffer(raw))
+    return units, np.searchsorted(places[:-1], at[1:])
+
+
+def _id_bytes(ids: np.ndarray, lens: np.ndarray) -> pa.LargeBinaryArray:
+    """Rows of `lens` ids each, as the bytes of unsigned 32-bit integers."""
+    places = np.concatenate([[0], np.cumsum(lens)]) * 4
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(lens), [None, pa.py_buffer(places.astype("<i8")), pa.py_buffer(ids.astype("<u4"))]
+    )
+
+
 class TextEncoder:
     """Whole texts to ids with the given tokenizer file.
 
-    The byte-level pre-tokenizer starts a new piece at a single space or line
-    feed between two other characters, so these close units whose ids depend on
-    nothing outside them. Units are encoded once and remembered, in a table of
-    bounded size; a text with any other run of white space is encoded in one
-    go. A unit of Latin letters (and closing punctuation) is one piece (or
-    two), which goes straight to the tokenizer's model.
+    The byte-level pre-tokenizer starts a new piece at the first and at the last
+    character of a run of white space inside a text, after a run that does not
+    end in a space, and where a letter or digit is followed by punctuation other
+    than an apostrophe. Texts are cut there into units whose ids depend on
+    nothing outside them. Distinct units are encoded once and remembered, in a
+    packed table of bounded size (some 50 bytes a unit). A text with white
+    space beyond ASCII's, or with an added token of the tokenizer, is encoded
+    in one go.
     """
 
-    _letters = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!#$%&*+,./:;=?@^~-]*)")
-
-    def __init__(self, path: str, entries: int = 2 * MEMO_ENTRIES):
-        from tokenizers import Tokenizer, pre_tokenizers
+    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
+        from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self._tokenizer = Tokenizer.from_file(path)
-        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        alphabet = Lookup(lambda c: byte_level.pre_tokenize_str(c)[0][0], entries)
-        model = self._tokenizer.model
-
-        def piece(text: str) -> bytes:
-            mapped = "".join(map(alphabet.__getitem__, text))
-            return array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
+        # units come once, so the model's own table of words would only be written
+        getattr(self._tokenizer.model, "_resize_cache", lambda _: None)(0)
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._spaced = np.zeros(self._tokenizer.get_vocab_size(), bool)
+        for token, i in self._tokenizer.get_vocab(with_added_tokens=False).items():
+            if token[0] == "\u0120":  # the space, in the byte-level alphabet
+                self._spaced[i] = True
+        self._line_feed = self._encode_whole("\n")[0]
+        self._entries = entries
+        self._units, self._ids, self._uses = pa.array([], pa.large_string()), pa.array([], pa.large_binary()), np.zeros(0)
+
+    def _encode_whole(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    @staticmethod
+    def _is_whole(unit: str) -> bool:
+        """Whether texts with this unit are to be encoded in one go."""
+        word = unit.removeprefix(" ")
+        return word.split() != [word] and unit.strip(_SPACES) != ""
+
+    def _encode_units(self, units: list[str]) -> pa.LargeBinaryArray:
+        """Ids of each unit; none for one whose texts are encoded in one go."""
+        # Words are encoded in rows: after a space or a line feed each stays what it is, and begins where these have their token.
+        words = [i for i, u in enumerate(units) if u.split() == [u.removeprefix(" ")]]
+        ids, lens, done = [], [], []
+        for lo in range(0, len(words), ROW_WORDS):
+            some = words[lo : lo + ROW_WORDS]
+            row = [units[i] if units[i][0] == " " else "\n" + units[i] for i in some]
+            text = "".join(row)
+            if any(t in text for t in self._added):
+                continue  # these one by one
+            found = self._encode_whole(text)
+            fed = found == self._line_feed
+            begins = np.append(np.flatnonzero(self._spaced[found] | fed), len(found))
+            if len(begins) == len(some) + 1:
+                ids.append(found[~fed])
+                lens.append(begins[1:] - begins[:-1] - fed[begins[:-1]])
+                done += some
+        for i in sorted(set(range(len(units))).difference(done)):
+            ids.append(np.zeros(0, np.uint32) if self._is_whole(units[i]) else self._encode_whole(units[i]))
+            lens.append([len(ids[-1])])
+            done.append(i)
+        return _id_bytes(np.concatenate(ids), np.concatenate(lens)).take(pa.array(np.argsort(done)))
+
+    def _look_up(self, units: pa.LargeStringArray) -> np.ndarray:
+        """Places of the distinct `units` in the table, which gets those it lacks."""
+        at = pc.index_in(units, self._units)
+        places = at.fill_null(-1).to_numpy().astype(np.int64)
+        new = units.filter(at.is_null())
+        if len(new):
+            places[places < 0] = np.arange(len(self._units), len(self._units) + len(new))
+            ids = self._encode_units(new.to_pylist())
+            self._units, self._ids = pa.concat_arrays([self._units, new]), pa.concat_arrays([self._ids, ids])
+            self._uses = np.append(self._uses, np.zeros(len(new)))
+        self._uses *= 0.95
+        self._uses[places] += 1
+        return places
+
+    def _forget(self) -> None:
+        """Keep the units used most, and latest, of a table that has grown by half."""
+        if len(self._units) > self._entries * 3 // 2:
+            kept = np.sort(np.argpartition(self._uses, -self._entries)[-self._entries :])
+            self._units, self._ids = self._units.take(pa.array(kept)), self._ids.take(pa.array(kept))
+            self._uses = self._uses[kept]
+
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty) one after another, and the position after each text's last id."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        units, ends = cut_units(texts)
+        if not len(units):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        coded = units.dictionary_encode()
+        places = self._look_up(coded.dictionary)
+        found = self._ids.take(pa.array(places[coded.indices.to_numpy()]))
+        self._forget()
+        upto = np.frombuffer(found.buffers()[1], "<i8")[: len(found) + 1] // 4
+        ids = np.frombuffer(found.buffers()[2], "<u4")[: upto[-1]] if upto[-1] else np.zeros(0, np.uint32)
+        id_ends = upto[ends]
+        whole = np.zeros(len(texts), bool)
+        whole[np.searchsorted(ends, np.flatnonzero(upto[1:] == upto[:-1]), side="right")] = True
+        for token in self._added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return ids, id_ends
+        parts = np.split(ids, id_ends[:-1])
+        for i in np.flatnonzero(whole).tolist():
+            parts[i] = self._encode_whole(texts[i].as_py())
+        return np.concatenate(parts), np.cumsum([len(p) for p in parts])
 
-        pieces = Lookup(piece, entries // 2)
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a text (null: empty) as unsigned 32-bit integers in little-endian order."""
+        return self.encode_texts(pa.array([text], pa.large_string()))[0].astype("<u4").tobytes()
 
-        def unit(text: str, space: str) -> bytes:
-            m = self._letters.fullmatch(text)
-            if m is None:
-                return self.encode_whole(space + text)
-            return pieces[space + m[1]] + (self._first[m[2]] if m[2] else b"")
 
-        self._first = Lookup(lambda w: unit(w, ""), entries // 4)
-        self._later = Lookup(lambda w: unit(w, " "), entries)
-        self._line_feed = self.encode_whole("\n")
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> TextEncoder:
+    """The encoder of a Python worker: its table of units serves the worker's next tasks, too."""
+    return TextEncoder(path)
 
-    def encode_whole(self, text: str) -> bytes:
-        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a text (null: empty) as unsigned 32-bit integers in the machine's (little-endian) order."""
-        if not text:
-            return b""
-        first, later, lines = self._first, self._later.__getitem__, []
-        for line in text.split("\n"):
-            words = line.split()
-            if not words or " ".join(words) != line:
-                return self.encode_whole(text)
-            head = first[words[0]]
-            lines.append(head + b"".join(map(later, words[1:])))
-        return self._line_feed.join(lines)
+def _slices(batch: pa.RecordBatch, text_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Rows of `batch` in order, so many at once that their texts have up to `text_bytes`; a longer one comes alone."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy().astype(np.int64))
+    lo = 0
+    while lo < len(batch):
+        before = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, before + text_bytes, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
 def _segments(path: str, segment_tokens: int):
     """Partition of (doc_id, text) rows in order -> segment rows."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder = TextEncoder(path)  # for this task alone: what it remembers is freed with it
-        end = np.array([END_ID], "<u4").tobytes()
+        encoder = _encoder(path)
+        end = np.array([END_ID], np.uint32)
         state = {"ids": [], "data": [], "n": 0, "seq": 0, "before": 0}
 
-        def close() -> pd.DataFrame:
-            tokens = np.frombuffer(b"".join(state["data"]), "<u4")
-            ends = np.cumsum([len(d) // 4 for d in state["data"]])
-            row = pd.DataFrame({
-                "part": [part], "seq": [state["seq"]], "before": [state["before"]], "n_tokens": [len(tokens)],
-                "doc_ids": [state["ids"]], "body": [dac_encode(tokens, ends)],
-            })
+        def close() -> pa.RecordBatch:
+            ends = np.cumsum([len(d) + 1 for d in state["data"]])
+            tokens = np.concatenate([x for d in state["data"] for x in (d, end)])
+            row = {
+                "part": part, "seq": state["seq"], "before": state["before"], "n_tokens": len(tokens),
+                "doc_ids": state["ids"], "body": dac_encode(tokens, ends),
+            }
             state.update(ids=[], data=[], n=0, seq=state["seq"] + 1, before=state["before"] + len(tokens))
-            return row
-
-        for batch in batches:
-            ids = batch["doc_id"].tolist()
-            for doc_id, text in zip(ids, batch["text"], strict=True):
-                data = encoder.encode(text) + end
-                if state["n"] and state["n"] + len(data) // 4 > segment_tokens:
+            return pa.RecordBatch.from_pylist([row], _SEGMENT_ARROW)
+
+        for rows in (some for batch in batches for some in _slices(batch, SLICE_BYTES)):
+            tokens, ends = encoder.encode_texts(rows["text"])
+            begin = 0
+            for doc_id, stop in zip(rows["doc_id"].to_pylist(), ends.tolist(), strict=True):
+                n = stop - begin + 1
+                if state["n"] and state["n"] + n > segment_tokens:
                     yield close()
-                state["ids"].append(None if doc_id is None or doc_id != doc_id else int(doc_id))
-                state["data"].append(data)
-                state["n"] += len(data) // 4
+                state["ids"].append(doc_id)
+                state["data"].append(tokens[begin:stop])
+                state["n"] += n
+                begin = stop
         if state["data"]:
             yield close()
 
@@ -193,6 +317,10 @@ def _segments(path: str, segment_tokens: int):
 
 
 SEGMENT_SCHEMA = "part int, seq int, before long, n_tokens long, doc_ids array<long>, body binary"
+_SEGMENT_ARROW = pa.schema([
+    ("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()),
+    ("doc_ids", pa.list_(pa.int64())), ("body", pa.binary()),
+])
 
 
 def write_tokens(
@@ -209,7 +337,7 @@ def write_tokens(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInPandas(_segments(tokenizer_path, segment_tokens), SEGMENT_SCHEMA).write.option("compression", "zstd").parquet(folder)
+    rows.mapInArrow(_segments(tokenizer_path, segment_tokens), SEGMENT_SCHEMA).write.option("compression", "zstd").parquet(folder)
 
 
 def read_segments(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -63,3 +64,64 @@ def test_real_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = sorted((tuple(r) for r in td.encode_documents(docs, PATH, 5000).collect()), key=lambda r: r[1])
     assert got == _expected([(r.doc_id, r.text) for r in docs.collect()])
+
+
+class _Asked:
+    """A tokenizer that counts the characters it is asked to encode."""
+
+    def __init__(self, tokenizer):
+        self._of, self.n = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self._of, name)
+
+    def encode(self, text, **how):
+        self.n += len(text)
+        return self._of.encode(text, **how)
+
+    def encode_batch_fast(self, texts, **how):
+        self.n += sum(map(len, texts))
+        return self._of.encode_batch_fast(texts, **how)
+
+
+def test_paragraphs_and_indents_cost_no_second_encoding():
+    encoder = td.TextEncoder(PATH)
+    tokenizer = encoder._tokenizer
+    encoder._tokenizer = _Asked(tokenizer)
+    text = "Vier Wörter, no more...\n\n    x = y;\tend\r\n  Vier.\n" * 40
+    for lead in ["", "x", "\n\n", "  no"]:
+        assert np.frombuffer(encoder.encode(lead + text), "<u4").tolist() == tokenizer.encode(lead + text, add_special_tokens=False).ids
+    assert encoder._tokenizer.n < len(text)
+
+
+ATOMS = [*" \n\t\r'.,-!|<>()0aZé\x1c\x85\xa0  　᠎​²…́", "\n\n", "  ", " the", "'ll", "日本", "<|endoftext|>", "😀"]
+
+
+_SMALL = {}
+
+
+@given(st.lists(st.lists(st.sampled_from(ATOMS), max_size=25).map("".join) | st.none(), max_size=12))
+@settings(max_examples=150, deadline=None)
+def test_texts_together_give_the_tokenizers_ids(texts):
+    small = _SMALL.setdefault(0, td.TextEncoder(PATH, entries=20))
+    ids, ends = small.encode_texts(pa.array(texts, pa.string()))
+    want = [small._tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [p.tolist() for p in np.split(ids, ends)] == [*want, []]
+    assert len(small._units) <= 30  # the table is bounded
+
+
+def test_a_workers_tasks_share_the_table_of_units():
+    first = td._encoder(PATH)
+    first.encode_texts(pa.array(["nowhereelse words"]))
+    again = td._encoder(PATH)
+    again._tokenizer = _Asked(tokenizer := again._tokenizer)
+    again.encode_texts(pa.array(["words nowhereelse words", "nowhereelse"]))
+    assert again._tokenizer.n <= len("\nwords nowhereelse")
+    again._tokenizer = tokenizer
+
+
+def test_slices_hold_every_row_once():
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(7)), "text": ["a" * 9, None, "", "é" * 5, "b", "c" * 50, "d"]})
+    parts = list(td._slices(rows, 10))
+    assert [p["doc_id"].to_pylist() for p in parts] == [[0, 1, 2], [3], [4], [5], [6]]
+    assert list(td._slices(rows.slice(0, 0), 10)) == []
