@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,6 +127,17 @@ class Lookup(dict):
         return value
 
 
+def release_memory() -> None:
+    """Give memory that is free, but kept by Arrow's or C's allocator, back to the system.
+
+    A Python worker lives on after a task, and what it keeps counts for its executor.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def utf8_rows(words: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Words as a zero-padded matrix of code points, and their lengths (<= width)."""
     lens = np.fromiter(map(len, words), dtype=np.int64, count=len(words))

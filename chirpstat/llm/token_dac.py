@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpstat.llm.common import MEMO_ENTRIES, table
+from chirpstat.llm.common import MEMO_ENTRIES, release_memory, table
 from chirpstat.session import scratch_path
 
 END_ID = 2
@@ -35,8 +35,10 @@ LEVEL_BITS = (8, 8, 16)
 BLOCK_BITS = 512
 #: A segment is closed when it holds this many tokens; a longer document has a segment of its own.
 SEGMENT_TOKENS = 1_000_000
-#: Texts are cut and looked up together up to so many bytes, which bounds a task's memory.
+#: Texts are looked up together up to so many bytes: the table is hashed once a slice.
 SLICE_BYTES = 24_000_000
+#: Texts of a slice are cut, and their ids put together, up to so many bytes at once: these steps need many times their bytes.
+CUT_BYTES = 1_000_000
 #: New words encoded in one call: longer rows cost more a word.
 ROW_WORDS = 64
 _CHUNK = {8: "u1", 16: "<u2"}
@@ -149,6 +151,17 @@ def _id_bytes(ids: np.ndarray, lens: np.ndarray) -> pa.LargeBinaryArray:
     )
 
 
+def _spans(texts: pa.Array, text_bytes: int) -> Iterator[tuple[int, int]]:
+    """First place, and the place after the last, of texts in order that have up to `text_bytes`; a longer one is alone."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        before = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, before + text_bytes, side="right")))
+        yield lo, hi
+        lo = hi
+
+
 class TextEncoder:
     """Whole texts to ids with the given tokenizer file.
 
@@ -232,16 +245,35 @@ class TextEncoder:
             self._units, self._ids = self._units.take(pa.array(kept)), self._ids.take(pa.array(kept))
             self._uses = self._uses[kept]
 
-    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts (null: empty) one after another, and the position after each text's last id."""
+    def encode_parts(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For some texts (null: empty) after the others, their ids and the position after each text's last id.
+
+        All texts are looked up at once, by their distinct units; what is as
+        long as the texts is held for up to `CUT_BYTES` of them at a time,
+        except for a number a unit.
+        """
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        units, ends = cut_units(texts)
-        if not len(units):
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        coded = units.dictionary_encode()
-        places = self._look_up(coded.dictionary)
-        found = self._ids.take(pa.array(places[coded.indices.to_numpy()]))
+        spans, coded, ends = list(_spans(texts, CUT_BYTES)), [], []
+        for lo, hi in spans:
+            units, upto = cut_units(texts.slice(lo, hi - lo))
+            coded.append(units.dictionary_encode())
+            ends.append(upto)
+        if not coded:
+            return
+        coded = pa.chunked_array(coded).unify_dictionaries().chunks
+        distinct = coded[0].dictionary
+        places = self._look_up(distinct) if len(distinct) else np.zeros(0, np.int64)
+        own = self._ids.take(pa.array(places))
         self._forget()
+        release_memory()  # what cutting and the look-up needed
+        coded.reverse()
+        for (lo, hi), upto in zip(spans, ends, strict=True):
+            yield self._put_together(texts.slice(lo, hi - lo), own.take(coded.pop().indices), upto)
+
+    def _put_together(self, texts: pa.LargeStringArray, found: pa.LargeBinaryArray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of `texts` from those of their units, `ends` of which are up to the end of each text."""
+        if not len(found):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         upto = np.frombuffer(found.buffers()[1], "<i8")[: len(found) + 1] // 4
         ids = np.frombuffer(found.buffers()[2], "<u4")[: upto[-1]] if upto[-1] else np.zeros(0, np.uint32)
         id_ends = upto[ends]
@@ -256,6 +288,13 @@ class TextEncoder:
             parts[i] = self._encode_whole(texts[i].as_py())
         return np.concatenate(parts), np.cumsum([len(p) for p in parts])
 
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty) one after another, and the position after each text's last id."""
+        parts = list(self.encode_parts(texts))
+        before = np.cumsum([0, *(len(ids) for ids, _ in parts)])
+        ids = np.concatenate([np.zeros(0, np.uint32), *(ids for ids, _ in parts)])
+        return ids, np.concatenate([np.zeros(0, np.int64), *(ends + n for (_, ends), n in zip(parts, before[:-1], strict=True))])
+
     def encode(self, text: str | None) -> bytes:
         """Ids of a text (null: empty) as unsigned 32-bit integers in little-endian order."""
         return self.encode_texts(pa.array([text], pa.large_string()))[0].astype("<u4").tobytes()
@@ -269,19 +308,14 @@ def _encoder(path: str) -> TextEncoder:
 
 def _slices(batch: pa.RecordBatch, text_bytes: int) -> Iterator[pa.RecordBatch]:
     """Rows of `batch` in order, so many at once that their texts have up to `text_bytes`; a longer one comes alone."""
-    upto = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy().astype(np.int64))
-    lo = 0
-    while lo < len(batch):
-        before = upto[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(upto, before + text_bytes, side="right")))
+    for lo, hi in _spans(batch["text"], text_bytes):
         yield batch.slice(lo, hi - lo)
-        lo = hi
 
 
 def _segments(path: str, segment_tokens: int):
     """Partition of (doc_id, text) rows in order -> segment rows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
@@ -300,19 +334,25 @@ def _segments(path: str, segment_tokens: int):
             return pa.RecordBatch.from_pylist([row], _SEGMENT_ARROW)
 
         for rows in (some for batch in batches for some in _slices(batch, SLICE_BYTES)):
-            tokens, ends = encoder.encode_texts(rows["text"])
-            begin = 0
-            for doc_id, stop in zip(rows["doc_id"].to_pylist(), ends.tolist(), strict=True):
-                n = stop - begin + 1
-                if state["n"] and state["n"] + n > segment_tokens:
-                    yield close()
-                state["ids"].append(doc_id)
-                state["data"].append(tokens[begin:stop])
-                state["n"] += n
-                begin = stop
+            doc_ids = iter(rows["doc_id"].to_pylist())
+            for tokens, ends in encoder.encode_parts(rows["text"]):
+                begin = 0
+                for stop in ends.tolist():
+                    n = stop - begin + 1
+                    if state["n"] and state["n"] + n > segment_tokens:
+                        yield close()
+                    state["ids"].append(next(doc_ids))
+                    state["data"].append(tokens[begin:stop])
+                    state["n"] += n
+                    begin = stop
         if state["data"]:
             yield close()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()  # left by the worker's earlier tasks
+        yield from closed(batches)
+        release_memory()
+
     return run
 
 

@@ -1,3 +1,7 @@
+import os
+import sys
+import tracemalloc
+import types
 import zlib
 
 import numpy as np
@@ -7,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from chirpstat.llm import token_dac as td
+from chirpstat.llm.common import release_memory
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -125,3 +130,61 @@ def test_slices_hold_every_row_once():
     parts = list(td._slices(rows, 10))
     assert [p["doc_id"].to_pylist() for p in parts] == [[0, 1, 2], [3], [4], [5], [6]]
     assert list(td._slices(rows.slice(0, 0), 10)) == []
+
+
+@pytest.mark.parametrize("cut_bytes", [1, 9, 60])
+def test_texts_cut_in_parts_give_the_tokenizers_ids(monkeypatch, cut_bytes):
+    monkeypatch.setattr(td, "CUT_BYTES", cut_bytes)
+    encoder = td.TextEncoder(PATH, entries=5)
+    texts = [None, "", *TEXTS, *TEXTS, "", None]
+    parts = list(encoder.encode_parts(pa.array(texts, pa.string())))
+    assert len(parts) > 2
+    got = [p.tolist() for ids, ends in parts for p in np.split(ids, ends)[:-1]]
+    assert got == [encoder._tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert list(encoder.encode_parts(pa.array([], pa.string()))) == []
+    assert all(not len(ids) for ids, _ in encoder.encode_parts(pa.array([None, ""], pa.string())))
+
+
+def test_encoding_needs_few_bytes_for_a_byte_of_text():
+    encoder = td.TextEncoder(PATH)
+    text = "Vier Wörter, no more...\n\n    x = y;\tend\r\n  Vier.\n" * 100
+    texts = pa.array([text] * 2_000)
+    encoder.encode_texts(texts[:1])
+    tracemalloc.start()
+    try:
+        before, n, held = pa.total_allocated_bytes(), 0, 0
+        for _, ends in encoder.encode_parts(texts):
+            n, held = n + len(ends), max(held, pa.total_allocated_bytes() - before)
+        assert n == len(texts)
+        assert tracemalloc.get_traced_memory()[1] + held < 5 * texts.nbytes
+    finally:
+        tracemalloc.stop()
+
+
+def _resident():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_freed_memory_goes_back_to_the_system():
+    release_memory()
+    held = [bytes(b"x" * 50_000) for _ in range(3_000)]
+    full = _resident()
+    held = held[::100]
+    release_memory()
+    assert len(held) == 30 and full - _resident() > 100_000_000
+
+
+def test_a_task_releases_memory_before_and_after(monkeypatch):
+    from pyspark import TaskContext
+
+    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: types.SimpleNamespace(partitionId=lambda: 3)))
+    calls = []
+    monkeypatch.setattr(td, "release_memory", lambda: calls.append(len(calls)))
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b", None]})
+    out = td._segments(PATH, 1_000_000)(iter([rows]))
+    segment = next(out)
+    before = len(calls)
+    assert segment["doc_ids"].to_pylist() == [[1, 2]] and before >= 2
+    assert list(out) == [] and len(calls) == before + 1
